@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing, urls
+from . import licences, media, mixing, urls
 
 
 def queries():
     return {
+        "op2_media_columns": media.op2_media_columns,
         "op4_mixing": mixing.op4_mixing,
+        "op5_license_scan": licences.op5_license_scan,
         "op9_url_filters": urls.op9_url_filters,
     }
 
