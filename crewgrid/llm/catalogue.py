@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import licences, media, mixing, urls
+from . import licences, media, mixing, quality, toxicity, urls
 
 
 def queries():
     return {
+        "op1_quality_classifier": quality.op1_quality_classifier,
         "op2_media_columns": media.op2_media_columns,
         "op4_mixing": mixing.op4_mixing,
         "op5_license_scan": licences.op5_license_scan,
+        "op8_toxicity": toxicity.op8_toxicity,
         "op9_url_filters": urls.op9_url_filters,
     }
 
