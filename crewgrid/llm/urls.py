@@ -72,8 +72,8 @@ def _level(groups: DataFrame, key: str, prior: str) -> DataFrame:
     )
     within = F.expr("pq / nn")
     between = (F.col("ss") - F.col("g") * within) / F.greatest(F.col("nn") - F.col("n2") / F.col("nn"), F.lit(1.0))
-    k = s.select(F.coalesce(F.when(between > 0, F.least(F.greatest(within / between - 1, F.lit(1.0)), F.lit(10000.0))), F.lit(10000.0)).alias("k"))
-    return groups.join(F.broadcast(k)).withColumns({f"{key}_mean": F.expr(f"(bad + k * {prior}) / (n + k)"), f"{key}_k": F.col("k")}).drop("k")
+    k = s.select(F.coalesce(F.when(between > 0, F.least(F.greatest(within / between - 1, F.lit(1.0)), F.lit(10000.0))), F.lit(10000.0))).first()[0]
+    return groups.withColumns({f"{key}_mean": (F.col("bad") + k * F.col(prior)) / (F.col("n") + k), f"{key}_k": F.lit(k)})
 
 
 def host_reputation(labelled: DataFrame, max_bad: float = MAX_BAD, z: float = Z) -> DataFrame:
@@ -82,9 +82,9 @@ def host_reputation(labelled: DataFrame, max_bad: float = MAX_BAD, z: float = Z)
     hosts = written(
         hosts.withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)}), "hosts"
     )
-    overall = hosts.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("overall"))
+    overall = hosts.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("overall")).first()[0]
     suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = _level(suffixes.join(F.broadcast(overall)), "suffix", "overall").select("suffix", "suffix_mean")
+    suffixes = _level(suffixes.withColumn("overall", F.lit(overall)), "suffix", "overall").select("suffix", "suffix_mean")
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = _level(domains.join(suffixes, "suffix"), "domain", "suffix_mean").select("domain", "domain_mean")
     out = _level(hosts.join(domains, "domain"), "host", "domain_mean")
