@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licences, media, mixing, quality, toxicity, urls
+from . import fingerprints, licences, media, mixing, packing, quality, toxicity, urls
 
 
 def queries():
@@ -11,8 +11,10 @@ def queries():
         "op2_media_columns": media.op2_media_columns,
         "op4_mixing": mixing.op4_mixing,
         "op5_license_scan": licences.op5_license_scan,
+        "op6_best_fit_packing": packing.op6_best_fit_packing,
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_url_filters": urls.op9_url_filters,
+        "op10_fingerprints": fingerprints.op10_fingerprints,
     }
 
 
