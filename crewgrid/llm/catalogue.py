@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fingerprints, licences, media, mixing, packing, quality, toxicity, urls
+from . import fingerprints, licences, media, mixing, packing, quality, repeats, toxicity, urls
 
 
 def queries():
@@ -12,6 +12,7 @@ def queries():
         "op4_mixing": mixing.op4_mixing,
         "op5_license_scan": licences.op5_license_scan,
         "op6_best_fit_packing": packing.op6_best_fit_packing,
+        "op7_substring_dedup": repeats.op7_substring_dedup,
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_url_filters": urls.op9_url_filters,
         "op10_fingerprints": fingerprints.op10_fingerprints,
@@ -19,4 +20,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op4_mixing": mixing.OP4_SQL, "op9_url_filters": urls.op9_sql()}
+    return {"op4_mixing": mixing.OP4_SQL, "op7_substring_dedup": repeats.OP7_SQL, "op9_url_filters": urls.op9_sql()}
