@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import fingerprints, licences, media, mixing, packing, quality, repeats, toxicity, urls
+from . import fingerprints, licences, media, mixing, packing, quality, repeats, similarity, toxicity, urls
 
 
 def queries():
     return {
         "op1_quality_classifier": quality.op1_quality_classifier,
         "op2_media_columns": media.op2_media_columns,
+        "op3_jaccard_join": similarity.op3_jaccard_join,
         "op4_mixing": mixing.op4_mixing,
         "op5_license_scan": licences.op5_license_scan,
         "op6_best_fit_packing": packing.op6_best_fit_packing,
@@ -20,4 +21,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op4_mixing": mixing.OP4_SQL, "op7_substring_dedup": repeats.OP7_SQL, "op9_url_filters": urls.op9_sql()}
+    return {"op3_jaccard_join": similarity.OP3_SQL, "op4_mixing": mixing.OP4_SQL, "op7_substring_dedup": repeats.OP7_SQL, "op9_url_filters": urls.op9_sql()}
