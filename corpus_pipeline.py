@@ -1 +1,65 @@
-"""Stages of the corpus pipeline."""
+"""The corpus pipeline: quality, near duplicates, repeated passages, mixture, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the stage
+before it kept; between stages docs is written as Parquet and read again.
+All but the last return the columns of documents: a document that the mix
+takes twice is there twice, and the text of one that loses repeated
+passages is what is left of it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from crewgrid.llm import mixing, packing, quality, repeats, similarity
+from crewgrid.llm.common import fold, table, written
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts; trained on the labelled rows outside its held-out fold."""
+    wanted = quality.training_rows(table(spark, sf_dir, "labels"), ~F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)))
+    wanted = written(wanted, "training")
+    some = docs.select("doc_id", "text").join(F.broadcast(wanted.select("doc_id")), "doc_id", "left_semi")
+    return quality.good_only(docs, quality.fit(quality.featured(some), wanted))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return similarity.representatives(docs)
+
+
+def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that stand in an earlier document."""
+    return repeats.deduplicated(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return mixing.mixed(docs).withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__reps")))).select(docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed into sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("n-gram jaccard join", near_duplicate_stage),
+    ("substring dedup", repeat_stage),
+    ("mixing to target weights", mixing_stage),
+    ("best-fit packing", packing_stage),
+]
+
+#: SQL can express neither the trained classifier nor best-fit packing; tests hold the stages against brute-force versions.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = written(docs, f"stage{i + 1}")
+    return docs

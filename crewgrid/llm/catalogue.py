@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import fingerprints, licences, media, mixing, packing, quality, repeats, similarity, toxicity, urls
 
 
 def queries():
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_quality_classifier": quality.op1_quality_classifier,
         "op2_media_columns": media.op2_media_columns,
         "op3_jaccard_join": similarity.op3_jaccard_join,
@@ -21,4 +24,5 @@ def queries():
 
 
 def oracle_sql():
-    return {"op3_jaccard_join": similarity.OP3_SQL, "op4_mixing": mixing.OP4_SQL, "op7_substring_dedup": repeats.OP7_SQL, "op9_url_filters": urls.op9_sql()}
+    pipeline = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return pipeline | {"op3_jaccard_join": similarity.OP3_SQL, "op4_mixing": mixing.OP4_SQL, "op7_substring_dedup": repeats.OP7_SQL, "op9_url_filters": urls.op9_sql()}

@@ -122,7 +122,6 @@ def train(x: np.ndarray, y: np.ndarray) -> Model:
     nothing = [np.zeros(0)] * width
     if not len(y) or rate in (0.0, 1.0):
         return Model(50.0 * (2 * rate - 1), nothing, [np.zeros(1)] * width, [], nothing, [])
-    weight = np.ones(len(y))
     intercept = float(np.log(rate / (1 - rate)))
     cuts = [_cuts(x[:, j], BINS) for j in range(width)]
     bins = [np.searchsorted(c, x[:, j], "right") for j, c in enumerate(cuts)]
@@ -131,7 +130,7 @@ def train(x: np.ndarray, y: np.ndarray) -> Model:
 
     def slopes():
         p = 1 / (1 + np.exp(-total))
-        return weight * (y - p), weight * p * (1 - p)
+        return y - p, p * (1 - p)
 
     for _ in range(ROUNDS):
         for j in range(width):
@@ -180,10 +179,14 @@ def featured(docs: DataFrame) -> DataFrame:
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, x array<float>")
 
 
-def fit(rows: DataFrame, labels: DataFrame, usable, max_rows: int = MAX_ROWS) -> Model:
-    """rows: doc_id, x; labels: doc_id, quality; usable: a condition on doc_id."""
+def training_rows(labels: DataFrame, usable, max_rows: int = MAX_ROWS) -> DataFrame:
+    """labels: doc_id, quality; usable: a condition on doc_id. At most max_rows of doc_id, quality."""
     known = labels.where("doc_id is not null and quality is not null").where(usable).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    wanted = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+
+
+def fit(rows: DataFrame, wanted: DataFrame) -> Model:
+    """rows: doc_id, x; wanted: the training rows, bounded and so sent to the scan."""
     got = sorted((r.doc_id, r.quality, tuple(r.x)) for r in rows.join(F.broadcast(wanted), "doc_id").collect())
     x = np.array([r[2] for r in got], np.float32).reshape(-1, len(FEATURES))
     return train(x, np.array([float(r[1]) for r in got]))
@@ -220,5 +223,5 @@ def good_only(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
     rows = written(featured(table(spark, sf_dir, "documents")), "quality")
-    model = fit(rows, table(spark, sf_dir, "labels"), ~held_out)
+    model = fit(rows, training_rows(table(spark, sf_dir, "labels"), ~held_out))
     return scored(rows, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")

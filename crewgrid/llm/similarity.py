@@ -44,6 +44,7 @@ import pyarrow as pa
 import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import LOWER, shuffles, table, written
@@ -354,9 +355,8 @@ def _searched(members: DataFrame, texts: DataFrame) -> DataFrame:
     return paired.join(texts, "set").groupBy("near", "low", "high").applyInPandas(run, "u long, v long")
 
 
-def similar(docs: DataFrame) -> DataFrame:
-    """docs: doc_id, text. doc_id, n_shingles, component_id of every row."""
-    docs = docs.select("doc_id", "text")
+def _named(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows' classes, and of each class its root and component_id."""
     known = written(classes(docs), "classes")
     ties = written(_ties(docs, _frequent(known)), "ties")
     wanted = written(ties.select("set").unionByName(ties.select(F.col("leader").alias("set"))).distinct(), "wanted")
@@ -371,15 +371,35 @@ def similar(docs: DataFrame) -> DataFrame:
     firsts = known.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("first"))
     rooted = firsts.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select("set", "component_id")
-    return known.join(named, "set", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return known, rooted.join(least, "root").select("set", "root", "component_id")
+
+
+def similar(docs: DataFrame) -> DataFrame:
+    """docs: doc_id, text. doc_id, n_shingles, component_id of every row."""
+    known, named = _named(docs.select("doc_id", "text"))
+    component = F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return known.join(named.drop("root"), "set", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """One document of each component, with all columns: that with its id. Of several rows of one doc_id only the first text by code point
-    stays; rows with a null doc_id stay where no other row of their component does."""
-    kept = similar(docs).where("component_id = doc_id or (doc_id is null and component_id is null)").select("doc_id").distinct()
-    return docs.join(kept.select(F.col("doc_id").alias("__kept")), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    """One row of each component, with all columns: of the rows with the component's id (of null ids where there is no other), that of the
+    least class and then the least text. Rows without shingles all stay."""
+    known, named = _named(docs.select("doc_id", "text"))
+    own = known.where("set is not null").join(named, "set").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = own.groupBy("root").agg(F.min("set").alias("__set"), F.first("component_id").alias("__id")).select("__set", "__id")
+    names = [*docs.columns, "__set"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            tokens = [shingles(t.as_py()) for t in b.column(names.index("text"))]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([set_id(t) if len(t) else None for t in tokens], pa.int64())], names)
+
+    rows = docs.mapInArrow(run, docs.withColumn("__set", F.lit(None).cast("long")).schema)
+    blank = rows.where("__set is null").drop("__set")
+    kept = kept.withColumnRenamed("__set", "__one")
+    rows = rows.where("__set is not null").join(kept, (F.col("__set") == F.col("__one")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    rows = rows.withColumn("__row", F.row_number().over(W.partitionBy("__set", "doc_id").orderBy("text"))).where("__row = 1")
+    return rows.select(docs.columns).unionByName(blank)
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
