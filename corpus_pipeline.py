@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crewgrid.llm import mixing, packing, quality, repeats, similarity
-from crewgrid.llm.common import fold, table, written
+from crewgrid.llm.common import fold, shipped, table, written
 
 
+@shipped
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; trained on the labelled rows outside its held-out fold."""
     wanted = quality.training_rows(table(spark, sf_dir, "labels"), ~F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)))
@@ -24,21 +25,25 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.good_only(docs, quality.fit(quality.featured(some), wanted))
 
 
+@shipped
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     return similarity.representatives(docs)
 
 
+@shipped
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that stand in an earlier document."""
     return repeats.deduplicated(docs)
 
 
+@shipped
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     return mixing.mixed(docs).withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__reps")))).select(docs.columns)
 
 
+@shipped
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, packed into sequences."""
     return packing.pack(docs)

@@ -5,22 +5,26 @@ from __future__ import annotations
 import corpus_pipeline
 
 from . import fingerprints, licences, media, mixing, packing, quality, repeats, similarity, toxicity, urls
+from .common import shipped
+
+
+QUERIES = {
+    "pipeline": corpus_pipeline.run,
+    "op1_quality_classifier": quality.op1_quality_classifier,
+    "op2_media_columns": media.op2_media_columns,
+    "op3_jaccard_join": similarity.op3_jaccard_join,
+    "op4_mixing": mixing.op4_mixing,
+    "op5_license_scan": licences.op5_license_scan,
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
+    "op7_substring_dedup": repeats.op7_substring_dedup,
+    "op8_toxicity": toxicity.op8_toxicity,
+    "op9_url_filters": urls.op9_url_filters,
+    "op10_fingerprints": fingerprints.op10_fingerprints,
+}
 
 
 def queries():
-    return {
-        "pipeline": corpus_pipeline.run,
-        "op1_quality_classifier": quality.op1_quality_classifier,
-        "op2_media_columns": media.op2_media_columns,
-        "op3_jaccard_join": similarity.op3_jaccard_join,
-        "op4_mixing": mixing.op4_mixing,
-        "op5_license_scan": licences.op5_license_scan,
-        "op6_best_fit_packing": packing.op6_best_fit_packing,
-        "op7_substring_dedup": repeats.op7_substring_dedup,
-        "op8_toxicity": toxicity.op8_toxicity,
-        "op9_url_filters": urls.op9_url_filters,
-        "op10_fingerprints": fingerprints.op10_fingerprints,
-    }
+    return {name: shipped(query) for name, query in QUERIES.items()}
 
 
 def oracle_sql():

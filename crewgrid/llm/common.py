@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import functools
+import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +20,29 @@ ALNUM = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97
 _UPPER_LETTERS, _LOWER_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the package to the session's Python workers, once a context, so that they need no path to it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_crewgrid_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    at = tempfile.mkdtemp(prefix="crewgrid-package-")
+    atexit.register(shutil.rmtree, at, ignore_errors=True)
+    sc.addPyFile(shutil.make_archive(f"{at}/crewgrid", "zip", root, "crewgrid"))
+    sc._crewgrid_shipped = True
+
+
+def shipped(query: Callable) -> Callable:
+    """A query or stage whose workers have the package."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args):
+        ship(spark)
+        return query(spark, *args)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
