@@ -42,6 +42,8 @@ WINDOW = 13
 #: Bits of the map of documents that may have repeats: 2 MB.
 SLOTS = 1 << 24
 _BITMAP = 32768
+#: Bytes of words whose strings a map task combines before it sends them on.
+HELD = 3 << 20
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(32)
 _PLACE = np.dtype([("doc", "<i8"), ("text", "<u8"), ("start", "<i4")])
 
@@ -79,9 +81,19 @@ def super_kmers(words: list[bytes], k: int = WINDOW) -> Iterator[tuple[int, int,
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text to key, words, places; one row for each distinct string of a batch."""
+    """doc_id, text to key, words, places; one row for each distinct string of HELD bytes of text."""
+    found: dict[bytes, list] = {}
+    held = 0
+
+    def rows() -> pa.RecordBatch:
+        keys = pa.array([v[0] for v in found.values()], pa.int64())
+        places = np.array([p for v in found.values() for p in v[1:]], _PLACE)
+        sizes = np.fromiter((len(v) - 1 for v in found.values()), np.int32, len(found))
+        offsets = np.concatenate((np.zeros(1, np.int32), np.cumsum(sizes, dtype=np.int32))) * np.int32(_PLACE.itemsize)
+        packed = pa.Array.from_buffers(pa.binary(), len(found), [None, pa.py_buffer(offsets), pa.py_buffer(places.tobytes())])
+        return pa.RecordBatch.from_arrays([keys, pa.array(list(found), pa.binary()), packed], ["key", "words", "places"])
+
     for batch in batches:
-        found: dict[bytes, list] = {}
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
             if doc_id is None:
                 continue
@@ -92,11 +104,13 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     found[packed] = [key, (doc_id, mark, start)]
                 else:
                     have.append((doc_id, mark, start))
-        keys = pa.array([v[0] for v in found.values()], pa.int64())
-        places = pa.array([np.array(v[1:], _PLACE).tobytes() for v in found.values()], pa.binary())
-        out = pa.RecordBatch.from_arrays([keys, pa.array(list(found), pa.binary()), places], ["key", "words", "places"])
-        for i in range(0, out.num_rows, 20_000):
-            yield out.slice(i, 20_000)
+            held += sum(map(len, words))
+            if held >= HELD:
+                yield rows()
+                found.clear()
+                held = 0
+    if found:
+        yield rows()
 
 
 def _starts(packed: bytes, k: int) -> list[bytes]:
