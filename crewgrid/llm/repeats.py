@@ -1,17 +1,19 @@
 """Substring dedup: super-k-mers of words, cut by minimisers, counted exactly in their buckets.
 
 A window is `k` words in a row. Its minimiser is the least hash of its
-pairs of neighbouring words. Consecutive windows with one minimiser travel
+stretches of MINIMISER words. Consecutive windows with one minimiser travel
 as one packed string, their words joined by a space, to the minimiser's
 bucket, so a word is sent about three times and not thirteen; equal windows
-always meet, as equal words give equal minimisers. A bucket's rows arrive
-sorted by minimiser; there, windows are compared as text, never by hash.
+always meet, as equal words give equal minimisers. In its bucket, strings of
+one minimiser are sorted out and windows compared as text, never by hash.
 
-Map tasks combine: of one batch's equal strings one row goes out, with
-where each stands. A string that many documents share is thus a few rows
-with lists of places, and a bucket takes all later documents' windows of an equal
-string as repeats without opening it. Buckets are streamed. Hashes choose
-buckets only; a clash costs time and changes nothing.
+Map tasks combine: of equal strings of some MB of words one goes out, with
+where each stands, and all strings of one bucket go as one compressed
+block, so that a bucket receives few rows. A string that many documents share
+is thus sent a few times with lists of places, and a bucket takes all later
+documents' windows of an equal string as repeats without opening it. Blocks
+are sorted by bucket and one bucket is held at a time. Hashes choose buckets
+only; a clash costs time and changes nothing.
 
 The repeats' places go back to their documents. A bitmap of fixed size
 (`SLOTS` bits) over hashed ids tells the last scan which documents may have
@@ -31,19 +33,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 import xxhash
+import zstandard as zstd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import shuffles, table, written
 
-WINDOW = 13
+WINDOW, MINIMISER = 13, 3
 #: Bits of the map of documents that may have repeats: 2 MB.
 SLOTS = 1 << 24
 _BITMAP = 32768
-#: Bytes of words whose strings a map task combines before it sends them on.
-HELD = 3 << 20
+#: Bytes of words whose strings a map task combines before it sends them on; buckets for each shuffle partition.
+HELD, BUCKETS = 3 << 20, 4
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(32)
 _PLACE = np.dtype([("doc", "<i8"), ("text", "<u8"), ("start", "<i4")])
 
@@ -54,44 +56,76 @@ def words_of(text: str | None) -> tuple[list[bytes], int]:
     return data.split(), xxhash.xxh3_64_intdigest(data)
 
 
-def super_kmers(words: list[bytes], k: int = WINDOW) -> Iterator[tuple[int, int, int, bytes]]:
-    """(minimiser, first window, windows, packed words) of stretches whose windows share a minimiser."""
-    n = len(words) - k + 1
-    if n <= 0:
-        return
+def _stretches(words: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts with k words or more: minimiser, first window and window after the last of stretches whose windows share a minimiser."""
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    pairs = h[:-1] * _A + (h[1:] ^ (h[1:] >> _C)) * _B
-    pairs ^= pairs >> _C
-    pairs *= _A
-    # The least of k - 1 neighbours, by doubling.
-    least, width = pairs, 1
-    while 2 * width <= k - 1:
+    least = h[: len(h) - MINIMISER + 1].copy()
+    for i in range(1, MINIMISER):
+        least = (least ^ (least >> _C)) * _A + h[i : len(h) - MINIMISER + 1 + i] * _B
+    least ^= least >> _C
+    least *= _A
+    # The least of k - MINIMISER + 1 neighbours, by doubling.
+    span, width = k - MINIMISER + 1, 1
+    while 2 * width <= span:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
-    if width < k - 1:
-        shift = k - 1 - width
-        least = np.minimum(least[:-shift], least[shift:])
+    if width < span:
+        least = np.minimum(least[: width - span], least[span - width :])
     starts = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
-    ends = np.concatenate((starts[1:], [n]))
+    return least[starts], starts, np.append(starts[1:], len(least))
+
+
+def super_kmers(words: list[bytes], k: int = WINDOW) -> Iterator[tuple[int, int, int, bytes]]:
+    """(minimiser, first window, windows, packed words) of stretches whose windows share a minimiser."""
+    if len(words) < k:
+        return
+    keys, starts, ends = _stretches(words, k)
     packed = b" ".join(words)
     at = np.zeros(len(words) + 1, np.int64)
     np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1, out=at[1:])
-    for key, s, e, i, j in zip(least[starts].view(np.int64).tolist(), starts.tolist(), ends.tolist(), at[starts].tolist(), at[ends + k - 1].tolist(), strict=True):
+    for key, s, e, i, j in zip(keys.tolist(), starts.tolist(), ends.tolist(), at[starts].tolist(), at[ends + k - 1].tolist(), strict=True):
         yield key, s, e - s, packed[i : j - 1]
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text to key, words, places; one row for each distinct string of HELD bytes of text."""
+def _block(keys: np.ndarray, strings: list[bytes], counts: np.ndarray, places: np.ndarray, compress) -> bytes:
+    """Strings of one bucket with their minimisers' first half and their places, column by column."""
+    sizes = np.fromiter(map(len, strings), "<u4", len(strings))
+    head = np.array([len(strings), len(places)], "<u4")
+    columns = [(keys >> _C).astype("<u4"), counts.astype("<u4"), sizes, *(np.ascontiguousarray(places[f]) for f in _PLACE.names)]
+    return compress(head.tobytes() + b"".join(c.tobytes() for c in columns) + b"".join(strings))
+
+
+def _opened(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """keys, counts, sizes, places, strings of a block."""
+    n, m = np.frombuffer(block, "<u4", 2).tolist()
+    keys, counts, sizes = (np.frombuffer(block, "<u4", n, 8 + 4 * n * i) for i in range(3))
+    at, places = 8 + 12 * n, np.zeros(m, _PLACE)
+    for f in _PLACE.names:
+        places[f] = np.frombuffer(block, _PLACE[f], m, at)
+        at += _PLACE[f].itemsize * m
+    return keys, counts, sizes, places, block[at:]
+
+
+def _packed(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """doc_id, text to bucket, block; one block a bucket of each HELD bytes of words."""
     found: dict[bytes, list] = {}
     held = 0
+    compress = zstd.ZstdCompressor(level=3).compress
 
     def rows() -> pa.RecordBatch:
-        keys = pa.array([v[0] for v in found.values()], pa.int64())
+        keys = np.fromiter((v[0] for v in found.values()), np.uint64, len(found))
+        counts = np.fromiter((len(v) - 1 for v in found.values()), np.int64, len(found))
         places = np.array([p for v in found.values() for p in v[1:]], _PLACE)
-        sizes = np.fromiter((len(v) - 1 for v in found.values()), np.int32, len(found))
-        offsets = np.concatenate((np.zeros(1, np.int32), np.cumsum(sizes, dtype=np.int32))) * np.int32(_PLACE.itemsize)
-        packed = pa.Array.from_buffers(pa.binary(), len(found), [None, pa.py_buffer(offsets), pa.py_buffer(places.tobytes())])
-        return pa.RecordBatch.from_arrays([keys, pa.array(list(found), pa.binary()), packed], ["key", "words", "places"])
+        firsts = np.concatenate(([0], np.cumsum(counts)))
+        strings = list(found)
+        bucket = (keys % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        begins = np.concatenate(([0], np.flatnonzero(np.diff(bucket[order])) + 1))
+        blocks = []
+        for own in np.split(order, begins[1:]):
+            take = np.repeat(firsts[own] - np.concatenate(([0], np.cumsum(counts[own])[:-1])), counts[own]) + np.arange(counts[own].sum())
+            blocks.append(_block(keys[own], [strings[i] for i in own.tolist()], counts[own], places[take], compress))
+        return pa.RecordBatch.from_arrays([pa.array(bucket[order][begins]), pa.array(blocks, pa.binary())], ["bucket", "block"])
 
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
@@ -105,7 +139,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 else:
                     have.append((doc_id, mark, start))
             held += sum(map(len, words))
-            if held >= HELD:
+            if held >= HELD and found:
                 yield rows()
                 found.clear()
                 held = 0
@@ -156,10 +190,31 @@ def _repeats(rows: list[tuple[bytes, np.ndarray]], k: int) -> Iterator[tuple[np.
             i = j + 1
 
 
+def _groups(blocks: list[bytes]) -> Iterator[list[tuple[bytes, np.ndarray]]]:
+    """Of one bucket the strings of each minimiser that stands in more than one place."""
+    opened = [_opened(zstd.ZstdDecompressor().decompress(b)) for b in blocks]
+    keys = np.concatenate([o[0] for o in opened])
+    counts = np.concatenate([o[1] for o in opened])
+    block = np.repeat(np.arange(len(opened)), [len(o[0]) for o in opened])
+    ends = np.concatenate([np.cumsum(o[2], dtype=np.int64) for o in opened])
+    sizes = np.concatenate([o[2] for o in opened])
+    last = np.concatenate([np.cumsum(o[1], dtype=np.int64) for o in opened])
+    order = np.argsort(keys, kind="stable")
+    begins = np.concatenate(([0], np.flatnonzero(np.diff(keys[order])) + 1))
+    stops = np.append(begins[1:], len(keys))
+    wanted = (stops - begins > 1) | (counts[order[begins]] > 1)
+    for b, e in zip(begins[wanted].tolist(), stops[wanted].tolist(), strict=True):
+        rows = []
+        for i in order[b:e].tolist():
+            own = opened[block[i]]
+            rows.append((own[4][ends[i] - sizes[i] : ends[i]], own[3][last[i] - counts[i] : last[i]]))
+        yield rows
+
+
 def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key to spans of removed words: doc_id, mark, start, stop."""
+    """Blocks sorted by bucket to spans of removed words: doc_id, mark, start, stop."""
     k = WINDOW
-    key_now, held = None, []
+    bucket_now, held = None, []
     out: list[tuple[np.ndarray, int, int]] = []
 
     def spans() -> pa.RecordBatch:
@@ -167,40 +222,31 @@ def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark = np.concatenate([p["text"] for p, _, _ in out]).view(np.int64)
         start = np.concatenate([p["start"] + i for p, i, _ in out]).astype(np.int32)
         stop = np.concatenate([p["start"] + (j - 1 + k) for p, _, j in out]).astype(np.int32)
+        out.clear()
         return pa.RecordBatch.from_arrays([pa.array(c) for c in (doc, mark, start, stop)], ["doc_id", "mark", "start", "stop"])
 
-    for batch in batches:
-        keys = batch.column("key").to_numpy()
-        n = len(keys)
-        if not n:
-            continue
-        begins = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1))
-        ends = np.concatenate((begins[1:], [n]))
-        sizes = pa.compute.binary_length(batch.column("places")).to_numpy()
-        # A bucket with one string in one place is done; the last one may go on in the next batch.
-        open_ones = (ends - begins > 1) | (sizes[begins] > _PLACE.itemsize)
-        open_ones[0] = open_ones[-1] = True
-        words, places = batch.column("words"), batch.column("places")
-        for b, e in zip(begins[open_ones].tolist(), ends[open_ones].tolist(), strict=True):
-            rows = [(words[i].as_py(), np.frombuffer(places[i].as_py(), _PLACE)) for i in range(b, e)]
-            if keys[b] == key_now:
-                held += rows
-            else:
-                out += _repeats(held, k) if held else ()
-                key_now, held = keys[b], rows
-        if sum(len(p) for p, _, _ in out) > 50_000:
+    def close() -> Iterator[pa.RecordBatch]:
+        for rows in _groups(held) if held else ():
+            out.extend(_repeats(rows, k))
+            if len(out) > 20_000:
+                yield spans()
+        if out:
             yield spans()
-            out = []
-    out += _repeats(held, k) if held else ()
-    if out:
-        yield spans()
+
+    for batch in batches:
+        for bucket, block in zip(batch.column("bucket").to_pylist(), batch.column("block"), strict=True):
+            if bucket != bucket_now:
+                yield from close()
+                bucket_now, held = bucket, []
+            held.append(block.as_py())
+    yield from close()
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, mark, spans: the words of each document that repeat a smaller document's windows."""
-    packed = docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(_packed, "key long, words binary, places binary")
     n = shuffles(docs.sparkSession)
-    dealt = packed.repartition(n, "key").sortWithinPartitions("key")
+    packed = docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(lambda batches: _packed(batches, n * BUCKETS), "bucket int, block binary")
+    dealt = packed.repartition(n, "bucket").sortWithinPartitions("bucket")
     spans = dealt.mapInArrow(_bucketed, "doc_id long, mark long, start int, stop int")
     return written(spans.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "spans")
 
