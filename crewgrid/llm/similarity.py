@@ -7,7 +7,7 @@ n - ceil(0.8 n) + 1 tokens in any common order share one. The order puts
 tokens that many documents have (shared passages) last, so such tokens
 are seldom among the first; only the cost depends on it.
 
-1. Classes, with the tokens that are frequent in some batch of the scan.
+1. Classes, with the tokens that documents of one batch of the scan share.
 2. First tokens meet in their token's list; within a list, sets whose
    sizes can link form a run, tied to one leader. Map tasks combine their
    lists, so a token of many documents is few rows.
@@ -51,8 +51,9 @@ from .common import LOWER, shuffles, table, written
 from .components import components
 
 SHINGLE, SAME, OF = 5, 80, 100
-#: Frequent tokens: at least so many documents of one batch; so many are kept (8 bytes each are sent to every task).
-IN_BATCH, FREQUENT = 8, 1 << 17
+#: Shared tokens: those of IN_BATCH documents of one batch of the scan. What tells them is a bitmap over their hashes' first SHARED_BITS
+#: bits (16 MB, sent to every task); it is kept at most half full by asking for more batches.
+IN_BATCH, SHARED_BITS = 2, 27
 #: Entries of one token's list that are held at once, sets in a block, sets in a group.
 HELD, BLOCK, GROUP = 2_000_000, 3000, 16
 SLOTS, _BITMAP = 1 << 24, 32768
@@ -88,20 +89,17 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return OF * common >= SAME * (len(a) + len(b) - common)
 
 
-def first_tokens(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """So many of the first tokens that two linked sets share one; frequent ones come last."""
+def first_tokens(tokens: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """So many of the first tokens that two linked sets share one; shared ones come last."""
     n = len(tokens)
     take = n - -(-n * SAME // OF) + 1
-    if len(frequent):
-        at = np.searchsorted(frequent, tokens)
-        at[at == len(frequent)] = 0
-        common = frequent[at] == tokens
-        tokens = np.concatenate((tokens[~common], tokens[common]))
-    return tokens[:take]
+    slots = (tokens >> np.uint64(64 - SHARED_BITS)).astype(np.int64)
+    common = (shared[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
+    return np.concatenate((tokens[~common], tokens[common]))[:take]
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n, set (null without shingles) of each row; `frequent`, on the first row of each batch, has the batch's frequent tokens."""
+    """doc_id, n, set (null without shingles) of each row; `shared`, on the first row of each batch, has the slots of the batch's shared tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -113,26 +111,33 @@ def classes(docs: DataFrame) -> DataFrame:
                 if len(tokens):
                     seen[ids[-1]] = tokens
             tokens, counts = np.unique(np.concatenate(list(seen.values())), return_counts=True) if seen else (np.zeros(0, np.uint64), np.zeros(0))
-            often = tokens[counts >= IN_BATCH].view(np.int64)
-            often = [[{"token": int(t), "docs": int(c)} for t, c in zip(often, counts[counts >= IN_BATCH], strict=True)], *[None] * (b.num_rows - 1)]
-            kind = pa.list_(pa.struct([("token", pa.int64()), ("docs", pa.int64())]))
+            slots = np.unique(tokens[counts >= IN_BATCH] >> np.uint64(64 - SHARED_BITS)).astype(np.int32)
+            shared = [slots, *[None] * (b.num_rows - 1)][: b.num_rows]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(often[: b.num_rows], kind)], ["doc_id", "n", "set", "frequent"]
+                [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(shared, pa.list_(pa.int32()))], ["doc_id", "n", "set", "shared"]
             )
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n long, set long, frequent array<struct<token:long,docs:long>>")
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n long, set long, shared array<int>")
 
 
-def _frequent(known: DataFrame) -> np.ndarray:
-    counts = known.where("frequent is not null").select(F.explode("frequent").alias("f")).groupBy("f.token").agg(F.sum("f.docs").alias("docs"))
-    top = counts.orderBy(F.desc("docs"), "token").limit(FREQUENT).select("token").toPandas()["token"].to_numpy(np.int64)
-    return np.sort(top.view(np.uint64))
+def _shared(known: DataFrame) -> np.ndarray:
+    """The bitmap of shared tokens' slots."""
+    counts = written(known.where("shared is not null").select(F.explode("shared").alias("slot")).groupBy("slot").agg(F.count("*").alias("batches")), "slots")
+    # From most batches to least, as many as fill half of the bitmap.
+    sizes = counts.groupBy(F.least("batches", F.lit(1000)).alias("batches")).count().orderBy(F.desc("batches")).collect()
+    filled, least = 0, 1001
+    for r in sizes:
+        filled += r["count"]
+        if filled > 1 << (SHARED_BITS - 1):
+            break
+        least = r.batches
+    return _bits(counts.where(F.col("batches") >= least), F.col("slot").cast("long"), 1 << SHARED_BITS)
 
 
-def _ties(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+def _ties(docs: DataFrame, shared: np.ndarray) -> DataFrame:
     """set, leader: of each run of a token's list, each set and the run's leader."""
     sc = docs.sparkSession.sparkContext
-    common = sc.broadcast(frequent)
+    common = sc.broadcast(shared)
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -227,11 +232,11 @@ def _ties(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     return dealt.mapInArrow(ties, "set long, leader long").distinct()
 
 
-def _bitmap(ids: DataFrame) -> np.ndarray:
-    slots = ids.select(F.pmod(F.xxhash64("set"), F.lit(SLOTS)).alias("slot"))
-    parts = slots.groupBy((F.col("slot") / _BITMAP).cast("int").alias("part")).agg(F.expr(f"bitmap_construct_agg(pmod(slot, {_BITMAP}))").alias("bits"))
-    bits = np.zeros(SLOTS // 8, np.uint8)
-    for r in parts.collect():
+def _bits(rows: DataFrame, slot, size: int) -> np.ndarray:
+    """A bitmap of the rows' slots, put together from parts of 4 KB."""
+    parts = rows.select(slot.alias("slot")).groupBy((F.col("slot") / _BITMAP).cast("int").alias("part")).agg(F.expr(f"bitmap_construct_agg(pmod(slot, {_BITMAP}))").alias("bits"))
+    bits = np.zeros(size // 8, np.uint8)
+    for r in parts.toLocalIterator():
         bits[r.part * _BITMAP // 8 : (r.part + 1) * _BITMAP // 8] = np.frombuffer(r.bits, np.uint8)
     return bits
 
@@ -240,8 +245,7 @@ def _texts(docs: DataFrame, known: DataFrame, wanted: DataFrame) -> DataFrame:
     """set, text: one text of each wanted set. `known` tells the scan nothing; sets are hashed anew and looked up in a bitmap."""
     spark = docs.sparkSession
     ids = known.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("doc_id")).join(wanted, "set")
-    chosen = ids.select(F.col("doc_id").alias("set"))
-    bits = spark.sparkContext.broadcast(_bitmap(chosen))
+    bits = spark.sparkContext.broadcast(_bits(ids, F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)), SLOTS))
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "text").withColumn("slot", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)), F.lit(0)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,7 +362,7 @@ def _searched(members: DataFrame, texts: DataFrame) -> DataFrame:
 def _named(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows' classes, and of each class its root and component_id."""
     known = written(classes(docs), "classes")
-    ties = written(_ties(docs, _frequent(known)), "ties")
+    ties = written(_ties(docs, _shared(known)), "ties")
     wanted = written(ties.select("set").unionByName(ties.select(F.col("leader").alias("set"))).distinct(), "wanted")
     texts = _texts(docs, known, wanted)
     stars = written(_verified(ties, texts), "links")
