@@ -55,7 +55,7 @@ SHINGLE, SAME, OF = 5, 80, 100
 #: bits (16 MB, sent to every task); it is kept at most half full by asking for more batches.
 IN_BATCH, SHARED_BITS = 2, 27
 #: Entries of one token's list that are held at once, sets in a block, sets in a group.
-HELD, BLOCK, GROUP = 2_000_000, 3000, 16
+HELD, BLOCK, GROUP = 2_000_000, 500, 16
 SLOTS, _BITMAP = 1 << 24, 32768
 _A = np.uint64(0x9E3779B97F4A7C15)
 _ENTRY = np.dtype([("set", "<i8"), ("n", "<i4")])
