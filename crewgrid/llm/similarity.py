@@ -182,11 +182,13 @@ def _ties(docs: DataFrame, shared: np.ndarray) -> DataFrame:
         def close() -> int:
             """Turn what is held into ties; the number of ties that wait."""
             added = 0
+            if not held:  # also where a list ended with the piece that was too much to hold
+                return added
             if leader is not None:
                 part = np.concatenate(held)["set"]
                 out.append(np.stack([part, np.full(len(part), leader)], 1))
                 added = len(part)
-            elif held:
+            else:
                 for part, first in runs(np.concatenate(held)):
                     out.append(np.stack([part, np.full(len(part), first)], 1))
                     added += len(part)

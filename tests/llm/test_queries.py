@@ -87,6 +87,24 @@ def test_jaccard_join_in_small_blocks_and_lists(docs, plain, monkeypatch):
     assert rows(similarity.similar(docs)) == brute_components(plain)
 
 
+@pytest.mark.parametrize(("sets", "batch"), [(5, 1), (7, 1), (10, 1), (7, 10_000)])
+def test_lists_too_long_to_hold_are_tied_whole(spark, monkeypatch, sets, batch):
+    """A list that ends with the piece that is too much, one that goes on in later batches, one that ends with a second such piece, one in a single batch."""
+    monkeypatch.setattr(similarity, "HELD", 4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        near = [" ".join([*words(5, 100, 5000), f"end{i}"]) for i in range(sets)]
+        docs = spark.createDataFrame(list(enumerate(near)), "doc_id long, text string").coalesce(1)
+        ties = similarity._ties(docs, np.zeros(1 << (similarity.SHARED_BITS - 3), np.uint8)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    reached, more = set(), {similarity.set_id(similarity.shingles(near[0]))}
+    while more:
+        reached |= more
+        more = {x for t in ties if {t["set"], t["leader"]} & reached for x in (t["set"], t["leader"])} - reached
+    assert reached == {similarity.set_id(similarity.shingles(t)) for t in near}
+
+
 def test_representatives(docs, plain):
     out = similarity.representatives(docs)
     assert out.columns == docs.columns
