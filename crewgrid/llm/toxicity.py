@@ -16,7 +16,8 @@ whole documents the two dictionaries share nearly all their content and the
 gain is noise (AUC 0.6 to 0.7).
 
 Training reads at most `max_toxic` and `max_ordinary` labelled documents (a
-bounded sample, in hash order); scoring reads every text, whole.
+bounded sample, in hash order), whole, in the executors; scoring reads every
+text, whole.
 
 Nulls and odd input: a null or empty text has no gain and gets the lowest
 score. A null doc_id is never held out and never used to train. Labels that
@@ -28,20 +29,21 @@ Equal texts have equal scores. Extra columns are dropped.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import ALNUM, fold, table
+from .common import ALNUM, fold, table, written
 
 WINDOW, GRAM = 8, 5
 ORDINARY_BYTES, TOXIC_BYTES = 4096, 4096
-MAX_TOXIC, MAX_ORDINARY, SAMPLE_CHARS = 2500, 10_000, 20_000
+MAX_TOXIC, MAX_ORDINARY = 2500, 10_000
 THRESHOLD = 0.7
 #: A run of letters is toxic if at least this share of toxic documents has it, and of ordinary ones at most RATIO times that.
 MIN_SHARE, MIN_DOCS, RATIO = 0.006, 3, 0.006
@@ -113,54 +115,129 @@ def _trained(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
+class _Here:
+    """Training texts in memory; the second of every four of a class calibrates, the others build the dictionaries."""
+
+    def __init__(self, toxic: list[str], ordinary: list[str], window: int):
+        self.cut = {y: [windows(x, window) for x in texts] for y, texts in ((1, toxic), (0, ordinary))}
+
+    def _building(self, y: int) -> list[list[bytes]]:
+        return [x for i, x in enumerate(self.cut[y]) if i % 4 != 1]
+
+    def sizes(self) -> tuple[int, int, int, int]:
+        """Texts that build, toxic and ordinary, and all of them."""
+        return len(self._building(1)), len(self._building(0)), len(self.cut[1]), len(self.cut[0])
+
+    def counts(self, y: int, found: Callable[[list[bytes]], Iterable[bytes]], least: float = 0) -> Counter:
+        """What is found in the texts that build, with how often, where that is at least `least`."""
+        out: Counter = Counter()
+        for x in self._building(y):
+            out.update(found(x))
+        return Counter({k: n for k, n in out.items() if n >= least})
+
+    def ordinary(self, n: int) -> list[bytes]:
+        """Windows of ordinary texts that build, at most n."""
+        return [w for x in self._building(0) for w in x][:n]
+
+    def gains(self, model: Model) -> list[tuple[int, float]]:
+        """Class and gain of each text that calibrates."""
+        p, q = model.compressors()
+        return [(y, gains(x, p, q)) for y in (1, 0) for x in self.cut[y][1::4]]
+
+
+class _Stored:
+    """The same over rows (toxic, place in its class, text): executors read the texts, whole; counts and gains come to the driver."""
+
+    def __init__(self, rows: DataFrame, window: int):
+        self.building, self.held, self.window = rows.where("place % 4 <> 1"), rows.where("place % 4 = 1"), window
+
+    def sizes(self) -> tuple[int, int, int, int]:
+        n = {(r.toxic, part): r["count"] for part, rows in enumerate((self.building, self.held)) for r in rows.groupBy("toxic").count().collect()}
+        t, o = n.get((1, 0), 0), n.get((0, 0), 0)
+        return t, o, t + n.get((1, 1), 0), o + n.get((0, 1), 0)
+
+    def counts(self, y: int, found: Callable[[list[bytes]], Iterable[bytes]], least: float = 0) -> Counter:
+        window = self.window
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                out: Counter = Counter()
+                for text in b.column("text"):
+                    out.update(found(windows(text.as_py(), window)))
+                yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.int64())], ["part", "n"])
+
+        rows = self.building.where(F.col("toxic") == y).select("text").mapInArrow(run, "part binary, n long").groupBy("part").agg(F.sum("n").alias("n"))
+        return Counter({bytes(r.part): r.n for r in rows.where(F.col("n") >= float(least)).collect()})
+
+    def ordinary(self, n: int) -> list[bytes]:
+        window = self.window
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([b.column("place"), pa.array([windows(t.as_py(), window)[:n] for t in b.column("text")], pa.list_(pa.binary()))], ["place", "ws"])
+
+        out: list[bytes] = []
+        for r in self.building.where("toxic = 0").select("place", "text").mapInArrow(run, "place int, ws array<binary>").orderBy("place").toLocalIterator():
+            out += map(bytes, r.ws)
+            if len(out) >= n:
+                break
+        return out[:n]
+
+    def gains(self, model: Model) -> list[tuple[int, float]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            p, q = model.compressors()
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array([gains(windows(t.as_py(), model.window), p, q) for t in b.column("text")], pa.float64())], ["toxic", "gain"])
+
+        return [(r.toxic, r.gain) for r in self.held.select("toxic", "text").mapInArrow(run, "toxic int, gain double").collect()]
+
+
 def train(toxic: list[str], ordinary: list[str], window: int = WINDOW) -> Model:
     """Half of each builds the dictionaries, all calibrate; the other half keeps the table honest, so it alone sets scores where it has rows."""
-    base = len(toxic) / max(1, len(toxic) + len(ordinary))
-    t, o = [windows(x, window) for x in toxic], [windows(x, window) for x in ordinary]
-    held_t, held_o = t[1::4], o[1::4]
-    t, o = [x for i, x in enumerate(t) if i % 4 != 1], [x for i, x in enumerate(o) if i % 4 != 1]
-    if not t or not o:
+    return _trained_on(_Here(toxic, ordinary, window), window)
+
+
+def _trained_on(texts: _Here | _Stored, window: int) -> Model:
+    n_t, n_o, all_t, all_o = texts.sizes()
+    base = all_t / max(1, all_t + all_o)
+    if not n_t or not n_o:
         return Model(b"", b"", window, (float("-inf"),), (base,))
-    seen: Counter = Counter()
-    for x in t:
-        seen.update(_grams(x))
-    common = {g for g, n in seen.items() if n >= max(MIN_DOCS, MIN_SHARE * len(t))}
-    plain: Counter = Counter()
-    for x in o:
-        plain.update(_grams(x) & common)
-    chosen = {g for g in common if plain[g] / len(o) <= RATIO * seen[g] / len(t)}
-    runs: Counter = Counter()
-    for x in t:
-        runs.update(_runs(x, chosen))
+    seen = texts.counts(1, _grams, max(MIN_DOCS, MIN_SHARE * n_t))
+    common = set(seen)
+    plain = texts.counts(0, lambda ws: _grams(ws) & common)
+    chosen = {g for g in common if plain[g] / n_o <= RATIO * seen[g] / n_t}
+    runs = texts.counts(1, lambda ws: _runs(ws, chosen))
     samples = [r for r, _ in sorted(runs.items(), key=lambda r: (r[1], r[0]))]
     part = b"\0".join(samples)
     part = part if len(part) <= TOXIC_BYTES else _trained([r for r in samples for _ in range(min(runs[r], 50))], TOXIC_BYTES)
-    content = _trained([w for x in o for w in x][:40_000], ORDINARY_BYTES)
+    content = _trained(texts.ordinary(40_000), ORDINARY_BYTES)
     model = Model(content, part, window, (float("-inf"),), (base,))
-    p, q = model.compressors()
-    g = np.array([gains(x, p, q) for x in held_t + held_o])
-    y = np.array([1.0] * len(held_t) + [0.0] * len(held_o))
+    held = texts.gains(model)
+    y, g = np.array([y for y, _ in held]), np.array([x for _, x in held])
     # Each gain's share of toxic rows with that much (sampled classes weighted to be even), made to rise.
     cuts, shares = [float("-inf")], []
-    weight = np.where(y > 0, 0.5 / max(1, len(held_t)), 0.5 / max(1, len(held_o)))
+    of_t, of_o = 0.5 / max(1, all_t - n_t), 0.5 / max(1, all_o - n_o)
     levels = [0.0, 1.0, 2.0, 3.0, 4.0, 6.0, 9.0, 14.0, 25.0]
     for low, high in zip([-1.0, *levels[1:]], [*levels[1:], float("inf")], strict=True):
         at = (g >= low) & (g < high)
+        t, o = of_t * int((at & (y > 0)).sum()), of_o * int((at & (y == 0)).sum())
         # A prior of a hundredth of a class for either side.
-        shares.append(float((weight[at & (y > 0)].sum() + 0.0005) / (weight[at].sum() + 0.001)))
+        shares.append((t + 0.0005) / (t + o + 0.001))
     cuts += levels[1:]
     return Model(content, part, window, tuple(cuts), tuple(float(s) for s in np.maximum.accumulate(shares)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable, max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY) -> Model:
     """labels: doc_id, toxic; usable: a condition on doc_id. Samples are the first of each class in the order of a hash."""
-    known = labels.where("doc_id is not null and toxic is not null").where(usable).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = labels.where("doc_id is not null and toxic is not null").where(usable).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     wanted = known.where("toxic = 1").orderBy(*order).limit(max_toxic).unionByName(known.where("toxic = 0").orderBy(*order).limit(max_ordinary))
     # At most max_toxic + max_ordinary ids, so they are sent to the scan.
-    rows = docs.join(F.broadcast(wanted), "doc_id").select("doc_id", "toxic", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
-    rows = sorted({(r.doc_id, r.toxic, r.text or "") for r in rows})
-    return train([x for _, y, x in rows if y == 1], [x for _, y, x in rows if y == 0])
+    rows = docs.join(F.broadcast(wanted), "doc_id").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
+    rows = written(rows.withColumn("mark", F.xxhash64("text")), "labelled")
+    places = rows.select("doc_id", "toxic", "mark").distinct().withColumn("place", F.row_number().over(W.partitionBy("toxic").orderBy("doc_id", "mark")) - 1)
+    sample = rows.dropDuplicates(["doc_id", "mark"]).join(places.drop("toxic"), ["doc_id", "mark"]).select("toxic", "place", "text")
+    return _trained_on(_Stored(written(sample, "sample"), WINDOW), WINDOW)
 
 
 def toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

@@ -348,3 +348,16 @@ def test_toxicity(docs, plain, nothing, spark):
     assert len(out) == len(plain) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in out)
     assert {r.score for r in toxicity.toxicity(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string"), m).collect()} == {min(m.scores)}
     assert toxicity.toxicity(nothing, m).count() == 0
+
+
+def test_toxicity_trains_on_whole_texts(spark):
+    """Toxic words past the first 20,000 characters teach the dictionary, and long clean texts calibrate with all their gain."""
+    prose = lambda s, n: " ".join(words(s, n, 300))
+    toxic = [(i, f"{prose(i, 6000)} zkruggolib qvompfander {prose(i + 500, 20)}") for i in range(40)]
+    clean = [(i, prose(i, 6000 if i % 4 == 0 else 60)) for i in range(100, 200)]
+    assert all(t.index("zkruggolib") > 20_000 for _, t in toxic)
+    docs = spark.createDataFrame(toxic + clean, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in toxic + clean], "doc_id long, toxic int")
+    m = toxicity.fit(docs, labels, F.lit(True))
+    assert m == toxicity.train([t for _, t in toxic], [t for _, t in clean])
+    assert all(r.predicted == int(r.doc_id < 100) for r in toxicity.toxicity(docs, m).collect())
