@@ -17,7 +17,9 @@ gain is noise (AUC 0.6 to 0.7).
 
 Training reads at most `max_toxic` and `max_ordinary` labelled documents (a
 bounded sample, in hash order), whole, in the executors; scoring reads every
-text, whole.
+text, whole. The ordinary part is trained on at most `max_windows` windows:
+where there are more, each sampled document gives equally many, evenly spaced
+over its text, or all it has if it has fewer.
 
 Nulls and odd input: a null or empty text has no gain and gets the lowest
 score. A null doc_id is never held out and never used to train. Labels that
@@ -34,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -43,7 +46,7 @@ from .common import ALNUM, fold, table, written
 
 WINDOW, GRAM = 8, 5
 ORDINARY_BYTES, TOXIC_BYTES = 4096, 4096
-MAX_TOXIC, MAX_ORDINARY = 2500, 10_000
+MAX_TOXIC, MAX_ORDINARY, MAX_WINDOWS = 2500, 10_000, 40_000
 THRESHOLD = 0.7
 #: A run of letters is toxic if at least this share of toxic documents has it, and of ordinary ones at most RATIO times that.
 MIN_SHARE, MIN_DOCS, RATIO = 0.006, 3, 0.006
@@ -115,6 +118,23 @@ def _trained(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
+def _quota(sizes: Counter, n: int) -> int:
+    """The most windows that each text may give so that texts of these numbers of windows give at most n (but one each)."""
+    low, high = 1, max(sizes, default=1) + 1
+    while high - low > 1:
+        at = (low + high) // 2
+        low, high = (at, high) if sum(min(k, at) * c for k, c in sizes.items()) <= n else (low, at)
+    return low
+
+
+def _spread(ws: list[bytes], most: int) -> list[bytes]:
+    return ws if len(ws) <= most else [ws[i * len(ws) // most] for i in range(most)]
+
+
+def _mark(ws: list[bytes]) -> int:
+    return xxhash.xxh3_64_intdigest(b"".join(ws)) >> 1
+
+
 class _Here:
     """Training texts in memory; the second of every four of a class calibrates, the others build the dictionaries."""
 
@@ -136,8 +156,9 @@ class _Here:
         return Counter({k: n for k, n in out.items() if n >= least})
 
     def ordinary(self, n: int) -> list[bytes]:
-        """Windows of ordinary texts that build, at most n."""
-        return [w for x in self._building(0) for w in x][:n]
+        """Windows of all ordinary texts that build, in the order of a hash, at most n."""
+        most = _quota(Counter(map(len, self._building(0))), n)
+        return [w for x in sorted(self._building(0), key=_mark) for w in _spread(x, most)][:n]
 
     def gains(self, model: Model) -> list[tuple[int, float]]:
         """Class and gain of each text that calibrates."""
@@ -171,17 +192,16 @@ class _Stored:
 
     def ordinary(self, n: int) -> list[bytes]:
         window = self.window
+        most = _quota(Counter({int(k): c for k, c in self.counts(0, lambda ws: [b"%d" % len(ws)]).items()}), n)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                yield pa.RecordBatch.from_arrays([b.column("place"), pa.array([windows(t.as_py(), window)[:n] for t in b.column("text")], pa.list_(pa.binary()))], ["place", "ws"])
+                cut = [windows(t.as_py(), window) for t in b.column("text")]
+                yield pa.RecordBatch.from_arrays([pa.array(map(_mark, cut), pa.int64()), pa.array([_spread(x, most) for x in cut], pa.list_(pa.binary()))], ["mark", "ws"])
 
-        out: list[bytes] = []
-        for r in self.building.where("toxic = 0").select("place", "text").mapInArrow(run, "place int, ws array<binary>").orderBy("place").toLocalIterator():
-            out += map(bytes, r.ws)
-            if len(out) >= n:
-                break
-        return out[:n]
+        # Each text with windows gives one at least, so n rows hold all that is wanted.
+        rows = self.building.where("toxic = 0").select("text").mapInArrow(run, "mark long, ws array<binary>").where("size(ws) > 0").orderBy("mark").limit(n).collect()
+        return [bytes(w) for r in rows for w in r.ws][:n]
 
     def gains(self, model: Model) -> list[tuple[int, float]]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,12 +212,12 @@ class _Stored:
         return [(r.toxic, r.gain) for r in self.held.select("toxic", "text").mapInArrow(run, "toxic int, gain double").collect()]
 
 
-def train(toxic: list[str], ordinary: list[str], window: int = WINDOW) -> Model:
+def train(toxic: list[str], ordinary: list[str], window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> Model:
     """Half of each builds the dictionaries, all calibrate; the other half keeps the table honest, so it alone sets scores where it has rows."""
-    return _trained_on(_Here(toxic, ordinary, window), window)
+    return _trained_on(_Here(toxic, ordinary, window), window, max_windows)
 
 
-def _trained_on(texts: _Here | _Stored, window: int) -> Model:
+def _trained_on(texts: _Here | _Stored, window: int, max_windows: int) -> Model:
     n_t, n_o, all_t, all_o = texts.sizes()
     base = all_t / max(1, all_t + all_o)
     if not n_t or not n_o:
@@ -210,7 +230,7 @@ def _trained_on(texts: _Here | _Stored, window: int) -> Model:
     samples = [r for r, _ in sorted(runs.items(), key=lambda r: (r[1], r[0]))]
     part = b"\0".join(samples)
     part = part if len(part) <= TOXIC_BYTES else _trained([r for r in samples for _ in range(min(runs[r], 50))], TOXIC_BYTES)
-    content = _trained(texts.ordinary(40_000), ORDINARY_BYTES)
+    content = _trained(texts.ordinary(max_windows), ORDINARY_BYTES)
     model = Model(content, part, window, (float("-inf"),), (base,))
     held = texts.gains(model)
     y, g = np.array([y for y, _ in held]), np.array([x for _, x in held])
@@ -227,7 +247,7 @@ def _trained_on(texts: _Here | _Stored, window: int) -> Model:
     return Model(content, part, window, tuple(cuts), tuple(float(s) for s in np.maximum.accumulate(shares)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, usable, max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, usable, max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY, max_windows: int = MAX_WINDOWS) -> Model:
     """labels: doc_id, toxic; usable: a condition on doc_id. Samples are the first of each class in the order of a hash."""
     known = labels.where("doc_id is not null and toxic is not null").where(usable).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -237,7 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable, max_toxic: int = MAX_TOXIC,
     rows = written(rows.withColumn("mark", F.xxhash64("text")), "labelled")
     places = rows.select("doc_id", "toxic", "mark").distinct().withColumn("place", F.row_number().over(W.partitionBy("toxic").orderBy("doc_id", "mark")) - 1)
     sample = rows.dropDuplicates(["doc_id", "mark"]).join(places.drop("toxic"), ["doc_id", "mark"]).select("toxic", "place", "text")
-    return _trained_on(_Stored(written(sample, "sample"), WINDOW), WINDOW)
+    return _trained_on(_Stored(written(sample, "sample"), WINDOW), WINDOW, max_windows)
 
 
 def toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

@@ -360,4 +360,5 @@ def test_toxicity_trains_on_whole_texts(spark):
     labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in toxic + clean], "doc_id long, toxic int")
     m = toxicity.fit(docs, labels, F.lit(True))
     assert m == toxicity.train([t for _, t in toxic], [t for _, t in clean])
+    assert toxicity.fit(docs, labels, F.lit(True), max_windows=500) == toxicity.train([t for _, t in toxic], [t for _, t in clean], max_windows=500)
     assert all(r.predicted == int(r.doc_id < 100) for r in toxicity.toxicity(docs, m).collect())

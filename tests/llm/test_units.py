@@ -234,6 +234,20 @@ def test_compression_distance_tells_toxic_words():
     assert score("") == score(None) == min(m.scores)
 
 
+@pytest.mark.parametrize("n", [10, 75, 200, 10_000])
+def test_ordinary_windows_come_from_all_documents(n):
+    """Of 75 ordinary documents that build, all give windows while there is room for one each, long ones equally many."""
+    texts = [" ".join(f"d{i}w{j}" for j in range(8 * (1 + i % 10))) for i in range(100)]
+    got = toxicity._Here([], texts, 8).ordinary(n)
+    by = {w.split()[0].split(b"w")[0]: 0 for w in got}
+    for w in got:
+        by[w.split()[0].split(b"w")[0]] += 1
+    assert len(by) == min(n, 75) and len(got) <= n
+    most = max(by.values())
+    assert all(by[b"d%d" % i] == min(1 + i % 10, most) for i in range(100) if b"d%d" % i in by)
+    assert n < 10_000 or len(got) == sum(1 + i % 10 for i in range(100) if i % 4 != 1)
+
+
 def test_toxicity_without_training_rows():
     assert toxicity.train([], ["a"]).scores == (0.0,) and toxicity.train([], []).scores == (0.0,) and toxicity.train(["x"], []).scores == (1.0,)
 
