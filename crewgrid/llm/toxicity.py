@@ -4,8 +4,9 @@ Two zstandard dictionaries are trained, on ordinary and on toxic text. A
 text is cut into windows of `window` words and every window is compressed
 with both; a window is toxic as far as the toxic dictionary makes it shorter.
 The sum of these gains, and the best, go through calibrated thresholds: a
-monotone table from gain to the share of toxic documents, fitted on
-training rows that the dictionaries did not see.
+monotone table each, from gain to the share of toxic documents, fitted on
+training rows that the dictionaries did not see. The score is the lesser of the
+two shares, so that single bytes over many windows of a long text are not enough.
 
 What makes the distance sharp: both dictionaries hold the same ordinary
 part (trained by zstandard's COVER from windows of ordinary documents) and
@@ -86,15 +87,17 @@ class Model:
     ordinary: bytes
     toxic: bytes
     window: int
-    #: Calibration: for a gain of at least gains[i], the score scores[i].
+    #: Calibration: for a gain of at least gains[i], the share scores[i] by the sum and bests[i] by the best window.
     gains: tuple[float, ...]
     scores: tuple[float, ...]
+    bests: tuple[float, ...]
 
     def compressors(self) -> tuple[zstd.ZstdCompressor, zstd.ZstdCompressor]:
         return _compressor(self.ordinary + b"\1" * len(self.toxic)), _compressor(self.ordinary + self.toxic)
 
-    def score(self, gain: float) -> float:
-        return self.scores[int(np.searchsorted(self.gains, gain, "right")) - 1]
+    def score(self, gain: tuple[float, float]) -> float:
+        total, best = (int(np.searchsorted(self.gains, g, "right")) - 1 for g in gain)
+        return min(self.scores[total], self.bests[best])
 
 
 def _compressor(content: bytes) -> zstd.ZstdCompressor:
@@ -105,9 +108,10 @@ def _compressor(content: bytes) -> zstd.ZstdCompressor:
     return zstd.ZstdCompressor(dict_data=zstd.ZstdCompressionDict(content, dict_type=zstd.DICT_TYPE_RAWCONTENT), compression_params=params)
 
 
-def gains(ws: list[bytes], plain: zstd.ZstdCompressor, toxic: zstd.ZstdCompressor) -> float:
-    """The bytes that the toxic dictionary saves, over all windows where it saves any."""
-    return float(sum(d for w in ws if (d := len(plain.compress(w)) - len(toxic.compress(w))) > 0))
+def gains(ws: list[bytes], plain: zstd.ZstdCompressor, toxic: zstd.ZstdCompressor) -> tuple[float, float]:
+    """The bytes that the toxic dictionary saves: over all windows where it saves any, and in the best one."""
+    saved = [d for w in ws if (d := len(plain.compress(w)) - len(toxic.compress(w))) > 0]
+    return float(sum(saved)), float(max(saved, default=0))
 
 
 def _trained(samples: list[bytes], size: int) -> bytes:
@@ -160,10 +164,10 @@ class _Here:
         most = _quota(Counter(map(len, self._building(0))), n)
         return [w for x in sorted(self._building(0), key=_mark) for w in _spread(x, most)][:n]
 
-    def gains(self, model: Model) -> list[tuple[int, float]]:
-        """Class and gain of each text that calibrates."""
+    def gains(self, model: Model) -> list[tuple[int, float, float]]:
+        """Class, gain and best gain of each text that calibrates."""
         p, q = model.compressors()
-        return [(y, gains(x, p, q)) for y in (1, 0) for x in self.cut[y][1::4]]
+        return [(y, *gains(x, p, q)) for y in (1, 0) for x in self.cut[y][1::4]]
 
 
 class _Stored:
@@ -203,17 +207,19 @@ class _Stored:
         rows = self.building.where("toxic = 0").select("text").mapInArrow(run, "mark long, ws array<binary>").where("size(ws) > 0").orderBy("mark").limit(n).collect()
         return [bytes(w) for r in rows for w in r.ws][:n]
 
-    def gains(self, model: Model) -> list[tuple[int, float]]:
+    def gains(self, model: Model) -> list[tuple[int, float, float]]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             p, q = model.compressors()
             for b in batches:
-                yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array([gains(windows(t.as_py(), model.window), p, q) for t in b.column("text")], pa.float64())], ["toxic", "gain"])
+                g = [gains(windows(t.as_py(), model.window), p, q) for t in b.column("text")]
+                columns = [pa.array([x[i] for x in g], pa.float64()) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([b.column("toxic"), *columns], ["toxic", "gain", "best"])
 
-        return [(r.toxic, r.gain) for r in self.held.select("toxic", "text").mapInArrow(run, "toxic int, gain double").collect()]
+        return [tuple(r) for r in self.held.select("toxic", "text").mapInArrow(run, "toxic int, gain double, best double").collect()]
 
 
 def train(toxic: list[str], ordinary: list[str], window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> Model:
-    """Half of each builds the dictionaries, all calibrate; the other half keeps the table honest, so it alone sets scores where it has rows."""
+    """Three quarters of each class build the dictionaries; the other quarter, which they did not see, calibrates."""
     return _trained_on(_Here(toxic, ordinary, window), window, max_windows)
 
 
@@ -221,7 +227,7 @@ def _trained_on(texts: _Here | _Stored, window: int, max_windows: int) -> Model:
     n_t, n_o, all_t, all_o = texts.sizes()
     base = all_t / max(1, all_t + all_o)
     if not n_t or not n_o:
-        return Model(b"", b"", window, (float("-inf"),), (base,))
+        return Model(b"", b"", window, (float("-inf"),), (base,), (base,))
     seen = texts.counts(1, _grams, max(MIN_DOCS, MIN_SHARE * n_t))
     common = set(seen)
     plain = texts.counts(0, lambda ws: _grams(ws) & common)
@@ -231,20 +237,23 @@ def _trained_on(texts: _Here | _Stored, window: int, max_windows: int) -> Model:
     part = b"\0".join(samples)
     part = part if len(part) <= TOXIC_BYTES else _trained([r for r in samples for _ in range(min(runs[r], 50))], TOXIC_BYTES)
     content = _trained(texts.ordinary(max_windows), ORDINARY_BYTES)
-    model = Model(content, part, window, (float("-inf"),), (base,))
-    held = texts.gains(model)
-    y, g = np.array([y for y, _ in held]), np.array([x for _, x in held])
-    # Each gain's share of toxic rows with that much (sampled classes weighted to be even), made to rise.
-    cuts, shares = [float("-inf")], []
-    of_t, of_o = 0.5 / max(1, all_t - n_t), 0.5 / max(1, all_o - n_o)
     levels = [0.0, 1.0, 2.0, 3.0, 4.0, 6.0, 9.0, 14.0, 25.0]
-    for low, high in zip([-1.0, *levels[1:]], [*levels[1:], float("inf")], strict=True):
-        at = (g >= low) & (g < high)
-        t, o = of_t * int((at & (y > 0)).sum()), of_o * int((at & (y == 0)).sum())
-        # A prior of a hundredth of a class for either side.
-        shares.append((t + 0.0005) / (t + o + 0.001))
-    cuts += levels[1:]
-    return Model(content, part, window, tuple(cuts), tuple(float(s) for s in np.maximum.accumulate(shares)))
+    cuts = (float("-inf"), *levels[1:])
+    held = texts.gains(Model(content, part, window, (float("-inf"),), (base,), (base,)))
+    y = np.array([x[0] for x in held])
+    of_t, of_o = 0.5 / max(1, all_t - n_t), 0.5 / max(1, all_o - n_o)
+
+    def shares(g: np.ndarray) -> tuple[float, ...]:
+        """Each gain's share of toxic rows with that much (sampled classes weighted to be even), made to rise."""
+        out = []
+        for low, high in zip([-1.0, *levels[1:]], [*levels[1:], float("inf")], strict=True):
+            at = (g >= low) & (g < high)
+            t, o = of_t * int((at & (y > 0)).sum()), of_o * int((at & (y == 0)).sum())
+            # A prior of a hundredth of a class for either side.
+            out.append((t + 0.0005) / (t + o + 0.001))
+        return tuple(float(x) for x in np.maximum.accumulate(out))
+
+    return Model(content, part, window, cuts, *(shares(np.array([x[i] for x in held])) for i in (1, 2)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable, max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY, max_windows: int = MAX_WINDOWS) -> Model:
@@ -266,10 +275,10 @@ def toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain, toxic = model.compressors()
         for batch in batches:
-            g = [gains(windows(t.as_py(), model.window), plain, toxic) if model.toxic else 0.0 for t in batch.column("text")]
+            g = [gains(windows(t.as_py(), model.window), plain, toxic) if model.toxic else (0.0, 0.0) for t in batch.column("text")]
             s = [model.score(x) for x in g]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(s, pa.float64()), pa.array([int(x >= threshold) for x in s], pa.int32()), pa.array(g, pa.float64())],
+                [batch.column("doc_id"), pa.array(s, pa.float64()), pa.array([int(x >= threshold) for x in s], pa.int32()), pa.array([x for x, _ in g], pa.float64())],
                 ["doc_id", "score", "predicted", "gain"],
             )
 

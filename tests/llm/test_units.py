@@ -234,6 +234,17 @@ def test_compression_distance_tells_toxic_words():
     assert score("") == score(None) == min(m.scores)
 
 
+def test_single_bytes_over_a_long_text_are_not_toxic():
+    r = np.random.default_rng(0)
+    common = ["".join(r.choice(list("aeinorst"), n)) for n in (2, 3, 3, 4, 4, 5, 5, 6, 7, 8) * 4]
+    prose = lambda n: " ".join(r.choice(common, n))
+    m = toxicity.train([f"{prose(60)} zkruggolib {prose(60)} qvompfander {prose(5)}" for _ in range(80)], [prose(120) for _ in range(250)])
+    ws = toxicity.windows(f"{prose(800)} zkruggolib {prose(30)} qvompfander", m.window)
+    each = [toxicity.gains([w], *m.compressors())[0] for w in ws]
+    assert toxicity.gains(ws, *m.compressors()) == (sum(each), max(each)) and m.score((sum(each), max(each))) >= 0.7
+    assert m.score((1000.0, 2.0)) < 0.7 and m.score((1000.0, 2.0)) < m.score((1000.0, 11.0))
+
+
 @pytest.mark.parametrize("n", [10, 75, 200, 10_000])
 def test_ordinary_windows_come_from_all_documents(n):
     """Of 75 ordinary documents that build, all give windows while there is room for one each, long ones equally many."""
