@@ -40,7 +40,7 @@ def split_rule(rule: str) -> tuple[str, str]:
 
 
 def with_rules(pages: DataFrame, rules) -> DataFrame:
-    """Adds rule and rule_verdict: of the rules that fit, the longest."""
+    """Adds rule and rule_verdict: of the rules that fit, the longest; of equally long ones, the last in the list."""
     if len(rules) <= INLINE_RULES:
         found = [F.lit(None).cast("string")]
         said = [F.lit(None).cast("string")]
@@ -50,12 +50,12 @@ def with_rules(pages: DataFrame, rules) -> DataFrame:
             found.append(F.when(fits, F.lit(rule)))
             said.append(F.when(fits, F.lit(verdict)))
         return pages.withColumns({"rule": F.coalesce(*found[::-1]), "rule_verdict": F.coalesce(*said[::-1])})
-    listed = pages.sparkSession.createDataFrame([(*split_rule(r), r, v) for v, r in rules], "r_host string, r_path string, rule string, rule_verdict string")
+    listed = pages.sparkSession.createDataFrame([(*split_rule(r), r, v, i) for i, (v, r) in enumerate(rules)], "r_host string, r_path string, rule string, rule_verdict string, place long")
     places = pages.select("host", "path").distinct()
     suffixes = F.expr("transform(sequence(1, size(split(host, '[.]'))), i -> array_join(slice(split(host, '[.]'), i, 1 + size(split(host, '[.]')) - i), '.'))")
     best = (
         places.withColumn("r_host", F.explode(suffixes)).join(listed, "r_host").where(F.expr("startswith(path, r_path)"))
-        .groupBy("host", "path").agg(F.max_by(F.struct("rule", "rule_verdict"), F.struct(F.length("rule"), "rule")).alias("b"))
+        .groupBy("host", "path").agg(F.max_by(F.struct("rule", "rule_verdict"), F.struct(F.length("rule"), "place")).alias("b"))
         .select("host", "path", "b.rule", "b.rule_verdict")
     )
     return pages.join(best, ["host", "path"], "left")

@@ -312,6 +312,14 @@ def test_many_rules_are_joined(spark, monkeypatch):
     assert rows(urls.with_rules(p, urls.RULES).select("page_id", "rule", "rule_verdict")) == short
 
 
+@pytest.mark.parametrize("inline", [0, 256])
+def test_of_equally_long_rules_the_last_counts(spark, monkeypatch, inline):
+    p = spark.createDataFrame([(1, "a.b.com", "/xy"), (2, "c.org", "/")], "page_id long, host string, path string")
+    monkeypatch.setattr(urls, "INLINE_RULES", inline)
+    rules = (("allow", "b.com/xy"), ("block", "a.b.com/"), ("block", "c.org/"), ("allow", "c.org/"))
+    assert rows(urls.with_rules(p, rules).select("page_id", "rule", "rule_verdict")) == [(1, "a.b.com/", "block"), (2, "c.org/", "allow")]
+
+
 def test_fingerprints(docs, plain, nothing, spark):
     ids = sorted({d for d, _ in plain}, key=lambda d: (d is not None, d or 0))
     least = {d: min(t or "" for x, t in plain if x == d) for d in ids}
