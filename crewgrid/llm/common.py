@@ -48,9 +48,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (local tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset and driver and executors are one machine."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="crewgrid-")
         atexit.register(shutil.rmtree, at, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", at)
@@ -62,7 +64,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of `written` that nothing reads any more: what was made of them is written itself."""
+    for df in tables:
+        if path := getattr(df, "written_at", None):
+            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Working names that are no column of df."""
+    have = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while f"__{name}" in have:
+            name += "_"
+        out.append(f"__{name}")
+    return out
 
 
 def lower_ascii(c: Column) -> Column:

@@ -2,29 +2,32 @@
 
 A document's tokens are its distinct shingles of five words (64-bit hashes).
 Documents with equal sets are one class from the start. For a link, two sets
-of sizes a and b share at least 0.8 * max(a, b) tokens, so their first
-n - ceil(0.8 n) + 1 tokens in any common order share one. The order puts
-tokens that many documents have (shared passages) last, so such tokens
+of sizes a <= b share at least 0.8 * b and at least 8/9 * a tokens, so, in any common
+order, one of the first a - ceil(8/9 a) + 1 tokens of the smaller (it is found by
+them) is among the first b - ceil(0.8 b) + 1 of the larger (it asks with them). The
+order puts tokens that many documents have (shared passages) last, so such tokens
 are seldom among the first; only the cost depends on it.
 
 1. Classes, with the tokens that documents of one batch of the scan share.
-2. First tokens meet in their token's list; within a list, sets whose
-   sizes can link form a run, tied to one leader. Map tasks combine their
-   lists, so a token of many documents is few rows.
-3. Every set is compared with its leaders; those that link form stars.
-   A group of thousands of near copies is mostly one star after this.
-4. Runs' ties make closed neighbourhoods: any link lies within one. Where
-   a neighbourhood still has several stars, its sets, in blocks of bounded size,
-   pair by pair of blocks, are searched with a token-group matrix: similar sets (by
-   star and least token) form groups of `GROUP`; of a group the union of its tokens
-   is kept, and a query opens a group only if it shares at least
-   0.8 * max(its size, the group's smallest size) tokens with the union.
-   Sets that are already connected are not compared again.
-5. Components of stars' and search's links give each class its root.
-
-Texts are read again only for sets that share a first token with another (a
-bitmap of fixed size tells which). No pairs within a group are emitted but
-those that connect it; no list, group or component is collected on the driver.
+2. First tokens meet in their token's list, in order of size; sets that can
+   link by size are tied to the first of their run. Nothing of a list is held; of
+   long lists a map task ties runs itself and sends one entry a run.
+3. Ties make closed neighbourhoods: any link lies within one. Texts are read
+   again for their sets only (a bitmap of fixed size tells which).
+4. Every neighbourhood is searched with a token-group matrix: similar sets (by least
+   token) form groups of `GROUP`; of a group the union of its tokens is kept, and
+   a query opens a group only if it shares at least 0.8 * max(its size, the group's
+   smallest size) tokens with the union. Connected sets are not compared again.
+5. A neighbourhood of up to `BLOCK` sets is one piece of work and gives its components.
+   A larger one is dealt into blocks of similar sets, in five steps:
+   each block is searched; the blocks' stars are connected through one set each; sets
+   outside of the neighbourhood's largest star ask the matrix of all blocks' groups (unions
+   as bit rows, a token's bit its hash's last bits: a bound from above); they visit the
+   blocks of qualifying groups; there they are searched against the block's sets. So a set's text goes
+   to the blocks that may hold a partner, and a group of near copies is mostly one star before.
+
+No pairs within a group are emitted but those that connect it; no list, group or
+component is collected on the driver, and no task holds more than some blocks.
 
 Nulls and odd input: a null, empty or blank text has no shingles and links
 with nothing; under five words the whole sequence is the one shingle. Rows
@@ -35,30 +38,28 @@ empty table gives no rows. Extra columns are ignored, or kept by `representative
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import LOWER, shuffles, table, written
+from .common import LOWER, discard, shuffles, table, unused, written
 from .components import components
 
 SHINGLE, SAME, OF = 5, 80, 100
 #: Shared tokens: those of IN_BATCH documents of one batch of the scan. What tells them is a bitmap over their hashes' first SHARED_BITS
 #: bits (16 MB, sent to every task); it is kept at most half full by asking for more batches.
 IN_BATCH, SHARED_BITS = 2, 27
-#: Entries of one token's list that are held at once, sets in a block, sets in a group.
-HELD, BLOCK, GROUP = 2_000_000, 500, 16
+#: Entries of one token's list that a map task sends one by one, sets in a block, sets in a group.
+HELD, BLOCK, GROUP = 64, 500, 16
+#: Bits of a group's row of the matrix for each token of its union.
+ROW_BITS = 8
 SLOTS, _BITMAP = 1 << 24, 32768
 _A = np.uint64(0x9E3779B97F4A7C15)
-_ENTRY = np.dtype([("set", "<i8"), ("n", "<i4")])
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
@@ -99,25 +100,25 @@ def first_tokens(tokens: np.ndarray, shared: np.ndarray) -> np.ndarray:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n, set (null without shingles) of each row; `shared`, on the first row of each batch, has the slots of the batch's shared tokens."""
+    """doc_id, n, set and mark (the least token; both null without shingles) of each row; `shared`, on the first row of each batch, has the slots of the batch's shared tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, ids, seen = [], [], {}
+            sizes, ids, marks, seen = [], [], [], {}
             for text in b.column("text"):
                 tokens = shingles(text.as_py())
                 sizes.append(len(tokens))
                 ids.append(set_id(tokens) if len(tokens) else None)
+                marks.append(int(tokens[0].view(np.int64)) if len(tokens) else None)
                 if len(tokens):
                     seen[ids[-1]] = tokens
             tokens, counts = np.unique(np.concatenate(list(seen.values())), return_counts=True) if seen else (np.zeros(0, np.uint64), np.zeros(0))
             slots = np.unique(tokens[counts >= IN_BATCH] >> np.uint64(64 - SHARED_BITS)).astype(np.int32)
             shared = [slots, *[None] * (b.num_rows - 1)][: b.num_rows]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(shared, pa.list_(pa.int32()))], ["doc_id", "n", "set", "shared"]
-            )
+            columns = [pa.array(x, pa.int64()) for x in (sizes, ids, marks)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *columns, pa.array(shared, pa.list_(pa.int32()))], ["doc_id", "n", "set", "mark", "shared"])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n long, set long, shared array<int>")
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n long, set long, mark long, shared array<int>")
 
 
 def _shared(known: DataFrame) -> np.ndarray:
@@ -131,15 +132,39 @@ def _shared(known: DataFrame) -> np.ndarray:
         if filled > 1 << (SHARED_BITS - 1):
             break
         least = r.batches
-    return _bits(counts.where(F.col("batches") >= least), F.col("slot").cast("long"), 1 << SHARED_BITS)
+    bits = _bits(counts.where(F.col("batches") >= least), F.col("slot").cast("long"), 1 << SHARED_BITS)
+    discard(counts)
+    return bits
+
+
+def _runs(tokens: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of entries in the order of token and lo (twice the size, one more if the set only asks): which are tied, which are lone askers, and where each run begins.
+
+    An entry is tied to its run if a set that is found by the token, no larger than it and of at least 0.8 of its size, came before it."""
+    found, n = lo & 1 == 0, lo >> 1
+    part = np.cumsum(np.concatenate(([0], tokens[1:] != tokens[:-1])))
+    reach = np.maximum.accumulate((part << 32) + np.where(found, hi, 0))
+    before = np.concatenate(([0], reach[:-1]))
+    before = np.where(before >> 32 == part, before & 0xFFFFFFFF, 0)
+    tied = before * OF >= n * SAME
+    begin = np.maximum.accumulate(np.where(found & ~tied, np.arange(len(lo)), 0))
+    return tied, ~found & ~tied, begin
+
+
+_LISTED = "token long, leader long, lo int, hi int"
+
+
+def _listed(*columns: np.ndarray) -> pa.RecordBatch:
+    kinds = (np.int64, np.int64, np.int32, np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c, k)) for c, k in zip(columns, kinds, strict=True)], ["token", "leader", "lo", "hi"])
 
 
 def _ties(docs: DataFrame, shared: np.ndarray) -> DataFrame:
     """set, leader: of each run of a token's list, each set and the run's leader."""
-    sc = docs.sparkSession.sparkContext
-    common = sc.broadcast(shared)
+    common = docs.sparkSession.sparkContext.broadcast(shared)
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Entries by token; ties that are known already have a set for a token and lo = -1."""
         for b in batches:
             sets: dict[int, np.ndarray] = {}
             for text in b.column("text"):
@@ -149,88 +174,49 @@ def _ties(docs: DataFrame, shared: np.ndarray) -> DataFrame:
             if not sets:
                 continue
             firsts = [first_tokens(t, common.value) for t in sets.values()]
-            sizes = [len(f) for f in firsts]
-            entries = np.zeros(sum(sizes), _ENTRY)
-            entries["set"] = np.repeat(np.fromiter(sets, np.int64, len(sets)), sizes)
-            entries["n"] = np.repeat([len(t) for t in sets.values()], sizes)
+            sizes = np.fromiter(map(len, firsts), np.int64, len(firsts))
+            n = np.fromiter(map(len, sets.values()), np.int64, len(sets))
+            place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            asks = place >= np.repeat(n - -(-n * 2 * SAME // (OF + SAME)) + 1, sizes)
+            own, lo, hi = np.repeat(np.fromiter(sets, np.int64, len(sets)), sizes), np.repeat(2 * n, sizes) + asks, np.repeat(n, sizes)
             tokens = np.concatenate(firsts).view(np.int64)
-            order = np.argsort(tokens, kind="stable")
-            tokens, entries = tokens[order], entries[order]
-            begins = np.concatenate(([0], np.flatnonzero(tokens[1:] != tokens[:-1]) + 1)).astype(np.int32)
-            offsets = pa.py_buffer(np.append(begins, len(tokens)).astype(np.int32) * np.int32(_ENTRY.itemsize))
-            packed = pa.Array.from_buffers(pa.binary(), len(begins), [None, offsets, pa.py_buffer(entries.tobytes())])
-            out = pa.RecordBatch.from_arrays([pa.array(tokens[begins]), packed], ["token", "entries"])
-            for i in range(0, out.num_rows, 100_000):
-                yield out.slice(i, 100_000)
-
-    def runs(entries: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
-        entries = np.unique(entries)
-        if len(entries) < 2:
-            return
-        entries = entries[np.argsort(entries["n"], kind="stable")]
-        n = entries["n"].astype(np.int64)
-        cut = np.flatnonzero(n[1:] * SAME > n[:-1] * OF) + 1
-        for part in np.split(entries["set"], cut):
-            if len(part) > 1:
-                yield part, int(part.min())
+            order = np.lexsort((lo, tokens))
+            tokens, own, lo, hi = tokens[order], own[order], lo[order], hi[order]
+            begins = np.concatenate(([0], np.flatnonzero(tokens[1:] != tokens[:-1]) + 1))
+            lengths = np.diff(np.append(begins, len(tokens)))
+            long = np.repeat(lengths > HELD, lengths)
+            singly = ~long
+            if long.any():
+                tied, lone, begin = _runs(tokens, lo, hi)
+                known = tied & long
+                yield _listed(own[known], own[begin[known]], np.full(known.sum(), -1), np.zeros(known.sum()))
+                # A run's one entry reaches as far as its largest set.
+                np.maximum.at(hi, begin[known], hi[known])
+                singly |= long & ~tied
+            for i in range(0, len(tokens), 500_000):
+                at = np.flatnonzero(singly[i : i + 500_000]) + i
+                yield _listed(tokens[at], own[at], lo[at], hi[at])
 
     def ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token_now, held, count, leader = None, [], 0, None
-        out: list[np.ndarray] = []
-        waiting = 0
-
-        def close() -> int:
-            """Turn what is held into ties; the number of ties that wait."""
-            added = 0
-            if not held:  # also where a list ended with the piece that was too much to hold
-                return added
-            if leader is not None:
-                part = np.concatenate(held)["set"]
-                out.append(np.stack([part, np.full(len(part), leader)], 1))
-                added = len(part)
-            else:
-                for part, first in runs(np.concatenate(held)):
-                    out.append(np.stack([part, np.full(len(part), first)], 1))
-                    added += len(part)
-            return added
-
-        def emit() -> pa.RecordBatch:
+        last = None  # of the list that the last batch ended with: token, run's leader, how far it reaches
+        for b in batches:
+            tokens, own, lo, hi = (c.to_numpy() for c in b.columns)
+            out = [np.stack([tokens[lo < 0], own[lo < 0]], 1)]
+            tokens, own, lo, hi = (c[lo >= 0].astype(np.int64) for c in (tokens, own, lo, hi))
+            if last is not None and len(tokens) and tokens[0] == last[0]:
+                # The run goes on: its leader stands first once more, with the reach it has.
+                tokens, own, lo, hi = (np.concatenate(([x], c)) for x, c in zip((last[0], last[1], 0, last[2]), (tokens, own, lo, hi), strict=True))
+            if len(tokens):
+                tied, _, begin = _runs(tokens, lo, hi)
+                out.append(np.stack([own[tied], own[begin[tied]]], 1))
+                at = np.flatnonzero((tokens == tokens[-1]) & (lo & 1 == 0))
+                last = (tokens[-1], own[begin[at[-1]]], hi[at].max()) if len(at) else None
             pairs = np.unique(np.concatenate(out), axis=0)
             pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["set", "leader"])
-
-        for b in batches:
-            tokens = b.column("token").to_numpy()
-            if not len(tokens):
-                continue
-            begins = np.concatenate(([0], np.flatnonzero(tokens[1:] != tokens[:-1]) + 1))
-            ends = np.append(begins[1:], len(tokens))
-            sizes = pa.compute.binary_length(b.column("entries")).to_numpy()
-            wanted = (ends - begins > 1) | (sizes[begins] > _ENTRY.itemsize)
-            wanted[0] = wanted[-1] = True
-            entries = b.column("entries")
-            for i, j in zip(begins[wanted].tolist(), ends[wanted].tolist(), strict=True):
-                got = [np.frombuffer(entries[x].as_py(), _ENTRY) for x in range(i, j)]
-                if tokens[i] != token_now:
-                    waiting += close()
-                    token_now, held, count, leader = tokens[i], [], 0, None
-                held += got
-                count += sum(map(len, got))
-                if count > HELD:
-                    # A list too long to hold: its first part's least set leads all of it, whatever the sizes.
-                    leader = int(np.concatenate(held)["set"].min()) if leader is None else leader
-                    waiting += close()
-                    held, count = [], 0
-            if waiting > 200_000:
-                yield emit()
-                out.clear()
-                waiting = 0
-        close()
-        if out:
-            yield emit()
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["set", "leader"])
 
     n = shuffles(docs.sparkSession)
-    dealt = docs.select("text").mapInArrow(lists, "token long, entries binary").repartition(n, "token").sortWithinPartitions("token")
+    dealt = docs.select("text").mapInArrow(lists, _LISTED).repartition(n, "token").sortWithinPartitions("token", "lo")
     return dealt.mapInArrow(ties, "set long, leader long").distinct()
 
 
@@ -243,11 +229,10 @@ def _bits(rows: DataFrame, slot, size: int) -> np.ndarray:
     return bits
 
 
-def _texts(docs: DataFrame, known: DataFrame, wanted: DataFrame) -> DataFrame:
-    """set, text: one text of each wanted set. `known` tells the scan nothing; sets are hashed anew and looked up in a bitmap."""
-    spark = docs.sparkSession
-    ids = known.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("doc_id")).join(wanted, "set")
-    bits = spark.sparkContext.broadcast(_bits(ids, F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)), SLOTS))
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """wanted (doc_id, set and more) with a text of each set. A bitmap tells the scan which documents to hash anew; a set may come more than once."""
+    sc = docs.sparkSession.sparkContext
+    bits = sc.broadcast(_bits(wanted, F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)), F.lit(0)), SLOTS))
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "text").withColumn("slot", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)), F.lit(0)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,27 +246,7 @@ def _texts(docs: DataFrame, known: DataFrame, wanted: DataFrame) -> DataFrame:
                     sets.setdefault(set_id(tokens), text.as_py())
             yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), pa.array(list(sets.values()), pa.string())], ["set", "text"])
 
-    rows = docs.mapInArrow(run, "set long, text string").join(wanted, "set", "left_semi")
-    return written(rows.dropDuplicates(["set"]), "texts")
-
-
-def _verified(ties: DataFrame, texts: DataFrame) -> DataFrame:
-    """The ties whose two sets link: u, v."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, leader = None, None
-        for b in batches:
-            keep = []
-            ids = b.column("leader").to_pylist()
-            for i, at in enumerate(ids):
-                if at != last:
-                    last, leader = at, shingles(b.column("leader_text")[i].as_py())
-                keep.append(linked(shingles(b.column("text")[i].as_py()), leader))
-            yield pa.RecordBatch.from_arrays([b.column("set"), b.column("leader")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    members = ties.join(texts, "set")
-    both = members.join(texts.select(F.col("set").alias("leader"), F.col("text").alias("leader_text")), "leader")
-    return both.select("set", "leader", "text", "leader_text").mapInArrow(run, "u long, v long")
+    return docs.mapInArrow(run, "set long, text string").join(wanted.drop("doc_id"), "set")
 
 
 class TokenGroups:
@@ -315,6 +280,11 @@ class TokenGroups:
         return np.flatnonzero(fits).tolist()
 
 
+def in_order(sets: list[np.ndarray], stars: list[int], members: list[int]) -> list[int]:
+    """Similar sets side by side: by star and least token."""
+    return sorted(members, key=lambda m: (stars[m], int(sets[m][0])))
+
+
 def search(stars: list[int], sets: list[np.ndarray], queries: list[int], others: list[int]) -> list[tuple[int, int]]:
     """Links (positions) that connect different stars, of queries with others; connected sets are not compared."""
     parent: dict[int, int] = {}
@@ -325,7 +295,7 @@ def search(stars: list[int], sets: list[np.ndarray], queries: list[int], others:
             x = up
         return x
 
-    matrix = TokenGroups(sets, sorted(others, key=lambda m: (stars[m], int(sets[m][0]))))
+    matrix = TokenGroups(sets, in_order(sets, stars, others))
     out = []
     for q in queries:
         for g in matrix.qualifying(sets[q]):
@@ -337,47 +307,193 @@ def search(stars: list[int], sets: list[np.ndarray], queries: list[int], others:
     return out
 
 
-def _searched(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """members: set, near (its neighbourhood), star. Links between stars of one neighbourhood: u, v."""
-    sizes = members.groupBy("near").agg(F.count("*").alias("size"), F.countDistinct("star").alias("stars")).where("stars > 1 and size > 2")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = members.join(sizes, "near").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
-    # Every pair of blocks, a block with itself included, is one task's work; a set goes to its block's pairs.
-    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    paired = paired.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).select("near", "low", "high", "block", "set", "star")
+def _roots(found: list[tuple[int, int]], ids: list[int]) -> dict[int, int]:
+    """position: least id of its component, for the links' positions."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    for a, b in found:
+        a, b = find(a), find(b)
+        if a != b:
+            low, high = (a, b) if ids[a] < ids[b] else (b, a)
+            parent[high] = low
+    return {x: ids[find(x)] for x in list(parent)}
+
+
+def _by_key(rows: DataFrame, keys: list[str], columns: list[str], work: Callable[[tuple, list[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
+    """work(key, rows) for the rows of each key, dealt and sorted by the keys; only one key's rows are held. Text is held as its tokens, once a set."""
+    kinds = [f.dataType for f in rows.sparkSession.createDataFrame([], schema).schema]
+    names = rows.sparkSession.createDataFrame([], schema).columns
+    arrow = [{"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[k.simpleString()] for k in kinds]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, done, out = None, [], set(), []
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("set", ignore_index=True)
-        sets = [shingles(t) for t in pdf["text"]]
-        stars = pdf["star"].tolist()
-        at = defaultdict(list)
-        for i, b in enumerate(pdf["block"].tolist()):
-            at[b].append(i)
-        _, low, high = (int(k) for k in key)
-        found = search(stars, sets, at[low], at[high]) if at[low] and at[high] else []
-        ids = pdf["set"].tolist()
-        return pd.DataFrame({"u": pd.Series([ids[a] for a, _ in found], dtype="int64"), "v": pd.Series([ids[b] for _, b in found], dtype="int64")})
+        def emit() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), arrow, strict=True)], names)
 
-    return paired.join(texts, "set").groupBy("near", "low", "high").applyInPandas(run, "u long, v long")
+        for b in batches:
+            at = list(zip(*(b.column(k).to_pylist() for k in keys), strict=True))
+            rest = [b.column(c) if c == "text" else b.column(c).to_pylist() for c in columns]
+            for i, key in enumerate(at):
+                if key != now:
+                    if held:
+                        out += work(now, held)
+                        if len(out) > 5000:
+                            yield emit()
+                            out.clear()
+                    now, held, done = key, [], set()
+                row = [c[i] for c in rest]
+                if "text" in columns:
+                    own = tuple(x for x, c in zip(row, columns, strict=True) if c != "text")
+                    if own in done:
+                        continue
+                    done.add(own)
+                    place = columns.index("text")
+                    row[place] = shingles(row[place].as_py())
+                held.append(tuple(row))
+        if held:
+            out += work(now, held)
+        if out:
+            yield emit()
+
+    n = shuffles(rows.sparkSession)
+    dealt = rows.select(*keys, *columns).repartition(n, *keys).sortWithinPartitions(*keys, *(c for c in columns if c != "text"))
+    return dealt.mapInArrow(run, schema)
+
+
+def _whole(key: tuple, rows: list[tuple]) -> Iterator[tuple]:
+    """set, root of the sets of one neighbourhood, or of some blocks' heads, that link with another of them."""
+    ids, sets = [r[0] for r in rows], [r[1] for r in rows]
+    every = list(range(len(ids)))
+    roots = _roots(search(every, sets, every, every) if len(ids) > 1 else [], ids)
+    yield from ((ids[m], root) for m, root in roots.items())
+
+
+_BLOCKED = "near long, block long, kind int, part int, set long, star long, least int, most int, data binary"
+
+
+def _row_bits(union: np.ndarray) -> bytes:
+    """A group's row of the matrix: bits of its union's tokens, a power of two of them."""
+    size = 1 << max(6, int(len(union) * ROW_BITS - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(union & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _in_block(key: tuple, rows: list[tuple]) -> Iterator[tuple]:
+    """One block: of each set its star and its tokens' last 32 bits (kind 0), of each group its sizes and its row of the matrix (kind 1)."""
+    ids, sets = [r[0] for r in rows], [r[1] for r in rows]
+    every = list(range(len(ids)))
+    roots = _roots(search(every, sets, every, every) if len(ids) > 1 else [], ids)
+    stars = [roots.get(m, ids[m]) for m in every]
+    for m in every:
+        yield *key, 0, 0, ids[m], stars[m], len(sets[m]), len(sets[m]), (sets[m] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
+    order = in_order(sets, stars, every)
+    for part, i in enumerate(range(0, len(order), GROUP)):
+        own = [sets[m] for m in order[i : i + GROUP]]
+        yield *key, 1, part, None, None, min(map(len, own)), max(map(len, own)), _row_bits(np.unique(np.concatenate(own)))
+
+
+def _asked(key: tuple, rows: list[tuple]) -> Iterator[tuple]:
+    """near, block, set of the blocks with a group that qualifies for the set. rows: kind (1 group, 2 query), block, set, least, most, data."""
+    groups = [(block, least, most, np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little")) for kind, block, _, least, most, data in rows if kind == 1]
+    for kind, own, query, n, _, data in rows:
+        if kind != 2:
+            continue
+        tokens = np.frombuffer(data, "<u4").astype(np.int64)
+        blocks = set()
+        for block, least, most, bits in groups:
+            if block in blocks or block == own or least * SAME > n * OF or most * OF < n * SAME:
+                continue
+            if int(bits[tokens & (len(bits) - 1)].sum()) * OF >= SAME * max(n, least):
+                blocks.add(block)
+        yield from ((key[0], block, query) for block in blocks)
+
+
+def _visited(key: tuple, rows: list[tuple]) -> Iterator[tuple]:
+    """u, v: stars that links between a block's sets and its visitors connect. rows: kind (0 resident, 1 visitor), set, star, tokens."""
+    stars, sets = [r[2] for r in rows], [r[3] for r in rows]
+    residents, visitors = ([i for i, r in enumerate(rows) if r[0] == kind] for kind in (0, 1))
+    if residents and visitors:
+        yield from ((stars[a], stars[b]) for a, b in search(stars, sets, visitors, residents))
+
+
+def _slices(size, per: int):
+    return F.ceil(size / F.lit(per)).cast("int")
+
+
+def _dealt(large: DataFrame) -> DataFrame:
+    """large: set, near, size, mark and more. Adds the set's block; sets with one least token are together, a block's worth at a time."""
+    marks = large.groupBy("near", "mark").agg(F.count("*").alias("alike"))
+    salt = F.pmod(F.xxhash64("set"), _slices(F.col("alike"), BLOCK))
+    slot = F.pmod(F.xxhash64("mark"), _slices(F.col("size"), BLOCK))
+    return large.join(marks, ["near", "mark"]).withColumn("block", F.when(F.col("alike") > BLOCK, F.xxhash64("mark", salt)).otherwise(slot)).drop("alike")
+
+
+def _stars_of_large(docs: DataFrame, large: DataFrame) -> DataFrame:
+    """large: set, near, size, mark, doc_id of the neighbourhoods of more than BLOCK sets. set, root of their components."""
+    texts = written(_texts(docs, _dealt(large).drop("size", "mark")), "texts")
+    blocks = written(_by_key(texts, ["near", "block"], ["set", "text"], _in_block, _BLOCKED), "blocks")
+    sets, groups = blocks.where("kind = 0"), blocks.where("kind = 1")
+    # Blocks' stars, through their heads, as many blocks' at a time as fit: what this misses is found below.
+    heads = sets.where("set = star").select("near", "set")
+    heads = heads.join(heads.groupBy("near").agg(F.count("*").alias("heads")), "near").withColumn("some", F.pmod(F.xxhash64("set"), _slices(F.col("heads"), BLOCK)))
+    first = written(_by_key(texts.select("set", "text").join(heads.drop("heads"), "set"), ["near", "some"], ["set", "text"], _whole, "u long, v long"), "heads")
+    joined = components(first).select(F.col("node").alias("star"), F.col("root").alias("joint"))
+    starred = written(sets.join(joined, "star", "left").withColumn("joint", F.coalesce("joint", "star")).select("near", "block", "set", "star", "joint", "least", "data"), "starred")
+    # All but the neighbourhood's largest star ask.
+    sizes = starred.groupBy("near", "joint").agg(F.count("*").alias("k"))
+    main = sizes.groupBy("near").agg(F.max_by("joint", F.struct("k", "joint")).alias("main"), F.count("*").alias("stars"), F.sum("k").alias("size")).where("stars > 1")
+    asking = starred.join(main, "near").where("joint <> main").drop("main", "stars")
+    asking = asking.join(asking.groupBy("near").agg(F.count("*").alias("askers")), "near")
+    per = asking.groupBy("near").agg(F.max(_slices(F.col("askers"), BLOCK)).alias("slices"), F.max(_slices(F.col("size"), BLOCK * GROUP)).alias("chunks"))
+    queries = asking.join(per.select("near", "chunks"), "near").withColumn("slice", F.pmod(F.xxhash64("set"), _slices(F.col("askers"), BLOCK)))
+    queries = queries.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    queries = queries.select("near", "slice", F.col("chunk").cast("long").alias("chunk"), F.lit(2).alias("kind"), "block", "set", "least", F.col("least").alias("most"), "data")
+    rows = groups.join(per, "near").withColumn("chunk", F.pmod(F.xxhash64("block", "part"), F.col("chunks")))
+    rows = rows.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    rows = rows.select("near", F.col("slice").cast("long").alias("slice"), F.col("chunk").cast("long").alias("chunk"), "kind", "block", "set", "least", "most", "data")
+    rows = rows.unionByName(queries.withColumn("slice", F.col("slice").cast("long")))
+    visits = written(_by_key(rows, ["near", "slice", "chunk"], ["kind", "block", "set", "least", "most", "data"], _asked, "near long, block long, set long").distinct(), "visits")
+    # Visitors meet a block's sets, as many at a time as a block has.
+    counts = visits.groupBy("near", "block").agg(F.count("*").alias("visitors")).withColumn("slices", _slices(F.col("visitors"), BLOCK))
+    there = texts.join(counts.select("near", "block", "slices"), ["near", "block"]).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    there = there.select("near", "block", F.col("slice").cast("long").alias("slice"), F.lit(0).alias("kind"), "set", "text")
+    guests = visits.join(counts.select("near", "block", "slices"), ["near", "block"]).withColumn("slice", F.pmod(F.xxhash64("set"), F.col("slices")).cast("long"))
+    guests = guests.join(texts.select("set", "text"), "set").select("near", "block", "slice", F.lit(1).alias("kind"), "set", "text")
+    meeting = there.unionByName(guests).join(starred.select("set", F.col("joint").alias("star")), "set")
+    links = _by_key(meeting, ["near", "block", "slice"], ["kind", "set", "star", "text"], _visited, "u long, v long")
+    links = written(links.unionByName(first), "links")
+    roots = components(links).select(F.col("node").alias("star"), F.col("root").alias("joint"))
+    out = written(sets.join(roots, "star", "left").select("set", F.coalesce("joint", "star").alias("root")).distinct(), "large")
+    discard(texts, blocks, first, starred, visits, links, roots, joined)
+    return out
 
 
 def _named(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows' classes, and of each class its root and component_id."""
     known = written(classes(docs), "classes")
-    ties = written(_ties(docs, _shared(known)), "ties")
-    wanted = written(ties.select("set").unionByName(ties.select(F.col("leader").alias("set"))).distinct(), "wanted")
-    texts = _texts(docs, known, wanted)
-    stars = written(_verified(ties, texts), "links")
-    near = components(ties.select(F.col("set").alias("u"), F.col("leader").alias("v")))
-    star = components(stars)
-    members = wanted.join(near.withColumnRenamed("node", "set"), "set", "left").select("set", F.coalesce("root", "set").alias("near"))
-    members = members.join(star.withColumnRenamed("node", "set"), "set", "left").select("set", "near", F.coalesce("root", "set").alias("star"))
-    more = written(_searched(members, texts), "more")
-    roots = components(stars.unionByName(more))
-    firsts = known.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("first"))
-    rooted = firsts.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return known, rooted.join(least, "root").select("set", "root", "component_id")
+    firsts = written(known.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("first"), F.min("mark").alias("mark")), "sets")
+    ties = written(_ties(docs, _shared(known)).select(F.col("set").alias("u"), F.col("leader").alias("v")), "ties")
+    near = components(ties)
+    members = near.select(F.col("node").alias("set"), F.col("root").alias("near")).unionByName(near.select(F.col("root").alias("set"), F.col("root").alias("near")).distinct())
+    members = members.join(near.groupBy(F.col("root").alias("near")).agg((F.count("*") + 1).alias("size")), "near")
+    members = written(members.join(firsts.withColumnRenamed("first", "doc_id"), "set"), "members")
+    small, large = members.where(F.col("size") <= BLOCK), members.where(F.col("size") > BLOCK)
+    roots = written(_by_key(_texts(docs, small.select("doc_id", "set", "near")), ["near"], ["set", "text"], _whole, "set long, root long"), "roots")
+    more = [_stars_of_large(docs, large)] if large.limit(1).count() else []
+    for m in more:
+        roots = roots.unionByName(m)
+    least = roots.join(firsts, "set").groupBy("root").agg(F.min("first").alias("component_id"))
+    connected = written(roots.join(least, "root").select("set", "root", "component_id"), "connected")
+    discard(ties, near, members, roots, *more)
+    named = firsts.join(connected, "set", "left")
+    return known, named.select("set", F.coalesce("root", "set").alias("root"), F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def similar(docs: DataFrame) -> DataFrame:
@@ -392,19 +508,19 @@ def representatives(docs: DataFrame) -> DataFrame:
     least class and then the least text. Rows without shingles all stay."""
     known, named = _named(docs.select("doc_id", "text"))
     own = known.where("set is not null").join(named, "set").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = own.groupBy("root").agg(F.min("set").alias("__set"), F.first("component_id").alias("__id")).select("__set", "__id")
-    names = [*docs.columns, "__set"]
+    mark, place, one, its_id = unused(docs, "set", "row", "one", "id")
+    kept = own.groupBy("root").agg(F.min("set").alias(one), F.min("component_id").alias(its_id)).select(one, its_id)
+    names = [*docs.columns, mark]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             tokens = [shingles(t.as_py()) for t in b.column(names.index("text"))]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([set_id(t) if len(t) else None for t in tokens], pa.int64())], names)
 
-    rows = docs.mapInArrow(run, docs.withColumn("__set", F.lit(None).cast("long")).schema)
-    blank = rows.where("__set is null").drop("__set")
-    kept = kept.withColumnRenamed("__set", "__one")
-    rows = rows.where("__set is not null").join(kept, (F.col("__set") == F.col("__one")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
-    rows = rows.withColumn("__row", F.row_number().over(W.partitionBy("__set", "doc_id").orderBy("text"))).where("__row = 1")
+    rows = docs.mapInArrow(run, docs.withColumn(mark, F.lit(None).cast("long")).schema)
+    blank = rows.where(F.col(mark).isNull()).drop(mark)
+    rows = rows.where(F.col(mark).isNotNull()).join(kept, (F.col(mark) == F.col(one)) & F.col("doc_id").cast("long").eqNullSafe(F.col(its_id)), "left_semi")
+    rows = rows.withColumn(place, F.row_number().over(W.partitionBy(mark, "doc_id").orderBy("text"))).where(F.col(place) == 1)
     return rows.select(docs.columns).unionByName(blank)
 
 
