@@ -9,9 +9,11 @@ nearest the rest (the error is half a document at most).
 
 Nulls and odd input: a null text has size 0; a null source is a source of
 its own, last in order; a null doc_id is hashed as the word null. Repeated
-rows are documents of their own; equal ones are interchangeable. Without
+rows are documents of their own; equal ones are interchangeable. A document without
+words is taken as often as others of its place, never over the cap. Without
 words all targets are 0. Extra columns pass through `mixed` and are ignored
-by `mix`; a clash with a working name cannot happen, those start with `__`.
+by `mix`; working names are chosen among those that no column has, and a column
+of the name asked for as `reps` is refused.
 """
 
 from __future__ import annotations
@@ -20,11 +22,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import discard, table, unused, written
 
 WEIGHTS, EPOCHS, SEED = (5, 2, 1), 3, "mix-1"
 #: Range partitions when sources are numbered: so many counts reach the driver.
 RANGES = 64
+#: Digits of a row's key, and how many of them divide a source at a time, until the range where its fraction ends has so few rows.
+KEY, DIGITS, RANGE_ROWS = 48, 3, 20_000
+#: Up to so many sources are sent to all tasks (about 100 bytes each); beyond, rows are joined by a shuffle.
+BROADCAST_SOURCES = 100_000
 
 
 def n_words(text: Column) -> Column:
@@ -62,33 +68,98 @@ def targets(sources: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFr
     return rows.withColumn("__target", F.when(held, stop.cast("double")).otherwise(open_to)).select("__s", "__size", "__target")
 
 
-def mixed(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
-    """docs with doc_id, source, text or __n, and others; adds __n, __size, __target and __reps (times that the mix takes the document)."""
-    docs = docs if "__n" in docs.columns else docs.withColumn("__n", n_words(F.col("text")))
-    by = targets(docs.groupBy(F.col("source").alias("__s")).agg(F.sum("__n").alias("__size")), weights, epochs)
-    by = written(by, "targets")
-    # One bucket of 4,096 by seeded hash is the unit that is summed and ordered, so a hot source spreads over all tasks.
-    h = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    docs = docs.withColumn("__h", h).withColumn("__b", F.substring("__h", 1, 3))
-    sums = docs.groupBy(F.col("source").alias("__s"), "__b").agg(F.sum("__n").alias("__bn"))
-    sums = sums.withColumn("__before", F.sum("__bn").over(W.partitionBy("__s").orderBy("__b").rowsBetween(W.unboundedPreceding, -1)))
-    sums = sums.withColumn("__before", F.coalesce("__before", F.lit(0)))
-    sums = sums.join(by.withColumnRenamed("__s", "__t"), F.col("__s").eqNullSafe(F.col("__t"))).drop("__t", "__bn").withColumnRenamed("__b", "__c")
-    docs = docs.join(sums, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__b") == F.col("__c")))
-    inner = F.sum("__n").over(W.partitionBy("source", "__b").orderBy("__h", "doc_id", "__n").rowsBetween(W.unboundedPreceding, W.currentRow))
-    whole = F.when(F.col("__size") > 0, F.floor(F.col("__target") / F.col("__size"))).otherwise(0)
-    rest = F.col("__target") - whole * F.col("__size")
-    more = 2 * (F.col("__before") + F.col("__upto")) - F.col("__n") <= 2 * rest
-    return docs.withColumn("__upto", inner).withColumn("__reps", (whole + more.cast("int")).cast("int")).drop("__h", "__b", "__c", "__s", "__before", "__upto")
+def order_key(doc_id: Column, text: Column, seed: str) -> Column:
+    """48 hexadecimal digits: the seeded hash of the id, then a hash of the text, so that only equal texts of one id tie."""
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+    return F.concat(h, F.lower(F.lpad(F.hex(F.xxhash64(text)), 16, "0")))
+
+
+def _small(by: DataFrame) -> DataFrame:
+    """A table of one row a source, for joins: sent to all tasks if its count allows, else shuffled."""
+    return F.broadcast(by) if by.count() <= BROADCAST_SOURCES else by
+
+
+def cuts(rows: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
+    """rows: __s, __n, __k (a written table). One row a source: __size, __target, __whole, and where its fraction of a repetition ends: at the key
+    __cut, of whose __of equal rows __taken are in; smaller keys are in.
+
+    The words before each of 4,096 ranges of keys tell in which range the fraction ends; that one is divided again until it has few rows."""
+    by = targets(rows.groupBy("__s").agg(F.sum("__n").alias("__size")), weights, epochs)
+    whole = F.when(F.col("__size") > 0, F.floor(F.col("__target") / F.col("__size"))).otherwise(0).cast("int")
+    by = by.withColumn("__whole", whole).withColumn("__rest", F.col("__target") - F.col("__whole") * F.col("__size"))
+    by = written(by.withColumns({"__before": F.lit(0).cast("long"), "__cut": F.lit("")}), "targets")
+    for at in range(0, KEY, DIGITS):
+        # Sources whose fraction is nothing are done.
+        open_to = _small(by.where("__rest > 0").select(F.col("__s").alias("__t"), "__before", "__cut", "__rest"))
+        within = rows.join(open_to, F.col("__s").eqNullSafe(F.col("__t")) & F.startswith("__k", "__cut")).withColumn("__b", F.substring("__k", at + 1, DIGITS))
+        ranges = within.groupBy("__t", "__b").agg(F.sum("__n").alias("__words"), F.count("*").alias("__rows"), F.max("__before").alias("__start"), F.max("__rest").alias("__r"))
+        earlier = F.sum("__words").over(W.partitionBy("__t").orderBy("__b").rowsBetween(W.unboundedPreceding, -1))
+        ranges = ranges.withColumn("__start", F.col("__start") + F.coalesce(earlier, F.lit(0))).where("__start <= __r")
+        ends = ranges.groupBy("__t").agg(F.max_by(F.struct("__b", "__start", "__rows"), "__b").alias("__e"))
+        ends = by.join(ends, F.col("__s").eqNullSafe(F.col("__t")), "left").withColumns({"__before": F.coalesce("__e.__start", "__before"), "__cut": F.concat("__cut", F.coalesce("__e.__b", F.lit("")))})
+        ends = written(ends.select(*by.columns, F.col("__e.__rows").alias("__rows")), "targets")
+        most = ends.agg(F.max("__rows")).first()[0]
+        discard(by)
+        written_at, by = ends.written_at, ends.drop("__rows")
+        by.written_at = written_at
+        if not most or most <= RANGE_ROWS:
+            break
+    open_to = _small(by.where("__rest > 0").select(F.col("__s").alias("__t"), "__before", "__cut", "__rest"))
+    last = rows.join(open_to, F.col("__s").eqNullSafe(F.col("__t")) & F.startswith("__k", "__cut"))
+    last = last.groupBy("__t", "__k").agg(F.max("__n").alias("__n"), F.count("*").alias("__of"), F.max("__before").alias("__before"), F.max("__rest").alias("__rest"))
+    earlier = F.sum(F.col("__n") * F.col("__of")).over(W.partitionBy("__t").orderBy("__k").rowsBetween(W.unboundedPreceding, -1))
+    left = F.col("__rest") - F.col("__before") - F.coalesce(earlier, F.lit(0))
+    # A row is in if at least half of it is within the rest.
+    taken = F.when(F.col("__n") == 0, F.when(left >= 0, F.col("__of")).otherwise(0)).otherwise(F.least(F.col("__of"), F.greatest(F.lit(0), F.floor((2 * left - F.col("__n")) / (2 * F.col("__n"))) + 1)))
+    last = last.withColumn("__taken", taken.cast("long")).where("__taken > 0").groupBy("__t").agg(F.max_by(F.struct("__k", "__taken", "__of"), "__k").alias("__e"))
+    out = by.join(last, F.col("__s").eqNullSafe(F.col("__t")), "left")
+    # In a range of which nothing is in, the cut is the range's first digits: they come before all its keys.
+    out = out.select("__s", "__size", "__target", "__whole", F.coalesce("__e.__k", "__cut").alias("__cut"), F.coalesce("__e.__taken", F.lit(0)).alias("__taken"), F.coalesce("__e.__of", F.lit(0)).alias("__of"))
+    out = written(out, "cuts")
+    discard(by)
+    return out
+
+
+def _taken(docs: DataFrame, source: str, key: str, ends: DataFrame, size: str, target: str, reps: str) -> DataFrame:
+    """docs with size, target and reps, decided row by row from its source's cut."""
+    place, part, whole, cut, taken, of, start = unused(docs, "place", "part", "whole", "cut", "taken", "of", "start")
+    s = unused(docs, "by")[0]
+    ends = ends.toDF(s, size, target, whole, cut, taken, of)
+    split = (F.col(key) == F.col(cut)) & (F.col(taken) < F.col(of))
+    rows = docs.join(_small(ends), docs[source].eqNullSafe(ends[s])).drop(s)
+    in_ = (F.col(key) < F.col(cut)) | ((F.col(key) == F.col(cut)) & (F.col(taken) > 0))
+    columns = [*docs.columns, size, target, reps]
+    sure = rows.where(~split).withColumn(reps, F.col(whole) + in_.cast("int")).select(columns)
+    if not ends.where(F.col(taken) < F.col(of)).limit(1).count():
+        return sure
+    # Equal rows of which some are in: numbered within the tasks that read them, with the counts of the tasks before.
+    some = written(rows.where(split).withColumn(part, F.spark_partition_id()), "equal")
+    counts = some.groupBy(F.col(source).alias(s), F.col(part).alias(place)).agg(F.count("*").alias(start))
+    before = F.sum(start).over(W.partitionBy(s).orderBy(place).rowsBetween(W.unboundedPreceding, -1))
+    counts = counts.withColumn(start, F.coalesce(before, F.lit(0)))
+    some = some.join(counts, F.col(source).eqNullSafe(F.col(s)) & (F.col(part) == F.col(place)))
+    number = F.col(start) + F.row_number().over(W.partitionBy(source, part).orderBy(key))
+    return sure.unionByName(some.withColumn(reps, F.col(whole) + (number <= F.col(taken)).cast("int")).select(columns))
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: str = SEED, reps: str = "__reps") -> DataFrame:
+    """docs with doc_id, source, text and others; adds `reps`, the times that the mix takes the document. Only ids, counts and keys are shuffled."""
+    if reps in docs.columns:
+        raise ValueError(f"documents have a column {reps}")
+    key = order_key(F.col("doc_id"), F.col("text"), seed)
+    rows = written(docs.select(F.col("source").alias("__s"), n_words(F.col("text")).alias("__n"), key.alias("__k")), "sizes")
+    ends = cuts(rows, weights, epochs)
+    discard(rows)
+    k, size, target = unused(docs, "key", "size", "target")
+    return _taken(docs.withColumn(k, key), "source", k, ends, size, target, reps).select(*docs.columns, reps)
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
-    narrow = docs.select("doc_id", "source", n_words(F.col("text")).alias("__n"))
-    out = mixed(narrow, weights, epochs, seed)
-    return out.select(
-        "doc_id", F.col("__n").alias("size"), F.col("__size").alias("source_size"), F.col("__target").alias("target"), (F.col("__n") * F.col("__reps")).alias("taken")
-    )
+    key = order_key(F.col("doc_id"), F.col("text"), seed)
+    rows = written(docs.select("doc_id", F.col("source").alias("__s"), n_words(F.col("text")).alias("__n"), key.alias("__k")), "sizes")
+    out = _taken(rows, "__s", "__k", cuts(rows, weights, epochs), "source_size", "target", "reps")
+    return out.select("doc_id", F.col("__n").alias("size"), "source_size", "target", (F.col("__n") * F.col("reps")).alias("taken"))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
