@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crewgrid.llm import mixing, packing, quality, repeats, similarity
-from crewgrid.llm.common import fold, shipped, table, written
+from crewgrid.llm.common import fold, shipped, table, unused, written
 
 
 @shipped
@@ -40,7 +40,8 @@ def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 @shipped
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    return mixing.mixed(docs).withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__reps")))).select(docs.columns)
+    reps, copy = unused(docs, "reps", "copy")
+    return mixing.mixed(docs, reps=reps).withColumn(copy, F.explode(F.array_repeat(F.lit(0), F.col(reps)))).select(docs.columns)
 
 
 @shipped
