@@ -7,12 +7,19 @@ bucket, so a word is sent about three times and not thirteen; equal windows
 always meet, as equal words give equal minimisers. In its bucket, strings of
 one minimiser are sorted out and windows compared as text, never by hash.
 
+Frequent stretches (common words, a passage that many documents share) would
+send many different strings to one bucket. So a first scan counts minimisers,
+and those with over 1 / `HOT` of all places come last in the order: a window has one as its
+minimiser only if all its stretches are frequent. The words around a shared
+passage then go to the buckets of their own stretches, and the passage's inner strings are equal.
+
 Map tasks combine: of equal strings of some MB of words one goes out, with
 where each stands, and all strings of one bucket go as one compressed
 block, so that a bucket receives few rows. A string that many documents share
 is thus sent a few times with lists of places, and a bucket takes all later
 documents' windows of an equal string as repeats without opening it. Blocks
-are sorted by bucket and one bucket is held at a time. Hashes choose buckets
+are sorted by bucket; a bucket's compressed blocks are held, and opened one by one
+for so many of its minimisers at a time as `OPENED` bytes hold. Hashes choose buckets
 only; a clash costs time and changes nothing.
 
 The repeats' places go back to their documents. A bitmap of fixed size
@@ -38,15 +45,18 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shuffles, table, written
+from .common import discard, shuffles, table, unused, written
 
 WINDOW, MINIMISER = 13, 3
 #: Bits of the map of documents that may have repeats: 2 MB.
 SLOTS = 1 << 24
 _BITMAP = 32768
-#: Bytes of words whose strings a map task combines before it sends them on; buckets for each shuffle partition.
-HELD, BUCKETS = 3 << 20, 4
+#: Bytes of words whose strings a map task combines before it sends them on; buckets for each shuffle partition; bytes of a bucket's strings opened at once.
+HELD, BUCKETS, OPENED = 3 << 20, 4, 8 << 20
+#: A minimiser is frequent with over 1 / HOT of all places, and LEAST places at least: there are at most 4 / 3 HOT of them, 8 bytes each.
+HOT, LEAST = 50_000, 200
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(32)
+_FIRST = np.uint64(1 << 63)
 _PLACE = np.dtype([("doc", "<i8"), ("text", "<u8"), ("start", "<i4")])
 
 
@@ -56,7 +66,14 @@ def words_of(text: str | None) -> tuple[list[bytes], int]:
     return data.split(), xxhash.xxh3_64_intdigest(data)
 
 
-def _stretches(words: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _late(least: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Hashes in an order in which frequent ones come last: the others lose their first bit, these have it."""
+    at = np.searchsorted(hot, least)
+    at[at == len(hot)] = 0
+    return np.where(hot[at] == least, least | _FIRST, least & ~_FIRST) if len(hot) else least & ~_FIRST
+
+
+def _stretches(words: list[bytes], k: int, hot: np.ndarray = np.zeros(0, np.uint64)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of texts with k words or more: minimiser, first window and window after the last of stretches whose windows share a minimiser."""
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     least = h[: len(h) - MINIMISER + 1].copy()
@@ -64,6 +81,7 @@ def _stretches(words: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.n
         least = (least ^ (least >> _C)) * _A + h[i : len(h) - MINIMISER + 1 + i] * _B
     least ^= least >> _C
     least *= _A
+    least = _late(least & ~_FIRST, hot)
     # The least of k - MINIMISER + 1 neighbours, by doubling.
     span, width = k - MINIMISER + 1, 1
     while 2 * width <= span:
@@ -75,11 +93,11 @@ def _stretches(words: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.n
     return least[starts], starts, np.append(starts[1:], len(least))
 
 
-def super_kmers(words: list[bytes], k: int = WINDOW) -> Iterator[tuple[int, int, int, bytes]]:
+def super_kmers(words: list[bytes], k: int = WINDOW, hot: np.ndarray = np.zeros(0, np.uint64)) -> Iterator[tuple[int, int, int, bytes]]:
     """(minimiser, first window, windows, packed words) of stretches whose windows share a minimiser."""
     if len(words) < k:
         return
-    keys, starts, ends = _stretches(words, k)
+    keys, starts, ends = _stretches(words, k, hot)
     packed = b" ".join(words)
     at = np.zeros(len(words) + 1, np.int64)
     np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1, out=at[1:])
@@ -106,8 +124,30 @@ def _opened(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return keys, counts, sizes, places, block[at:]
 
 
-def _packed(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """doc_id, text to bucket, block; one block a bucket of each HELD bytes of words."""
+def frequent(docs: DataFrame) -> np.ndarray:
+    """Minimisers with over 1 / HOT of all places, sorted. Tasks report those with 1 / (4 HOT) of their batch's; what that leaves out is under a quarter of the bound."""
+
+    per = 4 * HOT
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [_stretches(words, WINDOW)[0] for t in batch.column("text") if len(words := (t.as_py() or "").encode("utf-8", "surrogatepass").split()) >= WINDOW]
+            keys, counts = np.unique(np.concatenate(keys), return_counts=True) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            total = int(counts.sum())
+            said = counts > max(1, total // per)
+            rows = [pa.array(np.append(keys[said].view(np.int64), -1)), pa.array(np.append(counts[said], total).astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(rows, ["minimiser", "places"])
+
+    # -1 has the batches' totals: no minimiser has its first bit here.
+    found = written(docs.where("doc_id is not null").select("text").mapInArrow(run, "minimiser long, places long").groupBy("minimiser").agg(F.sum("places").alias("places")), "minimisers")
+    total = found.where("minimiser = -1").agg(F.sum("places")).first()[0] or 0
+    hot = found.where((F.col("minimiser") >= 0) & (F.col("places") > max(LEAST, 3 * total // per))).select("minimiser").collect()
+    discard(found)
+    return np.sort(np.array([r.minimiser for r in hot], np.int64)).view(np.uint64)
+
+
+def _packed(batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """doc_id, text to bucket, block; one block a bucket of every `most` bytes of words."""
     found: dict[bytes, list] = {}
     held = 0
     compress = zstd.ZstdCompressor(level=3).compress
@@ -132,14 +172,14 @@ def _packed(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Reco
             if doc_id is None:
                 continue
             words, mark = words_of(text.as_py())
-            for key, start, _, packed in super_kmers(words):
+            for key, start, _, packed in super_kmers(words, WINDOW, hot):
                 have = found.get(packed)
                 if have is None:
                     found[packed] = [key, (doc_id, mark, start)]
                 else:
                     have.append((doc_id, mark, start))
             held += sum(map(len, words))
-            if held >= HELD and found:
+            if held >= most and found:
                 yield rows()
                 found.clear()
                 held = 0
@@ -190,28 +230,33 @@ def _repeats(rows: list[tuple[bytes, np.ndarray]], k: int) -> Iterator[tuple[np.
             i = j + 1
 
 
-def _groups(blocks: list[bytes]) -> Iterator[list[tuple[bytes, np.ndarray]]]:
-    """Of one bucket the strings of each minimiser that stands in more than one place."""
-    opened = [_opened(zstd.ZstdDecompressor().decompress(b)) for b in blocks]
-    keys = np.concatenate([o[0] for o in opened])
-    counts = np.concatenate([o[1] for o in opened])
-    block = np.repeat(np.arange(len(opened)), [len(o[0]) for o in opened])
-    ends = np.concatenate([np.cumsum(o[2], dtype=np.int64) for o in opened])
-    sizes = np.concatenate([o[2] for o in opened])
-    last = np.concatenate([np.cumsum(o[1], dtype=np.int64) for o in opened])
+def _groups(blocks: list[bytes], most: int) -> Iterator[list[tuple[bytes, np.ndarray]]]:
+    """Of one bucket the strings of each minimiser that stands in more than one place; the blocks are opened one by one, again for every share of the minimisers."""
+    opened = lambda: (_opened(zstd.ZstdDecompressor().decompress(b)) for b in blocks)
+    keys, counts, sizes = (np.concatenate(c) for c in zip(*(o[:3] for o in opened()), strict=True))
     order = np.argsort(keys, kind="stable")
     begins = np.concatenate(([0], np.flatnonzero(np.diff(keys[order])) + 1))
-    stops = np.append(begins[1:], len(keys))
-    wanted = (stops - begins > 1) | (counts[order[begins]] > 1)
-    for b, e in zip(begins[wanted].tolist(), stops[wanted].tolist(), strict=True):
-        rows = []
-        for i in order[b:e].tolist():
-            own = opened[block[i]]
-            rows.append((own[4][ends[i] - sizes[i] : ends[i]], own[3][last[i] - counts[i] : last[i]]))
-        yield rows
-
-
-def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    wanted = keys[order[begins[np.add.reduceat(counts[order], begins) > 1]]]
+    if not len(wanted):
+        return
+    mine = wanted[np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)] == keys
+    held = int(sizes[mine].sum()) + _PLACE.itemsize * int(counts[mine].sum())
+    shares = max(1, -(-held // most))
+    del keys, counts, sizes, order, mine
+    for share in range(shares):
+        by: dict[int, list[tuple[bytes, np.ndarray]]] = {}
+        own = wanted[wanted % np.uint32(shares) == share]
+        if not len(own):
+            continue
+        for keys, counts, sizes, places, strings in opened():
+            ends, last = np.cumsum(sizes, dtype=np.int64), np.cumsum(counts, dtype=np.int64)
+            at = np.flatnonzero(own[np.minimum(np.searchsorted(own, keys), len(own) - 1)] == keys)
+            for i, key in zip(at.tolist(), keys[at].tolist(), strict=True):
+                by.setdefault(key, []).append((strings[ends[i] - sizes[i] : ends[i]], places[last[i] - counts[i] : last[i]].copy()))
+        yield from by.values()
+
+
+def _bucketed(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Blocks sorted by bucket to spans of removed words: doc_id, mark, start, stop."""
     k = WINDOW
     bucket_now, held = None, []
@@ -226,7 +271,7 @@ def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in (doc, mark, start, stop)], ["doc_id", "mark", "start", "stop"])
 
     def close() -> Iterator[pa.RecordBatch]:
-        for rows in _groups(held) if held else ():
+        for rows in _groups(held, most) if held else ():
             out.extend(_repeats(rows, k))
             if len(out) > 20_000:
                 yield spans()
@@ -244,10 +289,11 @@ def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, mark, spans: the words of each document that repeat a smaller document's windows."""
-    n = shuffles(docs.sparkSession)
-    packed = docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(lambda batches: _packed(batches, n * BUCKETS), "bucket int, block binary")
+    n, held, opened = shuffles(docs.sparkSession), HELD, OPENED
+    hot = docs.sparkSession.sparkContext.broadcast(frequent(docs))
+    packed = docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(lambda batches: _packed(batches, n * BUCKETS, hot.value, held), "bucket int, block binary")
     dealt = packed.repartition(n, "bucket").sortWithinPartitions("bucket")
-    spans = dealt.mapInArrow(_bucketed, "doc_id long, mark long, start int, stop int")
+    spans = dealt.mapInArrow(lambda batches: _bucketed(batches, opened), "doc_id long, mark long, start int, stop int")
     return written(spans.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "spans")
 
 
@@ -274,11 +320,12 @@ def kept(words: list[bytes], spans) -> list[bytes]:
     return [w for w, s in zip(words, stays.tolist(), strict=True) if s]
 
 
-def _split(docs: DataFrame, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """docs that surely have no spans, and the others with theirs (null where the bitmap was wrong); columns __mark and __spans."""
+def _split(docs: DataFrame, spans: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """docs that surely have no spans, and the others with theirs in `column` (null where the bitmap was wrong)."""
     sc = docs.sparkSession.sparkContext
     bits = sc.broadcast(_hits(spans))
-    names = [*docs.columns, "__mark"]
+    mark, slot, doc, m = unused(docs, "mark", "slot", "doc", "m")
+    names = [*docs.columns, mark]
 
     def sorted_out(wanted: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,24 +336,24 @@ def _split(docs: DataFrame, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
                 marks = [words_of(t.as_py())[1] for t in b.column(names.index("text"))] if wanted else [0] * b.num_rows
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(np.array(marks, np.uint64).view(np.int64))], names)
 
-        schema = docs.withColumn("__mark", F.lit(0).cast("long")).schema
-        return docs.withColumn("__slot", F.coalesce(_slot(F.col("doc_id")), F.lit(0))).mapInArrow(run, schema)
+        schema = docs.withColumn(mark, F.lit(0).cast("long")).schema
+        return docs.withColumn(slot, F.coalesce(_slot(F.col("doc_id")), F.lit(0))).mapInArrow(run, schema)
 
     some = sorted_out(True)
-    s = spans.select(F.col("doc_id").alias("__doc"), F.col("mark").alias("__m"), F.col("spans").alias("__spans"))
-    some = some.join(s, (F.col("doc_id").cast("long") == F.col("__doc")) & (F.col("__mark") == F.col("__m")), "left").drop("__doc", "__m")
-    return sorted_out(False), some
+    s = spans.select(F.col("doc_id").alias(doc), F.col("mark").alias(m), F.col("spans").alias(column))
+    some = some.join(s, (F.col("doc_id").cast("long") == F.col(doc)) & (F.col(mark) == F.col(m)), "left").select(*docs.columns, column)
+    return sorted_out(False).drop(mark), some
 
 
 def removed(docs: DataFrame) -> DataFrame:
     """docs: doc_id, text. doc_id, n_words, n_removed, kept_sha256 of every row."""
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    none, some = _split(docs, repeated_spans(docs))
+    none, some = _split(docs, repeated_spans(docs), "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for text, spans in zip(b.column("text"), b.column("__spans").to_pylist(), strict=True):
+            for text, spans in zip(b.column("text"), b.column("spans").to_pylist(), strict=True):
                 words = words_of(text.as_py())[0]
                 left = kept(words, spans) if spans else words
                 rows.append((len(words), len(words) - len(left), hashlib.sha256(b" ".join(left)).hexdigest()))
@@ -317,14 +364,14 @@ def removed(docs: DataFrame) -> DataFrame:
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     empty = F.lit(None).cast("array<struct<start:int,stop:int>>")
-    columns = ["doc_id", "text", "__spans"]
-    return none.withColumn("__spans", empty).select(columns).mapInArrow(run, schema).unionByName(some.select(columns).mapInArrow(run, schema))
+    columns = ["doc_id", "text", "spans"]
+    return none.withColumn("spans", empty).select(columns).mapInArrow(run, schema).unionByName(some.select(columns).mapInArrow(run, schema))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs without the repeated words; all columns, n_chars (if there) counted anew. Texts that lose nothing stay as they are."""
-    none, some = _split(docs, repeated_spans(docs))
-    names = docs.columns
+    names, spans_of = docs.columns, unused(docs, "spans")[0]
+    none, some = _split(docs, repeated_spans(docs), spans_of)
     at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,7 +384,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    cut = some.select(*names, "__spans").mapInArrow(run, docs.schema)
+    cut = some.select(*names, spans_of).mapInArrow(run, docs.schema)
     if "n_chars" in names:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return none.select(names).unionByName(cut)

@@ -153,6 +153,15 @@ def test_repeats(docs, plain, nothing, monkeypatch):
     assert repeats.removed(nothing).count() == 0
 
 
+def test_repeats_with_frequent_minimisers_and_small_shares(docs, plain, monkeypatch):
+    """Most stretches frequent, strings combined a few words at a time, buckets opened a few strings at a time."""
+    expected = sorted(((d, n, g, hashlib.sha256(b" ".join(k)).hexdigest()) for d, n, g, k in brute_repeats(plain)), key=repr)
+    for name, value in (("HELD", 300), ("OPENED", 200), ("HOT", 5000), ("LEAST", 1)):
+        monkeypatch.setattr(repeats, name, value)
+    assert len(repeats.frequent(docs.selectExpr("cast(doc_id as long) doc_id", "text"))) > 20
+    assert rows(repeats.removed(docs)) == expected
+
+
 def test_repeats_leave_other_columns(docs, plain):
     out = repeats.deduplicated(docs)
     assert out.columns == docs.columns
@@ -177,6 +186,55 @@ def test_mixing(docs, plain, nothing):
     assert mixing.mix(nothing).count() == 0
 
 
+def brute_reps(plain, targets, seed="mix-1"):
+    """(doc_id, text) and times taken, by the order of the hash; equal texts of one id are interchangeable."""
+    by = defaultdict(list)
+    for d, t, s in plain:
+        by[s].append((hashlib.md5(f"{seed}:{'null' if d is None else d}".encode()).hexdigest(), d, t))
+    out = Counter()
+    for s, own in by.items():
+        size, target = sum(len((t or "").encode().split()) for _, _, t in own), targets[s]
+        whole = int(target // size) if size else 0
+        rest, upto = target - whole * size, 0
+        for h, d, t in sorted(own, key=lambda x: x[0]):
+            n = len((t or "").encode().split())
+            upto += n
+            out[(s, d)] += n * (whole + (rest > 0 and 2 * upto - n <= 2 * rest))
+    return out
+
+
+@pytest.mark.parametrize("rows_held", [0, 20_000])
+def test_mixing_takes_what_the_order_says(spark, monkeypatch, rows_held):
+    """Unique ids with empty texts, ranges divided once or down to single rows; working names taken by columns."""
+    monkeypatch.setattr(mixing, "RANGE_ROWS", rows_held)
+    r = np.random.default_rng(4)
+    plain = [(i, " ".join(words(i, int(n), 50)) if n else None, f"s{i % 5}" if i % 5 else None) for i, n in enumerate(r.choice([0, 0, 3, 8, 40, 300], 300))]
+    plain += [(1000 + i, "few words here", "tiny") for i in range(3)]
+    d = spark.createDataFrame([(*x, 9, 9, 9, 9, 9) for x in plain], "doc_id long, text string, source string, `__n` int, `__s` int, `__b` int, `__key` int, `__size` int").repartition(4)
+    got = mixing.mixed(d).collect()
+    assert [c for c in d.columns] == list(got[0].asDict())[:-1] and all(r["__n"] == r["__s"] == r["__b"] == r["__key"] == r["__size"] == 9 for r in got)
+    targets = {r.source: r.target for r in mixing.mix(d).join(d.select("doc_id", "source"), "doc_id").collect()}
+    taken = Counter()
+    for x in got:
+        taken[(x.source, x.doc_id)] += x["__reps"] * len((x.text or "").encode().split())
+        assert x["__reps"] <= 3
+    assert +taken == +brute_reps(plain, targets) and len(got) == len(plain)
+    with pytest.raises(ValueError):
+        mixing.mixed(d, reps="__n")
+
+
+def test_mixing_splits_equal_rows(spark):
+    """A source of equal rows only, of which a third is taken: so many of them, not all or none, and the same in a rerun."""
+    plain = [(None, "one two three", "a")] * 50 + [(7, "one two three", "b")] * 50 + [(i, "x " * 60, "c") for i in range(5)] + [(9, None, "b"), (10, "", None)]
+    d = spark.createDataFrame(plain, "doc_id long, text string, source string").repartition(5)
+    out = mixing.mix(d).collect()
+    for s in {(r.source_size, r.target) for r in out}:
+        own = [r for r in out if (r.source_size, r.target) == s]
+        assert abs(sum(r.taken for r in own) - s[1]) <= max(r.size for r in own) / 2 + 1e-6 and all(r.taken <= 3 * r.size for r in own)
+    assert len(out) == len(plain) and rows(mixing.mix(d)) == sorted((tuple(r) for r in out), key=repr)
+    assert all(r["__reps"] <= 3 for r in mixing.mixed(d).collect())
+
+
 def test_water_filling(spark):
     sizes = {"a": 10, "b": 100, "c": 1000, "d": 5, None: 40}
     df = spark.createDataFrame(list(sizes.items()), "__s string, __size long")
