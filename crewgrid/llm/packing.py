@@ -7,14 +7,15 @@ packs best-fit decreasing and compares its sequences with a lower bound by
 dual-feasible functions: partitions that meet the bound are certified and
 done. Of the rest, the sequences that are filled to at least
 `full_share` stay, while the gaps' documents are exchanged: they go to fewer
-partitions with those of others and are packed anew, until none is left or
-all that remain have met in one partition.
+partitions with those of others and are packed anew, until none is left, or all that remain
+have met in one partition, or partitions are as large as they may be and what is left hardly falls.
 
 Only ids' checksums and lengths travel; texts and ids never leave the scan.
 
-Tokens: the ids of the vocabulary file's byte-level BPE, special tokens'
-strings being ordinary text. The file's own merges run in tiktoken's
-engine, equal to what the tokenizers library returns (tested), at four times the speed;
+Tokens: the ids of the vocabulary file as the tokenizers library gives them with
+add_special_tokens=False: where the string of one of the file's added tokens stands in a text,
+that token's id. Between them, the file's own merges run in tiktoken's
+engine, equal to what that library returns (tested), at four times the speed;
 most words are looked up in a bounded table of words seen before.
 
 Nulls and odd input: a null text is empty and becomes one piece, the end
@@ -38,12 +39,12 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shuffles, table, written
+from .common import discard, table, written
 
 ROOM, END = 1024, 2
 VOCABULARY = "byte_bpe_50k.json"
-#: Pieces in a packing partition, the fill from which an uncertified sequence stays, and words in a task's table.
-PIECES, FULL_SHARE, WORDS = 25_000, 0.98, 400_000
+#: Pieces in a packing partition, at most so many times that in later rounds, the fill from which an uncertified sequence stays, and words in a task's table.
+PIECES, MOST, FULL_SHARE, WORDS = 25_000, 16, 0.98, 400_000
 _ODD_SPACE = re.compile(r"  |[^\S ] | [^\S ]|^ | $")
 
 
@@ -55,25 +56,36 @@ def _byte_letters() -> dict[str, int]:
 
 
 @lru_cache(maxsize=2)
-def encoding(path: str) -> tiktoken.Encoding:
-    """The file's vocabulary, whose ids are in the order of its merges."""
+def encoding(path: str) -> tuple[tiktoken.Encoding, re.Pattern | None, dict[str, bytes]]:
+    """The file's vocabulary, whose ids are in the order of its merges, and what finds its added tokens, with their ids."""
     with open(path, encoding="utf-8") as f:
-        vocabulary = json.load(f)["model"]["vocab"]
+        file = json.load(f)
+    added = {t["content"]: t for t in file.get("added_tokens") or ()}
+    if odd := [c for c, t in added.items() if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]]:
+        raise ValueError(f"added tokens with rules of their own: {odd}")
     letters = _byte_letters()
-    ranks = {bytes(letters[c] for c in word): i for word, i in vocabulary.items() if all(c in letters for c in word) and not word.startswith("<|")}
-    return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ranks = {bytes(letters[c] for c in word): i for word, i in file["model"]["vocab"].items() if word not in added}
+    found = re.compile("(" + "|".join(re.escape(c) for c in sorted(added, key=lambda c: (-len(c), c))) + ")") if added else None
+    ids = {c: np.array([t["id"]], "<u4").tobytes() for c, t in added.items()}
+    return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), found, ids
 
 
 class Ids:
     """Token ids as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str, words: int = WORDS):
-        self.engine, self.words, self.known = encoding(path), words, {}
+        (self.engine, self.added, self.added_ids), self.words, self.known = encoding(path), words, {}
 
     def _plain(self, text: str) -> bytes:
         return np.asarray(self.engine.encode_ordinary(text), "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
+        """The added tokens' ids where their strings stand, of longer ones first, and those of the texts between."""
+        if self.added is None or not self.added.search(text):
+            return self._between(text)
+        return b"".join(self.added_ids[x] if i % 2 else self._between(x) for i, x in enumerate(self.added.split(text)))
+
+    def _between(self, text: str) -> bytes:
         """Where every blank stands alone between words, pieces of the pattern never reach over it, so words with their blank are looked up one by one."""
         if not text or _ODD_SPACE.search(text):
             return self._plain(text) if text else b""
@@ -180,22 +192,22 @@ def pack(docs: DataFrame, path: str | None = None, room: int = ROOM, end: int =
     identity = F.xxhash64("doc_id", "piece", "start", "ids_crc32")
     full = all_pieces.where(F.col("length") == room).withColumns({"sequence_id": F.lit(1 << 62) + F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
     done, waiting = [written(full, "full")], all_pieces.where(F.col("length") < room)
-    round_no, parts = 1, None
-    while True:
-        n = waiting.count()
-        if not n:
-            break
-        # A round has at most half as many partitions as the one before it, so a gap's documents meet those of others.
-        parts = min(max(1, -(-n // per_partition)), parts // 2 if parts else n)
-        last = parts <= 1
+    round_no, parts, n = 1, None, waiting.count()
+    while n:
+        # A round has at most half as many partitions as the one before it, so a gap's documents meet those of others, but so many that none is too large.
+        least = max(1, -(-n // (MOST * per_partition)))
+        parts = max(least, min(max(1, -(-n // per_partition)), parts // 2 if parts else n))
         # Repeated rows have one identity; their place among the scan's rows spreads them.
-        keyed = waiting.withColumn("__part", F.pmod(F.xxhash64(identity, F.monotonically_increasing_id() if round_no == 1 else F.lit(round_no)), F.lit(max(parts, 1))).cast("int"))
-        out = written(keyed.repartition(max(parts, 1), "__part").groupBy("__part").applyInPandas(_packer(round_no, last, room, full_share), PACKED), f"round{round_no}")
+        keyed = waiting.withColumn("__part", F.pmod(F.xxhash64(identity, F.monotonically_increasing_id() if round_no == 1 else F.lit(round_no)), F.lit(parts)).cast("int"))
+        out = written(keyed.repartition(parts, "__part").groupBy("__part").applyInPandas(_packer(round_no, parts <= 1, room, full_share), PACKED), f"round{round_no}")
+        before, n = n, out.where("not placed").count()
+        if parts == least and n > before * 9 // 10:
+            done.append(out.drop("placed"))
+            break
         done.append(out.where("placed").drop("placed"))
         waiting = out.where("not placed").select("doc_id", "piece", "start", "length", "ids_crc32")
-        if last:
-            break
         round_no += 1
+    discard(all_pieces)
     result = done[0]
     for d in done[1:]:
         result = result.unionByName(d)

@@ -27,7 +27,7 @@ def texts():
     out = [" ".join(x) for x in [base, base, *near, *chain]]
     out += [" ".join(words(s, 40, 5000) + passage + words(s + 50, 40, 5000)) for s in range(10, 18)]
     out += ["", None, " \n\t ", "one two", "One  TWO", "one two three four five", "one two three four five six", "x " * 300, "x " * 280, "éa 日本 b　c d e f g"]
-    out += [" ".join(words(99, 3000, 5000)), "a MIT license b Apache License c", "SPDX-License-Identifier: (MIT OR GPL-2.0-only)\nrest"]
+    out += [" ".join(words(99, 3000, 5000)), "a MIT license b Apache License c", "<|endoftext|> hi <|endoftext|>", "SPDX-License-Identifier: (MIT OR GPL-2.0-only)\nrest"]
     return out
 
 
@@ -306,7 +306,6 @@ def brute_pieces(plain, room=1024):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
-    t.encode_special_tokens = True
     out = []
     for d, text in plain:
         ids = np.array(t.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
