@@ -3,16 +3,17 @@
 Two zstandard dictionaries are trained, on ordinary and on toxic text. A
 text is cut into windows of `window` words and every window is compressed
 with both; a window is toxic as far as the toxic dictionary makes it shorter.
-The sum of these gains, and the best, go through calibrated thresholds: a
-monotone table each, from gain to the share of toxic documents, fitted on
-training rows that the dictionaries did not see. The score is the lesser of the
-two shares, so that single bytes over many windows of a long text are not enough.
+The sum of these gains, the gain a window and the best gain go through calibrated
+thresholds: a monotone table each, from gain to the share of toxic documents, fitted on
+training rows that the dictionaries did not see, at the base rate of the labels. The score is the
+sum's share, but no more than the greater of the two others: a toxic text has a surely
+toxic window or many that lean to it. So single bytes over many windows of a long text are not enough.
 
 What makes the distance sharp: both dictionaries hold the same ordinary
 part (trained by zstandard's COVER from windows of ordinary documents) and
-differ only in a last part, trained on toxic text after contrast, which has
-the runs of letters that are common in toxic documents and all but absent
-from ordinary ones; the other dictionary has filler there. Trained plainly on
+differ only in a last part, taken from toxic text by contrast, which has
+the runs of letters that surely more toxic than ordinary documents have (bounds of
+`Z` standard errors on either share, `RATIO` apart); the other dictionary has filler there. Trained plainly on
 whole documents the two dictionaries share nearly all their content and the
 gain is noise (AUC 0.6 to 0.7).
 
@@ -31,6 +32,7 @@ Equal texts have equal scores. Extra columns are dropped.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
@@ -45,12 +47,15 @@ from pyspark.sql import functions as F
 
 from .common import ALNUM, fold, table, written
 
-WINDOW, GRAM = 8, 5
+WINDOW, GRAM = 4, 5
 ORDINARY_BYTES, TOXIC_BYTES = 4096, 4096
 MAX_TOXIC, MAX_ORDINARY, MAX_WINDOWS = 2500, 10_000, 40_000
 THRESHOLD = 0.7
-#: A run of letters is toxic if at least this share of toxic documents has it, and of ordinary ones at most RATIO times that.
-MIN_SHARE, MIN_DOCS, RATIO = 0.006, 3, 0.006
+#: A run of letters is toxic if MIN_DOCS toxic documents have it and the lower bound of their share is RATIO times the upper bound of the ordinary ones'.
+MIN_DOCS, Z, RATIO = 3, 3.0, 1.5
+#: Steps of the tables: bytes gained, and bytes gained a window.
+LEVELS = (0.0, 1.0, 2.0, 3.0, 4.0, 6.0, 9.0, 14.0, 25.0)
+RATES = (0.0, 0.02, 0.04, 0.07, 0.1, 0.15, 0.2, 0.3, 0.5, 0.8)
 
 
 def windows(text: str | None, size: int) -> list[bytes]:
@@ -87,17 +92,23 @@ class Model:
     ordinary: bytes
     toxic: bytes
     window: int
-    #: Calibration: for a gain of at least gains[i], the share scores[i] by the sum and bests[i] by the best window.
+    #: Calibration: for a gain of at least gains[i], the share scores[i] by the sum and bests[i] by the best window; for rates[i] a window, densities[i].
     gains: tuple[float, ...]
     scores: tuple[float, ...]
     bests: tuple[float, ...]
+    rates: tuple[float, ...] = (float("-inf"),)
+    densities: tuple[float, ...] = (1.0,)
 
     def compressors(self) -> tuple[zstd.ZstdCompressor, zstd.ZstdCompressor]:
         return _compressor(self.ordinary + b"\1" * len(self.toxic)), _compressor(self.ordinary + self.toxic)
 
-    def score(self, gain: tuple[float, float]) -> float:
+    def score(self, gain: tuple[float, float], n: int | None = None) -> float:
+        """gain: of all windows and of the best one; n: how many windows there are, if that may count."""
         total, best = (int(np.searchsorted(self.gains, g, "right")) - 1 for g in gain)
-        return min(self.scores[total], self.bests[best])
+        other = self.bests[best]
+        if n is not None:
+            other = max(other, self.densities[int(np.searchsorted(self.rates, gain[0] / max(1, n), "right")) - 1])
+        return min(self.scores[total], other)
 
 
 def _compressor(content: bytes) -> zstd.ZstdCompressor:
@@ -164,10 +175,10 @@ class _Here:
         most = _quota(Counter(map(len, self._building(0))), n)
         return [w for x in sorted(self._building(0), key=_mark) for w in _spread(x, most)][:n]
 
-    def gains(self, model: Model) -> list[tuple[int, float, float]]:
-        """Class, gain and best gain of each text that calibrates."""
+    def gains(self, model: Model) -> list[tuple[int, float, float, int]]:
+        """Class, gain, best gain and number of windows of each text that calibrates."""
         p, q = model.compressors()
-        return [(y, *gains(x, p, q)) for y in (1, 0) for x in self.cut[y][1::4]]
+        return [(y, *gains(x, p, q), len(x)) for y in (1, 0) for x in self.cut[y][1::4]]
 
 
 class _Stored:
@@ -207,19 +218,26 @@ class _Stored:
         rows = self.building.where("toxic = 0").select("text").mapInArrow(run, "mark long, ws array<binary>").where("size(ws) > 0").orderBy("mark").limit(n).collect()
         return [bytes(w) for r in rows for w in r.ws][:n]
 
-    def gains(self, model: Model) -> list[tuple[int, float, float]]:
+    def gains(self, model: Model) -> list[tuple[int, float, float, int]]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             p, q = model.compressors()
             for b in batches:
-                g = [gains(windows(t.as_py(), model.window), p, q) for t in b.column("text")]
+                cut = [windows(t.as_py(), model.window) for t in b.column("text")]
+                g = [gains(x, p, q) for x in cut]
                 columns = [pa.array([x[i] for x in g], pa.float64()) for i in (0, 1)]
-                yield pa.RecordBatch.from_arrays([b.column("toxic"), *columns], ["toxic", "gain", "best"])
+                yield pa.RecordBatch.from_arrays([b.column("toxic"), *columns, pa.array(list(map(len, cut)), pa.int64())], ["toxic", "gain", "best", "n"])
 
-        return [tuple(r) for r in self.held.select("toxic", "text").mapInArrow(run, "toxic int, gain double, best double").collect()]
+        return [tuple(r) for r in self.held.select("toxic", "text").mapInArrow(run, "toxic int, gain double, best double, n long").collect()]
+
+
+def _bound(k: int, n: int, z: float) -> float:
+    """Wilson's bound of the share k / n, z standard errors off."""
+    p = k / n
+    return (p + z * z / (2 * n) + z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
 def train(toxic: list[str], ordinary: list[str], window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> Model:
-    """Three quarters of each class build the dictionaries; the other quarter, which they did not see, calibrates."""
+    """Three quarters of each class build the dictionaries; the other quarter, which they did not see, calibrates. texts: in the order of any hash."""
     return _trained_on(_Here(toxic, ordinary, window), window, max_windows)
 
 
@@ -228,32 +246,33 @@ def _trained_on(texts: _Here | _Stored, window: int, max_windows: int) -> Model:
     base = all_t / max(1, all_t + all_o)
     if not n_t or not n_o:
         return Model(b"", b"", window, (float("-inf"),), (base,), (base,))
-    seen = texts.counts(1, _grams, max(MIN_DOCS, MIN_SHARE * n_t))
+    seen = texts.counts(1, _grams, MIN_DOCS)
     common = set(seen)
     plain = texts.counts(0, lambda ws: _grams(ws) & common)
-    chosen = {g for g in common if plain[g] / n_o <= RATIO * seen[g] / n_t}
+    chosen = {g for g in common if _bound(seen[g], n_t, -Z) >= RATIO * _bound(plain[g], n_o, Z)}
     runs = texts.counts(1, lambda ws: _runs(ws, chosen))
     samples = [r for r, _ in sorted(runs.items(), key=lambda r: (r[1], r[0]))]
     part = b"\0".join(samples)
     part = part if len(part) <= TOXIC_BYTES else _trained([r for r in samples for _ in range(min(runs[r], 50))], TOXIC_BYTES)
     content = _trained(texts.ordinary(max_windows), ORDINARY_BYTES)
-    levels = [0.0, 1.0, 2.0, 3.0, 4.0, 6.0, 9.0, 14.0, 25.0]
-    cuts = (float("-inf"), *levels[1:])
+    cuts, rates = (float("-inf"), *LEVELS[1:]), (float("-inf"), *RATES[1:])
     held = texts.gains(Model(content, part, window, (float("-inf"),), (base,), (base,)))
-    y = np.array([x[0] for x in held])
-    of_t, of_o = 0.5 / max(1, all_t - n_t), 0.5 / max(1, all_o - n_o)
+    y, total, best, n = (np.array([x[i] for x in held], float) for i in range(4))
 
-    def shares(g: np.ndarray) -> tuple[float, ...]:
-        """Each gain's share of toxic rows with that much (sampled classes weighted to be even), made to rise."""
+    def shares(g: np.ndarray, levels: tuple[float, ...], base: float) -> tuple[float, ...]:
+        """Each gain's share of toxic rows where they are `base` of all, with half a row of either class more over all levels; made to rise."""
+        n_1, n_0 = (y > 0).sum() + 0.5, (y == 0).sum() + 0.5
         out = []
-        for low, high in zip([-1.0, *levels[1:]], [*levels[1:], float("inf")], strict=True):
-            at = (g >= low) & (g < high)
-            t, o = of_t * int((at & (y > 0)).sum()), of_o * int((at & (y == 0)).sum())
-            # A prior of a hundredth of a class for either side.
-            out.append((t + 0.0005) / (t + o + 0.001))
+        for low, high in zip([float("-inf"), *levels[1:]], [*levels[1:], float("inf")], strict=True):
+            at, rest = (g >= low) & (g < high), 0.5 / len(levels)
+            t, o = base * ((at & (y > 0)).sum() + rest) / n_1, (1 - base) * ((at & (y == 0)).sum() + rest) / n_0
+            out.append(t / (t + o))
         return tuple(float(x) for x in np.maximum.accumulate(out))
 
-    return Model(content, part, window, cuts, *(shares(np.array([x[i] for x in held])) for i in (1, 2)))
+    scores = shares(total, LEVELS, base)
+    # No text scores less than one without gain.
+    bests, densities = (tuple(max(scores[0], x) for x in t) for t in (shares(best, LEVELS, base), shares(total / np.maximum(n, 1), RATES, base)))
+    return Model(content, part, window, cuts, scores, bests, rates, densities)
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable, max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY, max_windows: int = MAX_WINDOWS) -> Model:
@@ -275,8 +294,9 @@ def toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain, toxic = model.compressors()
         for batch in batches:
-            g = [gains(windows(t.as_py(), model.window), plain, toxic) if model.toxic else (0.0, 0.0) for t in batch.column("text")]
-            s = [model.score(x) for x in g]
+            cut = [windows(t.as_py(), model.window) for t in batch.column("text")]
+            g = [gains(x, plain, toxic) if model.toxic else (0.0, 0.0) for x in cut]
+            s = [model.score(x, len(ws)) for x, ws in zip(g, cut, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(s, pa.float64()), pa.array([int(x >= threshold) for x in s], pa.int32()), pa.array([x for x, _ in g], pa.float64())],
                 ["doc_id", "score", "predicted", "gain"],
