@@ -32,7 +32,7 @@ RESIDENT_SIGNALS = ["주민등록번호", "주민번호", "rrn"]
 RECRUIT_SIGNALS = ["채용", "지원자", "경력기술서", "skillinventory"]
 GRADE_SIGNALS = ["등급", "grade", "hr검토", "최종확정"]
 ORG_SIGNALS = ["조직도", "orgchart"]
-SKIP_SHEETS = ["가이드", "guide", "설명", "기준", "작성기준", "실적관리가이드", "sheet2", "색인", "index"]
+SKIP_SHEETS = ["가이드", "guide", "설명", "기준", "작성기준", "실적관리가이드", "sheet2", "색인", "index", "본부별년차별인원수"]
 MASTER_SHEETS = ["재직자", "퇴사자", "입사자", "프로그래머", "엔지니어"]
 
 #: Kinds of sheets, the most telling of a file's first; and where a file of a kind belongs.
@@ -41,6 +41,11 @@ FOLDERS = {
     "master": "headcount", "reference_roster": "roster", "aux_skill": "skills", "aux_recruit": "recruit", "aux_personalcard": "evaluation",
     "aux_pricing": "pricing", "sensitive_drop": "sensitive", "org_chart": "org_chart", "unknown": "unknown",
 }
+#: Kind of a whole file by the folder that it was sorted into.
+FOLDER_KINDS = {
+    "headcount": "master_candidate", "roster": "aux_reference_roster", "skills": "aux_skill", "recruit": "aux_recruit", "evaluation": "aux_personalcard",
+    "pricing": "aux_pricing", "sensitive": "sensitive_drop", "org_chart": "org_chart", "unknown": "unmatched_excel",
+}
 #: Kind of a whole file by the kind of its sheets.
 FILE_KINDS = {"master": "master_candidate", "reference_roster": "aux_reference_roster", "skip": "unmatched_excel", "unknown": "master_candidate"}
 #: Keywords of file names, tried in this order.
@@ -53,8 +58,20 @@ FILE_NAMES = [
     ("sensitive_drop", ["연락망", "주소록"]),
 ]
 
-#: Header needles of headcount and turnover sheets, words of sheet names.
-HEADCOUNT_NEEDLES = ["사번", "사원번호", "이름", "성명", "입사일", "퇴사일", "소속", "부서"]
+#: Old binary workbooks are sorted by these keywords of their names, tried in this order.
+XLS_NAMES = [
+    ("master", ["인원현황", "재직자", "퇴사자", "입사자", "인력등급"]),
+    ("reference_roster", ["명단", "roster"]),
+    ("org_chart", ["조직도", "orgchart"]),
+    ("aux_skill", ["스킬", "skill", "기술스택"]),
+    ("aux_recruit", ["채용", "recruit"]),
+    ("aux_pricing", ["단가", "연봉", "투입", "실적", "simu", "급여", "인상"]),
+    ("aux_personalcard", ["인사기록카드", "개인이력카드", "평가"]),
+]
+
+#: Header needles of headcount, of skill and recruiting, and of turnover sheets; words of sheet names.
+HEADCOUNT_NEEDLES = ["사번", "사원코드", "사원번호", "이름", "성명", "사원명", "name", "employee"]
+AUX_NEEDLES = ["성명", "이름", "사원명", "name", "employee", "skill", "스킬", "기술"]
 ROSTER_NEEDLES = ["입사자", "퇴사자", "퇴직자"]
 ACTIVE_SHEETS, EXITED_SHEETS, SURVEY_SHEETS = ["재직", "현원", "인원", "조직"], ["퇴사", "퇴직"], ["설문", "survey"]
 
@@ -73,10 +90,10 @@ CAREER_COLUMNS = {
     0: "seq", 1: "role_type", 2: "name", 3: "grade", 4: "org", 8: "join_date", 9: "education", 17: "career_grade",
     21: "prev_career_months", 23: "tenure_months", 25: "total_career_months",
 }
-CAREER_SENSITIVE = [5, 6, 7]
 
 #: Thresholds.
 HEADER_ROWS, UNNAMED_SHARE = 26, 0.7
+HEADCOUNT_ROWS, AUX_ROWS = 200, 50
 SCAN_ROWS, SCAN_SHARE = 8, 0.6
 EARLY_DAYS, SERIAL_LOW, SERIAL_HIGH, FOUNDED = 30, 20000, 60000, "2002-01-22"
 RISK_HIGH, RISK_MID, EXIT_RATE_BAD, EXIT_RATE_WARN, EARLY_WARN = 70, 40, 15, 10, 5

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..constants import EARLY_DAYS, FOUNDED, NULL_TOKENS, RISK_HIGH, RISK_MID, SERIAL_HIGH, SERIAL_LOW
 
 
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -46,14 +49,30 @@ def clean_text(c) -> Column:
 
 
 def to_date(c) -> Column:
-    """Dates of many spellings: yyyyMMdd, serial days from 1899-12-30, and year-month-day with -, . or /. Else null; so is the epoch day."""
-    t = F.regexp_replace(F.trim(_col(c).cast("string")), r"\.0$", "")
-    number = F.try_to_number(F.when(t.rlike(r"^\d{1,9}$"), t), F.lit("999999999")).cast("int")
-    serial = F.when((number >= SERIAL_LOW) & (number <= SERIAL_HIGH), F.date_add(F.lit("1899-12-30").cast("date"), number))
+    """Dates of many spellings: yyyyMMdd, serial days (with a time of day or without) from 1899-12-30, year-month-day with -, . or / or in Korean,
+    month/day/year, and months by English name before or after the day. Else null; so is the epoch day."""
+    t = F.trim(_col(c).cast("string"))
+    number = F.when(t.rlike(r"^\d{1,9}(\.\d*)?$"), t).try_cast("double")
+    serial = F.when((number >= SERIAL_LOW) & (number <= SERIAL_HIGH), F.date_add(F.lit("1899-12-30").cast("date"), F.floor(number).cast("int")))
+    t = F.regexp_replace(t, r"\.0$", "")
     eight = F.to_date(F.try_to_timestamp(F.when(t.rlike(r"^\d{8}$"), t), F.lit("yyyyMMdd")))
-    parts = [F.regexp_extract(t, r"^(\d{4})[-./](\d{1,2})[-./](\d{1,2})(?:[ T].*)?$", i) for i in (1, 2, 3)]
-    spelled = F.when(parts[0] != "", F.concat_ws("-", parts[0], F.lpad(parts[1], 2, "0"), F.lpad(parts[2], 2, "0"))).try_cast("date")
-    found = F.coalesce(eight, serial, spelled)
+
+    def spelled(pattern: str, year: int, month: int, day: int) -> Column:
+        y, m, d = (F.regexp_extract(t, pattern, i) for i in (year, month, day))
+        # Of a name the first three letters tell the month.
+        m = F.when(m.rlike("^[0-9]"), m).otherwise(((F.position(F.lower(F.substring(m, 1, 3)), F.lit(_MONTHS)) + 2) / 3).cast("int").cast("string"))
+        return F.when(y != "", F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0"))).try_cast("date")
+
+    after, name = r"(?:[ T].*)?$", r"(?i)(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?"
+    found = F.coalesce(
+        eight,
+        serial,
+        spelled(r"^(\d{4})[-./](\d{1,2})[-./](\d{1,2})" + after, 1, 2, 3),
+        spelled(r"^(\d{4})\s*년\s*(\d{1,2})\s*월\s*(\d{1,2})\s*일" + after, 1, 2, 3),
+        spelled(r"^(\d{1,2})[-./](\d{1,2})[-./](\d{4})" + after, 3, 1, 2),
+        spelled(r"^" + name + r"\s+(\d{1,2}),?\s+(\d{4})" + after, 3, 1, 2),
+        spelled(r"^(\d{1,2})[\s-]+" + name + r"[\s-]+(\d{4})" + after, 3, 2, 1),
+    )
     return F.when(found != F.lit("1970-01-01").cast("date"), found)
 
 
@@ -108,6 +127,11 @@ def percent(part, whole) -> Column:
     return F.when(_col(whole) > 0, _col(part) / _col(whole) * 100.0).otherwise(F.lit(0.0))
 
 
+def one_place(c) -> Column:
+    """Rounded to one place, halves to even."""
+    return F.bround(_col(c), 1)
+
+
 def risk_level(score) -> Column:
     return F.when(_col(score) >= RISK_HIGH, "high").when(_col(score) >= RISK_MID, "mid").otherwise("low")
 

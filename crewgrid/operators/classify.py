@@ -36,8 +36,9 @@ def _any_in(text: Column, words: list[str]) -> Column:
     return found
 
 
-def sheet_kind(sheet: Column, columns: Column) -> Column:
-    """The first rule that fits decides; resident numbers beside ids and dates don't keep a sheet from being a master."""
+def sheet_kind(sheet: Column, columns: Column, skip: tuple[str, ...] = ()) -> Column:
+    """The first rule that fits decides; resident numbers beside ids and dates don't keep a sheet from being a master. skip: names of sheets
+    to leave out besides those that any company may have."""
     name = key_of(sheet)
     keys = F.transform(F.coalesce(columns, F.array().cast("array<string>")), lambda c: key_of(c))
     dated = has(keys, K.JOIN_SIGNALS) | has(keys, K.EXIT_SIGNALS)
@@ -47,7 +48,7 @@ def sheet_kind(sheet: Column, columns: Column) -> Column:
         contacts = contacts + F.exists(keys, _holding(s)).cast("int")
     listed = F.exists(keys, lambda c: c.contains("입사자") | c.contains("퇴사자"))
     return (
-        F.when(_any_in(name, K.SKIP_SHEETS), "skip")
+        F.when(_any_in(name, [*K.SKIP_SHEETS, *skip]), "skip")
         .when(has(keys, K.ORG_SIGNALS) | _any_in(name, K.ORG_SIGNALS), "org_chart")
         .when((contacts >= 2) & ~(with_id & dated), "sensitive_drop")
         .when(with_id & dated, "master")
@@ -68,11 +69,11 @@ def kind_rank(kind: Column) -> Column:
     return F.coalesce(F.try_element_at(ranks, kind), F.lit(len(K.KINDS)))
 
 
-def name_kind(path: Column) -> Column:
-    """Kind by keywords of the file's name, else null."""
+def name_kind(path: Column, names=K.FILE_NAMES) -> Column:
+    """Kind by keywords of the file's name, the first that fits, else null."""
     name = file_name(path)
     out = F.lit(None).cast("string")
-    for kind, words in reversed(K.FILE_NAMES):
+    for kind, words in reversed(names):
         out = F.when(contains_any(name, words), kind).otherwise(out)
     return out
 
@@ -81,8 +82,8 @@ def folder_kind(path: Column) -> Column:
     """Kind by the folder that files of a kind are sorted into, else null."""
     folder = F.lower(parent_folder(path))
     out = F.lit(None).cast("string")
-    for kind, where in K.FOLDERS.items():
-        out = F.when(folder == where, K.FILE_KINDS.get(kind, kind)).otherwise(out)
+    for where, kind in K.FOLDER_KINDS.items():
+        out = F.when(folder == where, kind).otherwise(out)
     return out
 
 
@@ -97,10 +98,11 @@ def file_kinds(sheets: DataFrame) -> DataFrame:
 
 
 def sort_plan(sheets: DataFrame) -> DataFrame:
-    """Where each file belongs; nothing is moved."""
+    """Where each file belongs; nothing is moved. Old binary workbooks, which aren't opened, go by their names alone."""
     best = sheets.groupBy("file").agg(F.min_by("kind", F.struct(kind_rank(F.col("kind")), F.col("kind"))).alias("kind"))
     folders = F.create_map(*[F.lit(x) for pair in K.FOLDERS.items() for x in pair])
-    best = best.withColumn("kind", F.when(kind_rank(F.col("kind")) < len(K.KINDS) - 1, F.col("kind")).otherwise(F.coalesce(name_kind(F.col("file")), F.lit("unknown"))))
+    opened = F.when(kind_rank(F.col("kind")) < len(K.KINDS) - 1, F.col("kind")).otherwise(F.coalesce(name_kind(F.col("file")), F.lit("unknown")))
+    best = best.withColumn("kind", F.when(file_suffix("file") == ".xls", F.coalesce(name_kind(F.col("file"), K.XLS_NAMES), F.lit("unknown"))).otherwise(opened))
     return best.withColumn("folder", F.coalesce(F.try_element_at(folders, F.col("kind")), F.lit("unknown")))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import EARLY_WARN, EXIT_RATE_BAD, EXIT_RATE_WARN, NULL_TOKENS, RISK_HIGH, RISK_MID
-from ..functions.scalars import month_of, percent, risk_level
+from ..functions.scalars import month_of, one_place, percent, risk_level
 
 
 def apply_filter(df: DataFrame, first: int | None = None, last: int | None = None, orgs=(), depts=()) -> DataFrame:
@@ -38,7 +38,7 @@ def early_by_month(early: DataFrame) -> DataFrame:
 
 
 def kpis(people: DataFrame, yearly: DataFrame, early: DataFrame, year: int) -> DataFrame:
-    """One row for a reference year; growth is against exactly the year before. Rates are not rounded."""
+    """One row for a reference year; growth is against exactly the year before. Rates are rounded to one place, and levels go by the rounded rate."""
     this, before = F.col("year") == year, F.col("year") == year - 1
     flow = yearly.agg(
         F.coalesce(F.sum(F.when(this, F.col("hires"))), F.lit(0)).alias("hires"),
@@ -46,11 +46,11 @@ def kpis(people: DataFrame, yearly: DataFrame, early: DataFrame, year: int) -> D
         F.coalesce(F.sum(F.when(before, F.col("hires"))), F.lit(0)).alias("hires_before"),
     )
     out = flow.withColumns({"total": people.agg(F.count("*")).scalar(), "early": early.agg(F.count("*")).scalar()})
-    rate = percent("exits", "total")
+    rate = one_place(percent("exits", "total"))
     return out.select(
         F.lit(year).cast("long").alias("year"), "total", "hires", "exits", "early",
         rate.alias("exit_rate"),
-        F.when(F.col("hires_before") > 0, (F.col("hires") - F.col("hires_before")) / F.col("hires_before") * 100.0).alias("hires_growth"),
+        one_place(F.when(F.col("hires_before") > 0, (F.col("hires") - F.col("hires_before")) / F.col("hires_before") * 100.0)).alias("hires_growth"),
         F.when(rate >= EXIT_RATE_BAD, "exit").when(rate >= EXIT_RATE_WARN, "warn").otherwise("ok").alias("rate_level"),
         F.when(F.col("early") > EARLY_WARN, "warn").otherwise("ok").alias("early_level"),
     )
@@ -62,9 +62,14 @@ def risk_buckets(scored: DataFrame) -> DataFrame:
 
 
 def risk_top(scored: DataFrame, n: int = 20, *ties: str) -> DataFrame:
-    """A report of the n highest scores."""
-    top = scored.orderBy(F.desc("attrition_risk_score"), *ties).limit(n)
-    return top.withColumn("level", risk_level("attrition_risk_score"))
+    """A report of the n highest scores, with what a bar is labelled with."""
+    top = risk_ordered(scored, *ties).limit(n)
+    return top.withColumns({"level": risk_level("attrition_risk_score"), "label": one_place("attrition_risk_score")})
+
+
+def risk_ordered(scored: DataFrame, *ties: str) -> DataFrame:
+    """Everyone, the highest score first."""
+    return scored.orderBy(F.desc("attrition_risk_score"), *ties)
 
 
 def peak_exit_year(yearly: DataFrame) -> DataFrame:

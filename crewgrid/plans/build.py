@@ -105,7 +105,7 @@ def headcount_lists(cells: DataFrame, mapping: dict[str, str]) -> dict[str, Data
     """The active, exited and survey lists of a headcount workbook, by a config's column map."""
     from ..sources.grid import header_by_needles, headers
 
-    rows = header_by_needles(cells, K.HEADCOUNT_NEEDLES, 200)
+    rows = header_by_needles(cells, K.HEADCOUNT_NEEDLES, K.HEADCOUNT_ROWS)
     found = headers(cells, rows).join(rows, SHEET)
     chosen = classify.best_sheets(found.select("file", "sheet", "sheet_idx", "rows")).join(found, ["file", "sheet"])
     out = {}

@@ -39,7 +39,8 @@ def _dates(spark: SparkSession, d: str) -> DataFrame:
     serial = F.datediff(day, F.lit("1899-12-30").cast("date")).cast("string")
     forms = [
         F.date_format(day, "yyyy-MM-dd"), F.date_format(day, "yyyy.MM.dd"), F.date_format(day, "yyyyMMdd"), serial, F.concat(serial, F.lit(".0")),
-        F.date_format(day, "yyyy/M/d"), F.lit("abc"), F.lit("1970-01-01"),
+        F.date_format(day, "yyyy/M/d"), F.lit("abc"), F.lit("1970-01-01"), F.date_format(day, "M/d/yyyy"), F.date_format(day, "yyyy년 M월 d일"), F.date_format(day, "MMM d yyyy"),
+        F.date_format(day, "d MMMM yyyy"), F.date_format(day, "MMMM d, yyyy"), F.concat(serial, F.lit(".75")), F.date_format(day, "yyyy-MM-dd HH:mm:ss"), F.lit("13/13/2020"),
     ]
     raw = F.element_at(F.array(*forms), (F.pmod("o_orderkey", F.lit(len(forms))) + 1).cast("int"))
     return table(spark, d, "orders").select("o_orderkey", S.to_date(raw).alias("day"))
@@ -71,13 +72,29 @@ GOLDEN = [
 ]
 
 
+#: Of files: what stands before and after their number; the kind and what decides it, where that isn't the sheets; the kind that the name gives where
+#: the sheets tell nothing, or, for old binary workbooks, always.
+GOLDEN_FILES = [
+    ("raw/f", ".xlsx", None, None, None), ("raw/unknown/f", ".xlsx", "unmatched_excel", "folder", None), ("raw/headcount/f", ".xlsx", "master_candidate", "folder", None),
+    ("raw/Roster/f", ".xlsm", "aux_reference_roster", "folder", None), ("raw/skills/단가 f", ".xlsx", "aux_skill", "folder", "aux_pricing"),
+    ("raw/evaluation/f", ".xls", "aux_personalcard", "folder", "unknown"), ("raw/조직도 f", ".xlsx", "org_chart", "name", "org_chart"),
+    ("raw/연봉 f", ".xls", "aux_pricing", "name", "aux_pricing"), ("raw/f", ".xls", "master_candidate", "default", "unknown"),
+    ("raw/인력등급표 f", ".xls", "master_candidate", "default", "master"), ("raw/인사평가 f", ".xls", "master_candidate", "default", "aux_personalcard"),
+    ("raw/명단 f", ".XLS", "master_candidate", "default", "reference_roster"), ("raw/투입 채용 f", ".xls", "aux_recruit", "name", "aux_recruit"),
+    ("raw/pricing/f", ".xlsx", "aux_pricing", "folder", None), ("raw/sensitive/f", ".xlsx", "sensitive_drop", "folder", None), ("raw/org_chart/f", ".xlsx", "org_chart", "folder", None),
+    ("raw/recruit/f", ".xlsx", "aux_recruit", "folder", None), ("raw/연락망 f", ".xlsx", "sensitive_drop", "name", "sensitive_drop"),
+]
+
+
 def _sheets(spark: SparkSession, d: str) -> DataFrame:
-    """Every part as a sheet with one of the golden names and headers; four to a file."""
+    """Every part as a sheet with one of the golden names and headers; four to a file, in golden places."""
     sheets = F.array(*[F.lit(s) for s, _, _ in GOLDEN])
     columns = F.array(*[F.array(*[F.lit(c) for c in cs]).cast("array<string>") for _, cs, _ in GOLDEN])
     at = (F.pmod("p_partkey", F.lit(len(GOLDEN))) + 1).cast("int")
     p = table(spark, d, "part").select("p_partkey", F.element_at(sheets, at).alias("sheet"), F.element_at(columns, at).alias("columns"))
-    file = F.concat(F.lit("raw/f"), F.floor(F.col("p_partkey") / 4).cast("string"), F.lit(".xlsx"))
+    number = F.floor(F.col("p_partkey") / 4)
+    of = lambda i: F.element_at(F.array(*[F.lit(g[i]) for g in GOLDEN_FILES]), (F.pmod(number, F.lit(len(GOLDEN_FILES))) + 1).cast("int"))
+    file = F.concat(of(0), number.cast("string"), of(1))
     return p.select("p_partkey", file.alias("file"), "sheet", classify.sheet_kind(F.col("sheet"), F.col("columns")).alias("kind"))
 
 
@@ -140,9 +157,9 @@ def _dept_monthly_trimmed(spark: SparkSession, d: str) -> DataFrame:
 
 
 _M: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "turnover_yearly": gold.turnover_yearly,
-    "monthly_flow": gold.monthly,
-    "dept_monthly_flow": gold.dept_monthly,
+    "turnover_yearly": lambda m: gold.turnover_yearly(m).orderBy("year"),
+    "monthly_flow": lambda m: gold.monthly(m).orderBy("month"),
+    "dept_monthly_flow": lambda m: gold.dept_monthly(m).orderBy("org", "dept", "month"),
     "early_exit_30d": gold.early_exits,
     "headcount_est": gold.headcount,
     "dedup_master": lambda m: canonical.deduplicate(m, "order_key"),
@@ -153,8 +170,8 @@ _M: dict[str, Callable[[DataFrame], DataFrame]] = {
     "monthly_hires_exits": lambda m: gold.monthly_hires_exits(*[x.withColumns({c: F.add_months(c, 72) for c in ("join_date", "exit_date")}) for x in (_active(m), _exited(m))]),
     "early_exit_by_dept": lambda m: gold.early_exit_by_dept(_exited(m).withColumns({c: F.date_add(c, 2557) for c in ("join_date", "exit_date")}), 60),
     "dept_monthly_counts": lambda m: gold.dept_monthly_counts(_active(m), _exited(m).drop("dept")),
-    "org_headcount": views.org_headcount,
-    "dept_headcount": lambda m: views.dept_headcount(m, ORGS),
+    "org_headcount": lambda m: views.org_headcount(m).orderBy(F.desc("people"), "org"),
+    "dept_headcount": lambda m: views.dept_headcount(m, ORGS).orderBy(F.desc("people"), "dept"),
     "early_exit_monthly": lambda m: views.early_by_month(gold.early_exits(m)),
     "kpi_bundle": lambda m: views.kpis(_active(m), gold.turnover_yearly(m), gold.early_exits(m), YEAR),
     "peak_exit_year": lambda m: views.peak_exit_year(gold.turnover_yearly(m)),
@@ -188,6 +205,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dept_trim_first_seen": _dept_monthly_trimmed,
         "filtered_yearly": _filtered_yearly,
         "risk_buckets": lambda s, d: views.risk_buckets(scored(s, d)),
+        "risk_ordered": lambda s, d: views.risk_ordered(scored(s, d), "emp_id"),
         "risk_top20": lambda s, d: views.risk_top(scored(s, d), 20, "emp_id"),
         "date_coerce": _dates,
         "text_normalise": _text_normalise,
@@ -239,11 +257,13 @@ _FILES = """
 b AS (SELECT 'raw/' || p_name || '/' || p_partkey AS path, p_partkey AS k, CAST(p_size AS BIGINT) AS size FROM part),
 cur AS (SELECT path, CASE WHEN k % 5 = 0 THEN size + 1 ELSE size END AS size FROM b WHERE k % 7 <> 0), old AS (SELECT path, size FROM b WHERE k % 11 <> 0)"""
 _GOLDEN_ROWS = ", ".join(f"({i}, '{s}', '{k}')" for i, (s, _, k) in enumerate(GOLDEN))
+_FILE_ROWS = ", ".join("(" + ", ".join([str(i), *("NULL" if x is None else f"'{x}'" for x in row)]) + ")" for i, row in enumerate(GOLDEN_FILES))
 _SHEETS = f"""
 golden AS (SELECT * FROM (VALUES {_GOLDEN_ROWS}) AS t(i, sheet, kind)),
-sheets AS (SELECT 'raw/f' || (p_partkey // 4) || '.xlsx' AS file, sheet, kind FROM part JOIN golden ON i = p_partkey % {len(GOLDEN)})"""
+places AS (SELECT * FROM (VALUES {_FILE_ROWS}) AS t(k, before, after, given, decided, named)),
+sheets AS (SELECT before || (p_partkey // 4) || after AS file, sheet, kind, k FROM part JOIN golden ON i = p_partkey % {len(GOLDEN)} JOIN places ON k = (p_partkey // 4) % {len(GOLDEN_FILES)})"""
 _RANK = "CASE kind " + " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(K.KINDS)) + f" ELSE {len(K.KINDS)} END"
-_BEST = f"best AS (SELECT file, arg_min(kind, ({_RANK}, kind)) AS kind FROM sheets GROUP BY file)"
+_BEST = f"best AS (SELECT file, k, arg_min(kind, ({_RANK}, kind)) AS kind FROM sheets GROUP BY file, k)"
 _ALIAS_SQL = """
 alias AS (SELECT r_name AS raw_org, n_name AS raw_dept, 'STD ' || r_name AS std_org, 'STD ' || n_name AS std_dept
   FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 2 = 0)"""
@@ -289,10 +309,10 @@ def oracle_sql() -> dict[str, str]:
         "dept_headcount": _sql(f"SELECT dept, count(*) AS people FROM master WHERE exit_date IS NULL AND org IN ({_ORGS}) GROUP BY 1"),
         "early_exit_monthly": _sql("SELECT CAST(date_trunc('month', exit_date) AS DATE) AS month, count(*) AS early_exits FROM early GROUP BY 1", _EARLY),
         "kpi_bundle": _sql(
-            f"""SELECT year, total, hires, exits, early, exit_rate, CASE WHEN before > 0 THEN (hires - before) / before * 100.0 END AS hires_growth,
+            f"""SELECT year, total, hires, exits, early, exit_rate, round_even(CASE WHEN before > 0 THEN (hires - before) / before * 100.0 END, 1) AS hires_growth,
                        CASE WHEN exit_rate >= {K.EXIT_RATE_BAD} THEN 'exit' WHEN exit_rate >= {K.EXIT_RATE_WARN} THEN 'warn' ELSE 'ok' END AS rate_level,
                        CASE WHEN early > {K.EARLY_WARN} THEN 'warn' ELSE 'ok' END AS early_level
-                FROM (SELECT *, CASE WHEN total > 0 THEN exits / total * 100.0 ELSE 0.0 END AS exit_rate
+                FROM (SELECT *, round_even(CASE WHEN total > 0 THEN exits / total * 100.0 ELSE 0.0 END, 1) AS exit_rate
                       FROM (SELECT CAST({YEAR} AS BIGINT) AS year, (SELECT count(*) FROM master WHERE exit_date IS NULL) AS total,
                                    (SELECT CAST(coalesce(sum(hires), 0) AS BIGINT) FROM yearly WHERE year = {YEAR}) AS hires,
                                    (SELECT CAST(coalesce(sum(exits), 0) AS BIGINT) FROM yearly WHERE year = {YEAR}) AS exits,
@@ -353,17 +373,18 @@ def oracle_sql() -> dict[str, str]:
             _EVENTS,
         ),
         "risk_buckets": f"SELECT count(*) FILTER (WHERE s >= {K.RISK_HIGH}) AS high, count(*) FILTER (WHERE s >= {K.RISK_MID} AND s < {K.RISK_HIGH}) AS mid, count(*) AS total FROM (SELECT (c_acctbal + 1000) / 110 AS s FROM customer)",
-        "risk_top20": f"""SELECT emp_id, name, s AS attrition_risk_score, CASE WHEN s >= {K.RISK_HIGH} THEN 'high' WHEN s >= {K.RISK_MID} THEN 'mid' ELSE 'low' END AS level
+        "risk_ordered": "SELECT c_custkey AS emp_id, c_name AS name, (c_acctbal + 1000) / 110 AS attrition_risk_score FROM customer",
+        "risk_top20": f"""SELECT emp_id, name, s AS attrition_risk_score, round_even(s, 1) AS label, CASE WHEN s >= {K.RISK_HIGH} THEN 'high' WHEN s >= {K.RISK_MID} THEN 'mid' ELSE 'low' END AS level
             FROM (SELECT c_custkey AS emp_id, c_name AS name, (c_acctbal + 1000) / 110 AS s FROM customer) ORDER BY s DESC, emp_id LIMIT 20""",
-        "date_coerce": "SELECT o_orderkey, CASE WHEN o_orderkey % 8 < 6 THEN CAST(o_orderdate AS DATE) END AS day FROM orders",
+        "date_coerce": "SELECT o_orderkey, CASE WHEN o_orderkey % 16 NOT IN (6, 7, 15) THEN CAST(o_orderdate AS DATE) END AS day FROM orders",
         "text_normalise": f"SELECT doc_id, md5({normalised('text')}) AS normalised, lower(regexp_replace({normalised('source')}, '[\\s()\\[\\]{{}}_:-]', '', 'g')) AS source_key FROM documents",
         "year_from_name": "SELECT p_partkey, CAST(p_size + 1990 AS INTEGER) AS year, (p_size + 1990) || '0115' AS day, CAST(p_size AS INTEGER) AS digits FROM part",
         "org_split": """SELECT p_partkey, CASE WHEN p_partkey % 3 < 2 THEN p_brand ELSE p_type END AS org,
             CASE p_partkey % 3 WHEN 0 THEN p_type || '-x' WHEN 1 THEN p_type END AS dept FROM part""",
         "sheet_classify": f"WITH {_SHEETS} SELECT sheet, kind, count(*) AS n FROM sheets GROUP BY ALL",
-        "file_kinds": f"""WITH {_SHEETS}, {_BEST} SELECT file, CASE kind WHEN 'master' THEN 'master_candidate' WHEN 'reference_roster' THEN 'aux_reference_roster'
-            WHEN 'skip' THEN 'unmatched_excel' WHEN 'unknown' THEN 'master_candidate' ELSE kind END AS kind, 'content' AS decided_by FROM best""",
-        "sort_plan": f"""WITH {_SHEETS}, {_BEST}, k AS (SELECT file, CASE WHEN kind IN ('unknown', 'skip') THEN 'unknown' ELSE kind END AS kind FROM best)
+        "file_kinds": f"""WITH {_SHEETS}, {_BEST} SELECT file, coalesce(given, CASE kind WHEN 'master' THEN 'master_candidate' WHEN 'reference_roster' THEN 'aux_reference_roster'
+            WHEN 'skip' THEN 'unmatched_excel' WHEN 'unknown' THEN 'master_candidate' ELSE kind END) AS kind, coalesce(decided, 'content') AS decided_by FROM best JOIN places USING (k)""",
+        "sort_plan": f"""WITH {_SHEETS}, {_BEST}, k AS (SELECT file, CASE WHEN lower(after) = '.xls' THEN named WHEN kind IN ('unknown', 'skip') THEN coalesce(named, 'unknown') ELSE kind END AS kind FROM best JOIN places USING (k))
             SELECT file, kind, CASE kind {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in K.FOLDERS.items())} END AS folder FROM k""",
         "best_sheet": """
             WITH s AS (SELECT CAST(n_regionkey AS VARCHAR) AS file, ['재직 ', '퇴사 ', '기타 ', '설문 '][n_nationkey % 4 + 1] || n_name AS sheet, n_nationkey AS i, n_nationkey % 4 AS t, count(*) AS n

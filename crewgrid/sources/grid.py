@@ -54,14 +54,14 @@ def headers(cells: DataFrame, header_rows: DataFrame) -> DataFrame:
     return columns.join(data, SHEET, "left").na.fill({"rows": 0})
 
 
-def scan_sheets(cells: DataFrame, most_rows: int = K.SCAN_ROWS, unnamed: float = K.SCAN_SHARE) -> DataFrame:
+def scan_sheets(cells: DataFrame, most_rows: int = K.SCAN_ROWS, unnamed: float = K.SCAN_SHARE, skip: tuple[str, ...] = ()) -> DataFrame:
     """Metadata of every sheet: file, sheet, kind, sample of ten columns, rows."""
     from ..operators.classify import sheet_kind
 
     found = headers(cells, header_by_share(cells, most_rows, unnamed))
     every = cells.select(*SHEET).distinct().join(found, SHEET, "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
     columns = F.coalesce("columns", F.array().cast("array<string>"))
-    return every.select(*SHEET, sheet_kind(F.col("sheet"), columns).alias("kind"), columns.alias("columns"), F.slice(columns, 1, 10).alias("cols_sample"), "rows")
+    return every.select(*SHEET, sheet_kind(F.col("sheet"), columns, skip).alias("kind"), columns.alias("columns"), F.slice(columns, 1, 10).alias("cols_sample"), "rows")
 
 
 def unique_names(names: list[str]) -> list[str]:

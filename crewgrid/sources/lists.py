@@ -34,9 +34,9 @@ def turnover_lists(cells: DataFrame) -> DataFrame:
     return out.where("name is not null")
 
 
-def keyed_list(cells: DataFrame, keys: dict[str, list[str]], needles: list[str] | None = None) -> DataFrame:
+def keyed_list(cells: DataFrame, keys: dict[str, list[str]]) -> DataFrame:
     """Sheets of many layouts to one table: each field from the column whose header holds one of its keys."""
-    rows = header_by_needles(cells, needles or K.HEADCOUNT_NEEDLES, 80)
+    rows = header_by_needles(cells, K.AUX_NEEDLES, K.AUX_ROWS)
     places = headers(cells, rows).withColumns({f"at_{f}": position_of(F.col("columns"), k) for f, k in keys.items()}).drop("columns", "rows")
     at = cells.join(places, SHEET).join(rows, SHEET).where("row_idx > header_row")
     fields = at.groupBy(*SHEET, "row_idx").agg(*[F.max(F.when(F.col("col_idx") == F.col(f"at_{f}"), normalise_light("value"))).alias(f) for f in keys])
@@ -48,11 +48,11 @@ def keyed_list(cells: DataFrame, keys: dict[str, list[str]], needles: list[str]
 
 
 def skills(cells: DataFrame) -> DataFrame:
-    return keyed_list(cells, K.SKILL_KEYS, [*K.HEADCOUNT_NEEDLES, "기술", "skill"])
+    return keyed_list(cells, K.SKILL_KEYS)
 
 
 def recruits(cells: DataFrame) -> DataFrame:
-    return keyed_list(cells, K.RECRUIT_KEYS, [*K.HEADCOUNT_NEEDLES, "지원자", "skill"])
+    return keyed_list(cells, K.RECRUIT_KEYS)
 
 
 def grades(cells: DataFrame) -> DataFrame:
@@ -75,10 +75,10 @@ def careers(cells: DataFrame) -> DataFrame:
     return latest_by_name(out, "snapshot_date", "seq", "org_full")
 
 
-def master_sheets(cells: DataFrame) -> DataFrame:
+def master_sheets(cells: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
     """Sheets with their headers and kinds, for the canonical projection: SHEET, header_row, columns, kind, rows."""
     from ..operators.classify import sheet_kind
 
     rows = header_by_share(cells)
     found = headers(cells, rows).join(rows, SHEET)
-    return found.withColumn("kind", sheet_kind(F.col("sheet"), F.col("columns")))
+    return found.withColumn("kind", sheet_kind(F.col("sheet"), F.col("columns"), skip))
