@@ -8,7 +8,15 @@ from pyspark.sql import functions as F
 from ..constants import EARLY_DAYS, FOUNDED, NULL_TOKENS, RISK_HIGH, RISK_MID, SERIAL_HIGH, SERIAL_LOW
 
 
-_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+_NAME = r"([a-z]{3})[a-z]*\.?"
+#: Spellings of dates, and which of their parts are year, month and day.
+_SPELLINGS = [
+    (r"(\d{4})\s*년\s*(\d{1,2})\s*월\s*(\d{1,2})\s*일", "$1-$2-$3"),
+    (r"(\d{1,2})[-./](\d{1,2})[-./](\d{4})", "$3-$1-$2"),
+    (_NAME + r"\s+(\d{1,2}),?\s+(\d{4})", "$3-$1-$2"),
+    (r"(\d{1,2})[\s-]+" + _NAME + r"[\s-]+(\d{4})", "$3-$2-$1"),
+    (r"(\d{4})[-./](\d{1,2})[-./](\d{1,2})", "$1-$2-$3"),
+]
 
 
 def _col(c) -> Column:
@@ -54,25 +62,13 @@ def to_date(c) -> Column:
     t = F.trim(_col(c).cast("string"))
     number = F.when(t.rlike(r"^\d{1,9}(\.\d*)?$"), t).try_cast("double")
     serial = F.when((number >= SERIAL_LOW) & (number <= SERIAL_HIGH), F.date_add(F.lit("1899-12-30").cast("date"), F.floor(number).cast("int")))
-    t = F.regexp_replace(t, r"\.0$", "")
-    eight = F.to_date(F.try_to_timestamp(F.when(t.rlike(r"^\d{8}$"), t), F.lit("yyyyMMdd")))
-
-    def spelled(pattern: str, year: int, month: int, day: int) -> Column:
-        y, m, d = (F.regexp_extract(t, pattern, i) for i in (year, month, day))
-        # Of a name the first three letters tell the month.
-        m = F.when(m.rlike("^[0-9]"), m).otherwise(((F.position(F.lower(F.substring(m, 1, 3)), F.lit(_MONTHS)) + 2) / 3).cast("int").cast("string"))
-        return F.when(y != "", F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0"))).try_cast("date")
-
-    after, name = r"(?:[ T].*)?$", r"(?i)(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?"
-    found = F.coalesce(
-        eight,
-        serial,
-        spelled(r"^(\d{4})[-./](\d{1,2})[-./](\d{1,2})" + after, 1, 2, 3),
-        spelled(r"^(\d{4})\s*년\s*(\d{1,2})\s*월\s*(\d{1,2})\s*일" + after, 1, 2, 3),
-        spelled(r"^(\d{1,2})[-./](\d{1,2})[-./](\d{4})" + after, 3, 1, 2),
-        spelled(r"^" + name + r"\s+(\d{1,2}),?\s+(\d{4})" + after, 3, 1, 2),
-        spelled(r"^(\d{1,2})[\s-]+" + name + r"[\s-]+(\d{4})" + after, 3, 2, 1),
-    )
+    eight = F.try_to_timestamp(F.when(t.rlike(r"^\d{8}(\.0)?$"), F.substring(t, 1, 8)), F.lit("yyyyMMdd"))
+    # Every spelling becomes year-month-day, the month a number or three letters.
+    spelled = t
+    for pattern, parts in _SPELLINGS:
+        spelled = F.regexp_replace(spelled, f"(?i)^{pattern}(?:[ T].*)?$", parts)
+    spelled = F.initcap(spelled)
+    found = F.coalesce(F.to_date(eight), serial, *[F.to_date(F.try_to_timestamp(spelled, F.lit(f))) for f in ("yyyy-M-d", "yyyy-MMM-d")])
     return F.when(found != F.lit("1970-01-01").cast("date"), found)
 
 

@@ -27,12 +27,6 @@ def find_column(columns: list[str], aliases: list[str]) -> str | None:
     return next((c for a in aliases if key(a) for c in columns if key(a) in key(c)), None)
 
 
-def pick_column(columns: list[str], keys: list[str]) -> str | None:
-    """As find_column, but key by key: equal or contained."""
-    plain = {c: re.sub(r"\s", "", str(c)).lower() for c in columns}
-    return next((c for k in keys for c in columns if k.lower() in plain[c]), None)
-
-
 def sensitive(columns: list[str]) -> list[str]:
     """Headers that hold a sensitive word; a shorter header within such a word is not one."""
     return [c for c in columns if any(key(s) in key(c) for s in SENSITIVE_PARTS)]
@@ -42,28 +36,38 @@ def drop_sensitive(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.strip() in SENSITIVE_NAMES or c in sensitive([c])])
 
 
+def fields_of(columns: list[str]) -> list[tuple[int, str]]:
+    """Places of the canonical fields among a sheet's headers; none without an id and a name column. Sensitive columns are no one's."""
+    open_ = [c for c in columns if c not in sensitive(columns)]
+    at = {field: find_column(open_, names) for field, names in ALIASES.items()}
+    if at["emp_id"] is None and at["name"] is None:
+        return []
+    return [(columns.index(c), field) for field, c in at.items() if c is not None]
+
+
 def canonicalise(df: DataFrame, source: str, sheet: str) -> DataFrame | None:
     """A sheet with text columns to master rows in one projection; None without an id and a name column."""
-    df = df.drop(*sensitive(df.columns))
-    at = {field: find_column(df.columns, names) for field, names in ALIASES.items()}
-    if at["emp_id"] is None and at["name"] is None:
+    found = {field: df.columns[i] for i, field in fields_of(df.columns)}
+    if not found:
         return None
-
-    def column(field):
-        c = at[field]
-        return F.lit(None).cast("string") if c is None else F.col(f"`{c}`").cast("string")
-
-    out = df.select(
-        emp_id(column("emp_id")).alias("emp_id"),
-        *[clean_text(column(f)).alias(f) for f in ("name", "org", "dept", "title", "grade")],
-        to_date(column("join_date")).alias("join_date"),
-        to_date(column("exit_date")).alias("exit_date"),
-        F.regexp_replace(column("snapshot_year"), r"\.0$", "").try_cast("int").alias("snapshot_year"),
-        F.lit(source).alias("data_source"),
-        F.lit(sheet).alias("sheet_name"),
+    columns = [(F.col(f"`{found[f]}`") if f in found else F.lit(None)).cast("string").alias(f) for f in ALIASES]
+    return project(df.select(*columns, F.lit(source).alias("file"), F.lit(sheet).alias("sheet"), F.lit("snapshot_year" in found).alias("has_year")))
+
+
+def project(rows: DataFrame) -> DataFrame:
+    """rows: a text column for each field (null where the sheet lacks it), file, sheet, has_year. Master rows."""
+    given = F.regexp_replace("snapshot_year", r"\.0$", "").try_cast("int")
+    joined = to_date("join_date")
+    out = rows.select(
+        emp_id("emp_id").alias("emp_id"),
+        *[clean_text(f).alias(f) for f in ("name", "org", "dept", "title", "grade")],
+        joined.alias("join_date"),
+        to_date("exit_date").alias("exit_date"),
+        # A choice for the whole sheet: a null in a given column stays null.
+        F.when(F.col("has_year"), given).otherwise(F.coalesce(year_in("file"), F.year(joined))).alias("snapshot_year"),
+        F.col("file").alias("data_source"),
+        F.col("sheet").alias("sheet_name"),
     )
-    if at["snapshot_year"] is None:  # a choice for the whole sheet: a null in a given column stays null
-        out = out.withColumn("snapshot_year", F.coalesce(year_in(F.lit(source)), F.year("join_date")))
     return out.dropna(how="all", subset=["emp_id", "name"]).select(MASTER_COLUMNS)
 
 

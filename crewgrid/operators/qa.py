@@ -9,6 +9,10 @@ from ..functions.scalars import person_name
 from ..schema import MASTER_ONLY
 
 
+#: Up to so many different years are broadcast.
+YEARS = 10_000
+
+
 def ref_only(master: DataFrame, roster: DataFrame) -> DataFrame:
     """Roster rows whose name the master lacks in that year."""
     known = master.select(F.col("snapshot_year").alias("__y"), person_name("name").alias("__n")).where("__n is not null").distinct()
@@ -20,6 +24,8 @@ def master_only(master: DataFrame, roster: DataFrame) -> DataFrame:
     """Master rows of years for which the roster has names, whose name it lacks."""
     named = roster.where("year is not null and name is not null").select(F.col("year").alias("__y"), person_name("name").alias("__n")).distinct()
     years = named.select(F.col("__y").alias("__year")).distinct()
+    # A few calendar years: sent to all tasks if their count says so, so that the master isn't shuffled for them.
+    years = F.broadcast(years) if years.limit(YEARS + 1).count() <= YEARS else years
     covered = master.join(years, F.col("snapshot_year") == F.col("__year"), "left_semi")
     lacking = covered.join(named, (F.col("snapshot_year") == F.col("__y")) & (person_name("name") == F.col("__n")), "left_anti")
     return lacking.select([c for c in MASTER_ONLY if c in lacking.columns])

@@ -1,26 +1,33 @@
 """From a folder of workbooks to the gold tables, incrementally.
 
-Files whose fingerprint is unchanged are not read again: their silver rows
-stay, those of new and changed files replace older ones, those of deleted files go.
-A file that can't be read is reported and is not entered in the manifest,
-so that the next run tries it again. Raw files are never written to.
+Files whose fingerprint is unchanged are not parsed again: a build parses new and changed
+ones into a generation of cells, and an index says which generation has a file's
+cells; generations that no file needs are removed. A file that can't be read is reported and is not
+entered in the manifest, so that the next run tries it again. Raw files are never
+written to.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..operators import canonical, classify, gold, qa
-from ..schema import MASTER, ROSTER
+from ..schema import CELLS, ROSTER
+from ..session import ship
 from ..sources import files, lists, sinks
-from ..sources.grid import SHEET, promote, scan_sheets
-from ..sources.xlsx import read_cells, read_errors, readable
+from ..sources.grid import SHEET, filled, promote, scan_sheets
+from ..sources.xlsx import read_errors, read_workbooks, readable
+
+#: Names of career-length workbooks hold this.
+CAREERS = "경력연차"
 
 
 @dataclass
@@ -36,46 +43,104 @@ class BuildResult:
     report: DataFrame
     sheets: DataFrame
     errors: DataFrame
+    parsed: list[str] = field(default_factory=list)
     paths: dict[str, str] = field(default_factory=dict)
 
 
+def _current(spark: SparkSession, root: str, empty: DataFrame) -> DataFrame:
+    """The table that `root` points to, or the empty one."""
+    return spark.read.parquet(f"{root}/{spark.read.text(f'{root}/current').first()[0]}") if files.exists(spark, f"{root}/current") else empty
+
+
+def _replace(df: DataFrame, root: str) -> DataFrame:
+    """Write a new version, point to it, and remove the versions before: whoever breaks off leaves a whole one."""
+    spark, name = df.sparkSession, f"v-{uuid.uuid4().hex}"
+    df.write.parquet(f"{root}/{name}")
+    spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/current")
+    files.remove_others(spark, root, {name, "current"})
+    return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+
 def new_and_changed(spark: SparkSession, raw: str, processed: str, force: bool = False) -> tuple[DataFrame, DataFrame]:
     """The files as they are and what became of them since the last build; force takes all as changed."""
     now = files.list_files(spark, raw, "*.xls*")
-    at = f"{processed}/bronze/manifest"
-    old = spark.read.parquet(spark.read.text(f"{at}/current").first()[0]) if files.exists(spark, f"{at}/current") else files.empty_manifest(spark)
-    status = files.diff(now, old)
+    status = files.diff(now, _current(spark, f"{processed}/bronze/manifest", files.empty_manifest(spark)))
     return now, status.withColumn("status", F.when(F.lit(force) & (F.col("status") == "unchanged"), "changed").otherwise(F.col("status")))
 
 
-def canonical_rows(cells: DataFrame, alias: DataFrame | None = None) -> DataFrame:
-    """Master rows of all sheets of that kind, of any layout: headers are resolved sheet by sheet on the driver (metadata: one row a sheet)."""
-    spark = cells.sparkSession
-    parts = []
-    for s in lists.master_sheets(cells).where("kind = 'master'").orderBy(*SHEET).collect():
-        names = [f"{n}#{i}" if n in s.columns[:i] else n for i, n in enumerate(s.columns)]
-        part = canonical.canonicalise(promote(cells, s.file, s.sheet, s.header_row, len(names), names), s.file, s.sheet)
-        if part is not None:
-            parts.append(part)
-    rows = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], MASTER)
+def current_cells(spark: SparkSession, processed: str, status: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The cells of all files that are there, and the paths (one a file) of those that were parsed for it."""
+    at, root = f"{processed}/bronze/index", f"{processed}/bronze/cells"
+    parse = [r.path for r in status.where("status in ('new', 'changed')").select("path").orderBy("path").collect()]
+    index = _current(spark, at, spark.createDataFrame([], "file string, generation string"))
+    index = index.join(status.where("status = 'unchanged'").select(F.col("path").alias("file")), "file", "left_semi")
+    if parse:
+        generation = f"g{uuid.uuid4().hex}"
+        read_workbooks(spark, parse).write.parquet(f"{root}/generation={generation}")
+        index = index.unionByName(spark.createDataFrame([(p, generation) for p in parse], "file string, generation string"))
+    index = _replace(index, at)
+    used = {f"generation={r.generation}" for r in index.select("generation").distinct().collect()}
+    if not used:
+        return spark.createDataFrame([], CELLS), parse
+    files.remove_others(spark, root, used)
+    cells = spark.read.schema(CELLS + ", generation string").parquet(root)
+    return cells.join(index, ["file", "generation"], "left_semi").drop("generation"), parse
+
+
+def canonical_rows(cells: DataFrame, alias: DataFrame | None = None, skip: tuple[str, ...] = ()) -> DataFrame:
+    """Master rows of all sheets of that kind, of any layout, in one plan: each sheet's headers tell the fields of its columns."""
+    ship(cells.sparkSession)
+
+    def resolve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for file, sheet, sheet_idx, header_row, columns in b.itertuples(index=False):
+                found = canonical.fields_of(list(columns))
+                has_year = any(f == "snapshot_year" for _, f in found)
+                out += [(file, sheet, sheet_idx, at, header_row, f, has_year) for at, f in found]
+            yield pd.DataFrame(out, columns=["file", "sheet", "sheet_idx", "col_idx", "header_row", "field", "has_year"])
+
+    sheets = lists.master_sheets(cells, skip).where("kind = 'master'").select(*SHEET, "header_row", "columns")
+    fields = sheets.mapInPandas(resolve, "file string, sheet string, sheet_idx int, col_idx int, header_row int, field string, has_year boolean")
+    data = filled(cells).join(fields, [*SHEET, "col_idx"]).where("row_idx > header_row")
+    wide = data.groupBy(*SHEET, "row_idx", "has_year").agg(*[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in K.ALIASES])
+    rows = canonical.project(wide)
     return rows if alias is None else canonical.apply_alias(rows, alias)
 
 
-def _versioned(df: DataFrame, root: str) -> str:
-    path = f"{root}/v-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return path
-
-
-def build(spark: SparkSession, raw: str, processed: str, alias: DataFrame | None = None, force: bool = False) -> BuildResult:
+def watch(spark: SparkSession, processed: str, sheets: DataFrame) -> DataFrame:
+    """Sheets of unknown kind that were not reported before, entered among the alerts; their header sets are numbered in the registry."""
+    alerts, registry = f"{processed}/qa/alerts", f"{processed}/bronze/registry"
+    known = spark.read.parquet(alerts) if files.exists(spark, alerts) else spark.createDataFrame([], "file string, sheet string")
+    found = classify.new_alerts(sheets.select("file", "sheet", "kind"), known)
+    rows = found.collect()  # sheets that no rule knows: a few in any corpus
+    if rows:
+        sinks.append_alerts(spark.createDataFrame(rows, found.schema).coalesce(1), alerts)
+    old = spark.read.parquet(registry) if files.exists(spark, registry) else spark.createDataFrame([], "columns array<string>, type_no int")
+    new = classify.registry_rows(sheets, old).collect()
+    if new:
+        spark.createDataFrame(new, "columns array<string>, type_no int").coalesce(1).write.mode("append").parquet(registry)
+    return spark.createDataFrame(rows, found.schema)
+
+
+def build(
+    spark: SparkSession, raw: str, processed: str, alias: DataFrame | None = None, force: bool = False, headcount: str | None = None,
+    columns: dict[str, str] | None = None, skip: tuple[str, ...] = (),
+) -> BuildResult:
+    """headcount: name of the headcount workbook, else the last one in raw/headcount; columns: its column map; skip: sheet names to leave out."""
+    began = time.time()
     now, status = new_and_changed(spark, raw, processed, force)
-    status = spark.read.parquet(_versioned(status, f"{processed}/bronze/status"))
-    cells = spark.read.parquet(_versioned(read_cells(spark, raw), f"{processed}/bronze/cells"))
+    status = _replace(status, f"{processed}/bronze/status")
+    cells, parsed = current_cells(spark, processed, status)
     errors, cells = read_errors(cells), readable(cells)
-    sheets = scan_sheets(cells)
-    kinds = classify.file_kinds(sheets)
+    sheets = _replace(scan_sheets(cells, skip=skip), f"{processed}/bronze/sheets")
+    kinds = _replace(classify.file_kinds(sheets), f"{processed}/bronze/kinds")
     own = cells.join(kinds.where("kind = 'master_candidate'").select("file"), "file", "left_semi")
-    rows = canonical_rows(own, alias)
+    rows = canonical_rows(own, alias, skip)
+    paths = {"master_rows": sinks.save(rows, processed, "bronze", "master_rows")}
+    if alias is not None:
+        paths["alias_missing"] = sinks.save(canonical.alias_missing(rows, alias), processed, "qa", "alias_missing")
+    rows = spark.read.parquet(paths["master_rows"])
     master = spark.read.parquet(sinks.save(canonical.deduplicate(rows), processed, "silver", "master"))
     of = lambda kind, names: cells.join(sheets.where(F.col("kind") == kind).select(*SHEET), SHEET, "left_semi").unionByName(
         cells.join(kinds.where(F.col("kind") == names).select("file"), "file", "left_semi")
@@ -83,22 +148,36 @@ def build(spark: SparkSession, raw: str, processed: str, alias: DataFrame | None
     roster = lists.roster(of("reference_roster", "aux_reference_roster"))
     skills, recruits = lists.skills(of("aux_skill", "aux_skill")), lists.recruits(of("aux_recruit", "aux_recruit"))
     tables = {
-        "turnover_yearly": gold.turnover_yearly(master), "monthly": gold.monthly(master), "dept_monthly": gold.dept_monthly(master), "early_exit_30d": gold.early_exits(master)
+        "turnover_yearly": gold.turnover_yearly(master).orderBy("year"), "monthly": gold.monthly(master).orderBy("month"),
+        "dept_monthly": gold.dept_monthly(master).orderBy("org", "dept", "month"), "early_exit_30d": gold.early_exits(master),
     }
-    paths = {name: sinks.save(df, processed, "gold", name) for name, df in tables.items()}
+    paths |= {name: sinks.save(df, processed, "gold", name) for name, df in tables.items()}
     roster = spark.read.parquet(sinks.save(roster, processed, "addons", "reference_roster")) if not roster.isEmpty() else spark.createDataFrame([], ROSTER)
-    for name, df in (("aux_skill", skills), ("aux_recruit", recruits)):
+    careers = lists.careers(cells.where(files.file_name("file").contains(CAREERS)))
+    for name, df in (("aux_skill", skills), ("aux_recruit", recruits), ("career_rank", careers)):
         if at := sinks.save_unless_empty(df, processed, "addons", name):
             paths[name] = at
+    if columns and (workbook := headcount_workbook(spark, raw, headcount)):
+        for role, df in headcount_lists(readable(read_workbooks(spark, [workbook])), columns).items():
+            paths[f"headcount_{role}"] = sinks.save(df, processed, "silver", f"headcount_{role}")
     ref_only, master_only, report = qa.ref_only(master, roster), qa.master_only(master, roster), qa.report(master, roster)
     paths["mismatch_ref_only"], paths["mismatch_master_only"] = sinks.save(ref_only, processed, "qa", "mismatch_ref_only"), sinks.save(master_only, processed, "qa", "mismatch_master_only")
     paths["qa_report"] = sinks.save_json(report, processed, "qa", "qa_report")
-    read = now.join(errors.select(F.col("file").alias("bad")), F.expr("endswith(path, bad)"), "left_anti")
-    current = _versioned(read, f"{processed}/bronze/manifest")
-    spark.createDataFrame([(current,)], "value string").coalesce(1).write.mode("overwrite").text(f"{processed}/bronze/manifest/current")
+    watch(spark, processed, sheets)
+    good = now.join(errors.select(F.col("file").alias("path")), "path", "left_anti")
+    kept = _current(spark, f"{processed}/bronze/manifest", files.empty_manifest(spark)).join(status.where("status = 'unchanged'").select("path"), "path", "left_semi")
+    _replace(files.upsert(kept, good), f"{processed}/bronze/manifest")
+    counts = errors.agg(F.count("*").alias("read_fail")).withColumns({"read_ok": F.lit(len(parsed)) - F.col("read_fail"), "elapsed": F.lit(time.time() - began)})
     ingest = status.groupBy("status").agg(F.count("*").alias("files"), F.sort_array(F.collect_list("path")).alias("paths"))
+    ingest = ingest.withColumns({c: counts.select(c).scalar() for c in counts.columns})
     paths["ingest_report"] = sinks.save_json(ingest, processed, "bronze", "ingest_report")
-    return BuildResult(master, roster, skills, recruits, {k: spark.read.parquet(paths[k]) for k in tables}, gold.headcount(master), ref_only, master_only, report, sheets, errors, paths)
+    return BuildResult(master, roster, skills, recruits, {k: spark.read.parquet(paths[k]) for k in tables}, gold.headcount(master), ref_only, master_only, report, sheets, errors, parsed, paths)
+
+
+def headcount_workbook(spark: SparkSession, raw: str, name: str | None = None) -> str | None:
+    """The named workbook in raw or raw/headcount, else the last by name in the latter."""
+    named = [f"{raw}/{name}", f"{raw}/headcount/{name}"] if name else []
+    return files.first_existing(spark, *named) or files.newest(spark, f"{raw}/headcount", "*.xls*")
 
 
 def headcount_lists(cells: DataFrame, mapping: dict[str, str]) -> dict[str, DataFrame]:
@@ -115,30 +194,37 @@ def headcount_lists(cells: DataFrame, mapping: dict[str, str]) -> dict[str, Data
     return out
 
 
-def unknown_sheets(sheets: DataFrame, known: DataFrame) -> DataFrame:
-    """Sheets that no rule fits and that have not been reported."""
-    return classify.new_alerts(sheets.select("file", "sheet", "kind"), known)
-
-
 def main(argv: list[str] | None = None) -> int:
-    """python -m crewgrid.plans.build RAW PROCESSED [--force | --check]"""
+    """python -m crewgrid.plans.build RAW PROCESSED [--force | --check] [--alias CSV] [--headcount NAME] [--config JSON_OR_YAML]
+
+    The config may have files.org_alias_map_csv, files.headcount_2024_xlsx, columns.headcount_2024 (a column map), paths.mapping_dir and skip_sheets; options come first."""
     import argparse
 
     from ..session import session
+    from ..sources.config import of, read_config
 
     args = argparse.ArgumentParser(description=main.__doc__)
     args.add_argument("raw")
     args.add_argument("processed")
     args.add_argument("--force", action="store_true")
     args.add_argument("--check", action="store_true")
+    args.add_argument("--alias")
+    args.add_argument("--headcount")
+    args.add_argument("--config")
     given = args.parse_args(argv)
     spark = session()
+    config = read_config(spark, given.config) if given.config else {}
     _, status = new_and_changed(spark, given.raw, given.processed, given.force)
     counts = {r.status: r["count"] for r in status.groupBy("status").count().collect()}
     print(counts)
     if given.check or not set(counts) - {"unchanged"}:
         return 0
-    result = build(spark, given.raw, given.processed, force=given.force)
+    mapping = of(config, "paths", "mapping_dir")
+    alias_at = given.alias or (f"{mapping}/{of(config, 'files', 'org_alias_map_csv')}" if mapping and of(config, "files", "org_alias_map_csv") else f"{given.processed}/org_alias_map.csv")
+    result = build(
+        spark, given.raw, given.processed, alias=files.read_alias(spark, alias_at), force=given.force,
+        headcount=given.headcount or of(config, "files", "headcount_2024_xlsx"), columns=of(config, "columns", "headcount_2024"), skip=tuple(of(config, "skip_sheets", default=())),
+    )
     result.report.show(truncate=False)
     return 0
 

@@ -108,7 +108,8 @@ def _sheet_choice(spark: SparkSession, d: str) -> DataFrame:
 
 def _header_rows(spark: SparkSession, d: str) -> DataFrame:
     cells = sheet_cells(spark, d)
-    found = grid.headers(cells, grid.header_by_share(cells)).join(grid.header_by_share(cells), grid.SHEET)
+    at = grid.header_by_share(cells)
+    found = grid.headers(cells, at).join(at, grid.SHEET)
     return found.select("sheet", F.col("header_row").cast("long").alias("header_row"), F.col("rows").cast("long").alias("n_rows"), F.array_join("columns", ",").alias("columns"))
 
 

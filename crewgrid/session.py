@@ -2,9 +2,26 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the package to the session's Python workers, once a context, so that they need no path to it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_crewgrid_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    at = tempfile.mkdtemp(prefix="crewgrid-package-")
+    atexit.register(shutil.rmtree, at, ignore_errors=True)
+    sc.addPyFile(shutil.make_archive(f"{at}/crewgrid", "zip", root, "crewgrid"))
+    sc._crewgrid_shipped = True
+
+
 def session(master: str | None = None, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     """UTC, ANSI and adaptive execution; the cluster's own settings are kept for all else."""
     builder = SparkSession.builder.appName("crewgrid")

@@ -32,7 +32,7 @@ def diff(files: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def upsert(manifest: DataFrame, files: DataFrame) -> DataFrame:
-    """The manifest with the files' fingerprints in place of older ones; files that are gone go. Files that failed should not be among `files`."""
+    """The manifest with the files' fingerprints in place of older ones. Files that failed should not be among `files`."""
     both = manifest.withColumn("__age", F.lit(1)).unionByName(files.withColumn("__age", F.lit(0)))
     newest = W.partitionBy("path").orderBy("__age", F.col("mtime").desc_nulls_last(), "sha1")
     return both.withColumn("__r", F.row_number().over(newest)).where("__r = 1").drop("__r", "__age")
@@ -47,12 +47,29 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
 
 
+def remove_others(spark: SparkSession, root: str, keep: set[str]) -> None:
+    """Remove what lies in a folder but the names to keep."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if fs.exists(at):
+        for found in fs.listStatus(at):
+            if found.getPath().getName() not in keep:
+                fs.delete(found.getPath(), True)
+
+
 def read_csv(spark: SparkSession, path: str, schema: str, fallback: str | None = None) -> DataFrame:
     """A CSV file with a declared schema, from the second place if it isn't at the first, empty if it is at neither."""
     at = next((p for p in (path, fallback) if p and exists(spark, p)), None)
     return spark.createDataFrame([], schema) if at is None else spark.read.csv(at, header=True, schema=schema)
 
 
+def read_csv_named(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The schema's columns by their names in the header; those that the file lacks are null, values that don't fit too."""
+    raw = spark.read.csv(path, header=True)
+    wanted = spark.createDataFrame([], schema).schema
+    return raw.select([(F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in wanted])
+
+
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A whole JSON document; missing or broken gives no rows."""
     if not exists(spark, path):
@@ -80,4 +97,5 @@ def newest(spark: SparkSession, folder: str, pattern: str = "*.xls*") -> str | N
     """The last file by name."""
     if not exists(spark, folder):
         return None
-    return list_files(spark, folder, pattern, recursive=False).agg(F.max("path")).first()[0]
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
+    return listed.where(~file_name("path").startswith("~$")).agg(F.max("path")).first()[0]

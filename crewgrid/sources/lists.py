@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.scalars import clean_text, date_in, digits_year, file_name, normalise_light, number, person_name, split_org, to_date, year_in
 from ..operators.canonical import latest_by_name
-from .grid import SHEET, by_position, header_by_needles, header_by_share, headers, position_of
+from .grid import SHEET, by_position, header_by_needles, header_by_share, headers, position_of, promote
 
 
 def roster(cells: DataFrame) -> DataFrame:
@@ -55,9 +55,11 @@ def recruits(cells: DataFrame) -> DataFrame:
     return keyed_list(cells, K.RECRUIT_KEYS)
 
 
-def grades(cells: DataFrame) -> DataFrame:
-    """Headers of grade tables: the first of ten rows with a name column, else the first row."""
-    return headers(cells, header_by_needles(cells, ["이름"], 10))
+def grades(cells: DataFrame) -> DataFrame | None:
+    """The grade table: of the first sheet of the first file, below the first of ten rows with a name column, else below the first row. None without cells."""
+    rows = header_by_needles(cells, ["이름"], 10)
+    first = headers(cells, rows).join(rows, SHEET).orderBy(*SHEET[:1], "sheet_idx").first()
+    return None if first is None else promote(cells, first.file, first.sheet, first.header_row, len(first["columns"]), first["columns"])
 
 
 def careers(cells: DataFrame) -> DataFrame:

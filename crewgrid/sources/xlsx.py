@@ -5,11 +5,12 @@ spreadsheet package is needed. The driver lists paths; each task parses whole wo
 one at a time, sheet by sheet as a stream. One that can't be read
 becomes one row with sheet null and the error as its value.
 
-Old binary and encrypted workbooks are out of scope; they come as such rows.
+Old binary and encrypted workbooks can't be opened, with a password or without; they come as such rows, which say so.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import zipfile
 from collections.abc import Iterator
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..schema import CELLS
+from ..session import ship
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
@@ -70,20 +72,32 @@ def workbook_cells(source) -> Iterator[tuple[str, int, int, int, str]]:
                     row.clear()
 
 
+def failure(path: str, error: Exception) -> str:
+    """What is said of a workbook that can't be read, whatever is wrong with it."""
+    old = path.lower().endswith(".xls") and not isinstance(error, (FileNotFoundError, PermissionError))
+    return "UnsupportedFormat: an old binary or encrypted workbook; save it as .xlsx without a password" if old else f"{type(error).__name__}: {error}"
+
+
+def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    path = re.sub(r"^file:/+", "/", path)
+    return pafs.FileSystem.from_uri(path) if re.match(r"[a-z0-9]+:", path) else (pafs.LocalFileSystem(), path)
+
+
 @dataclass
 class Workbook(InputPartition):
     path: str
 
 
 class CellsReader(DataSourceReader):
-    def __init__(self, path: str, recursive: bool):
-        self.path, self.recursive = path, recursive
+    """Workbooks of a folder, or those given one by one, whose paths the rows then carry as they are."""
 
-    def _filesystem(self) -> tuple[pafs.FileSystem, str]:
-        return pafs.FileSystem.from_uri(self.path) if re.match(r"[a-z0-9]+:", self.path) else (pafs.LocalFileSystem(), self.path)
+    def __init__(self, path: str, recursive: bool, paths: list[str] | None = None):
+        self.path, self.recursive, self.paths = path, recursive, paths
 
     def partitions(self) -> list[Workbook]:
-        fs, root = self._filesystem()
+        if self.paths is not None:
+            return [Workbook(p) for p in self.paths] or [Workbook("")]
+        fs, root = _filesystem(self.path)
         if fs.get_file_info(root).type == pafs.FileType.File:
             return [Workbook(root)]
         found = fs.get_file_info(pafs.FileSelector(root, recursive=self.recursive, allow_not_found=True))
@@ -93,17 +107,17 @@ class CellsReader(DataSourceReader):
     def read(self, partition: Workbook) -> Iterator[tuple]:
         if not partition.path:
             return
-        fs, _ = self._filesystem()
         try:
-            with fs.open_input_file(partition.path) as source:
+            fs, at = (_filesystem(self.path)[0], partition.path) if self.paths is None else _filesystem(partition.path)
+            with fs.open_input_file(at) as source:
                 for sheet, sheet_idx, row_idx, col_idx, value in workbook_cells(source):
                     yield partition.path, sheet, sheet_idx, row_idx, col_idx, value
-        except (zipfile.BadZipFile, ET.ParseError, KeyError, OSError, ValueError) as error:
-            yield partition.path, None, None, None, None, f"{type(error).__name__}: {error}"
+        except Exception as error:  # noqa: BLE001 - one bad workbook must not stop the others
+            yield partition.path, None, None, None, None, failure(partition.path, error)
 
 
 class XlsxCells(DataSource):
-    """format("xlsx_cells"); options path and recursive."""
+    """format("xlsx_cells"); options path and recursive, or paths (a JSON list)."""
 
     @classmethod
     def name(cls) -> str:
@@ -113,14 +127,23 @@ class XlsxCells(DataSource):
         return CELLS
 
     def reader(self, schema) -> CellsReader:
-        return CellsReader(self.options["path"], self.options.get("recursive", "true").lower() == "true")
+        paths = json.loads(self.options["paths"]) if "paths" in self.options else None
+        return CellsReader(self.options.get("path", ""), self.options.get("recursive", "true").lower() == "true", paths)
 
 
 def read_cells(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+    ship(spark)
     spark.dataSource.register(XlsxCells)
     return spark.read.format("xlsx_cells").options(path=path, recursive=str(recursive)).load()
 
 
+def read_workbooks(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The cells of some workbooks; `file` is the path as given."""
+    ship(spark)
+    spark.dataSource.register(XlsxCells)
+    return spark.read.format("xlsx_cells").options(paths=json.dumps(paths)).load()
+
+
 def readable(cells: DataFrame) -> DataFrame:
     return cells.where("sheet is not null")
 

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schema import CELLS
-from ..sources.xlsx import workbook_cells
+from ..session import ship
+from ..sources.xlsx import failure, workbook_cells
 
 
 def new_files(spark: SparkSession, path: str, pattern: str = "*.xls*", per_batch: int = 1000) -> DataFrame:
@@ -37,10 +38,11 @@ def cells_of(files: DataFrame) -> DataFrame:
                 try:
                     rows += [(path, *cell) for cell in workbook_cells(io.BytesIO(content))]
                 except Exception as error:  # noqa: BLE001 - one bad file must not stop the others
-                    rows.append((path, None, None, None, None, f"{type(error).__name__}: {error}"))
+                    rows.append((path, None, None, None, None, failure(path, error)))
             out = pd.DataFrame(rows, columns=names)
             yield out.astype({c: "Int32" for c in ("sheet_idx", "row_idx", "col_idx")})
 
+    ship(files.sparkSession)
     return files.mapInPandas(run, CELLS)
 
 

@@ -6,8 +6,11 @@ from xml.sax.saxutils import escape
 import pytest
 from pyspark.sql import functions as F
 
-from crewgrid.plans import build
+from crewgrid import constants as K
+from crewgrid.plans import build, load
+from crewgrid.schema import CELLS
 from crewgrid.sources import files, grid, lists, sinks
+from crewgrid.sources.config import of, read_config
 from crewgrid.sources.xlsx import read_cells, read_errors, readable
 from crewgrid.streaming import incremental
 from tests.conftest import rows
@@ -95,6 +98,81 @@ def test_build_is_incremental(spark, raw):
     assert statuses() == {"현황2024.xlsx": "changed", "명단2024.xlsx": "unchanged", "기술스택.xlsx": "deleted", "broken.xlsx": "new"}
 
 
+def names(paths):
+    return sorted(p.rsplit("/", 1)[1] for p in paths)
+
+
+def test_a_second_build_parses_only_what_changed(spark, raw):
+    src, out = str(raw / "raw"), str(raw / "out")
+    first = build.build(spark, src, out)
+    assert names(first.parsed) == sorted(["broken.xlsx", "기술스택.xlsx", "명단2024.xlsx", "현황2024.xlsx"])
+    before = rows(first.master)
+    second = build.build(spark, src, out)
+    assert names(second.parsed) == ["broken.xlsx"] and rows(second.master) == before
+    workbook(raw / "raw" / "현황2025.xlsx", {"재직자": PEOPLE[:3]})
+    (raw / "raw" / "roster" / "명단2024.xlsx").unlink()
+    third = build.build(spark, src, out)
+    assert names(third.parsed) == ["broken.xlsx", "현황2025.xlsx"] and third.roster.count() == 0
+    assert {r.snapshot_year for r in third.master.collect()} == {2024, 2025}
+    assert names(build.build(spark, src, out, force=True).parsed) == sorted(["broken.xlsx", "기술스택.xlsx", "현황2024.xlsx", "현황2025.xlsx"])
+    for folder in ("manifest", "index", "status"):
+        assert len([x for x in (raw / "out" / "bronze" / folder).iterdir() if x.name.startswith("v-")]) == 1
+    assert len(list((raw / "out" / "bronze" / "cells").iterdir())) == 1
+
+
+def test_build_with_settings(spark, raw, capsys):
+    (raw / "raw" / "headcount").mkdir()
+    (raw / "raw" / "unknown").mkdir()
+    workbook(raw / "raw" / "unknown" / "x2024.xlsx", {"재직자": [["사번", "성명", "입사일"], [9, "아무개", "2020-01-01"]]})
+    workbook(raw / "raw" / "headcount" / "hc2024.xlsx", {"재직 현황": [["사번", "이름", "소속", "입사일"], [5, "유관순", "본부B", "2022-03-01"]]})
+    workbook(raw / "raw" / "odd.xlsx", {"Z": [["항목", "비고"], ["x", "y"]], "본부별 년차별 인원수": [["사번", "입사일"], [77, "2020-01-01"]]})
+    (raw / "old.xls").write_bytes(b"binary")
+    (raw / "old.xls").rename(raw / "raw" / "old.xls")
+    (raw / "alias.csv").write_text("raw_org,raw_dept,std_org,std_dept\n본부A,,본부에이,\n")
+    (raw / "config.json").write_text(json.dumps({"columns": {"headcount_2024": {"emp_id": "사번", "name": "이름", "org": "소속"}}, "files": {"headcount_2024_xlsx": "hc2024.xlsx"}, "skip_sheets": ["Z"]}))
+    assert build.main([str(raw / "raw"), str(raw / "out"), "--config", str(raw / "config.json"), "--alias", str(raw / "alias.csv")]) == 0
+    got = load.load(spark, str(raw / "out"))
+    people = rows(got["master"].select("name", "org"))
+    assert ("유관순", "본부B") in people and not {"아무개", None} & {n for n, _ in people}
+    assert rows(got["hc_active"].select("emp_id", "name", "org")) == [("5", "유관순", "본부B")] and got["hc_exited"].count() == 0
+    assert got["report"].count() == 1 and got["attrition"].columns == ["emp_id", "name", "attrition_risk_score"]
+    assert spark.read.parquet(str(raw / "out" / "qa" / "alias_missing")).count() >= 1
+    errors = {r.error for r in build.build(spark, str(raw / "raw"), str(raw / "out")).errors.collect()}
+    assert any("old binary or encrypted" in e for e in errors)
+
+
+def test_unknown_sheets_are_reported_once(spark, tmp_path):
+    cells = lambda f, head: spark.createDataFrame([(f, "Z", 0, 0, 0, head), (f, "Z", 0, 0, 1, "비고"), (f, "Z", 0, 1, 0, "x"), (f, "Z", 0, 1, 1, "y")], CELLS)
+    one = grid.scan_sheets(cells("odd.xlsx", "항목"))
+    assert build.watch(spark, str(tmp_path), one).count() == 1 and build.watch(spark, str(tmp_path), one).count() == 0
+    build.watch(spark, str(tmp_path), one.unionByName(grid.scan_sheets(cells("odder.xlsx", "품목"))))
+    assert rows(spark.read.parquet(str(tmp_path / "qa" / "alerts")).select("file")) == [("odd.xlsx",), ("odder.xlsx",)]
+    assert rows(spark.read.parquet(str(tmp_path / "bronze" / "registry")).select("columns", "type_no")) == [(["품목", "비고"], 2), (["항목", "비고"], 1)]
+
+
+def test_tables_are_found_where_they_are(spark, tmp_path):
+    (tmp_path / "gold").mkdir()
+    (tmp_path / "gold" / "turnover_yearly.csv").write_text("year,hires,exits,other\n2024,3,x,1\n")
+    (tmp_path / "monthly.csv").write_text("month,hires,exits,net\n2024-01-01,1,0,1\n")
+    got = load.load(spark, str(tmp_path))
+    assert rows(got["yearly"]) == [(2024, 3, None, None)] and rows(got["monthly"]) == [(date(2024, 1, 1), 1, 0, 1)] and got["master"].count() == 0
+
+
+def test_needles_find_headers_below_titles(spark):
+    cells = [("f", "a", 0, 0, 0, "소속별 현황"), ("f", "a", 0, 1, 0, "사번"), ("f", "a", 0, 2, 0, "1"), ("f", "b", 1, 0, 0, "list"), ("f", "b", 1, 3, 0, "Employee Name"), ("f", "b", 1, 4, 0, "Kim")]
+    cells = spark.createDataFrame(cells, CELLS)
+    found = {r.sheet: r.header_row for r in grid.header_by_needles(cells, K.HEADCOUNT_NEEDLES, K.HEADCOUNT_ROWS).collect()}
+    assert found == {"a": 1, "b": 3}
+    grade = lists.grades(spark.createDataFrame([("g", "s", 0, 1, 0, "이름"), ("g", "s", 0, 1, 1, "등급"), ("g", "s", 0, 2, 0, "김"), ("g", "s", 0, 2, 1, "S")], CELLS))
+    assert grade.columns == ["이름", "등급"] and rows(grade) == [("김", "S")] and lists.grades(cells.limit(0)) is None
+
+
+def test_settings(spark, tmp_path):
+    (tmp_path / "c.json").write_text('{"a": {"b": ""}}')
+    config = read_config(spark, str(tmp_path / "c.json"))
+    assert of(config, "a", "b", default=1) == 1 and of(config, "x", "y") is None and of(config, "a") == {"b": ""}
+
+
 def test_headcount_lists(spark, tmp_path):
     workbook(tmp_path / "hc.xlsx", {"재직 현황": [["x"], ["사번", "이름", "소속", "핸드폰"], [1, "A", "o", "010"], [2, "nan", "o", "010"]], "퇴사자": [["이름", "퇴사일"], ["B", "2024.01.15"]]})
     out = build.headcount_lists(readable(read_cells(spark, str(tmp_path))), {"emp_id": "사번", "name": "이름", "org": "소속", "exit_date": "퇴사일"})
