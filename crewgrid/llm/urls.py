@@ -6,6 +6,10 @@ rate of all pages, each by a beta-binomial prior whose strength is estimated
 from the spread of the level's own groups (method of moments). A host is
 blocked where the lower posterior bound of its bad rate is over `max_bad`.
 
+A host's suffix is its last label, or its last two if `suffixes` lists them (co.uk); its
+registered domain has one label more. A port is no part of either, and an IP address
+is its own domain and suffix.
+
 Nulls and odd input: a null url or one without `://` has an empty host and
 path, fits no rule and gets the verdict of the overall rate. Null labels do
 not count. Repeated pages are judged and counted each. An empty table gives
@@ -21,6 +25,11 @@ from .common import lower_ascii, table, written
 
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
 MAX_BAD, Z = 0.25, 1.645
+#: Public suffixes of two labels. A parameter: give a longer list where the corpus needs it.
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "com.br", "org.br", "co.in", "co.jp", "ne.jp", "or.jp", "co.kr", "or.kr", "com.cn", "com.mx", "co.nz",
+    "com.tr", "com.tw", "co.za", "blogspot.com", "github.io", "gitlab.io", "wordpress.com",
+)
 #: Up to so many rules become one expression; longer lists are joined on the host's suffixes.
 INLINE_RULES = 256
 #: Up to so many hosts are sent to all executors (about 60 bytes each); beyond, hosts are joined by a shuffle.
@@ -76,12 +85,19 @@ def _level(groups: DataFrame, key: str, prior: str) -> DataFrame:
     return groups.withColumns({f"{key}_mean": (F.col("bad") + k * F.col(prior)) / (F.col("n") + k), f"{key}_k": F.lit(k)})
 
 
-def host_reputation(labelled: DataFrame, max_bad: float = MAX_BAD, z: float = Z) -> DataFrame:
+def levels(host: Column, suffixes=SUFFIXES) -> tuple[Column, Column]:
+    """Registered domain and suffix."""
+    name = F.regexp_replace(host, ":[0-9]*$", "")
+    last = lambda n: F.substring_index(name, ".", -n)
+    listed, address = last(2).isin(*suffixes), name.rlike(r"^([0-9]+[.]){3}[0-9]+$|^\[")
+    return F.when(address, name).when(listed, last(3)).otherwise(last(2)), F.when(address, name).when(listed, last(2)).otherwise(last(1))
+
+
+def host_reputation(labelled: DataFrame, max_bad: float = MAX_BAD, z: float = Z, suffixes=SUFFIXES) -> DataFrame:
     """labelled: host, bad (1, 0 or null: no outcome). One row a host: n, bad, mean, bound, blocked."""
     hosts = labelled.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad"))
-    hosts = written(
-        hosts.withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)}), "hosts"
-    )
+    domain, suffix = levels(F.col("host"), suffixes)
+    hosts = written(hosts.withColumns({"domain": domain, "suffix": suffix}), "hosts")
     overall = hosts.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("overall")).first()[0]
     suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = _level(suffixes.withColumn("overall", F.lit(overall)), "suffix", "overall").select("suffix", "suffix_mean")
@@ -93,13 +109,15 @@ def host_reputation(labelled: DataFrame, max_bad: float = MAX_BAD, z: float = Z)
     return out.select("host", "n", "bad", F.col("host_mean").alias("mean"), "bound", (F.col("bound") > max_bad).alias("blocked"))
 
 
-def url_filter(pages: DataFrame, outcomes: DataFrame, rules=RULES, max_bad: float = MAX_BAD, z: float = Z) -> DataFrame:
+def url_filter(pages: DataFrame, outcomes: DataFrame, rules=RULES, max_bad: float = MAX_BAD, z: float = Z, suffixes=SUFFIXES) -> DataFrame:
     """pages: page_id, url, doc_id (what the page shows, or null); outcomes: doc_id, bad. Returns page_id, host, path, rule, verdict."""
     host, path = parts(F.col("url"))
     judged = pages.select("page_id", host.alias("host"), path.alias("path"), F.col("doc_id").alias("shown"))
     known = outcomes.where("doc_id is not null").groupBy("doc_id").agg(F.max("bad").cast("long").alias("bad"))
-    labelled = judged.join(known, judged["shown"] == known["doc_id"], "left").select("host", "bad")
-    hosts = written(host_reputation(labelled, max_bad, z).select("host", "blocked"), "reputation")
+    # Pages that show no document have no outcome and no part in the join.
+    labelled = judged.where("shown is not null").join(known, F.col("shown") == F.col("doc_id"), "left").select("host", "bad")
+    labelled = labelled.unionByName(judged.where("shown is null").select("host", F.lit(None).cast("long").alias("bad")))
+    hosts = written(host_reputation(labelled, max_bad, z, suffixes).select("host", "blocked"), "reputation")
     hosts = F.broadcast(hosts) if hosts.count() <= BROADCAST_HOSTS else hosts
     ruled = with_rules(judged.drop("shown"), rules)
     return ruled.join(hosts, "host", "left").select(
@@ -128,6 +146,14 @@ def _level_sql(name: str, rows: str, key: str, prior: str) -> str:
     {name} AS (SELECT r.*, (bad + k * {prior}) / (n + k) AS {key}_mean, k AS {key}_k FROM {rows} r CROSS JOIN {name}_k)"""
 
 
+def _level_of(n: int) -> str:
+    """The SQL of the host's last n labels, or n + 1 if its last two are a listed suffix; of an address itself."""
+    name = "regexp_replace(host, ':[0-9]*$', '')"
+    last = lambda k: f"array_to_string(string_split({name}, '.')[-{k}:], '.')"
+    listed = ", ".join(f"'{s}'" for s in SUFFIXES)
+    return f"CASE WHEN regexp_matches({name}, '^([0-9]+[.]){{3}}[0-9]+$|^\\[') THEN {name} WHEN {last(2)} IN ({listed}) THEN {last(n + 1)} ELSE {last(n)} END"
+
+
 def op9_sql() -> str:
     fits = lambda r: (lambda h, p: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))")(*split_rule(r))
     longest = sorted(RULES, key=lambda r: -len(r[1]))
@@ -140,8 +166,7 @@ def op9_sql() -> str:
       FROM pages),
     o AS (SELECT doc_id, max(1 - quality) AS bad FROM labels GROUP BY doc_id),
     h0 AS (
-      SELECT host, count(bad) AS n, coalesce(sum(bad), 0)::BIGINT AS bad, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
-             string_split(host, '.')[-1] AS suffix
+      SELECT host, count(bad) AS n, coalesce(sum(bad), 0)::BIGINT AS bad, {_level_of(2)} AS domain, {_level_of(1)} AS suffix
       FROM p LEFT JOIN o ON shown = doc_id GROUP BY host),
     al AS (SELECT (sum(bad) + 1) / (sum(n) + 2) AS overall FROM h0),
     s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(overall) AS overall FROM h0 CROSS JOIN al GROUP BY suffix),
