@@ -183,15 +183,25 @@ class ArchiveReader(DataSourceReader):
         if not partition.archive:
             return
         fs, _ = _filesystem(self.path)
-        with fs.open_input_file(partition.archive) as source:
+        source = fs.open_input_file(partition.archive)
+        try:
             with zipfile.ZipFile(source) as archive:
                 members = [(i.header_offset, i.compress_size, i.CRC, i.filename) for i in archive.infolist() if partition.start <= i.header_offset < partition.end]
             rows: list[tuple] = []
             held = 0
             for offset, packed, crc, name in members:
-                media = self._member(source, offset, packed, crc)
+                for left in range(self.retries, -1, -1):
+                    try:
+                        media = self._member(source, offset, packed, crc)
+                        payload = decode(media)
+                        break
+                    except (OSError, ValueError, struct.error):
+                        if not left:
+                            raise
+                        # The handle itself may be dead: a new one, from this member's offset.
+                        source.close()
+                        source = fs.open_input_file(partition.archive)
                 _, key, n_bytes, _ = name.split(".")
-                payload = decode(media)
                 rows.append((None if key == "null" else int(key), int(n_bytes), payload, len(media), hashlib.sha256(media).hexdigest()))
                 held += len(payload)
                 if held >= self.batch_bytes:
@@ -199,6 +209,8 @@ class ArchiveReader(DataSourceReader):
                     rows, held = [], 0
             if rows:
                 yield self._batch(rows)
+        finally:
+            source.close()
 
     @staticmethod
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
