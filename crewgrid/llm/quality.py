@@ -186,8 +186,9 @@ def training_rows(labels: DataFrame, usable, max_rows: int = MAX_ROWS) -> DataFr
 
 
 def fit(rows: DataFrame, wanted: DataFrame) -> Model:
-    """rows: doc_id, x; wanted: the training rows, bounded and so sent to the scan."""
-    got = sorted((r.doc_id, r.quality, tuple(r.x)) for r in rows.join(F.broadcast(wanted), "doc_id").collect())
+    """rows: doc_id, x; wanted: the training rows, bounded and so sent to the scan. Of rows that share an id the one of least features trains."""
+    one = rows.join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.min("x").alias("x"), F.min("quality").alias("quality"))
+    got = sorted((r.doc_id, r.quality, tuple(r.x)) for r in one.collect())
     x = np.array([r[2] for r in got], np.float32).reshape(-1, len(FEATURES))
     return train(x, np.array([float(r[1]) for r in got]))
 

@@ -283,7 +283,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable, max_toxic: int = MAX_TOXIC,
     # At most max_toxic + max_ordinary ids, so they are sent to the scan.
     rows = docs.join(F.broadcast(wanted), "doc_id").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
     rows = written(rows.withColumn("mark", F.xxhash64("text")), "labelled")
-    places = rows.select("doc_id", "toxic", "mark").distinct().withColumn("place", F.row_number().over(W.partitionBy("toxic").orderBy("doc_id", "mark")) - 1)
+    # Of rows that share an id one trains, so that the bound is one on rows.
+    places = rows.groupBy("doc_id", "toxic").agg(F.min("mark").alias("mark")).withColumn("place", F.row_number().over(W.partitionBy("toxic").orderBy("doc_id", "mark")) - 1)
     sample = rows.dropDuplicates(["doc_id", "mark"]).join(places.drop("toxic"), ["doc_id", "mark"]).select("toxic", "place", "text")
     return _trained_on(_Stored(written(sample, "sample"), WINDOW), WINDOW, max_windows)
 
