@@ -60,8 +60,9 @@ TAG = "spdx license identifier"
 IDENTIFIERS = (
     ("cc-by-nc-sa", "cc-by-nc-sa"), ("cc-by-nc-nd", "cc-by-nc-nd"), ("cc-by-nc", "cc-by-nc"), ("cc-by-nd", "cc-by-nd"), ("cc-by-sa", "cc-by-sa"), ("cc-by", "cc-by"),
     ("cc0", "cc0"), ("agpl", "agpl"), ("lgpl", "lgpl"), ("gpl", "gpl"), ("apache", "apache"), ("bsd", "bsd"), ("mit", "mit"), ("mpl", "mpl"), ("epl", "epl"), ("isc", "isc"),
+    ("unlicense", "unlicense"), ("zlib", "zlib"), ("eupl", "eupl"), ("bsl", "bsl"), ("artistic", "artistic"), ("ofl", "ofl"),
 )
-PERMISSIVE = frozenset({"mit", "apache", "bsd", "isc", "cc0", "cc-by", "public-domain"})
+PERMISSIVE = frozenset({"mit", "apache", "bsd", "isc", "cc0", "cc-by", "public-domain", "unlicense", "zlib", "bsl"})
 RESTRICTIVE = frozenset({"proprietary", "cc-by-nc", "cc-by-nd", "cc-by-nc-sa", "cc-by-nc-nd"})
 _RANK = {"or": 1, "and": 2, "with": 3}
 _TAG_LINE = re.compile(r"spdx-license-identifier\s*:[ \t]*([^\r\n]*)", re.IGNORECASE)
