@@ -1,6 +1,7 @@
 """The operators on small tables with odd rows, against brute force."""
 
 import hashlib
+import os
 import zlib
 from collections import Counter, defaultdict
 
@@ -360,6 +361,16 @@ def test_urls(spark):
     assert urls.url_filter(p.limit(0), o).count() == 0
 
 
+def test_levels_of_hosts(spark):
+    hosts = ["a.b.example.com", "x.y.co.uk", "co.uk", "a.com:8080", "10.0.0.1:80", "[::1]", "", "com"]
+    d, s = urls.levels(F.col("host"))
+    got = {r.host: (r.d, r.s) for r in spark.createDataFrame([(h,) for h in hosts], "host string").select("host", d.alias("d"), s.alias("s")).collect()}
+    assert got == {
+        "a.b.example.com": ("example.com", "com"), "x.y.co.uk": ("y.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "a.com:8080": ("a.com", "com"),
+        "10.0.0.1:80": ("10.0.0.1", "10.0.0.1"), "[::1]": ("[::1]", "[::1]"), "": ("", ""), "com": ("com", "com"),
+    }
+
+
 def test_many_rules_are_joined(spark, monkeypatch):
     p = spark.createDataFrame([(i, u) for i, u in enumerate(["http://m.example.com/en/7", "http://com/en/", "http://x.example.net/de/8", "http://a.org/", None])], "page_id long, url string")
     host, path = urls.parts(F.col("url"))
@@ -394,6 +405,44 @@ def test_fingerprints(docs, plain, nothing, spark):
     assert fingerprints.fingerprints(one).first().near_next == 1.0
 
 
+def plain_features(text):
+    """Some of the classifier's features, counted anew, word by word."""
+    w = (text or "").encode().split()
+    if not w:
+        return None
+    lines = [x for x in (text or "").encode().split(b"\n") if x.strip()]
+    return {"word_length": sum(map(len, w)) / len(w), "distinct_words": len(set(w)) / len(w), "top_word": max(Counter(w).values()) / len(w), "distinct_lines": len(set(lines)) / len(lines)}
+
+
+def test_features_are_what_their_names_say(plain):
+    for _, text in plain:
+        got = dict(zip(quality.FEATURES, quality.features(text), strict=True))
+        want = plain_features(text)
+        assert (not any(got.values())) if want is None else all(got[k] == pytest.approx(v, rel=0.02, abs=0.05) for k, v in want.items() if k in ("distinct_words", "top_word")), text
+        assert all(np.isfinite(list(got.values())))
+
+
+def held_out(query, spark, column, ways, sf):
+    got = {r.doc_id: r for r in query(spark, sf).collect()}
+    labels = {r.doc_id: r[column] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert all(r.held_out == (zlib.crc32(str(d).encode()) % ways[0] == ways[1]) for d, r in got.items())
+    return [(labels[d], got[d].predicted) for d in labels if got[d].held_out]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="needs the generated tables")
+def test_held_out_quality(spark):
+    pairs = held_out(quality.op1_quality_classifier, spark, "quality", (5, 0), "/root/testdata/sf0.01")
+    assert len(pairs) > 40 and sum(a == b for a, b in pairs) >= 0.97 * len(pairs)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="needs the generated tables")
+def test_held_out_toxicity(spark):
+    """Over the table with 2,600 training rows; with a tenth of them (sf0.01) 2 of 95 clean held-out rows are flagged."""
+    pairs = held_out(toxicity.op8_toxicity, spark, "toxic", (3, 1), "/root/testdata/sf0.1")
+    clean, toxic = [p for y, p in pairs if not y], [p for y, p in pairs if y]
+    assert sum(clean) <= 0.005 * len(clean) and sum(toxic) >= 0.55 * len(toxic)
+
+
 def test_quality(docs, plain, nothing, spark):
     labels = spark.createDataFrame([(d, int(i % 3 > 0), 0) for i, (d, _) in enumerate(plain)] + [(None, 1, 0), (2, None, 0)], "doc_id long, quality int, toxic int")
     x = quality.featured(docs)
