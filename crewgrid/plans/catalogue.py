@@ -11,7 +11,7 @@ from .. import constants as K
 from ..functions import scalars as S
 from ..operators import canonical, classify, gold, qa, views
 from ..sources import files, grid
-from .adapters import MASTER_SQL, master, roster, scored, sheet_cells, table
+from .adapters import MASTER_SQL, master, roster, scored, sheet_cells, table, whole_roster
 
 #: The reference year of time-dependent figures, and the choices that filtered panels are shown with.
 YEAR, ORGS = 1998, ("ASIA", "EUROPE")
@@ -199,8 +199,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "qa_master_only": lambda s, d: qa.master_only(master(s, d), roster(s, d)),
         "qa_report": lambda s, d: qa.report(master(s, d), roster(s, d)),
         "headcount_reconciliation": lambda s, d: qa.reconciliation(gold.headcount(master(s, d)), _active(master(s, d))),
-        "turnover_pivot": lambda s, d: gold.turnover_pivot(roster(s, d)),
-        "roster_distinct": roster,
+        "turnover_pivot": lambda s, d: gold.turnover_pivot(whole_roster(s, d)),
+        "roster_distinct": whole_roster,
         "turnover_rates": _turnover_rates,
         "dept_rates": _dept_rates,
         "dept_trim_first_seen": _dept_monthly_trimmed,
@@ -237,11 +237,12 @@ _DEPT = f"dept_monthly AS (SELECT org, dept, CAST(date_trunc('month', day) AS DA
 _EARLY = "early AS (SELECT *, date_diff('day', join_date, exit_date) AS tenure_days FROM master WHERE date_diff('day', join_date, exit_date) BETWEEN 0 AND 30)"
 _LAST = "last AS (SELECT max(snapshot_year) AS y FROM master)"
 _ORGS = ", ".join(f"'{o}'" for o in ORGS)
-_ROSTER = """
+_LISTED = """
 roster AS (
   SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, CASE WHEN o_orderkey % 2 = 0 THEN 'hire' ELSE 'exit' END AS type,
          CASE WHEN o_orderkey % 97 = 0 THEN 'Guest ' || o_custkey ELSE printf('Customer#%09d', o_custkey) END AS name, 'roster' AS source_file, o_orderstatus AS sheet
-  FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1999 AND o_orderkey % 4 <> 0)"""
+  FROM orders{where})"""
+_ROSTER, _WHOLE_ROSTER = _LISTED.format(where=" WHERE year(o_orderdate) BETWEEN 1996 AND 1999 AND o_orderkey % 4 <> 0"), _LISTED.format(where="")
 _REF_ONLY = "ref_only AS (SELECT r.* FROM roster r WHERE NOT EXISTS (SELECT 1 FROM master m WHERE m.snapshot_year = r.year AND m.name = r.name))"
 _MASTER_ONLY = """
 master_only AS (SELECT snapshot_year, emp_id, name, org, dept, data_source, sheet_name FROM master m
@@ -350,8 +351,8 @@ def oracle_sql() -> dict[str, str]:
         "headcount_reconciliation": _sql(
             "SELECT headcount.*, t AS ground_truth, active_latest_people - t AS gap FROM headcount, (SELECT count(*) AS t FROM master WHERE exit_date IS NULL)", _LAST, _HEADCOUNT
         ),
-        "turnover_pivot": f"WITH {_ROSTER} SELECT year, h AS hires, e AS exits, h - e AS net FROM (SELECT year, count(*) FILTER (WHERE type = 'hire') AS h, count(*) FILTER (WHERE type = 'exit') AS e FROM roster GROUP BY 1)",
-        "roster_distinct": f"WITH {_ROSTER} SELECT * FROM roster",
+        "turnover_pivot": f"WITH {_WHOLE_ROSTER} SELECT year, h AS hires, e AS exits, h - e AS net FROM (SELECT year, count(*) FILTER (WHERE type = 'hire') AS h, count(*) FILTER (WHERE type = 'exit') AS e FROM roster GROUP BY 1)",
+        "roster_distinct": f"WITH {_WHOLE_ROSTER} SELECT * FROM roster",
         "turnover_rates": _sql(
             "SELECT year, hires, exits, hires - exits AS net, CASE WHEN a > 0 THEN exits / a * 100.0 ELSE 0.0 END AS turnover_rate FROM yearly, (SELECT count(*) / 2 AS a FROM master WHERE exit_date IS NULL)",
             _EVENTS, _YEARLY,

@@ -12,8 +12,8 @@ def one(spark, text, f):
 @pytest.mark.parametrize(
     ("text", "day"),
     [(t, date(2024, 1, 15)) for t in ("2024-01-15", "2024.01.15", "20240115", "45306", "45306.0", "20240115.0", " 2024-01-15 ")]
-    + [(t, date(2024, 1, 5)) for t in ("2024/1/5", "2024-1-5 00:00:00")]
-    + [(t, None) for t in ("5", "61000", "1970-01-01", "abc", "", None, "2024-13-40", "99999999", "123456789012345678901234567890")],
+    + [(t, date(2024, 1, 5)) for t in ("2024/1/5", "2024-1-5 00:00:00", "1/5/2024", "01-05-2024", "2024년 1월 5일", "2024 년 1 월 5 일", "Jan 5 2024", "jan. 5, 2024", "January 5, 2024", "5 JAN 2024", "5-Jan-2024", "45296.75")]
+    + [(t, None) for t in ("5", "61000", "1970-01-01", "abc", "", None, "2024-13-40", "99999999", "13/13/2024", "Foo 5 2024", "2/30/2024", "61000.5", "123456789012345678901234567890")],
 )
 def test_dates(spark, text, day):
     assert one(spark, text, S.to_date) == day
