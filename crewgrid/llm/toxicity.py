@@ -13,7 +13,7 @@ What makes the distance sharp: both dictionaries hold the same ordinary
 part (trained by zstandard's COVER from windows of ordinary documents) and
 differ only in a last part, taken from toxic text by contrast, which has
 the runs of letters that surely more toxic than ordinary documents have (bounds of
-`Z` standard errors on either share, `RATIO` apart); the other dictionary has filler there. Trained plainly on
+`Z` standard errors on either share, one of `RATIOS` apart); the other dictionary has filler there. Trained plainly on
 whole documents the two dictionaries share nearly all their content and the
 gain is noise (AUC 0.6 to 0.7).
 
@@ -48,11 +48,12 @@ from pyspark.sql import functions as F
 from .common import ALNUM, fold, table, written
 
 WINDOW, GRAM = 4, 5
-ORDINARY_BYTES, TOXIC_BYTES = 4096, 4096
+ORDINARY_BYTES, TOXIC_BYTES = 4096, 1024
 MAX_TOXIC, MAX_ORDINARY, MAX_WINDOWS = 2500, 10_000, 40_000
 THRESHOLD = 0.7
-#: A run of letters is toxic if MIN_DOCS toxic documents have it and the lower bound of their share is RATIO times the upper bound of the ordinary ones'.
-MIN_DOCS, Z, RATIO = 3, 3.0, 1.5
+#: A run of letters is toxic if MIN_DOCS toxic documents have it and the lower bound of their share is a ratio's times the upper bound of the ordinary
+#: ones'; of these ratios the one counts whose scores fit the calibrating rows best (the least log loss; of equal ones the first).
+MIN_DOCS, Z, RATIOS = 3, 3.0, (20.0, 6.0, 3.0, 1.5)
 #: Steps of the tables: bytes gained, and bytes gained a window.
 LEVELS = (0.0, 1.0, 2.0, 3.0, 4.0, 6.0, 9.0, 14.0, 25.0)
 RATES = (0.0, 0.02, 0.04, 0.07, 0.1, 0.15, 0.2, 0.3, 0.5, 0.8)
@@ -249,14 +250,32 @@ def _trained_on(texts: _Here | _Stored, window: int, max_windows: int) -> Model:
     seen = texts.counts(1, _grams, MIN_DOCS)
     common = set(seen)
     plain = texts.counts(0, lambda ws: _grams(ws) & common)
-    chosen = {g for g in common if _bound(seen[g], n_t, -Z) >= RATIO * _bound(plain[g], n_o, Z)}
-    runs = texts.counts(1, lambda ws: _runs(ws, chosen))
-    samples = [r for r, _ in sorted(runs.items(), key=lambda r: (r[1], r[0]))]
-    part = b"\0".join(samples)
-    part = part if len(part) <= TOXIC_BYTES else _trained([r for r in samples for _ in range(min(runs[r], 50))], TOXIC_BYTES)
     content = _trained(texts.ordinary(max_windows), ORDINARY_BYTES)
+    best: tuple[float, Model] | None = None
+    for ratio in RATIOS:
+        chosen = {g for g in common if _bound(seen[g], n_t, -Z) >= ratio * _bound(plain[g], n_o, Z)}
+        runs = texts.counts(1, lambda ws, chosen=chosen: _runs(ws, chosen))
+        # The runs that most toxic documents have, up to a size; the most frequent come last, where they are cheapest to point at.
+        part = b""
+        for run, _ in sorted(runs.items(), key=lambda r: (-r[1], r[0])):
+            if len(part) + len(run) >= TOXIC_BYTES:
+                break
+            part = run + b"\0" + part
+        model = Model(content, part, window, (float("-inf"),), (base,), (base,))
+        held = texts.gains(model)
+        model = _calibrated(model, held, base)
+        loss = 0.0
+        for y, gain, top, n in sorted(held):
+            p = min(max(model.score((gain, top), n), 1e-3), 1 - 1e-3)
+            loss -= math.log(p if y else 1 - p)
+        if best is None or loss < best[0]:
+            best = loss, model
+    return best[1]
+
+
+def _calibrated(model: Model, held: list[tuple[int, float, float, int]], base: float) -> Model:
+    """The model with its tables, from class, gain, best gain and number of windows of rows that the dictionaries did not see."""
     cuts, rates = (float("-inf"), *LEVELS[1:]), (float("-inf"), *RATES[1:])
-    held = texts.gains(Model(content, part, window, (float("-inf"),), (base,), (base,)))
     y, total, best, n = (np.array([x[i] for x in held], float) for i in range(4))
 
     def shares(g: np.ndarray, levels: tuple[float, ...], base: float) -> tuple[float, ...]:
@@ -272,7 +291,7 @@ def _trained_on(texts: _Here | _Stored, window: int, max_windows: int) -> Model:
     scores = shares(total, LEVELS, base)
     # No text scores less than one without gain.
     bests, densities = (tuple(max(scores[0], x) for x in t) for t in (shares(best, LEVELS, base), shares(total / np.maximum(n, 1), RATES, base)))
-    return Model(content, part, window, cuts, scores, bests, rates, densities)
+    return Model(model.ordinary, model.toxic, model.window, cuts, scores, bests, rates, densities)
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable, max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY, max_windows: int = MAX_WINDOWS) -> Model:
