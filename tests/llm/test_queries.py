@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from crewgrid.llm import common, fingerprints, licences, media, mixing, packing, quality, repeats, similarity, toxicity, urls
+from crewgrid.llm import common, components, fingerprints, licences, media, mixing, packing, quality, repeats, similarity, toxicity, urls
 from tests.conftest import rows
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, `range` string, `set` string, `key` string"
@@ -106,6 +106,27 @@ def test_lists_too_long_to_hold_are_tied_whole(spark, monkeypatch, sets, batch):
     assert reached == {similarity.set_id(similarity.shingles(t)) for t in near}
 
 
+@pytest.mark.parametrize("one_task", [0, 4_000_000])
+def test_components_by_stars_and_by_one_task(spark, monkeypatch, one_task):
+    """Chains, stars and repeated links; contracted locally a few at a time and by stars, or by one task."""
+    monkeypatch.setattr(components, "ONE_TASK", one_task)
+    monkeypatch.setattr(components, "PIECE", 7)
+    r = np.random.default_rng(6)
+    links = [(i, i + 1) for i in range(0, 30)] + [(100, 100 + i) for i in range(1, 40)] + [(int(a), int(b)) for a, b in r.integers(200, 400, (150, 2))] + [(5, 5), (3, 2)]
+    parent = {x: x for p in links for x in p}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    table = common.written(spark.createDataFrame(links, "u long, v long").repartition(4), "links")
+    assert rows(components.components(table).select("node", "root")) == sorted(((x, root(x)) for x in parent if root(x) != x), key=repr)
+
+
 def test_representatives(docs, plain):
     out = similarity.representatives(docs)
     assert out.columns == docs.columns
