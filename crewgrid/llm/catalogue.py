@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import fingerprints, licences, media, mixing, packing, quality, repeats, similarity, toxicity, urls
+from . import bpe, divergence, fingerprints, licences, media, mixing, packing, periods, quality, repeats, similarity, toxicity, urls
 from .common import shipped
 
 
@@ -20,6 +20,9 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_url_filters": urls.op9_url_filters,
     "op10_fingerprints": fingerprints.op10_fingerprints,
+    "op11_source_divergence": divergence.op11_source_divergence,
+    "op12_periodic_runs": periods.op12_periodic_runs,
+    "op13_bpe_chunks": bpe.op13_bpe_chunks,
 }
 
 
@@ -29,4 +32,4 @@ def queries():
 
 def oracle_sql():
     pipeline = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
-    return pipeline | {"op3_jaccard_join": similarity.OP3_SQL, "op4_mixing": mixing.OP4_SQL, "op7_substring_dedup": repeats.OP7_SQL, "op9_url_filters": urls.op9_sql()}
+    return pipeline | {"op3_jaccard_join": similarity.OP3_SQL, "op4_mixing": mixing.OP4_SQL, "op7_substring_dedup": repeats.OP7_SQL, "op9_url_filters": urls.op9_sql(), "op11_source_divergence": divergence.OP11_SQL}

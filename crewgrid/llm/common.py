@@ -8,8 +8,9 @@ import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +69,21 @@ def discard(*tables: DataFrame) -> None:
             at.getFileSystem(conf).delete(at, True)
 
 
+def in_batches(rows: Iterable[tuple], schema: pa.Schema, rows_at_most: int = 10_000, bytes_at_most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows as record batches that stay small whatever the length of their texts and binaries."""
+    columns: list[list] = [[] for _ in schema]
+    held = 0
+    for row in rows:
+        for column, value in zip(columns, row, strict=True):
+            column.append(value)
+            held += len(value) if isinstance(value, (bytes, str)) else 0
+        if held > bytes_at_most or len(columns[0]) >= rows_at_most:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+            columns, held = [[] for _ in schema], 0
+    if columns[0]:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """Working names that are no column of df."""
     have = {c.lower() for c in df.columns}
