@@ -11,16 +11,17 @@ Frequent stretches (common words, a passage that many documents share) would
 send many different strings to one bucket. So a first scan counts minimisers,
 and those with over 1 / `HOT` of all places come last in the order: a window has one as its
 minimiser only if all its stretches are frequent. The words around a shared
-passage then go to the buckets of their own stretches, and the passage's inner strings are equal.
+passage then go to the buckets of their own stretches; its inner windows, all of whose stretches are frequent,
+are dealt one by one by a hash of their words.
 
 Map tasks combine: of equal strings of some MB of words one goes out, with
-where each stands, and all strings of one bucket go as one compressed
-block, so that a bucket receives few rows. A string that many documents share
-is thus sent a few times with lists of places, and a bucket takes all later
+where it stands in the smallest document among them; where it stands in the others it is a repeat, which is known
+at once. So a string that many documents share is sent a few times with few places. All strings of one bucket go as one compressed
+block, so that a bucket receives few rows, and a bucket takes all later
 documents' windows of an equal string as repeats without opening it. Blocks
 are sorted by bucket; a bucket's compressed blocks are held, and opened one by one
-for so many of its minimisers at a time as `OPENED` bytes hold. Hashes choose buckets
-only; a clash costs time and changes nothing.
+for so many of its minimisers at a time as `OPENED` bytes hold, or for a share of one minimiser's windows. Hashes choose buckets
+and shares only; a clash costs time and changes nothing.
 
 The repeats' places go back to their documents. A bitmap of fixed size
 (`SLOTS` bits) over hashed ids tells the last scan which documents may have
@@ -29,7 +30,7 @@ any; only those texts are shuffled. A false hit costs time and changes nothing.
 Nulls and odd input: a null or empty text has no words. A row with a null
 doc_id keeps all its words and is no one's original. Rows of one doc_id are
 not smaller than each other, so none removes another's words; each is judged by its own
-text. Texts under k words have no windows. An empty table gives no rows.
+text, equal ones by one list of spans. Texts under k words have no windows. An empty table gives no rows.
 `deduplicated` keeps all columns, `removed` only its own.
 """
 
@@ -94,7 +95,8 @@ def _stretches(words: list[bytes], k: int, hot: np.ndarray = np.zeros(0, np.uint
 
 
 def super_kmers(words: list[bytes], k: int = WINDOW, hot: np.ndarray = np.zeros(0, np.uint64)) -> Iterator[tuple[int, int, int, bytes]]:
-    """(minimiser, first window, windows, packed words) of stretches whose windows share a minimiser."""
+    """(key, first window, windows, packed words) of stretches whose windows share a minimiser; a window whose minimiser is frequent is a stretch
+    of its own, with a hash of its words for a key."""
     if len(words) < k:
         return
     keys, starts, ends = _stretches(words, k, hot)
@@ -102,7 +104,12 @@ def super_kmers(words: list[bytes], k: int = WINDOW, hot: np.ndarray = np.zeros(
     at = np.zeros(len(words) + 1, np.int64)
     np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1, out=at[1:])
     for key, s, e, i, j in zip(keys.tolist(), starts.tolist(), ends.tolist(), at[starts].tolist(), at[ends + k - 1].tolist(), strict=True):
-        yield key, s, e - s, packed[i : j - 1]
+        if key >> 63:
+            for w in range(s, e):
+                own = packed[at[w] : at[w + k] - 1]
+                yield xxhash.xxh3_64_intdigest(own), w, 1, own
+        else:
+            yield key, s, e - s, packed[i : j - 1]
 
 
 def _block(keys: np.ndarray, strings: list[bytes], counts: np.ndarray, places: np.ndarray, compress) -> bytes:
@@ -146,16 +153,43 @@ def frequent(docs: DataFrame) -> np.ndarray:
     return np.sort(np.array([r.minimiser for r in hot], np.int64)).view(np.uint64)
 
 
+_OUT = pa.schema([("bucket", pa.int32()), ("block", pa.binary()), ("doc_id", pa.int64()), ("mark", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
+
+
+def _spans(out: list[tuple[np.ndarray, int, int]], k: int) -> list[np.ndarray]:
+    """doc_id, mark, start, stop of windows (from, to) of the strings at places."""
+    doc = np.concatenate([p["doc"] for p, _, _ in out])
+    mark = np.concatenate([p["text"] for p, _, _ in out]).view(np.int64)
+    start = np.concatenate([p["start"] + i for p, i, _ in out]).astype(np.int32)
+    stop = np.concatenate([p["start"] + (j - 1 + k) for p, _, j in out]).astype(np.int32)
+    return [doc, mark, start, stop]
+
+
 def _packed(batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
-    """doc_id, text to bucket, block; one block a bucket of every `most` bytes of words."""
+    """Of every `most` bytes of words, one block a bucket, with each string's places in its smallest document here; the others' places are repeats already, and go out as spans."""
     found: dict[bytes, list] = {}
     held = 0
     compress = zstd.ZstdCompressor(level=3).compress
 
-    def rows() -> pa.RecordBatch:
+    def rows() -> Iterator[pa.RecordBatch]:
         keys = np.fromiter((v[0] for v in found.values()), np.uint64, len(found))
-        counts = np.fromiter((len(v) - 1 for v in found.values()), np.int64, len(found))
-        places = np.array([p for v in found.values() for p in v[1:]], _PLACE)
+        counts = np.fromiter((len(v[2]) for v in found.values()), np.int64, len(found))
+        places = np.array([p for v in found.values() for p in v[2]], _PLACE)
+        string = np.repeat(np.arange(len(found)), counts)
+        # Repeated rows have the same places.
+        order = np.lexsort((places["start"], places["text"], places["doc"], string))
+        places, string = places[order], string[order]
+        new = np.concatenate(([True], (places[1:] != places[:-1]) | (string[1:] != string[:-1])))
+        places, string = places[new], string[new]
+        heads = np.concatenate(([0], np.flatnonzero(np.diff(string)) + 1))
+        later = places["doc"] > places["doc"][heads][string]
+        if later.any():
+            windows = np.fromiter((v[1] for v in found.values()), np.int64, len(found))[string[later]]
+            doc, mark, start, _ = _spans([(places[later], 0, 1)], 0)
+            spread = (doc.view(np.uint64) * _A >> _C) % np.uint64(buckets)
+            columns = [spread.astype(np.int32), pa.nulls(len(doc), pa.binary()), doc, mark, start, (start + windows - 1 + WINDOW).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_OUT)
+        places, counts = places[~later], np.bincount(string[~later], minlength=len(found))
         firsts = np.concatenate(([0], np.cumsum(counts)))
         strings = list(found)
         bucket = (keys % np.uint64(buckets)).astype(np.int32)
@@ -165,26 +199,27 @@ def _packed(batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray, mo
         for own in np.split(order, begins[1:]):
             take = np.repeat(firsts[own] - np.concatenate(([0], np.cumsum(counts[own])[:-1])), counts[own]) + np.arange(counts[own].sum())
             blocks.append(_block(keys[own], [strings[i] for i in own.tolist()], counts[own], places[take], compress))
-        return pa.RecordBatch.from_arrays([pa.array(bucket[order][begins]), pa.array(blocks, pa.binary())], ["bucket", "block"])
+        none = [pa.nulls(len(blocks), f.type) for f in _OUT][2:]
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[order][begins]), pa.array(blocks, pa.binary()), *none], schema=_OUT)
 
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
             if doc_id is None:
                 continue
             words, mark = words_of(text.as_py())
-            for key, start, _, packed in super_kmers(words, WINDOW, hot):
+            for key, start, windows, packed in super_kmers(words, WINDOW, hot):
                 have = found.get(packed)
                 if have is None:
-                    found[packed] = [key, (doc_id, mark, start)]
+                    found[packed] = [key, windows, [(doc_id, mark, start)]]
                 else:
-                    have.append((doc_id, mark, start))
+                    have[2].append((doc_id, mark, start))
             held += sum(map(len, words))
             if held >= most and found:
-                yield rows()
+                yield from rows()
                 found.clear()
                 held = 0
     if found:
-        yield rows()
+        yield from rows()
 
 
 def _starts(packed: bytes, k: int) -> list[bytes]:
@@ -199,7 +234,7 @@ def _repeats(rows: list[tuple[bytes, np.ndarray]], k: int) -> Iterator[tuple[np.
     by: dict[bytes, list[np.ndarray]] = {}
     for packed, places in rows:
         by.setdefault(packed, []).append(places)
-    groups = [(packed, np.concatenate(p) if len(p) > 1 else p[0]) for packed, p in by.items()]
+    groups = [(packed, np.unique(np.concatenate(p)) if len(p) > 1 else p[0]) for packed, p in by.items()]
     smallest = [int(p["doc"].min()) for _, p in groups]
     if len(groups) == 1:
         packed, places = groups[0]
@@ -230,56 +265,75 @@ def _repeats(rows: list[tuple[bytes, np.ndarray]], k: int) -> Iterator[tuple[np.
             i = j + 1
 
 
-def _groups(blocks: list[bytes], most: int) -> Iterator[list[tuple[bytes, np.ndarray]]]:
-    """Of one bucket the strings of each minimiser that stands in more than one place; the blocks are opened one by one, again for every share of the minimisers."""
+def _of_blocks(blocks: list[bytes], most: int, k: int) -> Iterator[tuple[np.ndarray, int, int]]:
+    """The repeats of one bucket. Its minimisers that stand in more than one place are opened so many at a time as `most` bytes hold, the blocks
+    one by one for each share; of a minimiser with more bytes than that, the windows are dealt to shares by hash."""
     opened = lambda: (_opened(zstd.ZstdDecompressor().decompress(b)) for b in blocks)
     keys, counts, sizes = (np.concatenate(c) for c in zip(*(o[:3] for o in opened()), strict=True))
     order = np.argsort(keys, kind="stable")
     begins = np.concatenate(([0], np.flatnonzero(np.diff(keys[order])) + 1))
-    wanted = keys[order[begins[np.add.reduceat(counts[order], begins) > 1]]]
-    if not len(wanted):
-        return
-    mine = wanted[np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)] == keys
-    held = int(sizes[mine].sum()) + _PLACE.itemsize * int(counts[mine].sum())
-    shares = max(1, -(-held // most))
-    del keys, counts, sizes, order, mine
-    for share in range(shares):
-        by: dict[int, list[tuple[bytes, np.ndarray]]] = {}
-        own = wanted[wanted % np.uint32(shares) == share]
-        if not len(own):
-            continue
+    wanted, held = keys[order[begins]], np.add.reduceat(sizes[order].astype(np.int64) + _PLACE.itemsize * counts[order].astype(np.int64), begins)
+    repeated = np.add.reduceat(counts[order], begins) > 1
+    wanted, held = wanted[repeated], held[repeated]
+    del keys, counts, sizes, order, repeated
+
+    def strings_of(own: np.ndarray) -> Iterator[tuple[int, bytes, np.ndarray]]:
         for keys, counts, sizes, places, strings in opened():
             ends, last = np.cumsum(sizes, dtype=np.int64), np.cumsum(counts, dtype=np.int64)
             at = np.flatnonzero(own[np.minimum(np.searchsorted(own, keys), len(own) - 1)] == keys)
             for i, key in zip(at.tolist(), keys[at].tolist(), strict=True):
-                by.setdefault(key, []).append((strings[ends[i] - sizes[i] : ends[i]], places[last[i] - counts[i] : last[i]].copy()))
-        yield from by.values()
+                yield key, strings[ends[i] - sizes[i] : ends[i]], places[last[i] - counts[i] : last[i]].copy()
+
+    small = held <= most
+    shares = max(1, -(-int(held[small].sum()) // most))
+    for share in range(shares):
+        own = wanted[small & (wanted % np.uint32(shares) == share)]
+        if not len(own):
+            continue
+        by: dict[int, list[tuple[bytes, np.ndarray]]] = {}
+        for key, packed, places in strings_of(own):
+            by.setdefault(key, []).append((packed, places))
+        for rows in by.values():
+            yield from _repeats(rows, k)
+    for key, size in zip(wanted[~small], held[~small].tolist(), strict=True):
+        shares = -(-size // most)
+        for share in range(shares):
+            first: dict[bytes, int] = {}
+            for _, packed, places in strings_of(np.array([key])):
+                least = int(places["doc"].min())
+                for w in _starts(packed, k):
+                    if hash(w) % shares == share and first.get(w, least) >= least:
+                        first[w] = least
+            for _, packed, places in strings_of(np.array([key])):
+                for i, w in enumerate(_starts(packed, k)):
+                    if hash(w) % shares == share and len(later := places[places["doc"] > first[w]]):
+                        yield later, i, i + 1
 
 
 def _bucketed(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Blocks sorted by bucket to spans of removed words: doc_id, mark, start, stop."""
+    """Blocks sorted by bucket to spans of removed words: doc_id, mark, start, stop. Spans pass through."""
     k = WINDOW
     bucket_now, held = None, []
     out: list[tuple[np.ndarray, int, int]] = []
-
-    def spans() -> pa.RecordBatch:
-        doc = np.concatenate([p["doc"] for p, _, _ in out])
-        mark = np.concatenate([p["text"] for p, _, _ in out]).view(np.int64)
-        start = np.concatenate([p["start"] + i for p, i, _ in out]).astype(np.int32)
-        stop = np.concatenate([p["start"] + (j - 1 + k) for p, _, j in out]).astype(np.int32)
-        out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in (doc, mark, start, stop)], ["doc_id", "mark", "start", "stop"])
+    names = ["doc_id", "mark", "start", "stop"]
 
     def close() -> Iterator[pa.RecordBatch]:
-        for rows in _groups(held, most) if held else ():
-            out.extend(_repeats(rows, k))
+        for found in _of_blocks(held, most, k) if held else ():
+            out.append(found)
             if len(out) > 20_000:
-                yield spans()
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in _spans(out, k)], names)
+                out.clear()
         if out:
-            yield spans()
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _spans(out, k)], names)
+            out.clear()
 
     for batch in batches:
+        passing = batch.filter(batch.column("block").is_null())
+        if passing.num_rows:
+            yield pa.RecordBatch.from_arrays([passing.column(c) for c in names], names)
         for bucket, block in zip(batch.column("bucket").to_pylist(), batch.column("block"), strict=True):
+            if not block.is_valid:
+                continue
             if bucket != bucket_now:
                 yield from close()
                 bucket_now, held = bucket, []
@@ -291,10 +345,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, mark, spans: the words of each document that repeat a smaller document's windows."""
     n, held, opened = shuffles(docs.sparkSession), HELD, OPENED
     hot = docs.sparkSession.sparkContext.broadcast(frequent(docs))
-    packed = docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(lambda batches: _packed(batches, n * BUCKETS, hot.value, held), "bucket int, block binary")
+    packed = docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(lambda batches: _packed(batches, n * BUCKETS, hot.value, held), "bucket int, block binary, doc_id long, mark long, start int, stop int")
     dealt = packed.repartition(n, "bucket").sortWithinPartitions("bucket")
     spans = dealt.mapInArrow(lambda batches: _bucketed(batches, opened), "doc_id long, mark long, start int, stop int")
-    return written(spans.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "spans")
+    return written(spans.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
 
 
 def _slot(doc_id: Column) -> Column:
