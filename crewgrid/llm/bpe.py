@@ -45,13 +45,11 @@ import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, in_batches, shuffles, table, written
+from .common import bitmap, discard, in_batches, shuffles, table, written
 from .packing import VOCABULARY, Ids, _byte_letters
 
 #: Bytes that the rolling hash sees, bits of it that are zero at a cut (chunks of 2 KB on average), bytes of the longest chunk.
 WINDOW, CUT_BITS, LONGEST = 16, 11, 1 << 15
-#: Bits of the bitmap for each chunk that comes more than once, bits at least and at most (32 MB; beyond, more documents are sent).
-MAP_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
 #: A chunk with over 1 / HOT of all places is salted; there are at most HOT of them.
 HOT = 2000
 _A = np.uint64(0x9E3779B97F4A7C15)
@@ -186,15 +184,9 @@ def shared_chunks(docs: DataFrame, path: str, cut_bits: int) -> tuple[np.ndarray
 
     counted = docs.select("text").mapInArrow(run, "chunk long, places long").groupBy("chunk").agg(F.sum("places").alias("places"))
     found = written(counted.where("places > 1"), "shared-chunks")
-    n, places = found.agg(F.count("*"), F.sum("places")).first()
-    size = min(max(LEAST_BITS, 1 << (MAP_BITS * n).bit_length()), MOST_BITS)
-    part = 32768
-    slots = found.select((F.col("chunk").bitwiseAND(F.lit(size - 1))).alias("slot"))
-    parts = slots.groupBy((F.col("slot") / part).cast("int").alias("part")).agg(F.expr(f"bitmap_construct_agg(pmod(slot, {part}))").alias("bits"))
-    bits = np.zeros(size // 8, np.uint8)
-    for r in parts.toLocalIterator():
-        bits[r.part * part // 8 : (r.part + 1) * part // 8] = np.frombuffer(r.bits, np.uint8)
-    hot = found.where(F.col("places") * HOT > F.lit(places or 0)).select("chunk", "places").collect()
+    places = found.agg(F.sum("places")).first()[0] or 0
+    bits = bitmap(found.select("chunk"))
+    hot = found.where(F.col("places") * HOT > F.lit(places)).select("chunk", "places").collect()
     discard(found)
     return bits, {r.chunk: -(-r.places * HOT // places) for r in hot}
 

@@ -10,6 +10,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,6 +96,29 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+#: Bits of a bitmap's part, bits at least and at most (32 MB).
+_PART, _LEAST_BITS, MOST_BITS = 32768, 1 << 16, 1 << 28
+
+
+def bitmap(hashes: DataFrame, bits_each: int = 16) -> np.ndarray:
+    """A bitmap of the table's only column, longs, by their last bits: `bits_each` or more for each row, until MOST_BITS.
+
+    What is in the table is in the map; a fuller map only has more of the rest in it."""
+    size = min(max(_LEAST_BITS, 1 << (bits_each * hashes.count()).bit_length()), MOST_BITS)
+    slot = F.col(hashes.columns[0]).bitwiseAND(F.lit(size - 1))
+    parts = hashes.select(slot.alias("slot")).groupBy((F.col("slot") / _PART).cast("int").alias("part")).agg(F.expr(f"bitmap_construct_agg(pmod(slot, {_PART}))").alias("bits"))
+    bits = np.zeros(size // 8, np.uint8)
+    for r in parts.toLocalIterator():
+        bits[r.part * _PART // 8 : (r.part + 1) * _PART // 8] = np.frombuffer(r.bits, np.uint8)
+    return bits
+
+
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the hashes (longs) may be in the map."""
+    slots = hashes & np.int64(8 * len(bits) - 1)
+    return (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
+
+
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, _UPPER_LETTERS, _LOWER_LETTERS)
 

@@ -23,8 +23,7 @@ are sorted by bucket; a bucket's compressed blocks are held, and opened one by o
 for so many of its minimisers at a time as `OPENED` bytes hold, or for a share of one minimiser's windows. Hashes choose buckets
 and shares only; a clash costs time and changes nothing.
 
-The repeats' places go back to their documents. A bitmap of fixed size
-(`SLOTS` bits) over hashed ids tells the last scan which documents may have
+The repeats' places go back to their documents. A bitmap over hashed ids, sized by their number, tells the last scan which documents may have
 any; only those texts are shuffled. A false hit costs time and changes nothing.
 
 Nulls and odd input: a null or empty text has no words. A row with a null
@@ -46,12 +45,9 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, shuffles, table, unused, written
+from .common import bitmap, discard, in_bitmap, shuffles, table, unused, written
 
 WINDOW, MINIMISER = 13, 3
-#: Bits of the map of documents that may have repeats: 2 MB.
-SLOTS = 1 << 24
-_BITMAP = 32768
 #: Bytes of words whose strings a map task combines before it sends them on; buckets for each shuffle partition; bytes of a bucket's strings opened at once.
 HELD, BUCKETS, OPENED = 3 << 20, 4, 8 << 20
 #: A minimiser is frequent with over 1 / HOT of all places, and LEAST places at least: there are at most 4 / 3 HOT of them, 8 bytes each.
@@ -352,17 +348,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
 
 def _slot(doc_id: Column) -> Column:
-    return F.pmod(F.xxhash64(doc_id), F.lit(SLOTS))
-
-
-def _hits(spans: DataFrame) -> np.ndarray:
-    """The bitmap of documents that may have spans."""
-    slots = spans.select(_slot(F.col("doc_id")).alias("slot"))
-    parts = slots.groupBy((F.col("slot") / _BITMAP).cast("int").alias("part")).agg(F.expr(f"bitmap_construct_agg(pmod(slot, {_BITMAP}))").alias("bits"))
-    bits = np.zeros(SLOTS // 8, np.uint8)
-    for r in parts.collect():
-        bits[r.part * _BITMAP // 8 : (r.part + 1) * _BITMAP // 8] = np.frombuffer(r.bits, np.uint8)
-    return bits
+    return F.coalesce(F.xxhash64(doc_id), F.lit(0))
 
 
 def kept(words: list[bytes], spans) -> list[bytes]:
@@ -377,21 +363,20 @@ def kept(words: list[bytes], spans) -> list[bytes]:
 def _split(docs: DataFrame, spans: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     """docs that surely have no spans, and the others with theirs in `column` (null where the bitmap was wrong)."""
     sc = docs.sparkSession.sparkContext
-    bits = sc.broadcast(_hits(spans))
+    bits = sc.broadcast(bitmap(spans.select(_slot(F.col("doc_id")).alias("slot"))))
     mark, slot, doc, m = unused(docs, "mark", "slot", "doc", "m")
     names = [*docs.columns, mark]
 
     def sorted_out(wanted: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                slots = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False).astype(np.int64)
-                hit = (bits.value[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == int(wanted)
+                hit = in_bitmap(bits.value, b.column(b.num_columns - 1).to_numpy()) == wanted
                 b = b.filter(pa.array(hit))
                 marks = [words_of(t.as_py())[1] for t in b.column(names.index("text"))] if wanted else [0] * b.num_rows
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(np.array(marks, np.uint64).view(np.int64))], names)
 
         schema = docs.withColumn(mark, F.lit(0).cast("long")).schema
-        return docs.withColumn(slot, F.coalesce(_slot(F.col("doc_id")), F.lit(0))).mapInArrow(run, schema)
+        return docs.withColumn(slot, _slot(F.col("doc_id"))).mapInArrow(run, schema)
 
     some = sorted_out(True)
     s = spans.select(F.col("doc_id").alias(doc), F.col("mark").alias(m), F.col("spans").alias(column))

@@ -1,7 +1,7 @@
 """N-gram Jaccard join, exact, by a token-group matrix.
 
 A document's tokens are its distinct shingles of five words (64-bit hashes).
-Documents with equal sets are one class from the start. For a link, two sets
+Documents with equal sets (by 128-bit hashes) are one class from the start. For a link, two sets
 of sizes a <= b share at least 0.8 * b and at least 8/9 * a tokens, so, in any common
 order, one of the first a - ceil(8/9 a) + 1 tokens of the smaller (it is found by
 them) is among the first b - ceil(0.8 b) + 1 of the larger (it asks with them). The
@@ -18,13 +18,13 @@ are seldom among the first; only the cost depends on it.
    token) form groups of `GROUP`; of a group the union of its tokens is kept, and
    a query opens a group only if it shares at least 0.8 * max(its size, the group's
    smallest size) tokens with the union. Connected sets are not compared again.
-5. A neighbourhood of up to `BLOCK` sets is one piece of work and gives its components.
-   A larger one is dealt into blocks of similar sets, in five steps:
+5. A neighbourhood of up to `BLOCK` sets (fewer, if they are long) is one piece of work and gives its components.
+   A larger one is dealt into blocks of similar sets, bounded in tokens, in five steps:
    each block is searched; the blocks' stars are connected through one set each; sets
-   outside of the neighbourhood's largest star ask the matrix of all blocks' groups (unions
-   as bit rows, a token's bit its hash's last bits: a bound from above); they visit the
-   blocks of qualifying groups; there they are searched against the block's sets. So a set's text goes
-   to the blocks that may hold a partner, and a group of near copies is mostly one star before.
+   outside of the neighbourhood's largest star meet the blocks by token (a join on the first tokens
+   of either side, with bounds by size); they visit the blocks met; there the token-group matrix of the
+   block's sets is asked. So a set goes only to blocks with whose sets it shares a first token,
+   and a group of near copies is mostly one star before.
 
 No pairs within a group are emitted but those that connect it; no list, group or
 component is collected on the driver, and no task holds more than some blocks.
@@ -43,11 +43,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import LOWER, discard, shuffles, table, unused, written
+from .common import LOWER, bitmap, discard, in_bitmap, shuffles, table, unused, written
 from .components import components
 
 SHINGLE, SAME, OF = 5, 80, 100
@@ -56,9 +57,9 @@ SHINGLE, SAME, OF = 5, 80, 100
 IN_BATCH, SHARED_BITS = 2, 27
 #: Entries of one token's list that a map task sends one by one, sets in a block, sets in a group.
 HELD, BLOCK, GROUP = 64, 500, 16
-#: Bits of a group's row of the matrix for each token of its union.
-ROW_BITS = 8
-SLOTS, _BITMAP = 1 << 24, 32768
+#: Bits of a set's hash that are its id (other bits tell ids of more than one set apart), tokens that a set counts for at least in a block.
+SET_BITS, WEIGHT = 64, 4000
+_PART = 32768
 _A = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -77,8 +78,20 @@ def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     return np.unique(out)
 
 
-def set_id(tokens: np.ndarray) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).view(np.int64))
+class SetIds:
+    """A set's id: 64 bits of a 128-bit hash, or its other 64 where the first are known to be those of more sets than one."""
+
+    def __init__(self, twice: frozenset[int] = frozenset(), bits: int = 64):
+        self.twice, self.bits = twice, bits
+
+    def halves(self, tokens: np.ndarray) -> tuple[int, int]:
+        x = xxhash.xxh3_128_intdigest(tokens.tobytes())
+        low, high = x & ((1 << self.bits) - 1), x >> 64
+        return low - (low >> 63 << 64), high - (high >> 63 << 64)
+
+    def __call__(self, tokens: np.ndarray) -> int:
+        low, high = self.halves(tokens)
+        return high if low in self.twice else low
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -99,8 +112,9 @@ def first_tokens(tokens: np.ndarray, shared: np.ndarray) -> np.ndarray:
     return np.concatenate((tokens[~common], tokens[common]))[:take]
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n, set and mark (the least token; both null without shingles) of each row; `shared`, on the first row of each batch, has the slots of the batch's shared tokens."""
+def classes(docs: DataFrame, bits: int = 64) -> DataFrame:
+    """doc_id, n, set and other (the halves of the set's hash) and mark (the least token), null without shingles; `shared`, on the first row of each batch, has the slots of the batch's shared tokens."""
+    halves = SetIds(bits=bits).halves
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -108,17 +122,17 @@ def classes(docs: DataFrame) -> DataFrame:
             for text in b.column("text"):
                 tokens = shingles(text.as_py())
                 sizes.append(len(tokens))
-                ids.append(set_id(tokens) if len(tokens) else None)
+                ids.append(halves(tokens) if len(tokens) else (None, None))
                 marks.append(int(tokens[0].view(np.int64)) if len(tokens) else None)
                 if len(tokens):
                     seen[ids[-1]] = tokens
             tokens, counts = np.unique(np.concatenate(list(seen.values())), return_counts=True) if seen else (np.zeros(0, np.uint64), np.zeros(0))
             slots = np.unique(tokens[counts >= IN_BATCH] >> np.uint64(64 - SHARED_BITS)).astype(np.int32)
             shared = [slots, *[None] * (b.num_rows - 1)][: b.num_rows]
-            columns = [pa.array(x, pa.int64()) for x in (sizes, ids, marks)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *columns, pa.array(shared, pa.list_(pa.int32()))], ["doc_id", "n", "set", "mark", "shared"])
+            columns = [pa.array(x, pa.int64()) for x in (sizes, [x for x, _ in ids], [x for _, x in ids], marks)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *columns, pa.array(shared, pa.list_(pa.int32()))], ["doc_id", "n", "set", "other", "mark", "shared"])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n long, set long, mark long, shared array<int>")
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n long, set long, other long, mark long, shared array<int>")
 
 
 def _shared(known: DataFrame) -> np.ndarray:
@@ -132,7 +146,10 @@ def _shared(known: DataFrame) -> np.ndarray:
         if filled > 1 << (SHARED_BITS - 1):
             break
         least = r.batches
-    bits = _bits(counts.where(F.col("batches") >= least), F.col("slot").cast("long"), 1 << SHARED_BITS)
+    parts = counts.where(F.col("batches") >= least).groupBy((F.col("slot") / _PART).cast("int").alias("part")).agg(F.expr(f"bitmap_construct_agg(pmod(cast(slot as long), {_PART}))").alias("bits"))
+    bits = np.zeros((1 << SHARED_BITS) // 8, np.uint8)
+    for r in parts.toLocalIterator():
+        bits[r.part * _PART // 8 : (r.part + 1) * _PART // 8] = np.frombuffer(r.bits, np.uint8)
     discard(counts)
     return bits
 
@@ -159,9 +176,8 @@ def _listed(*columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c, k)) for c, k in zip(columns, kinds, strict=True)], ["token", "leader", "lo", "hi"])
 
 
-def _ties(docs: DataFrame, shared: np.ndarray) -> DataFrame:
+def _ties(docs: DataFrame, common: Broadcast, set_id: SetIds) -> DataFrame:
     """set, leader: of each run of a token's list, each set and the run's leader."""
-    common = docs.sparkSession.sparkContext.broadcast(shared)
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Entries by token; ties that are known already have a set for a token and lo = -1."""
@@ -220,25 +236,15 @@ def _ties(docs: DataFrame, shared: np.ndarray) -> DataFrame:
     return dealt.mapInArrow(ties, "set long, leader long").distinct()
 
 
-def _bits(rows: DataFrame, slot, size: int) -> np.ndarray:
-    """A bitmap of the rows' slots, put together from parts of 4 KB."""
-    parts = rows.select(slot.alias("slot")).groupBy((F.col("slot") / _BITMAP).cast("int").alias("part")).agg(F.expr(f"bitmap_construct_agg(pmod(slot, {_BITMAP}))").alias("bits"))
-    bits = np.zeros(size // 8, np.uint8)
-    for r in parts.toLocalIterator():
-        bits[r.part * _BITMAP // 8 : (r.part + 1) * _BITMAP // 8] = np.frombuffer(r.bits, np.uint8)
-    return bits
-
-
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _texts(docs: DataFrame, wanted: DataFrame, set_id: SetIds) -> DataFrame:
     """wanted (doc_id, set and more) with a text of each set. A bitmap tells the scan which documents to hash anew; a set may come more than once."""
-    sc = docs.sparkSession.sparkContext
-    bits = sc.broadcast(_bits(wanted, F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)), F.lit(0)), SLOTS))
-    docs = docs.selectExpr("cast(doc_id as long) doc_id", "text").withColumn("slot", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)), F.lit(0)))
+    slot = F.coalesce(F.xxhash64("doc_id"), F.lit(0))
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.select(slot.alias("slot"))))
+    docs = docs.selectExpr("cast(doc_id as long) doc_id", "text").withColumn("slot", slot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            slots = b.column("slot").to_numpy().astype(np.int64)
-            b = b.filter(pa.array((bits.value[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1))
+            b = b.filter(pa.array(in_bitmap(bits.value, b.column("slot").to_numpy())))
             sets = {}
             for text in b.column("text"):
                 tokens = shingles(text.as_py())
@@ -328,7 +334,7 @@ def _by_key(rows: DataFrame, keys: list[str], columns: list[str], work: Callable
     """work(key, rows) for the rows of each key, dealt and sorted by the keys; only one key's rows are held. Text is held as its tokens, once a set."""
     kinds = [f.dataType for f in rows.sparkSession.createDataFrame([], schema).schema]
     names = rows.sparkSession.createDataFrame([], schema).columns
-    arrow = [{"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[k.simpleString()] for k in kinds]
+    arrow = [{"bigint": pa.int64(), "array<bigint>": pa.list_(pa.int64())}[k.simpleString()] for k in kinds]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, done, out = None, [], set(), []
@@ -374,45 +380,20 @@ def _whole(key: tuple, rows: list[tuple]) -> Iterator[tuple]:
     yield from ((ids[m], root) for m, root in roots.items())
 
 
-_BLOCKED = "near long, block long, kind int, part int, set long, star long, least int, most int, data binary"
+_BLOCKED = "near long, block long, set long, star long, n long, tokens array<long>"
 
 
-def _row_bits(union: np.ndarray) -> bytes:
-    """A group's row of the matrix: bits of its union's tokens, a power of two of them."""
-    size = 1 << max(6, int(len(union) * ROW_BITS - 1).bit_length())
-    bits = np.zeros(size, np.uint8)
-    bits[(union & np.uint64(size - 1)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").tobytes()
+def _in_block(common: Broadcast) -> Callable[[tuple, list[tuple]], Iterator[tuple]]:
+    """One block: of each set its star, its size and its first tokens, in their order."""
 
+    def work(key: tuple, rows: list[tuple]) -> Iterator[tuple]:
+        ids, sets = [r[0] for r in rows], [r[1] for r in rows]
+        every = list(range(len(ids)))
+        roots = _roots(search(every, sets, every, every) if len(ids) > 1 else [], ids)
+        for m in every:
+            yield *key, ids[m], roots.get(m, ids[m]), len(sets[m]), first_tokens(sets[m], common.value).view(np.int64).tolist()
 
-def _in_block(key: tuple, rows: list[tuple]) -> Iterator[tuple]:
-    """One block: of each set its star and its tokens' last 32 bits (kind 0), of each group its sizes and its row of the matrix (kind 1)."""
-    ids, sets = [r[0] for r in rows], [r[1] for r in rows]
-    every = list(range(len(ids)))
-    roots = _roots(search(every, sets, every, every) if len(ids) > 1 else [], ids)
-    stars = [roots.get(m, ids[m]) for m in every]
-    for m in every:
-        yield *key, 0, 0, ids[m], stars[m], len(sets[m]), len(sets[m]), (sets[m] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
-    order = in_order(sets, stars, every)
-    for part, i in enumerate(range(0, len(order), GROUP)):
-        own = [sets[m] for m in order[i : i + GROUP]]
-        yield *key, 1, part, None, None, min(map(len, own)), max(map(len, own)), _row_bits(np.unique(np.concatenate(own)))
-
-
-def _asked(key: tuple, rows: list[tuple]) -> Iterator[tuple]:
-    """near, block, set of the blocks with a group that qualifies for the set. rows: kind (1 group, 2 query), block, set, least, most, data."""
-    groups = [(block, least, most, np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little")) for kind, block, _, least, most, data in rows if kind == 1]
-    for kind, own, query, n, _, data in rows:
-        if kind != 2:
-            continue
-        tokens = np.frombuffer(data, "<u4").astype(np.int64)
-        blocks = set()
-        for block, least, most, bits in groups:
-            if block in blocks or block == own or least * SAME > n * OF or most * OF < n * SAME:
-                continue
-            if int(bits[tokens & (len(bits) - 1)].sum()) * OF >= SAME * max(n, least):
-                blocks.add(block)
-        yield from ((key[0], block, query) for block in blocks)
+    return work
 
 
 def _visited(key: tuple, rows: list[tuple]) -> Iterator[tuple]:
@@ -423,82 +404,97 @@ def _visited(key: tuple, rows: list[tuple]) -> Iterator[tuple]:
         yield from ((stars[a], stars[b]) for a, b in search(stars, sets, visitors, residents))
 
 
-def _slices(size, per: int):
-    return F.ceil(size / F.lit(per)).cast("int")
+def _weight() -> Column:
+    """What a set of n tokens takes of a block's room: BLOCK * WEIGHT tokens."""
+    return F.greatest("n", F.lit(WEIGHT))
+
+
+def _slices(load) -> Column:
+    return F.ceil(load / F.lit(BLOCK * WEIGHT)).cast("long")
 
 
 def _dealt(large: DataFrame) -> DataFrame:
-    """large: set, near, size, mark and more. Adds the set's block; sets with one least token are together, a block's worth at a time."""
-    marks = large.groupBy("near", "mark").agg(F.count("*").alias("alike"))
-    salt = F.pmod(F.xxhash64("set"), _slices(F.col("alike"), BLOCK))
-    slot = F.pmod(F.xxhash64("mark"), _slices(F.col("size"), BLOCK))
-    return large.join(marks, ["near", "mark"]).withColumn("block", F.when(F.col("alike") > BLOCK, F.xxhash64("mark", salt)).otherwise(slot)).drop("alike")
-
-
-def _stars_of_large(docs: DataFrame, large: DataFrame) -> DataFrame:
-    """large: set, near, size, mark, doc_id of the neighbourhoods of more than BLOCK sets. set, root of their components."""
-    texts = written(_texts(docs, _dealt(large).drop("size", "mark")), "texts")
-    blocks = written(_by_key(texts, ["near", "block"], ["set", "text"], _in_block, _BLOCKED), "blocks")
-    sets, groups = blocks.where("kind = 0"), blocks.where("kind = 1")
+    """large: set, near, load, mark, n and more. Adds the set's block; sets with one least token are together, a block's worth at a time."""
+    marks = large.groupBy("near", "mark").agg(F.sum(_weight()).alias("alike"))
+    salt = F.pmod(F.xxhash64("set"), _slices(F.col("alike")))
+    slot = F.pmod(F.xxhash64("mark"), _slices(F.col("load")))
+    return large.join(marks, ["near", "mark"]).withColumn("block", F.when(_slices(F.col("alike")) > 1, F.xxhash64("mark", salt)).otherwise(slot)).drop("alike")
+
+
+def _meetings(starred: DataFrame) -> DataFrame:
+    """near, block, set: of the sets outside of their neighbourhood's largest star, the blocks they visit: those with a set that may be linked by its
+    size and has a first token of theirs, by which one of the two is found."""
+    sizes = starred.groupBy("near", "joint").agg(F.count("*").alias("k"))
+    main = sizes.groupBy("near").agg(F.max_by("joint", F.struct("k", "joint")).alias("main"), F.count("*").alias("stars")).where("stars > 1").drop("stars")
+    split = starred.join(main, "near")
+    found = F.col("place") < F.col("n") - F.ceil(F.col("n") * 2 * SAME / F.lit(OF + SAME)) + 1
+    each = split.select("near", "block", "set", "n", "joint", "main", F.posexplode("tokens").alias("place", "token")).withColumn("found", found)
+    asked = each.where("joint <> main").select("near", "token", "set", "n", F.col("block").alias("own"), F.col("found").alias("mine"))
+    there = each.groupBy("near", "token", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("found").alias("found"))
+    fits = (F.col("least") * SAME <= F.col("n") * OF) & (F.col("most") * OF >= F.col("n") * SAME)
+    return asked.join(there, ["near", "token"]).where((F.col("own") != F.col("block")) & (F.col("mine") | F.col("found")) & fits).select("near", "block", "set", "n").distinct()
+
+
+def _stars_of_large(docs: DataFrame, large: DataFrame, common: Broadcast, set_id: SetIds) -> DataFrame:
+    """large: set, near, load, mark, n, doc_id of the neighbourhoods that are more than a block. set, root of their components."""
+    texts = written(_texts(docs, _dealt(large).drop("load", "mark", "n"), set_id), "texts")
+    blocks = written(_by_key(texts, ["near", "block"], ["set", "text"], _in_block(common), _BLOCKED), "blocks")
     # Blocks' stars, through their heads, as many blocks' at a time as fit: what this misses is found below.
-    heads = sets.where("set = star").select("near", "set")
-    heads = heads.join(heads.groupBy("near").agg(F.count("*").alias("heads")), "near").withColumn("some", F.pmod(F.xxhash64("set"), _slices(F.col("heads"), BLOCK)))
-    first = written(_by_key(texts.select("set", "text").join(heads.drop("heads"), "set"), ["near", "some"], ["set", "text"], _whole, "u long, v long"), "heads")
+    heads = blocks.where("set = star").select("near", "set", "n")
+    heads = heads.join(heads.groupBy("near").agg(F.sum(_weight()).alias("load")), "near").withColumn("some", F.pmod(F.xxhash64("set"), _slices(F.col("load"))))
+    first = written(_by_key(texts.select("set", "text").join(heads.drop("load", "n"), "set"), ["near", "some"], ["set", "text"], _whole, "u long, v long"), "heads")
     joined = components(first).select(F.col("node").alias("star"), F.col("root").alias("joint"))
-    starred = written(sets.join(joined, "star", "left").withColumn("joint", F.coalesce("joint", "star")).select("near", "block", "set", "star", "joint", "least", "data"), "starred")
-    # All but the neighbourhood's largest star ask.
-    sizes = starred.groupBy("near", "joint").agg(F.count("*").alias("k"))
-    main = sizes.groupBy("near").agg(F.max_by("joint", F.struct("k", "joint")).alias("main"), F.count("*").alias("stars"), F.sum("k").alias("size")).where("stars > 1")
-    asking = starred.join(main, "near").where("joint <> main").drop("main", "stars")
-    asking = asking.join(asking.groupBy("near").agg(F.count("*").alias("askers")), "near")
-    per = asking.groupBy("near").agg(F.max(_slices(F.col("askers"), BLOCK)).alias("slices"), F.max(_slices(F.col("size"), BLOCK * GROUP)).alias("chunks"))
-    queries = asking.join(per.select("near", "chunks"), "near").withColumn("slice", F.pmod(F.xxhash64("set"), _slices(F.col("askers"), BLOCK)))
-    queries = queries.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    queries = queries.select("near", "slice", F.col("chunk").cast("long").alias("chunk"), F.lit(2).alias("kind"), "block", "set", "least", F.col("least").alias("most"), "data")
-    rows = groups.join(per, "near").withColumn("chunk", F.pmod(F.xxhash64("block", "part"), F.col("chunks")))
-    rows = rows.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-    rows = rows.select("near", F.col("slice").cast("long").alias("slice"), F.col("chunk").cast("long").alias("chunk"), "kind", "block", "set", "least", "most", "data")
-    rows = rows.unionByName(queries.withColumn("slice", F.col("slice").cast("long")))
-    visits = written(_by_key(rows, ["near", "slice", "chunk"], ["kind", "block", "set", "least", "most", "data"], _asked, "near long, block long, set long").distinct(), "visits")
+    starred = written(blocks.join(joined, "star", "left").withColumn("joint", F.coalesce("joint", "star")), "starred")
+    visits = written(_meetings(starred), "visits")
     # Visitors meet a block's sets, as many at a time as a block has.
-    counts = visits.groupBy("near", "block").agg(F.count("*").alias("visitors")).withColumn("slices", _slices(F.col("visitors"), BLOCK))
-    there = texts.join(counts.select("near", "block", "slices"), ["near", "block"]).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-    there = there.select("near", "block", F.col("slice").cast("long").alias("slice"), F.lit(0).alias("kind"), "set", "text")
-    guests = visits.join(counts.select("near", "block", "slices"), ["near", "block"]).withColumn("slice", F.pmod(F.xxhash64("set"), F.col("slices")).cast("long"))
-    guests = guests.join(texts.select("set", "text"), "set").select("near", "block", "slice", F.lit(1).alias("kind"), "set", "text")
+    counts = visits.groupBy("near", "block").agg(_slices(F.sum(_weight())).alias("slices"))
+    there = texts.join(counts, ["near", "block"]).withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
+    there = there.select("near", "block", "slice", F.lit(0).cast("long").alias("kind"), "set", "text")
+    guests = visits.join(counts, ["near", "block"]).withColumn("slice", F.pmod(F.xxhash64("set"), F.col("slices")))
+    guests = guests.join(texts.select("set", "text"), "set").select("near", "block", "slice", F.lit(1).cast("long").alias("kind"), "set", "text")
     meeting = there.unionByName(guests).join(starred.select("set", F.col("joint").alias("star")), "set")
     links = _by_key(meeting, ["near", "block", "slice"], ["kind", "set", "star", "text"], _visited, "u long, v long")
     links = written(links.unionByName(first), "links")
     roots = components(links).select(F.col("node").alias("star"), F.col("root").alias("joint"))
-    out = written(sets.join(roots, "star", "left").select("set", F.coalesce("joint", "star").alias("root")).distinct(), "large")
+    out = written(blocks.join(roots, "star", "left").select("set", F.coalesce("joint", "star").alias("root")).distinct(), "large")
     discard(texts, blocks, first, starred, visits, links, roots, joined)
     return out
 
 
-def _named(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows' classes, and of each class its root and component_id."""
-    known = written(classes(docs), "classes")
-    firsts = written(known.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("first"), F.min("mark").alias("mark")), "sets")
-    ties = written(_ties(docs, _shared(known)).select(F.col("set").alias("u"), F.col("leader").alias("v")), "ties")
+def _named(docs: DataFrame) -> tuple[DataFrame, DataFrame, SetIds]:
+    """The rows' classes, of each class its root and component_id, and how sets are named."""
+    bits = SET_BITS
+    known = written(classes(docs, bits), "classes")
+    of_set = [F.min("doc_id").alias("first"), F.min("mark").alias("mark"), F.max("n").alias("n"), F.min("other").alias("low"), F.max("other").alias("high")]
+    sets = written(known.where("set is not null").groupBy("set").agg(*of_set), "sets")
+    # About (sets ** 2) / 2 ** 65 hashes: a handful in 1e10 sets.
+    twice = frozenset(r.set for r in sets.where("low <> high").select("set").collect())
+    if twice:
+        known = known.withColumn("set", F.when(F.col("set").isin(*twice), F.col("other")).otherwise(F.col("set")))
+        sets = written(known.where("set is not null").groupBy("set").agg(*of_set), "sets")
+    firsts, set_id = sets.drop("low", "high"), SetIds(twice, bits)
+    common = docs.sparkSession.sparkContext.broadcast(_shared(known))
+    ties = written(_ties(docs, common, set_id).select(F.col("set").alias("u"), F.col("leader").alias("v")), "ties")
     near = components(ties)
     members = near.select(F.col("node").alias("set"), F.col("root").alias("near")).unionByName(near.select(F.col("root").alias("set"), F.col("root").alias("near")).distinct())
-    members = members.join(near.groupBy(F.col("root").alias("near")).agg((F.count("*") + 1).alias("size")), "near")
     members = written(members.join(firsts.withColumnRenamed("first", "doc_id"), "set"), "members")
-    small, large = members.where(F.col("size") <= BLOCK), members.where(F.col("size") > BLOCK)
-    roots = written(_by_key(_texts(docs, small.select("doc_id", "set", "near")), ["near"], ["set", "text"], _whole, "set long, root long"), "roots")
-    more = [_stars_of_large(docs, large)] if large.limit(1).count() else []
+    members = members.join(members.groupBy("near").agg(F.sum(_weight()).alias("load")), "near")
+    small, large = members.where(_slices(F.col("load")) <= 1), members.where(_slices(F.col("load")) > 1)
+    roots = written(_by_key(_texts(docs, small.select("doc_id", "set", "near"), set_id), ["near"], ["set", "text"], _whole, "set long, root long"), "roots")
+    more = [_stars_of_large(docs, large, common, set_id)] if large.limit(1).count() else []
     for m in more:
         roots = roots.unionByName(m)
     least = roots.join(firsts, "set").groupBy("root").agg(F.min("first").alias("component_id"))
     connected = written(roots.join(least, "root").select("set", "root", "component_id"), "connected")
-    discard(ties, near, members, roots, *more)
+    discard(ties, near, roots, *more)
     named = firsts.join(connected, "set", "left")
-    return known, named.select("set", F.coalesce("root", "set").alias("root"), F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component_id")).alias("component_id"))
+    named = named.select("set", F.coalesce("root", "set").alias("root"), F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component_id")).alias("component_id"))
+    return known, named, set_id
 
 
 def similar(docs: DataFrame) -> DataFrame:
     """docs: doc_id, text. doc_id, n_shingles, component_id of every row."""
-    known, named = _named(docs.select("doc_id", "text"))
+    known, named, _ = _named(docs.select("doc_id", "text"))
     component = F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return known.join(named.drop("root"), "set", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
@@ -506,7 +502,7 @@ def similar(docs: DataFrame) -> DataFrame:
 def representatives(docs: DataFrame) -> DataFrame:
     """One row of each component, with all columns: of the rows with the component's id (of null ids where there is no other), that of the
     least class and then the least text. Rows without shingles all stay."""
-    known, named = _named(docs.select("doc_id", "text"))
+    known, named, set_id = _named(docs.select("doc_id", "text"))
     own = known.where("set is not null").join(named, "set").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     mark, place, one, its_id = unused(docs, "set", "row", "one", "id")
     kept = own.groupBy("root").agg(F.min("set").alias(one), F.min("component_id").alias(its_id)).select(one, its_id)

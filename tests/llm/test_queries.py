@@ -88,22 +88,38 @@ def test_jaccard_join_in_small_blocks_and_lists(docs, plain, monkeypatch):
     assert rows(similarity.similar(docs)) == brute_components(plain)
 
 
+def test_jaccard_join_with_ids_of_more_than_one_set(docs, plain, monkeypatch):
+    """Of ids that two sets have, the other half of the hash is taken."""
+    monkeypatch.setattr(similarity, "SET_BITS", 3)
+    assert rows(similarity.similar(docs)) == brute_components(plain)
+    assert similarity.representatives(docs).count() == len({c for _, n, c in brute_components(plain) if n}) + sum(not n for _, n, _ in brute_components(plain))
+
+
+def test_a_long_chain_of_linked_sets(spark):
+    """6,000 texts of which each is linked with its neighbours only, in one neighbourhood of many blocks: one component, and few visits."""
+    w = words(4, 6000 * 2 + 60, 1 << 40)
+    docs = spark.createDataFrame([(i, " ".join(w[2 * i : 2 * i + 40])) for i in range(6000)], "doc_id long, text string").repartition(4)
+    got = similarity.similar(docs).collect()
+    assert len(got) == 6000 and {r.component_id for r in got} == {0}
+
+
 @pytest.mark.parametrize(("sets", "batch"), [(5, 1), (7, 1), (10, 1), (7, 10_000)])
 def test_lists_too_long_to_hold_are_tied_whole(spark, monkeypatch, sets, batch):
     """A list that ends with the piece that is too much, one that goes on in later batches, one that ends with a second such piece, one in a single batch."""
     monkeypatch.setattr(similarity, "HELD", 4)
+    set_id = similarity.SetIds()
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     try:
         near = [" ".join([*words(5, 100, 5000), f"end{i}"]) for i in range(sets)]
         docs = spark.createDataFrame(list(enumerate(near)), "doc_id long, text string").coalesce(1)
-        ties = similarity._ties(docs, np.zeros(1 << (similarity.SHARED_BITS - 3), np.uint8)).collect()
+        ties = similarity._ties(docs, spark.sparkContext.broadcast(np.zeros(1 << (similarity.SHARED_BITS - 3), np.uint8)), set_id).collect()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    reached, more = set(), {similarity.set_id(similarity.shingles(near[0]))}
+    reached, more = set(), {set_id(similarity.shingles(near[0]))}
     while more:
         reached |= more
         more = {x for t in ties if {t["set"], t["leader"]} & reached for x in (t["set"], t["leader"])} - reached
-    assert reached == {similarity.set_id(similarity.shingles(t)) for t in near}
+    assert reached == {set_id(similarity.shingles(t)) for t in near}
 
 
 @pytest.mark.parametrize("one_task", [0, 4_000_000])
