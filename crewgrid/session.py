@@ -27,7 +27,7 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
     builder = SparkSession.builder.appName("crewgrid")
     if master:
         builder = builder.master(master)
-    settings = {"spark.sql.session.timeZone": "UTC", "spark.sql.ansi.enabled": "true", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true"} | conf
+    settings = {"spark.sql.session.timeZone": "UTC", "spark.sql.ansi.enabled": "true", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.python.filterPushdown.enabled": "true"} | conf
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for k, v in settings.items():

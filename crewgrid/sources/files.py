@@ -9,10 +9,19 @@ from pyspark.sql import functions as F
 from ..constants import FINGERPRINT_BYTES
 from ..functions.scalars import content_sha1, file_name
 from ..schema import ALIAS, MANIFEST
+from ..session import ship
+from . import listing
 
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = True) -> DataFrame:
-    """path, size, mtime, sha1 of the first MiB; lock files and files already moved are left out."""
+    """path, size, mtime, sha1 of the first MiB; lock files and files already moved are left out.
+
+    Folders are listed by tasks, which read no more than that of a file; stores that only Spark's readers open are read by these, whole."""
+    if listing.opens(path):
+        ship(spark)
+        spark.dataSource.register(listing.Fingerprints)
+        options = {"path": path, "recursive": str(recursive).lower(), "pushed": spark.conf.get("spark.sql.python.filterPushdown.enabled")}
+        return spark.read.format("file_fingerprints").options(**options, **({"pattern": pattern} if pattern else {})).load()
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)

@@ -38,7 +38,7 @@ def cells_of(files: DataFrame) -> DataFrame:
                 try:
                     rows += [(path, *cell) for cell in workbook_cells(io.BytesIO(content))]
                 except Exception as error:  # noqa: BLE001 - one bad file must not stop the others
-                    rows.append((path, None, None, None, None, failure(path, error)))
+                    rows.append((path, None, None, None, None, failure(error)))
             out = pd.DataFrame(rows, columns=names)
             yield out.astype({c: "Int32" for c in ("sheet_idx", "row_idx", "col_idx")})
 

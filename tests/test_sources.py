@@ -138,7 +138,7 @@ def test_build_with_settings(spark, raw, capsys):
     assert got["report"].count() == 1 and got["attrition"].columns == ["emp_id", "name", "attrition_risk_score"]
     assert spark.read.parquet(str(raw / "out" / "qa" / "alias_missing")).count() >= 1
     errors = {r.error for r in build.build(spark, str(raw / "raw"), str(raw / "out")).errors.collect()}
-    assert any("old binary or encrypted" in e for e in errors)
+    assert any("neither a zipped nor a compound workbook" in e for e in errors)
 
 
 def test_unknown_sheets_are_reported_once(spark, tmp_path):
