@@ -112,14 +112,16 @@ def new_alerts(sheets: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def registry_rows(sheets: DataFrame, registry: DataFrame) -> DataFrame:
-    """New registry entries for unknown header sets that it lacks, numbered after the last; columns are a sample of fifteen."""
+    """New registry entries for unknown header sets that it lacks: columns (a sample of fifteen), numbered after the last type, and the registry's
+    next version, which all of one call share."""
     from pyspark.sql import Window as W
 
-    last = registry.agg(F.coalesce(F.max("type_no"), F.lit(0))).scalar()
+    last = registry.agg(F.coalesce(F.max("type_no"), F.lit(0)).alias("type_no"), F.coalesce(F.max_by("version", "type_no"), F.lit("v1.0")).alias("version"))
     sets = sheets.where("kind = 'unknown'").select(F.slice(F.array_distinct("columns"), 1, 15).alias("columns")).distinct()
     sets = sets.join(registry.select("columns"), "columns", "left_anti")
     # Header sets of unknown sheets are schema, not data: a few in any corpus.
-    return sets.withColumn("type_no", F.row_number().over(W.orderBy("columns"))).withColumn("type_no", F.col("type_no") + last)
+    sets = sets.withColumn("type_no", F.row_number().over(W.orderBy("columns")) + last.select("type_no").scalar())
+    return sets.withColumn("version", bump_version(last.select("version").scalar()))
 
 
 def bump_version(version: Column) -> Column:

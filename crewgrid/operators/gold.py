@@ -8,6 +8,8 @@ join would need three.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,6 +45,22 @@ def early_exits(master: DataFrame, days: int = EARLY_DAYS) -> DataFrame:
     return master.withColumn("tenure_days", tenure_days("join_date", "exit_date").cast("long")).where(is_early("tenure_days", days))
 
 
+def in_order(early: DataFrame) -> DataFrame:
+    """By exit, then join, then all else."""
+    rest = [c for c in early.columns if c not in ("exit_date", "join_date")]
+    return early.orderBy("exit_date", "join_date", *[F.col(c).asc_nulls_first() for c in rest])
+
+
+def added(before: DataFrame, flows: Callable[[DataFrame], DataFrame], delta: DataFrame) -> DataFrame:
+    """Counts by `flows` (monthly, dept_monthly or turnover_yearly) of a table that changed: delta has the rows that came (sign 1) and went (sign -1).
+    Groups without any hires and exits left are gone, as if they had never been; in order of the groups."""
+    by = [c for c in before.columns if c not in ("hires", "exits", "net")]
+    came, went = (flows(delta.where(F.col("sign") == sign).drop("sign")).select(*by, (F.col("hires") * sign).alias("hires"), (F.col("exits") * sign).alias("exits")) for sign in (1, -1))
+    both = before.select(*by, "hires", "exits").unionByName(came).unionByName(went)
+    out = both.groupBy(*by).agg(F.sum("hires").alias("hires"), F.sum("exits").alias("exits")).where("hires <> 0 or exits <> 0")
+    return (out.withColumn("net", F.col("hires") - F.col("exits")) if "net" in before.columns else out).select(before.columns).orderBy(*by)
+
+
 def active_at(year_end: Column) -> Column:
     return F.col("exit_date").isNull() | (F.col("exit_date") > F.make_date(year_end, F.lit(12), F.lit(31)))
 

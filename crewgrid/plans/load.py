@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schema import MASTER
 from ..sources import files
+from ..sources.snapshots import Snapshot, Snapshots
 
 #: Of each table: its layer, its name, its columns.
 TABLES = {
@@ -20,16 +22,25 @@ TABLES = {
 }
 
 
-def read_table(spark: SparkSession, processed: str, layer: str, name: str, schema: str) -> DataFrame:
-    """The layer's Parquet table, else a CSV of that name at the root, else in the layer or in gold, else no rows."""
-    at = f"{processed}/{layer}/{name}"
-    if files.exists(spark, at):
-        return spark.read.parquet(at)
+REPORT = (
+    "raw_files long, read_ok long, read_fail long, read_fail_list array<string>, classified_skips map<string, array<string>>, skipped_files array<string>, "
+    "master_auto_rows long, fast_path boolean, parsed long, cells long, error_rows long, status map<string, long>, headcount string, elapsed_sec double"
+)
+
+
+def read_table(snapshot: Snapshot, layer: str, name: str, schema: str) -> DataFrame:
+    """The snapshot's table, else a CSV of that name at the root, else in the layer or in gold, else no rows."""
+    if f"{layer}/{name}" in snapshot:
+        return snapshot.read(f"{layer}/{name}")
+    spark, processed = snapshot.spark, snapshot.root
     found = files.first_existing(spark, *(f"{processed}/{x}{name}.csv" for x in ("", f"{layer}/", "gold/")))
     return spark.createDataFrame([], schema) if found is None else files.read_csv_named(spark, found, schema)
 
 
-def load(spark: SparkSession, processed: str) -> dict[str, DataFrame]:
-    """All tables by name, and the ingest report as `report`."""
-    out = {k: read_table(spark, processed, *v) for k, v in TABLES.items()}
-    return out | {"report": files.read_json(spark, f"{processed}/bronze/ingest_report", "status string, files long, paths array<string>")}
+def load(spark: SparkSession, processed: str, at: int | None = None) -> dict[str, DataFrame]:
+    """All tables by name, of one snapshot (the last, or that of a number), and the ingest report as `report`: whatever is built meanwhile, they stay what they are."""
+    snapshots = Snapshots(spark, processed)
+    snapshot = snapshots.latest() if at is None else snapshots.at(at)
+    out = {k: read_table(snapshot, *v) for k, v in TABLES.items()}
+    report = snapshot.read("bronze/ingest_report", "value string").select(F.from_json("value", REPORT).alias("r")).select("r.*")
+    return out | {"report": report}

@@ -51,19 +51,15 @@ def empty_manifest(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], MANIFEST)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and the path, as Spark has them."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
 
 
-def remove_others(spark: SparkSession, root: str, keep: set[str]) -> None:
-    """Remove what lies in a folder but the names to keep."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if fs.exists(at):
-        for found in fs.listStatus(at):
-            if found.getPath().getName() not in keep:
-                fs.delete(found.getPath(), True)
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop(spark, path)
+    return fs.exists(p)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, fallback: str | None = None) -> DataFrame:

@@ -11,8 +11,8 @@ from ..operators.canonical import latest_by_name
 from .grid import SHEET, by_position, header_by_needles, header_by_share, headers, position_of, promote
 
 
-def roster(cells: DataFrame) -> DataFrame:
-    """Hire and exit lists, one name a row: year, type, name, source_file, sheet. Without a fitting header the first column lists hires and the
+def roster(cells: DataFrame, *keep: str) -> DataFrame:
+    """Hire and exit lists, one name a row: year, type, name, source_file, sheet, and what to keep of the cells. Without a fitting header the first column lists hires and the
     second exits; one column is never both."""
     rows = header_by_needles(cells, K.ROSTER_NEEDLES, 200)
     cols = headers(cells, rows).withColumns({"join_at": position_of(F.col("columns"), ["입사"]), "exit_at": position_of(F.col("columns"), ["퇴사", "퇴직"])})
@@ -20,7 +20,7 @@ def roster(cells: DataFrame) -> DataFrame:
     cols = cols.withColumn("exit_at", F.coalesce("exit_at", F.when((F.size("columns") > 1) & (F.coalesce("join_at", F.lit(0)) != 1), F.lit(1))))
     at = cells.join(cols, SHEET).join(rows, SHEET).where("row_idx > header_row and col_idx in (join_at, exit_at)")
     kind = F.when(F.col("col_idx") == F.col("join_at"), "hire").otherwise("exit")
-    out = at.select(year_in("sheet", "file").alias("year"), kind.alias("type"), clean_text(person_name("value")).alias("name"), file_name("file").alias("source_file"), "sheet")
+    out = at.select(year_in("sheet", "file").alias("year"), kind.alias("type"), clean_text(person_name("value")).alias("name"), file_name("file").alias("source_file"), "sheet", *keep)
     return out.where("name is not null").distinct()
 
 
@@ -34,25 +34,25 @@ def turnover_lists(cells: DataFrame) -> DataFrame:
     return out.where("name is not null")
 
 
-def keyed_list(cells: DataFrame, keys: dict[str, list[str]]) -> DataFrame:
+def keyed_list(cells: DataFrame, keys: dict[str, list[str]], *keep: str) -> DataFrame:
     """Sheets of many layouts to one table: each field from the column whose header holds one of its keys."""
     rows = header_by_needles(cells, K.AUX_NEEDLES, K.AUX_ROWS)
     places = headers(cells, rows).withColumns({f"at_{f}": position_of(F.col("columns"), k) for f, k in keys.items()}).drop("columns", "rows")
     at = cells.join(places, SHEET).join(rows, SHEET).where("row_idx > header_row")
     fields = at.groupBy(*SHEET, "row_idx").agg(*[F.max(F.when(F.col("col_idx") == F.col(f"at_{f}"), normalise_light("value"))).alias(f) for f in keys])
     known = [F.coalesce(F.trim(f), F.lit("")) != "" for f in ("name", "emp_id") if f in keys]
-    keep: Column = known[0]
+    named: Column = known[0]
     for k in known[1:]:
-        keep = keep | k
-    return fields.where(keep).select(*keys, file_name("file").alias("source_file"), "sheet")
+        named = named | k
+    return fields.where(named).select(*keys, file_name("file").alias("source_file"), "sheet", *keep)
 
 
-def skills(cells: DataFrame) -> DataFrame:
-    return keyed_list(cells, K.SKILL_KEYS)
+def skills(cells: DataFrame, *keep: str) -> DataFrame:
+    return keyed_list(cells, K.SKILL_KEYS, *keep)
 
 
-def recruits(cells: DataFrame) -> DataFrame:
-    return keyed_list(cells, K.RECRUIT_KEYS)
+def recruits(cells: DataFrame, *keep: str) -> DataFrame:
+    return keyed_list(cells, K.RECRUIT_KEYS, *keep)
 
 
 def grades(cells: DataFrame) -> DataFrame | None:
@@ -62,19 +62,27 @@ def grades(cells: DataFrame) -> DataFrame | None:
     return None if first is None else promote(cells, first.file, first.sheet, first.header_row, len(first["columns"]), first["columns"])
 
 
-def careers(cells: DataFrame) -> DataFrame:
-    """Career-length sheets by position, without the sensitive ones; snapshot_date is the file name's eight digits; a name's latest row stays."""
+def career_rows(cells: DataFrame, *keep: str) -> DataFrame:
+    """Career-length sheets by position, without the sensitive ones; snapshot_date is the file name's eight digits."""
     heads = header_by_needles(cells, ["이름", "name"], 5, default=1)
     sized = cells.groupBy(*SHEET).agg(F.max("row_idx").alias("size")).withColumn("hint", F.col("sheet").contains("재직자"))
     chosen = sized.groupBy("file").agg(F.max_by("sheet", F.struct("hint", "size", -F.col("sheet_idx"))).alias("sheet"))
     rows = by_position(cells.join(chosen, ["file", "sheet"], "left_semi"), K.CAREER_COLUMNS).join(heads, SHEET).where("row_idx > header_row")
     org, dept = split_org("org")
-    out = rows.where(clean_text("name").isNotNull()).select(
+    return rows.where(clean_text("name").isNotNull()).select(
         "seq", "role_type", clean_text("name").alias("name"), "grade", org.alias("org"), to_date("join_date").alias("join_date"), "education", "career_grade",
         *[number(c).alias(c) for c in ("prev_career_months", "tenure_months", "total_career_months")],
-        F.trim("org").alias("org_full"), dept.alias("dept"), date_in(file_name("file")).alias("snapshot_date"),
+        F.trim("org").alias("org_full"), dept.alias("dept"), date_in(file_name("file")).alias("snapshot_date"), *keep,
     )
-    return latest_by_name(out, "snapshot_date", "seq", "org_full")
+
+
+def latest_careers(rows: DataFrame) -> DataFrame:
+    """A name's latest row."""
+    return latest_by_name(rows, "snapshot_date", "seq", "org_full")
+
+
+def careers(cells: DataFrame) -> DataFrame:
+    return latest_careers(career_rows(cells))
 
 
 def master_sheets(cells: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
