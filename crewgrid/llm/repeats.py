@@ -168,24 +168,22 @@ def _packed(batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray, mo
     compress = zstd.ZstdCompressor(level=3).compress
 
     def rows() -> Iterator[pa.RecordBatch]:
+        later = []
+        for v in found.values():
+            if len(v[2]) > 1:
+                least = min(v[2])[0]
+                # Repeated rows have the same places.
+                each = set(v[2])
+                v[2] = [p for p in each if p[0] == least]
+                if len(each) > len(v[2]):
+                    later += [(doc, mark, start, start + v[1] - 1 + WINDOW) for doc, mark, start in each if doc != least]
+        if later:
+            doc, mark, start, stop = (np.array(c, t) for c, t in zip(zip(*later, strict=True), ("<i8", "<u8", "<i4", "<i4"), strict=True))
+            spread = ((doc.view(np.uint64) * _A >> _C) % np.uint64(buckets)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (spread, pa.nulls(len(doc), pa.binary()), doc, mark.view(np.int64), start, stop)], schema=_OUT)
         keys = np.fromiter((v[0] for v in found.values()), np.uint64, len(found))
         counts = np.fromiter((len(v[2]) for v in found.values()), np.int64, len(found))
         places = np.array([p for v in found.values() for p in v[2]], _PLACE)
-        string = np.repeat(np.arange(len(found)), counts)
-        # Repeated rows have the same places.
-        order = np.lexsort((places["start"], places["text"], places["doc"], string))
-        places, string = places[order], string[order]
-        new = np.concatenate(([True], (places[1:] != places[:-1]) | (string[1:] != string[:-1])))
-        places, string = places[new], string[new]
-        heads = np.concatenate(([0], np.flatnonzero(np.diff(string)) + 1))
-        later = places["doc"] > places["doc"][heads][string]
-        if later.any():
-            windows = np.fromiter((v[1] for v in found.values()), np.int64, len(found))[string[later]]
-            doc, mark, start, _ = _spans([(places[later], 0, 1)], 0)
-            spread = (doc.view(np.uint64) * _A >> _C) % np.uint64(buckets)
-            columns = [spread.astype(np.int32), pa.nulls(len(doc), pa.binary()), doc, mark, start, (start + windows - 1 + WINDOW).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_OUT)
-        places, counts = places[~later], np.bincount(string[~later], minlength=len(found))
         firsts = np.concatenate(([0], np.cumsum(counts)))
         strings = list(found)
         bucket = (keys % np.uint64(buckets)).astype(np.int32)
@@ -230,7 +228,7 @@ def _repeats(rows: list[tuple[bytes, np.ndarray]], k: int) -> Iterator[tuple[np.
     by: dict[bytes, list[np.ndarray]] = {}
     for packed, places in rows:
         by.setdefault(packed, []).append(places)
-    groups = [(packed, np.unique(np.concatenate(p)) if len(p) > 1 else p[0]) for packed, p in by.items()]
+    groups = [(packed, np.concatenate(p) if len(p) > 1 else p[0]) for packed, p in by.items()]
     smallest = [int(p["doc"].min()) for _, p in groups]
     if len(groups) == 1:
         packed, places = groups[0]
