@@ -77,7 +77,7 @@ def in_batches(rows: Iterable[tuple], schema: pa.Schema, rows_at_most: int = 10_
     for row in rows:
         for column, value in zip(columns, row, strict=True):
             column.append(value)
-            held += len(value) if isinstance(value, (bytes, str)) else 0
+            held += len(value) if isinstance(value, (bytes, str)) else value.nbytes if isinstance(value, np.ndarray) else 0
         if held > bytes_at_most or len(columns[0]) >= rows_at_most:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
             columns, held = [[] for _ in schema], 0

@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import LOWER, bitmap, discard, in_bitmap, shuffles, table, unused, written
+from .common import LOWER, bitmap, discard, in_batches, in_bitmap, shuffles, table, unused, written
 from .components import components
 
 SHINGLE, SAME, OF = 5, 80, 100
@@ -332,26 +332,18 @@ def _roots(found: list[tuple[int, int]], ids: list[int]) -> dict[int, int]:
 
 def _by_key(rows: DataFrame, keys: list[str], columns: list[str], work: Callable[[tuple, list[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
     """work(key, rows) for the rows of each key, dealt and sorted by the keys; only one key's rows are held. Text is held as its tokens, once a set."""
-    kinds = [f.dataType for f in rows.sparkSession.createDataFrame([], schema).schema]
-    names = rows.sparkSession.createDataFrame([], schema).columns
-    arrow = [{"bigint": pa.int64(), "array<bigint>": pa.list_(pa.int64())}[k.simpleString()] for k in kinds]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, done, out = None, [], set(), []
-
-        def emit() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), arrow, strict=True)], names)
+    arrow = {"bigint": pa.int64(), "array<bigint>": pa.list_(pa.int64())}
+    out = pa.schema([(f.name, arrow[f.dataType.simpleString()]) for f in rows.sparkSession.createDataFrame([], schema).schema])
 
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        now, held, done = None, [], set()
         for b in batches:
             at = list(zip(*(b.column(k).to_pylist() for k in keys), strict=True))
             rest = [b.column(c) if c == "text" else b.column(c).to_pylist() for c in columns]
             for i, key in enumerate(at):
                 if key != now:
                     if held:
-                        out += work(now, held)
-                        if len(out) > 5000:
-                            yield emit()
-                            out.clear()
+                        yield from work(now, held)
                     now, held, done = key, [], set()
                 row = [c[i] for c in rest]
                 if "text" in columns:
@@ -363,13 +355,11 @@ def _by_key(rows: DataFrame, keys: list[str], columns: list[str], work: Callable
                     row[place] = shingles(row[place].as_py())
                 held.append(tuple(row))
         if held:
-            out += work(now, held)
-        if out:
-            yield emit()
+            yield from work(now, held)
 
     n = shuffles(rows.sparkSession)
     dealt = rows.select(*keys, *columns).repartition(n, *keys).sortWithinPartitions(*keys, *(c for c in columns if c != "text"))
-    return dealt.mapInArrow(run, schema)
+    return dealt.mapInArrow(lambda batches: in_batches(found(batches), out), schema)
 
 
 def _whole(key: tuple, rows: list[tuple]) -> Iterator[tuple]:
@@ -391,7 +381,7 @@ def _in_block(common: Broadcast) -> Callable[[tuple, list[tuple]], Iterator[tupl
         every = list(range(len(ids)))
         roots = _roots(search(every, sets, every, every) if len(ids) > 1 else [], ids)
         for m in every:
-            yield *key, ids[m], roots.get(m, ids[m]), len(sets[m]), first_tokens(sets[m], common.value).view(np.int64).tolist()
+            yield *key, ids[m], roots.get(m, ids[m]), len(sets[m]), first_tokens(sets[m], common.value).view(np.int64)
 
     return work
 
