@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from ..constants import EARLY_DAYS, FOUNDED, NULL_TOKENS, RISK_HIGH, RISK_MID, SERIAL_HIGH, SERIAL_LOW
 
 
-_NAME = r"([a-z]{3})[a-z]*\.?"
-#: Spellings of dates, and which of their parts are year, month and day.
-_SPELLINGS = [
-    (r"(\d{4})\s*년\s*(\d{1,2})\s*월\s*(\d{1,2})\s*일", "$1-$2-$3"),
-    (r"(\d{1,2})[-./](\d{1,2})[-./](\d{4})", "$3-$1-$2"),
-    (_NAME + r"\s+(\d{1,2}),?\s+(\d{4})", "$3-$1-$2"),
-    (r"(\d{1,2})[\s-]+" + _NAME + r"[\s-]+(\d{4})", "$3-$2-$1"),
-    (r"(\d{4})[-./](\d{1,2})[-./](\d{1,2})", "$1-$2-$3"),
-]
+#: A time of day, which a date may end with; nothing else may.
+_TIME = r"(?:[ T]\s*\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?\s*(?:[AaPp][Mm])?\s*(?:Z|[+-]\d{2}:?\d{2})?)?"
+#: Spellings of dates, told by how they begin: that, the whole, and which of its parts are year, month and day.
+_SPELLINGS = {
+    "year_first": (r"^\d{4}[-./]", r"(\d{4})[-./](\d{1,2})[-./](\d{1,2})", "$1-$2-$3"),
+    "year_last": (r"^\d{1,2}[-./]\d", r"(\d{1,2})[-./](\d{1,2})[-./](\d{4})", "$3-$1-$2"),
+    "korean": (r"^\d{4}\s*년", r"(\d{4})\s*년\s*(\d{1,2})\s*월\s*(\d{1,2})\s*일", "$1-$2-$3"),
+    "month_name": (r"^[A-Za-z]{3}", r"([A-Za-z]{3})[A-Za-z]*\.?\s+(\d{1,2}),?\s+(\d{4})", "$3-$1-$2"),
+    "day_name": (r"^\d{1,2}[\s-]+[A-Za-z]", r"(\d{1,2})[\s-]+([A-Za-z]{3})[A-Za-z]*\.?[\s-]+(\d{4})", "$3-$2-$1"),
+}
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 
 def _col(c) -> Column:
@@ -56,19 +58,42 @@ def clean_text(c) -> Column:
     return null_tokens(normalise(c))
 
 
-def to_date(c) -> Column:
+def date_spelling(c) -> Column:
+    """How a date is spelled, by its beginning: eight (digits), serial, or one of the others; null if it is like none."""
+    t = F.trim(_col(c).cast("string"))
+    out = F.when(t.rlike(r"^\d{8}(\.0)?$"), "eight").when(t.rlike(r"^\d{1,9}(\.\d*)?$"), "serial")
+    for name, (begin, _, _) in _SPELLINGS.items():
+        out = out.when(t.rlike(begin), name)
+    return out
+
+
+def year_last_parts(c) -> tuple[Column, Column]:
+    """First and second number of dates like 1/2/2024, else null."""
+    t = F.trim(_col(c).cast("string"))
+    return tuple(F.when(t.rlike(_SPELLINGS["year_last"][0]), F.regexp_extract(t, r"^(\d{1,2})[-./](\d{1,2})[-./]", i)).try_cast("int") for i in (1, 2))
+
+
+def to_date(c, day_first: Column | bool = False) -> Column:
     """Dates of many spellings: yyyyMMdd, serial days (with a time of day or without) from 1899-12-30, year-month-day with -, . or / or in Korean,
-    month/day/year, and months by English name before or after the day. Else null; so is the epoch day."""
+    month/day/year (day/month/year where day_first says so), and months by English name before or after the day. All may end with a time of day. Else null; so is the epoch day.
+
+    A value is parsed in the one spelling that its beginning tells."""
     t = F.trim(_col(c).cast("string"))
-    number = F.when(t.rlike(r"^\d{1,9}(\.\d*)?$"), t).try_cast("double")
+    as_date = lambda text: F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text).try_cast("date")
+    number = t.try_cast("double")
     serial = F.when((number >= SERIAL_LOW) & (number <= SERIAL_HIGH), F.date_add(F.lit("1899-12-30").cast("date"), F.floor(number).cast("int")))
-    eight = F.try_to_timestamp(F.when(t.rlike(r"^\d{8}(\.0)?$"), F.substring(t, 1, 8)), F.lit("yyyyMMdd"))
-    # Every spelling becomes year-month-day, the month a number or three letters.
-    spelled = t
-    for pattern, parts in _SPELLINGS:
-        spelled = F.regexp_replace(spelled, f"(?i)^{pattern}(?:[ T].*)?$", parts)
-    spelled = F.initcap(spelled)
-    found = F.coalesce(F.to_date(eight), serial, *[F.to_date(F.try_to_timestamp(spelled, F.lit(f))) for f in ("yyyy-M-d", "yyyy-MMM-d")])
+    found = F.when(t.rlike(r"^\d{8}(\.0)?$"), F.concat_ws("-", F.substring(t, 1, 4), F.substring(t, 5, 2), F.substring(t, 7, 2)).try_cast("date"))
+    found = found.when(t.rlike(r"^\d{1,9}(\.\d*)?$"), serial)
+    for name, (begin, whole, order) in _SPELLINGS.items():
+        read = lambda o, w=whole: F.regexp_replace(t, f"^{w}{_TIME}$", o)
+        text = read(order)
+        if name == "year_last" and not (isinstance(day_first, bool) and not day_first):
+            text = F.when(F.lit(day_first) if isinstance(day_first, bool) else F.coalesce(day_first, F.lit(False)), read("$3-$2-$1")).otherwise(text)
+        if name.endswith("_name"):
+            parts = F.split(text, "-")
+            at = F.position(F.lower(F.try_element_at(parts, F.lit(2))), F.lit(_MONTHS))
+            text = F.when((F.size(parts) == 3) & (at % 3 == 1), F.concat_ws("-", parts[0], ((at + 2) / 3).cast("int").cast("string"), F.try_element_at(parts, F.lit(3))))
+        found = found.when(t.rlike(begin), as_date(text))
     return F.when(found != F.lit("1970-01-01").cast("date"), found)
 
 

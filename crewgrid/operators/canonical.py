@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..constants import ALIASES, NULL_TOKENS, SENSITIVE_NAMES, SENSITIVE_PARTS
-from ..functions.scalars import clean_text, emp_id, normalise, to_date, year_in
+from ..functions.scalars import clean_text, date_spelling, emp_id, normalise, to_date, year_in, year_last_parts
 from ..schema import MASTER_COLUMNS
 
 
@@ -54,15 +54,32 @@ def canonicalise(df: DataFrame, source: str, sheet: str) -> DataFrame | None:
     return project(df.select(*columns, F.lit(source).alias("file"), F.lit(sheet).alias("sheet"), F.lit("snapshot_year" in found).alias("has_year")))
 
 
+def date_spellings(rows: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """A histogram: of each of `by` and each column how many dates are spelled how (n), and how many have a first, and a second, number over 12."""
+    each = F.array(*[F.struct(F.lit(c).alias("column"), date_spelling(c).alias("spelling"), *[(x > 12).alias(n) for x, n in zip(year_last_parts(c), ("first", "second"), strict=True)]) for c in columns])
+    return rows.select(*by, F.explode(each).alias("d")).groupBy(*by, "d.column", "d.spelling").agg(F.count("*").alias("n"), F.count_if("d.first").alias("first_over_12"), F.count_if("d.second").alias("second_over_12"))
+
+
+def day_orders(rows: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """Of each of `by`, for each column whether dates like 1/2/2024 have the day first: where that fits more of the column's dates."""
+    told = date_spellings(rows, by, columns).where("spelling = 'year_last'")
+    first = F.col("first_over_12") > F.col("second_over_12")
+    return told.groupBy(*by).agg(*[F.max(F.when(F.col("column") == c, first)).alias(f"{c}_day_first") for c in columns])
+
+
 def project(rows: DataFrame) -> DataFrame:
-    """rows: a text column for each field (null where the sheet lacks it), file, sheet, has_year. Master rows."""
+    """rows: a text column for each field (null where the sheet lacks it), file, sheet, has_year. Master rows.
+
+    The order of day and month is chosen once a sheet and column, from all of its dates."""
+    sheet = ["file", "sheet"]
+    rows = rows.join(day_orders(rows.where("file is not null and sheet is not null"), sheet, ["join_date", "exit_date"]), sheet, "left")
     given = F.regexp_replace("snapshot_year", r"\.0$", "").try_cast("int")
-    joined = to_date("join_date")
+    joined = to_date("join_date", F.col("join_date_day_first"))
     out = rows.select(
         emp_id("emp_id").alias("emp_id"),
         *[clean_text(f).alias(f) for f in ("name", "org", "dept", "title", "grade")],
         joined.alias("join_date"),
-        to_date("exit_date").alias("exit_date"),
+        to_date("exit_date", F.col("exit_date_day_first")).alias("exit_date"),
         # A choice for the whole sheet: a null in a given column stays null.
         F.when(F.col("has_year"), given).otherwise(F.coalesce(year_in("file"), F.year(joined))).alias("snapshot_year"),
         F.col("file").alias("data_source"),

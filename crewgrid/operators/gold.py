@@ -69,11 +69,23 @@ def headcount(master: DataFrame) -> DataFrame:
     """Named rows that are active at the end of the latest snapshot's year: over all snapshots, and people of the latest one."""
     last = master.agg(F.max("snapshot_year")).scalar()
     active = master.withColumn("last_year", last).where(active_at(F.col("last_year")))
+    return active.agg(*_active_counts())
+
+
+def _active_counts() -> list[Column]:
     person = F.coalesce(F.nullif(F.trim("emp_id"), F.lit("")), F.col("name"))
-    return active.agg(
+    return [
         F.count("name").alias("active_all_snapshots"),
         F.countDistinct(F.when(F.col("snapshot_year") == F.col("last_year"), person)).alias("active_latest_people"),
-    )
+    ]
+
+
+def headcount_and_list(master: DataFrame) -> DataFrame:
+    """headcount, with the size of the active list (ground_truth), in one pass after that for the last year."""
+    last = master.agg(F.max("snapshot_year")).scalar()
+    rows = master.withColumn("last_year", last).withColumn("active", active_at(F.col("last_year")))
+    of_active = rows.withColumns({c: F.when(F.col("active"), F.col(c)) for c in ("name", "emp_id")})
+    return of_active.agg(*_active_counts(), F.count_if(F.col("exit_date").isNull()).alias("ground_truth"))
 
 
 def turnover_pivot(lists: DataFrame) -> DataFrame:
@@ -107,9 +119,10 @@ def running_floored(periods: DataFrame, by: str) -> DataFrame:
 
 
 def early_exit_by_dept(exited: DataFrame, days: int = EARLY_DAYS) -> DataFrame:
+    """By dept (by org in lists without depts), most first."""
     key = "dept" if "dept" in exited.columns else "org"
     early = exited.where(is_early(tenure_days(since_founding("join_date"), since_founding("exit_date")), days)).where(F.col(key).isNotNull())
-    return early.groupBy(F.col(key).alias("group")).agg(F.count("*").alias(f"early_exit_{days}d"))
+    return early.groupBy(F.col(key).alias("group")).agg(F.count("*").alias(f"early_exit_{days}d")).orderBy(F.desc(f"early_exit_{days}d"), "group")
 
 
 def dept_monthly_counts(active: DataFrame, exited: DataFrame) -> DataFrame:

@@ -45,15 +45,48 @@ def counters(master: DataFrame) -> DataFrame:
 
 
 def report(master: DataFrame, roster: DataFrame) -> DataFrame:
-    """counters with the sizes of the roster and of both differences."""
-    return counters(master).withColumns({
-        "reference_roster_rows": roster.agg(F.count("*")).scalar(),
-        "mismatch_ref_only_rows": ref_only(master, roster).agg(F.count("*")).scalar(),
-        "mismatch_master_only_rows": master_only(master, roster).agg(F.count("*")).scalar(),
-    })
+    """counters with the sizes of the roster and of both differences: one scan of either table, whose rows meet by year and name, and by id."""
+    zero, one = F.lit(0), F.lit(1)
+    flags = {"missing_org": F.col("org").isNull(), "missing_dept": F.col("dept").isNull(), "bad_date": F.coalesce(F.col("join_date") > F.col("exit_date"), F.lit(False))}
+
+    def row(kind: str, year, key, m, r, told: bool):
+        return F.struct(
+            F.lit(kind).alias("kind"), year.cast("int").alias("year"), key.alias("key"), m.alias("m"), r.alias("r"), *[(c.cast("int") if told else zero).alias(n) for n, c in flags.items()]
+        )
+
+    nothing = F.lit(None)
+    of_name, of_id = row("name", F.col("snapshot_year"), person_name("name"), one, zero, True), row("id", nothing, F.nullif(F.trim("emp_id"), F.lit("")), one, zero, False)
+    masters = master.select(F.inline(F.array(of_name, of_id))).where("kind = 'name' or key is not null")
+    # A name that is null stays null, so such rows of the roster only count.
+    listed = roster.select(F.inline(F.array(row("name", F.col("year"), person_name("name"), zero, one, False))))
+    total = lambda c, when=None: F.coalesce(F.sum(c if when is None else F.when(when, c)), F.lit(0))
+    keys = masters.unionByName(listed).groupBy("kind", "year", "key").agg(*[F.sum(c).alias(c) for c in ("m", "r", *flags)])
+    named = F.col("year").isNotNull() & F.col("key").isNotNull()
+    years = keys.groupBy("kind", "year").agg(
+        *[F.sum(c).alias(c) for c in ("m", "r", *flags)],
+        total(F.col("r"), named & (F.col("m") == 0)).alias("ref_only"), total(F.col("m"), F.col("key").isNull() | (F.col("r") == 0)).alias("lacking"),
+        F.max(named & (F.col("r") > 0)).alias("covered"), total(F.col("m"), F.col("m") > 1).alias("repeated"),
+    )
+    is_name = F.col("kind") == "name"
+    return years.agg(
+        total(F.col("m"), is_name).alias("master_rows"), total(F.col("missing_org")).alias("missing_org_rows"), total(F.col("missing_dept")).alias("missing_dept_rows"),
+        total(F.col("bad_date")).alias("bad_date_rows"), F.array_join(F.sort_array(F.collect_set(F.when(is_name & (F.col("m") > 0), F.col("year")))), ",").alias("years"),
+        total(F.col("repeated"), F.col("kind") == "id").alias("duplicate_emp_id_rows"), total(F.col("r")).alias("reference_roster_rows"),
+        total(F.col("ref_only"), is_name).alias("mismatch_ref_only_rows"), total(F.col("lacking"), is_name & F.col("covered")).alias("mismatch_master_only_rows"),
+    )
 
 
 def reconciliation(estimate: DataFrame, truth: DataFrame) -> DataFrame:
     """estimate: active_all_snapshots, active_latest_people; truth: the active list. Both side by side with the gap."""
-    out = estimate.withColumn("ground_truth", truth.agg(F.count("*")).scalar())
-    return out.withColumn("gap", F.col("active_latest_people") - F.col("ground_truth"))
+    return _gap(estimate.withColumn("ground_truth", truth.agg(F.count("*")).scalar()))
+
+
+def reconciliation_of(master: DataFrame) -> DataFrame:
+    """The same where the active list is the master's rows without an exit."""
+    from .gold import headcount_and_list
+
+    return _gap(headcount_and_list(master))
+
+
+def _gap(both: DataFrame) -> DataFrame:
+    return both.withColumn("gap", F.col("active_latest_people") - F.col("ground_truth"))

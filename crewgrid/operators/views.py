@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import EARLY_WARN, EXIT_RATE_BAD, EXIT_RATE_WARN, NULL_TOKENS, RISK_HIGH, RISK_MID
-from ..functions.scalars import month_of, one_place, percent, risk_level
+from ..functions.scalars import is_early, month_of, one_place, percent, risk_level, tenure_days
 
 
 def apply_filter(df: DataFrame, first: int | None = None, last: int | None = None, orgs=(), depts=()) -> DataFrame:
@@ -29,8 +29,9 @@ def org_headcount(master: DataFrame) -> DataFrame:
 
 
 def dept_headcount(master: DataFrame, orgs=()) -> DataFrame:
+    """Fewest first, as bars are drawn from below."""
     named = master.where("exit_date is null").withColumn("dept", F.trim("dept")).where(~F.col("dept").isin(NULL_TOKENS))
-    return apply_filter(named, orgs=orgs).groupBy("dept").agg(F.count("*").alias("people"))
+    return apply_filter(named, orgs=orgs).groupBy("dept").agg(F.count("*").alias("people")).orderBy("people", "dept")
 
 
 def early_by_month(early: DataFrame) -> DataFrame:
@@ -45,7 +46,20 @@ def kpis(people: DataFrame, yearly: DataFrame, early: DataFrame, year: int) -> D
         F.coalesce(F.sum(F.when(this, F.col("exits"))), F.lit(0)).alias("exits"),
         F.coalesce(F.sum(F.when(before, F.col("hires"))), F.lit(0)).alias("hires_before"),
     )
-    out = flow.withColumns({"total": people.agg(F.count("*")).scalar(), "early": early.agg(F.count("*")).scalar()})
+    return _kpis(flow.withColumns({"total": people.agg(F.count("*")).scalar(), "early": early.agg(F.count("*")).scalar()}), year)
+
+
+def kpis_of(master: DataFrame, year: int) -> DataFrame:
+    """The same of a master table itself, in one pass: people without an exit, its flows and early exits."""
+    in_year = lambda c, y: F.count_if(F.year(c) == y)
+    counts = master.agg(
+        in_year("join_date", year).alias("hires"), in_year("exit_date", year).alias("exits"), in_year("join_date", year - 1).alias("hires_before"),
+        F.count_if(F.col("exit_date").isNull()).alias("total"), F.count_if(is_early(tenure_days("join_date", "exit_date"))).alias("early"),
+    )
+    return _kpis(counts, year)
+
+
+def _kpis(out: DataFrame, year: int) -> DataFrame:
     rate = one_place(percent("exits", "total"))
     return out.select(
         F.lit(year).cast("long").alias("year"), "total", "hires", "exits", "early",
@@ -105,5 +119,6 @@ def net_sign(monthly: DataFrame) -> DataFrame:
 
 
 def display_names(df: DataFrame) -> DataFrame:
+    """The table with the names that panels show."""
     names = {"month": "월", "year": "연도", "hires": "입사", "exits": "퇴사", "net": "순증", "name": "이름", "org": "본부", "dept": "팀", "join_date": "입사일", "exit_date": "퇴사일"}
     return df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns})

@@ -41,6 +41,7 @@ def _dates(spark: SparkSession, d: str) -> DataFrame:
         F.date_format(day, "yyyy-MM-dd"), F.date_format(day, "yyyy.MM.dd"), F.date_format(day, "yyyyMMdd"), serial, F.concat(serial, F.lit(".0")),
         F.date_format(day, "yyyy/M/d"), F.lit("abc"), F.lit("1970-01-01"), F.date_format(day, "M/d/yyyy"), F.date_format(day, "yyyy년 M월 d일"), F.date_format(day, "MMM d yyyy"),
         F.date_format(day, "d MMMM yyyy"), F.date_format(day, "MMMM d, yyyy"), F.concat(serial, F.lit(".75")), F.date_format(day, "yyyy-MM-dd HH:mm:ss"), F.lit("13/13/2020"),
+        F.date_format(day, "yyyy-MM-dd 'abc'"), F.date_format(day, "MMM d, yyyy 'xx'"), F.date_format(day, "MMM d, yyyy h:mm a"), F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
     ]
     raw = F.element_at(F.array(*forms), (F.pmod("o_orderkey", F.lit(len(forms))) + 1).cast("int"))
     return table(spark, d, "orders").select("o_orderkey", S.to_date(raw).alias("day"))
@@ -161,7 +162,7 @@ _M: dict[str, Callable[[DataFrame], DataFrame]] = {
     "turnover_yearly": lambda m: gold.turnover_yearly(m).orderBy("year"),
     "monthly_flow": lambda m: gold.monthly(m).orderBy("month"),
     "dept_monthly_flow": lambda m: gold.dept_monthly(m).orderBy("org", "dept", "month"),
-    "early_exit_30d": gold.early_exits,
+    "early_exit_30d": lambda m: gold.in_order(gold.early_exits(m)),
     "headcount_est": gold.headcount,
     "dedup_master": lambda m: canonical.deduplicate(m, "order_key"),
     "latest_snapshot_people": lambda m: canonical.latest_people(m, "order_key"),
@@ -172,15 +173,16 @@ _M: dict[str, Callable[[DataFrame], DataFrame]] = {
     "early_exit_by_dept": lambda m: gold.early_exit_by_dept(_exited(m).withColumns({c: F.date_add(c, 2557) for c in ("join_date", "exit_date")}), 60),
     "dept_monthly_counts": lambda m: gold.dept_monthly_counts(_active(m), _exited(m).drop("dept")),
     "org_headcount": lambda m: views.org_headcount(m).orderBy(F.desc("people"), "org"),
-    "dept_headcount": lambda m: views.dept_headcount(m, ORGS).orderBy(F.desc("people"), "dept"),
+    "dept_headcount": lambda m: views.dept_headcount(m, ORGS),
     "early_exit_monthly": lambda m: views.early_by_month(gold.early_exits(m)),
-    "kpi_bundle": lambda m: views.kpis(_active(m), gold.turnover_yearly(m), gold.early_exits(m), YEAR),
+    "kpi_bundle": lambda m: views.kpis_of(m, YEAR),
     "peak_exit_year": lambda m: views.peak_exit_year(gold.turnover_yearly(m)),
     "filter_domains": lambda m: views.domains(m, ORGS),
     "default_period": lambda m: views.default_period(gold.turnover_yearly(m)),
     "last_12_months": lambda m: views.last_months(gold.monthly(m)),
     "dept_detail_300": lambda m: views.dept_detail(gold.dept_monthly(m)),
     "monthly_net_sign": lambda m: views.net_sign(gold.monthly(m)),
+    "monthly_display": lambda m: views.display_names(gold.monthly(m).orderBy("month")),
     "missing_dept": lambda m: canonical.missing_dept(m.withColumn("dept", F.when(F.col("order_key") % 50 == 0, F.lit(None)).when(F.col("order_key") % 51 == 0, " ").otherwise(F.col("dept")))),
     "dept_fix": lambda m: canonical.fix_dept(m, " Customer#000000007 ", "MOVED").groupBy("dept").agg(F.count("*").alias("n")),
 }
@@ -198,7 +200,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "qa_ref_only": lambda s, d: qa.ref_only(master(s, d), roster(s, d)),
         "qa_master_only": lambda s, d: qa.master_only(master(s, d), roster(s, d)),
         "qa_report": lambda s, d: qa.report(master(s, d), roster(s, d)),
-        "headcount_reconciliation": lambda s, d: qa.reconciliation(gold.headcount(master(s, d)), _active(master(s, d))),
+        "headcount_reconciliation": lambda s, d: qa.reconciliation_of(master(s, d)),
         "turnover_pivot": lambda s, d: gold.turnover_pivot(whole_roster(s, d)),
         "roster_distinct": whole_roster,
         "turnover_rates": _turnover_rates,
@@ -333,6 +335,7 @@ def oracle_sql() -> dict[str, str]:
         "monthly_net_sign": _sql(
             "SELECT month, hires, exits, hires - exits AS net, CASE WHEN hires > exits THEN 'up' WHEN hires < exits THEN 'down' ELSE 'even' END AS sign FROM monthly", _EVENTS, _MONTHLY
         ),
+        "monthly_display": _sql('SELECT month AS "월", hires AS "입사", exits AS "퇴사", hires - exits AS "순증" FROM monthly', _EVENTS, _MONTHLY),
         "missing_dept": _sql(
             f"""SELECT * REPLACE (CASE WHEN order_key % 50 = 0 THEN NULL ELSE ' ' END AS dept) FROM (SELECT {_COLUMNS} FROM master WHERE order_key % 50 = 0 OR order_key % 51 = 0)"""
         ),
@@ -378,7 +381,7 @@ def oracle_sql() -> dict[str, str]:
         "risk_ordered": "SELECT c_custkey AS emp_id, c_name AS name, (c_acctbal + 1000) / 110 AS attrition_risk_score FROM customer",
         "risk_top20": f"""SELECT emp_id, name, s AS attrition_risk_score, round_even(s, 1) AS label, CASE WHEN s >= {K.RISK_HIGH} THEN 'high' WHEN s >= {K.RISK_MID} THEN 'mid' ELSE 'low' END AS level
             FROM (SELECT c_custkey AS emp_id, c_name AS name, (c_acctbal + 1000) / 110 AS s FROM customer) ORDER BY s DESC, emp_id LIMIT 20""",
-        "date_coerce": "SELECT o_orderkey, CASE WHEN o_orderkey % 16 NOT IN (6, 7, 15) THEN CAST(o_orderdate AS DATE) END AS day FROM orders",
+        "date_coerce": "SELECT o_orderkey, CASE WHEN o_orderkey % 20 NOT IN (6, 7, 15, 16, 17) THEN CAST(o_orderdate AS DATE) END AS day FROM orders",
         "text_normalise": f"SELECT doc_id, md5({normalised('text')}) AS normalised, lower(regexp_replace({normalised('source')}, '[\\s()\\[\\]{{}}_:-]', '', 'g')) AS source_key FROM documents",
         "year_from_name": "SELECT p_partkey, CAST(p_size + 1990 AS INTEGER) AS year, (p_size + 1990) || '0115' AS day, CAST(p_size AS INTEGER) AS digits FROM part",
         "org_split": """SELECT p_partkey, CASE WHEN p_partkey % 3 < 2 THEN p_brand ELSE p_type END AS org,

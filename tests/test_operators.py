@@ -120,3 +120,42 @@ def test_flows_and_dedup_hold_for_any_rows(spark, people):
     assert rows(canonical.deduplicate(once)) == rows(once)
     keys = {((e or n), y) for e, n, _, _, y in people}
     assert once.count() == len(keys)
+
+
+def test_the_order_of_day_and_month_is_one_of_the_column(spark):
+    """The first sheet's joins have the day first, its exits and the second sheet the month, as the other dates of the column tell."""
+    rows_ = [("f", "a", "13/2/2024", "2/13/2024"), ("f", "a", "1/2/2024", "1/2/2024"), ("f", "a", "2024-03-04", None), ("f", "b", "1/2/2024", "14/14/2024")]
+    df = spark.createDataFrame([(*r, str(i)) for i, r in enumerate(rows_)], "file string, sheet string, join_date string, exit_date string, emp_id string")
+    df = df.withColumns({c: F.lit(None).cast("string") for c in ("name", "org", "dept", "title", "grade", "snapshot_year")}).withColumn("has_year", F.lit(False))
+    got = {r.emp_id: (str(r.join_date), str(r.exit_date)) for r in canonical.project(df).collect()}
+    assert got == {"0": ("2024-02-13", "2024-02-13"), "1": ("2024-02-01", "2024-01-02"), "2": ("2024-03-04", "None"), "3": ("2024-01-02", "None")}
+    told = {(r.sheet, r.column, r.spelling): (r.n, r.first_over_12, r.second_over_12) for r in canonical.date_spellings(df, ["sheet"], ["join_date", "exit_date"]).collect()}
+    assert told[("a", "join_date", "year_last")] == (2, 1, 0) and told[("a", "join_date", "year_first")] == (1, 0, 0) and told[("b", "exit_date", "year_last")] == (1, 1, 1)
+
+
+def test_row_order(spark):
+    day = "cast('2020-01-01' as date)"
+    m = spark.range(40).selectExpr("cast(id as string) emp_id", "concat('n', id) name", "concat('o', id % 2) org", "concat('d', id * id % 7) dept", f"date_add({day}, cast(id * 7 % 11 as int)) join_date", f"date_add({day}, cast(20 - id % 3 as int)) exit_date")
+    early = [(r.exit_date, r.join_date) for r in gold.in_order(gold.early_exits(m)).collect()]
+    assert early == sorted(early) and len(early) == 40
+    by = [(-r[1], r[0]) for r in gold.early_exit_by_dept(m).collect()]
+    assert by == sorted(by) and len({n for n, _ in by}) > 1
+    heads = [(r.people, r.dept) for r in views.dept_headcount(m.withColumn("exit_date", F.lit(None).cast("date"))).collect()]
+    assert heads == sorted(heads) and len(heads) > 3
+
+
+def test_one_pass_counters(spark):
+    """The report equals its parts, rows without years, names and ids among them."""
+    m = [(str(i % 5) if i % 7 else None, f"n{i % 6}" if i % 9 else None, "o" if i % 4 else None, None, f"2020-01-{1 + i:02d}", "2020-01-09" if i % 3 else None, 2019 + i % 3 if i % 8 else None) for i in range(30)]
+    master = spark.createDataFrame(m, "emp_id string, name string, org string, dept string, j string, e string, snapshot_year int")
+    master = master.withColumns({"join_date": F.col("j").cast("date"), "exit_date": F.col("e").cast("date"), "data_source": F.lit("d"), "sheet_name": F.lit("s")}).drop("j", "e")
+    roster = spark.createDataFrame([(2019, "hire", "n1"), (2019, "exit", "n1"), (2019, "exit", "zz"), (2020, "hire", None), (None, "hire", "n2"), (2030, "hire", "q")], "year int, type string, name string").withColumns({"source_file": F.lit("f"), "sheet": F.lit("s")})
+    for a, b in ((master, roster), (master, roster.limit(0)), (master.limit(0), roster)):
+        got = qa.report(a, b).first().asDict()
+        assert got == qa.counters(a).first().asDict() | {"reference_roster_rows": b.count(), "mismatch_ref_only_rows": qa.ref_only(a, b).count(), "mismatch_master_only_rows": qa.master_only(a, b).count()}
+    active = master.where("exit_date is null")
+    assert qa.reconciliation_of(master).first().asDict() == qa.reconciliation(gold.headcount(master), active).first().asDict()
+    for y in (2020, 2021, 1990):
+        assert views.kpis_of(master, y).first() == views.kpis(active, gold.turnover_yearly(master), gold.early_exits(master), y).first()
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD")
+    assert scans(qa.report(master, roster)) == 2 and scans(views.kpis_of(master, 2020)) == 1

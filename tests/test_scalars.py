@@ -12,13 +12,20 @@ def one(spark, text, f):
 @pytest.mark.parametrize(
     ("text", "day"),
     [(t, date(2024, 1, 15)) for t in ("2024-01-15", "2024.01.15", "20240115", "45306", "45306.0", "20240115.0", " 2024-01-15 ")]
-    + [(t, date(2024, 1, 5)) for t in ("2024/1/5", "2024-1-5 00:00:00", "1/5/2024", "01-05-2024", "2024년 1월 5일", "2024 년 1 월 5 일", "Jan 5 2024", "jan. 5, 2024", "January 5, 2024", "5 JAN 2024", "5-Jan-2024", "45296.75")]
-    + [(t, None) for t in ("5", "61000", "1970-01-01", "abc", "", None, "2024-13-40", "99999999", "13/13/2024", "Foo 5 2024", "2/30/2024", "61000.5", "123456789012345678901234567890")],
+    + [(t, date(2024, 1, 5)) for t in ("2024/1/5", "2024-1-5 00:00:00", "1/5/2024", "01-05-2024", "2024년 1월 5일", "2024 년 1 월 5 일", "Jan 5 2024", "jan. 5, 2024", "January 5, 2024", "5 JAN 2024", "5-Jan-2024", "45296.75", "2024-01-05T10:11:12.5Z", "Jan 5, 2024 9:05 PM", "5-Jan-2024 00:00", "1/5/2024 23:59:59 +09:00", "Sept 5 2024".replace("Sept", "Jan"))]
+    + [(t, None) for t in ("5", "61000", "1970-01-01", "abc", "", None, "2024-13-40", "99999999", "13/13/2024", "Foo 5 2024", "2/30/2024", "61000.5", "2024-01-15 abc", "Jan 5, 2020 xx", "2024-01-15 10", "5 Foo 2024", "Jan 5", "2024년 1월 5일 밤", "janx", "123456789012345678901234567890")],
 )
 def test_dates(spark, text, day):
     assert one(spark, text, S.to_date) == day
 
 
+def test_dates_with_the_day_first(spark):
+    assert one(spark, "5/1/2024", lambda c: S.to_date(c, True)) == date(2024, 1, 5) == one(spark, "5.1.2024 10:00", lambda c: S.to_date(c, S.F.lit(True)))
+    assert one(spark, "5/1/2024", lambda c: S.to_date(c, S.F.lit(None).cast("boolean"))) == date(2024, 5, 1)
+    spelled = {"20240115": "eight", "45306.5": "serial", "2024.1.5": "year_first", "1-5-2024": "year_last", "2024 년": "korean", "Jan 5": "month_name", "5 jan": "day_name", "x": None, None: None}
+    assert {t: one(spark, t, S.date_spelling) for t in spelled} == spelled
+
+
 def test_text(spark):
     assert one(spark, None, S.normalise) == ""
     assert one(spark, "　a\r\n b \t c　", S.normalise) == "a b c"
