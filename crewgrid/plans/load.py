@@ -34,7 +34,7 @@ def read_table(snapshot: Snapshot, layer: str, name: str, schema: str) -> DataFr
         return snapshot.read(f"{layer}/{name}")
     spark, processed = snapshot.spark, snapshot.root
     found = files.first_existing(spark, *(f"{processed}/{x}{name}.csv" for x in ("", f"{layer}/", "gold/")))
-    return spark.createDataFrame([], schema) if found is None else files.read_csv_named(spark, found, schema)
+    return spark.createDataFrame([], schema) if found is None else files.read_csv(spark, found, schema)
 
 
 def load(spark: SparkSession, processed: str, at: int | None = None) -> dict[str, DataFrame]:

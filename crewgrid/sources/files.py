@@ -10,7 +10,7 @@ from ..constants import FINGERPRINT_BYTES
 from ..functions.scalars import content_sha1, file_name
 from ..schema import ALIAS, MANIFEST
 from ..session import ship
-from . import listing
+from . import csvs, listing
 
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = True) -> DataFrame:
@@ -63,16 +63,9 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, fallback: str | None = None) -> DataFrame:
-    """A CSV file with a declared schema, from the second place if it isn't at the first, empty if it is at neither."""
+    """A CSV file with a declared schema, its columns by name, from the second place if it isn't at the first, empty if it is at neither or broken."""
     at = next((p for p in (path, fallback) if p and exists(spark, p)), None)
-    return spark.createDataFrame([], schema) if at is None else spark.read.csv(at, header=True, schema=schema)
-
-
-def read_csv_named(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The schema's columns by their names in the header; those that the file lacks are null, values that don't fit too."""
-    raw = spark.read.csv(path, header=True)
-    wanted = spark.createDataFrame([], schema).schema
-    return raw.select([(F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in wanted])
+    return spark.createDataFrame([], schema) if at is None else csvs.read_named(spark, at, schema)
 
 
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -86,12 +79,10 @@ def read_alias(spark: SparkSession, path: str) -> DataFrame | None:
     """The alias table; None where there is no file. Missing columns raise."""
     if not exists(spark, path):
         return None
-    raw = spark.read.csv(path, header=True)
-    lacking = {"raw_org", "raw_dept", "std_org", "std_dept"} - set(raw.columns)
+    lacking = {"raw_org", "raw_dept", "std_org", "std_dept"} - set(csvs.header(path))
     if lacking:
         raise ValueError(f"alias table lacks {sorted(lacking)}")
-    raw = raw if "note" in raw.columns else raw.withColumn("note", F.lit(None).cast("string"))
-    return raw.select([c.split()[0] for c in ALIAS.split(", ")]).na.fill("")
+    return csvs.read_named(spark, path, ALIAS).na.fill("")
 
 
 def first_existing(spark: SparkSession, *paths: str) -> str | None:

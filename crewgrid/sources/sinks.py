@@ -5,20 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.canonical import drop_sensitive
+from ..operators.canonical import drop_sensitive, fix_dept
+from . import csvs
 
 LAYERS = ("bronze", "silver", "gold", "qa", "addons")
 
 
 def save(df: DataFrame, root: str, layer: str, name: str, csv: bool = False, partition_by: str | None = None) -> str:
-    """Parquet under root/layer/name, with a CSV copy on demand."""
+    """Parquet under root/layer/name, with a CSV copy on demand (UTF-8 with its mark)."""
     if layer not in LAYERS:
         raise ValueError(f"no layer {layer}")
     clean = drop_sensitive(df)
     writer = clean.write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(f"{root}/{layer}/{name}")
     if csv:
-        clean.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(f"{root}/{layer}/{name}_csv")
+        csvs.write_marked(clean, f"{root}/{layer}/{name}_csv")
     return f"{root}/{layer}/{name}"
 
 
@@ -33,6 +34,6 @@ def save_json(df: DataFrame, root: str, layer: str, name: str) -> str:
     return path
 
 
-def append_alerts(found: DataFrame, path: str) -> None:
-    """Rows with the time they were found; `found` holds only new ones (see classify.new_alerts)."""
-    found.withColumn("detected_at", F.current_timestamp()).write.mode("append").parquet(path)
+def save_fixed(df: DataFrame, name: str, dept: str, path: str) -> None:
+    """The table with one person's dept set, as CSV."""
+    csvs.write_marked(drop_sensitive(fix_dept(df, name, dept)), path)
