@@ -43,6 +43,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard as zstd
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -63,9 +64,9 @@ _PART = 32768
 _A = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
+def shingles(text: str | bytes | None, size: int = SHINGLE) -> np.ndarray:
     """Sorted hashes of the distinct shingles."""
-    words = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
+    words = (text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")).translate(LOWER).split()
     if not words:
         return np.zeros(0, np.uint64)
     if len(words) < size:
@@ -168,12 +169,13 @@ def _runs(tokens: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarra
     return tied, ~found & ~tied, begin
 
 
-_LISTED = "token long, leader long, lo int, hi int"
+_LISTED = "token long, leader long, reach long"
 
 
-def _listed(*columns: np.ndarray) -> pa.RecordBatch:
-    kinds = (np.int64, np.int64, np.int32, np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c, k)) for c, k in zip(columns, kinds, strict=True)], ["token", "leader", "lo", "hi"])
+def _listed(token: np.ndarray, leader: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
+    """lo in the first half of reach, how far hi goes beyond the size in the second (mostly 0, which packs well)."""
+    reach = lo.astype(np.int64) << 32 | np.where(lo < 0, 0, hi - (lo >> 1)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c, np.int64)) for c in (token, leader, reach)], ["token", "leader", "reach"])
 
 
 def _ties(docs: DataFrame, common: Broadcast, set_id: SetIds) -> DataFrame:
@@ -216,7 +218,9 @@ def _ties(docs: DataFrame, common: Broadcast, set_id: SetIds) -> DataFrame:
     def ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # of the list that the last batch ended with: token, run's leader, how far it reaches
         for b in batches:
-            tokens, own, lo, hi = (c.to_numpy() for c in b.columns)
+            tokens, own, reach = (c.to_numpy() for c in b.columns)
+            lo = reach >> 32
+            hi = (lo >> 1) + (reach & 0xFFFFFFFF)
             out = [np.stack([tokens[lo < 0], own[lo < 0]], 1)]
             tokens, own, lo, hi = (c[lo >= 0].astype(np.int64) for c in (tokens, own, lo, hi))
             if last is not None and len(tokens) and tokens[0] == last[0]:
@@ -232,27 +236,30 @@ def _ties(docs: DataFrame, common: Broadcast, set_id: SetIds) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["set", "leader"])
 
     n = shuffles(docs.sparkSession)
-    dealt = docs.select("text").mapInArrow(lists, _LISTED).repartition(n, "token").sortWithinPartitions("token", "lo")
+    dealt = docs.select("text").mapInArrow(lists, _LISTED).repartition(n, "token").sortWithinPartitions("token", "reach")
     return dealt.mapInArrow(ties, "set long, leader long").distinct()
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, set_id: SetIds) -> DataFrame:
-    """wanted (doc_id, set and more) with a text of each set. A bitmap tells the scan which documents to hash anew; a set may come more than once."""
+    """wanted (doc_id, set and more) with a text of each set, packed. A bitmap tells the scan which documents to hash anew; a set may come more than once."""
     slot = F.coalesce(F.xxhash64("doc_id"), F.lit(0))
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.select(slot.alias("slot"))))
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "text").withColumn("slot", slot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstd.ZstdCompressor(level=3).compress
         for b in batches:
             b = b.filter(pa.array(in_bitmap(bits.value, b.column("slot").to_numpy())))
             sets = {}
             for text in b.column("text"):
                 tokens = shingles(text.as_py())
                 if len(tokens):
-                    sets.setdefault(set_id(tokens), text.as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), pa.array(list(sets.values()), pa.string())], ["set", "text"])
+                    name = set_id(tokens)
+                    if name not in sets:
+                        sets[name] = pack(text.as_py().encode("utf-8", "surrogatepass"))
+            yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), pa.array(list(sets.values()), pa.binary())], ["set", "text"])
 
-    return docs.mapInArrow(run, "set long, text string").join(wanted.drop("doc_id"), "set")
+    return docs.mapInArrow(run, "set long, text binary").join(wanted.drop("doc_id"), "set")
 
 
 class TokenGroups:
@@ -336,7 +343,7 @@ def _by_key(rows: DataFrame, keys: list[str], columns: list[str], work: Callable
     out = pa.schema([(f.name, arrow[f.dataType.simpleString()]) for f in rows.sparkSession.createDataFrame([], schema).schema])
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        now, held, done = None, [], set()
+        now, held, done, unpack = None, [], set(), zstd.ZstdDecompressor().decompress
         for b in batches:
             at = list(zip(*(b.column(k).to_pylist() for k in keys), strict=True))
             rest = [b.column(c) if c == "text" else b.column(c).to_pylist() for c in columns]
@@ -352,7 +359,7 @@ def _by_key(rows: DataFrame, keys: list[str], columns: list[str], work: Callable
                         continue
                     done.add(own)
                     place = columns.index("text")
-                    row[place] = shingles(row[place].as_py())
+                    row[place] = shingles(unpack(row[place].as_py()))
                 held.append(tuple(row))
         if held:
             yield from work(now, held)
