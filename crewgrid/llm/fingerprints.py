@@ -9,9 +9,11 @@ without leaving out any byte. Fingerprints of equal or neighbouring block
 sizes are compared by edit distance (insertions and deletions) over their
 lengths; without a common run of four letters they count as unlike.
 
-Next documents: rows are dealt to ranges of doc_id; the smallest document
+A text is hashed some bytes at a time, so that a long one takes little more memory than itself.
+
+Next documents: rows are dealt to ranges of doc_id, several to a task; the smallest document
 of each range also goes to the range before it (the first of all to the last
-range), so every row meets its next document in its own task. A range is
+range), so every row meets its next document in its own range. A range is
 sorted downwards and streamed: the next document is always the one just
 seen, and only that one is held.
 
@@ -35,38 +37,66 @@ from pyspark.sql import functions as F
 from .common import shuffles, table
 
 LETTERS, LEAST_BLOCK, ROLL, RUN = 64, 4, 7, 4
+#: Bytes hashed at a time, about 30 bytes of memory each; ranges of ids for each partition.
+PIECE, RANGES = 1 << 20, 4
 _ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 _STEP = np.uint32(0x01000193)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _letters(values: np.ndarray, low: np.ndarray, block: int) -> str:
-    """One letter for each piece; `low` are the bits that trigger, a piece ends where the lowest log2(block) are all set."""
-    ends = np.flatnonzero((low & np.uint32(block - 1)) == block - 1) + 1
-    starts = np.concatenate(([0], ends[ends < len(values)]))
-    sums = np.add.reduceat(values, starts) * _MIX
-    return _ALPHABET[(sums >> np.uint64(58)).astype(np.intp)].tobytes().decode()
+def _rolled(data: bytes, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each byte from begin to end the hash of the ROLL bytes up to it, and the bits of it that trigger."""
+    back = min(begin, ROLL - 1)
+    h = np.frombuffer(data, np.uint8, end - begin + back, begin - back).astype(np.uint32) + np.uint32(1)
+    rolled = h.copy()
+    factor = _STEP
+    for k in range(1, min(ROLL, len(h))):
+        rolled[k:] += h[:-k] * factor
+        factor = np.uint32(int(factor) * int(_STEP) & 0xFFFFFFFF)
+    values = rolled[back:].astype(np.uint64) * _MIX
+    return values, (values >> np.uint64(32)).astype(np.uint32)
 
 
-def fingerprint(data: bytes) -> str:
-    x = np.frombuffer(data, np.uint8).astype(np.uint32)
-    n = len(x)
+def fingerprint(data: bytes, piece: int = PIECE) -> str:
+    """Two passes over the bytes, `piece` of them at a time: one counts triggers for the block size, one makes the letters."""
+    n = len(data)
     block = LEAST_BLOCK
     while block * LETTERS < n:
         block *= 2
     if not n:
         return f"{block}::"
-    h = x + np.uint32(1)
-    rolled = h.copy()
-    factor = _STEP
-    for back in range(1, min(ROLL, n)):
-        rolled[back:] += h[:-back] * factor
-        factor = np.uint32(int(factor) * int(_STEP) & 0xFFFFFFFF)
-    values = rolled.astype(np.uint64) * _MIX
-    low = (values >> np.uint64(32)).astype(np.uint32)
-    while len(first := _letters(values, low, block)) > LETTERS:
+    cuts = [*range(0, n, piece), n]
+    spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+    whole = _rolled(data, 0, n) if len(spans) == 1 else None
+    # Triggers before the last byte, by block size: a piece ends where the lowest log2(block) bits are all set.
+    triggers: dict[int, int] = {}
+    for begin, end in spans:
+        low = (whole or _rolled(data, begin, end))[1]
+        low, b = low[:-1] if end == n else low, block
+        while len(low):
+            low = low[(low & np.uint32(b - 1)) == b - 1]
+            triggers[b] = triggers.get(b, 0) + len(low)
+            b *= 2
+            if b > 1 << 31:
+                break
+    while triggers.get(block, 0) >= LETTERS:
         block *= 2
-    return f"{block}:{first}:{_letters(values, low, 2 * block)}"
+    out = []
+    for b in (block, 2 * block):
+        sums, rest = [], np.uint64(0)
+        for begin, end in spans:
+            values, low = whole or _rolled(data, begin, end)
+            ends = np.flatnonzero((low & np.uint32(b - 1)) == b - 1) + 1
+            ends = ends[ends < len(values)]
+            each = np.add.reduceat(values, np.concatenate(([0], ends)))
+            each[:1] += rest
+            # The last sum goes on in the next span unless a piece ends with this one.
+            done = end == n or int(low[-1]) & (b - 1) == b - 1
+            sums.append(each if done else each[:-1])
+            rest = np.uint64(0) if done else each[-1]
+        letters = np.concatenate(sums) * _MIX
+        out.append(_ALPHABET[(letters >> np.uint64(58)).astype(np.intp)].tobytes().decode())
+    return f"{block}:{out[0]}:{out[1]}"
 
 
 def _likeness(a: str, b: str) -> float:
@@ -112,7 +142,8 @@ def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen = None  # the smallest text of the group so far
     for batch in batches:
         rows = []
-        for at, head, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("range", "head", "doc_id", "text")), strict=True):
+        for values in zip(*(batch.column(c) for c in ("range", "head", "doc_id", "text")), strict=True):
+            at, head, doc_id, text = (v.as_py() for v in values)
             data = text.encode("utf-8", "surrogatepass")
             mark = fingerprint(data)
             if at != range_now:
@@ -131,20 +162,13 @@ def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, _KINDS, strict=True)], _NAMES)
 
 
-def _keys(spark: SparkSession, n: int) -> list[int]:
-    """For each of n partitions an integer that repartition(n, key) deals to it, so that every range has a task of its own."""
-    found = spark.range(40 * n + 200).select(F.col("id").cast("int").alias("key")).select("key", F.pmod(F.hash("key"), F.lit(n)).alias("p"))
-    keys = {r.p: r.key for r in found.groupBy("p").agg(F.min("key").alias("key")).collect()}
-    return [keys.get(p, -1 - p) for p in range(n)]
-
-
 def fingerprints(docs: DataFrame) -> DataFrame:
     """docs: doc_id, text. One row a document."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     n = shuffles(spark)
-    cuts = sorted(set(docs.select("doc_id").approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n)))) if n > 1 else []
-    keys = _keys(spark, n)
+    ranges = RANGES * n
+    cuts = sorted(set(docs.select("doc_id").approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))))
     edges = np.array(cuts, np.int64)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,8 +187,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     first = docs.join(F.broadcast(sent), F.col("doc_id").eqNullSafe(F.col("least"))).groupBy("range", "doc_id").agg(F.min("text").alias("text"))
     rows = docs.mapInArrow(place, "range int, doc_id long, text string").withColumn("head", F.lit(False))
     rows = rows.unionByName(first.withColumn("head", F.lit(True)))
-    key = F.element_at(F.array(*[F.lit(k) for k in keys]), F.col("range") + 1)
-    dealt = rows.repartition(n, key).sortWithinPartitions("range", F.desc("head"), F.col("doc_id").desc_nulls_last(), F.desc("text"))
+    dealt = rows.repartition(n, "range").sortWithinPartitions("range", F.desc("head"), F.col("doc_id").desc_nulls_last(), F.desc("text"))
     return dealt.select("range", "head", "doc_id", "text").mapInArrow(_streamed, SCHEMA)
 
 

@@ -164,20 +164,14 @@ class ArchiveReader(DataSourceReader):
 
     def _member(self, source, offset: int, packed: int, crc: int) -> bytes:
         """The bytes of one stored member, from its own offset alone."""
-        for left in range(self.retries, -1, -1):
-            try:
-                source.seek(offset)
-                head = source.read(30)
-                name, extra = struct.unpack_from("<HH", head, 26)
-                source.seek(offset + 30 + name + extra)
-                data = source.read(packed)
-                if head[:4] != b"PK\x03\x04" or len(data) != packed or zlib.crc32(data) != crc:
-                    raise OSError(f"member at {offset} is broken")
-                return data
-            except (OSError, struct.error):
-                if not left:
-                    raise
-        raise AssertionError
+        source.seek(offset)
+        head = source.read(30)
+        name, extra = struct.unpack_from("<HH", head, 26)
+        source.seek(offset + 30 + name + extra)
+        data = source.read(packed)
+        if head[:4] != b"PK\x03\x04" or len(data) != packed or zlib.crc32(data) != crc:
+            raise OSError(f"member at {offset} is broken")
+        return data
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         if not partition.archive:

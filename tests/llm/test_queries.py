@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import zipfile
 import zlib
 from collections import Counter, defaultdict
 
@@ -302,36 +303,48 @@ def test_media(docs, plain, nothing, spark, monkeypatch):
     assert media.load(spark, f"{path}-empty").count() == 0
 
 
-def test_members_are_read_again(docs, spark):
+def test_members_are_read_again(docs, spark, monkeypatch):
     path = f"{common.shared_dir(spark)}/media-retry"
     media.store(docs, path)
     reader = media.ArchiveReader(path, 1 << 20, 1 << 20, 2)
     part = reader.partitions()[0]
 
+    with zipfile.ZipFile(part.archive) as archive:
+        members = archive.infolist()
+    good, broken = list(reader.read(part)), members[1]
+    asked, real = [0, 0], media._filesystem
+
     class Flaky:
-        def __init__(self, source, failures):
-            self.source, self.failures = source, failures
+        """A source that fails at the second member, so often as is left."""
+
+        def __init__(self, source):
+            self.source = source
 
-        def seek(self, at):
-            self.source.seek(at)
+        def __getattr__(self, name):
+            return getattr(self.source, name)
 
-        def read(self, n):
-            if n > 30 and self.failures:
-                self.failures -= 1
-                raise OSError("lost")
+        def read(self, n=-1):
+            at = self.source.tell()
+            if n == broken.compress_size and broken.header_offset < at < members[2].header_offset:
+                asked[0] += 1
+                if asked[1]:
+                    asked[1] -= 1
+                    raise OSError("lost")
             return self.source.read(n)
 
-    import zipfile
-
-    member = zipfile.ZipFile(part.archive).infolist()[0]
-    args = (member.header_offset, member.compress_size, member.CRC)
-    with open(part.archive, "rb") as f:
-        good = reader._member(f, *args)
-        assert reader._member(Flaky(f, 2), *args) == good
-        with pytest.raises(OSError):
-            reader._member(Flaky(f, 3), *args)
-        with pytest.raises(OSError):
-            reader._member(f, member.header_offset, member.compress_size, member.CRC ^ 1)
+    class Store:
+        def open_input_file(self, path):
+            return Flaky(open(path, "rb"))
+
+    monkeypatch.setattr(media, "_filesystem", lambda path: (Store(), real(path)[1]))
+    asked[:] = 0, 2
+    assert list(reader.read(part)) == good and asked[0] == 3
+    asked[:] = 0, 3
+    with pytest.raises(OSError):
+        list(reader.read(part))
+    assert asked == [3, 0]  # retries + 1 times in all
+    with open(part.archive, "rb") as f, pytest.raises(OSError):
+        reader._member(f, broken.header_offset, broken.compress_size, broken.CRC ^ 1)
 
 
 def test_licences(docs, plain, nothing):

@@ -181,6 +181,39 @@ def test_fingerprints(text, more):
     assert len(one.split(":")[1]) <= 64
 
 
+def plain_fingerprint(data):
+    """Byte by byte."""
+    n, block, mix = len(data), 4, 0x9E3779B97F4A7C15
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    while block * 64 < n:
+        block *= 2
+
+    def letters(b):
+        out, total = "", 0
+        for i in range(n):
+            value = sum((data[i - k] + 1) * 0x01000193**k for k in range(7) if i >= k) % 2**32 * mix % 2**64
+            total = (total + value) % 2**64
+            if (value >> 32) % b == b - 1 or i == n - 1:
+                out, total = out + alphabet[total * mix % 2**64 >> 58], 0
+        return out
+
+    while len(letters(block)) > 64:
+        block *= 2
+    return f"{block}:{letters(block)}:{letters(2 * block)}"
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.binary(max_size=600), st.integers(1, 40), st.integers(1, 3))
+def test_fingerprints_byte_by_byte(data, piece, times):
+    data *= times
+    assert fingerprints.fingerprint(data) == fingerprints.fingerprint(data, piece) == plain_fingerprint(data)
+
+
+def test_a_very_long_text_is_hashed_piece_by_piece():
+    data = np.random.default_rng(1).bytes(50_000_000)
+    assert fingerprints.fingerprint(data) == fingerprints.fingerprint(data, 9_999_999)
+
+
 def test_edits_keep_a_likeness():
     words = np.random.default_rng(2).integers(0, 5000, 3000)
     text = " ".join(f"w{x}" for x in words)
