@@ -66,11 +66,11 @@ def test_changed_settings_make_all_anew(spark, tmp_path):
     raw, out = tmp_path / "raw", str(tmp_path / "out")
     raw.mkdir()
     workbook(raw / "현황2024.xlsx", {"재직자": PEOPLE})
-    assert build.build(spark, str(raw), out).parsed
+    assert build.build(spark, str(raw), out, buckets=2).parsed
     alias = spark.createDataFrame([("본부A", "", "본부에이", "", "")], "raw_org string, raw_dept string, std_org string, std_dept string, note string")
-    got = build.build(spark, str(raw), out, alias=alias)
+    got = build.build(spark, str(raw), out, alias=alias, buckets=2)
     assert len(got.parsed) == 1 and ("본부에이",) in rows(got.master.select("org"))
-    again = build.build(spark, str(raw), out, alias=alias)
+    again = build.build(spark, str(raw), out, alias=alias, buckets=2)
     assert not again.parsed and again.ingest["fast_path"] and rows(again.master) == rows(got.master)
 
 
@@ -150,7 +150,7 @@ def test_the_report_accounts_for_every_file(spark, tmp_path):
     workbook(raw / "other.xlsx", {"s": [["항목", "비고"], ["x", "y"]]})
     (raw / "note.txt").write_text("x")
     (raw / "broken.xlsx").write_bytes(b"PK")
-    ingest = build.build(spark, str(raw), out).ingest
+    ingest = build.build(spark, str(raw), out, buckets=2).ingest
     assert (ingest["raw_files"], ingest["read_ok"], ingest["read_fail"], ingest["parsed"], ingest["master_auto_rows"]) == (7, 5, 1, 6, 2)
     assert ingest["cells"] > 20 and ingest["error_rows"] == 1 and ingest["read_fail_list"][0].startswith("broken.xlsx (")
     skips = {k: v for k, v in ingest["classified_skips"].items() if v}
@@ -158,7 +158,7 @@ def test_the_report_accounts_for_every_file(spark, tmp_path):
     assert ingest["skipped_files"] == ["조직도.xlsx"] and ingest["headcount"] == "no column map"
     kept = load.load(spark, out)["report"].first()
     assert kept.raw_files == 7 and kept.classified_skips["non_excel"] == ["note.txt"] and kept.status == {"new": 7}
-    again = build.build(spark, str(raw), out).ingest
+    again = build.build(spark, str(raw), out, buckets=2).ingest
     assert again["status"] == {"unchanged": 6, "new": 1} and again["classified_skips"] == ingest["classified_skips"] and again["read_fail"] == 1
     assert json.dumps(again)
 
@@ -167,7 +167,7 @@ def test_empty_headcount_lists_are_not_written(spark, tmp_path):
     raw, out = tmp_path / "raw", str(tmp_path / "out")
     (raw / "headcount").mkdir(parents=True)
     workbook(raw / "headcount" / "hc.xlsx", {"재직 현황": [["사번", "이름", "소속"], [5, "유관순", "본부B"]], "퇴사자": [["이름", "퇴사일"], ["nan", "2024.01.15"]]})
-    got = build.build(spark, str(raw), out, columns={"emp_id": "사번", "name": "이름", "exit_date": "퇴사일"})
+    got = build.build(spark, str(raw), out, buckets=2, columns={"emp_id": "사번", "name": "이름", "exit_date": "퇴사일"})
     assert "silver/headcount_active" in got.snapshot and "silver/headcount_exited" not in got.snapshot and got.ingest["headcount"] == "hc.xlsx"
 
 

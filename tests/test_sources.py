@@ -83,7 +83,7 @@ def test_careers(spark):
 
 
 def test_build_is_incremental(spark, raw):
-    out = build.build(spark, str(raw / "raw"), str(raw / "out"))
+    out = build.build(spark, str(raw / "raw"), str(raw / "out"), buckets=2)
     assert rows(out.master.select("emp_id", "name", "org", "join_date", "exit_date", "snapshot_year")) == [("1", "홍길동", "본부A", date(2024, 1, 15), None, 2024), ("2", "김철수", "본부A", date(2023, 2, 1), date(2023, 2, 20), 2024)]
     assert "휴대폰" not in out.master.columns
     assert rows(out.gold["turnover_yearly"]) == [(2023, 1, 1, 0), (2024, 1, 0, 1)]
@@ -105,18 +105,18 @@ def names(paths):
 
 def test_a_second_build_parses_only_what_changed(spark, raw):
     src, out = str(raw / "raw"), str(raw / "out")
-    first = build.build(spark, src, out)
+    first = build.build(spark, src, out, buckets=2)
     assert names(first.parsed) == sorted(["broken.xlsx", "기술스택.xlsx", "명단2024.xlsx", "현황2024.xlsx"])
     before = rows(first.master)
-    second = build.build(spark, src, out)
+    second = build.build(spark, src, out, buckets=2)
     assert names(second.parsed) == ["broken.xlsx"] and rows(second.master) == before
     workbook(raw / "raw" / "현황2025.xlsx", {"재직자": PEOPLE[:3]})
     (raw / "raw" / "roster" / "명단2024.xlsx").unlink()
-    third = build.build(spark, src, out)
+    third = build.build(spark, src, out, buckets=2)
     assert names(third.parsed) == ["broken.xlsx", "현황2025.xlsx"] and third.roster.count() == 0
     assert {r.snapshot_year for r in third.master.collect()} == {2024, 2025}
-    assert names(build.build(spark, src, out, force=True).parsed) == sorted(["broken.xlsx", "기술스택.xlsx", "현황2024.xlsx", "현황2025.xlsx"])
-    build.build(spark, src, out, keep=1, grace=0)
+    assert names(build.build(spark, src, out, buckets=2, force=True).parsed) == sorted(["broken.xlsx", "기술스택.xlsx", "현황2024.xlsx", "현황2025.xlsx"])
+    build.build(spark, src, out, buckets=2, keep=1, grace=0)
     for folder in ("manifest", "index", "status", "cells"):
         assert len([x for x in (raw / "out" / "bronze" / folder).iterdir() if x.name.startswith("v-")]) == 1 + (folder == "cells")
 
@@ -138,7 +138,7 @@ def test_build_with_settings(spark, raw, capsys):
     assert rows(got["hc_active"].select("emp_id", "name", "org")) == [("5", "유관순", "본부B")] and got["hc_exited"].count() == 0
     assert got["report"].count() == 1 and got["attrition"].columns == ["emp_id", "name", "attrition_risk_score"]
     assert Snapshots(spark, str(raw / "out")).latest().read("qa/alias_missing").count() >= 1
-    errors = {r.error for r in build.build(spark, str(raw / "raw"), str(raw / "out")).errors.collect()}
+    errors = {r.error for r in build.build(spark, str(raw / "raw"), str(raw / "out"), buckets=2).errors.collect()}
     assert any("neither a zipped nor a compound workbook" in e for e in errors)
 
 
