@@ -79,22 +79,24 @@ def to_date(c, day_first: Column | bool = False) -> Column:
 
     A value is parsed in the one spelling that its beginning tells."""
     t = F.trim(_col(c).cast("string"))
-    as_date = lambda text: F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text).try_cast("date")
     number = t.try_cast("double")
     serial = F.when((number >= SERIAL_LOW) & (number <= SERIAL_HIGH), F.date_add(F.lit("1899-12-30").cast("date"), F.floor(number).cast("int")))
-    found = F.when(t.rlike(r"^\d{8}(\.0)?$"), F.concat_ws("-", F.substring(t, 1, 4), F.substring(t, 5, 2), F.substring(t, 7, 2)).try_cast("date"))
+    found = F.when(t.rlike(r"^\d{8}(\.0)?$"), F.regexp_replace(t, r"^(\d{4})(\d{2})(\d{2}).*$", "$1-$2-$3").try_cast("date"))
     found = found.when(t.rlike(r"^\d{1,9}(\.\d*)?$"), serial)
-    for name, (begin, whole, order) in _SPELLINGS.items():
-        read = lambda o, w=whole: F.regexp_replace(t, f"^{w}{_TIME}$", o)
-        text = read(order)
-        if name == "year_last" and not (isinstance(day_first, bool) and not day_first):
-            text = F.when(F.lit(day_first) if isinstance(day_first, bool) else F.coalesce(day_first, F.lit(False)), read("$3-$2-$1")).otherwise(text)
+    months = F.create_map(*[F.lit(x) for i in range(12) for x in (_MONTHS[3 * i : 3 * i + 3], f"-{i + 1}-")])
+    plain = isinstance(day_first, bool)
+    for name, (_, whole, order) in _SPELLINGS.items():
+        whole = f"^{whole}{_TIME}$"
+        read = lambda o, w=whole: F.regexp_replace(t, w, o)
         if name.endswith("_name"):
-            parts = F.split(text, "-")
-            at = F.position(F.lower(F.try_element_at(parts, F.lit(2))), F.lit(_MONTHS))
-            text = F.when((F.size(parts) == 3) & (at % 3 == 1), F.concat_ws("-", parts[0], ((at + 2) / 3).cast("int").cast("string"), F.try_element_at(parts, F.lit(3))))
-        found = found.when(t.rlike(begin), as_date(text))
-    return F.when(found != F.lit("1970-01-01").cast("date"), found)
+            year, month, day = (F.regexp_extract(t, whole, int(x[1])) for x in order.split("-"))
+            text = F.concat(year, F.try_element_at(months, F.lower(month)), day)
+        elif name == "year_last" and not plain:
+            text = F.when(F.coalesce(day_first, F.lit(False)), read("$3-$2-$1")).otherwise(read(order))
+        else:
+            text = read("$3-$2-$1" if name == "year_last" and day_first else order)
+        found = found.when(t.rlike(whole), text.try_cast("date"))
+    return F.nullif(found, F.lit("1970-01-01").cast("date"))
 
 
 def month_of(c) -> Column:
