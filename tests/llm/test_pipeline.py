@@ -138,4 +138,4 @@ def test_mixture_is_what_the_order_says(outputs):
 
 def test_catalogue():
     names = catalogue.queries()
-    assert {f"op{i}" for i in range(1, 11)} | {"pipeline"} == {n.split("_")[0] for n in names} and set(catalogue.oracle_sql()) <= set(names)
+    assert {f"op{i}" for i in range(1, 14)} | {"pipeline"} == {n.split("_")[0] for n in names} and set(catalogue.oracle_sql()) <= set(names)
