@@ -16,13 +16,8 @@ def _keys(words: list[str]) -> list[str]:
 
 def has(columns: Column, signals: list[str]) -> Column:
     """A header holds a signal or is held by one; empty headers never do."""
-    def hit(c: Column) -> Column:
-        found = F.lit(False)
-        for s in _keys(signals):
-            found = found | c.contains(s) | F.lit(s).contains(c)
-        return (c != "") & found
-
-    return F.exists(columns, hit)
+    words = F.lit(_keys(signals))
+    return F.exists(columns, lambda c: (c != "") & F.exists(words, lambda s: c.contains(s) | s.contains(c)))
 
 
 def _holding(word: str):

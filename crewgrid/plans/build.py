@@ -166,21 +166,24 @@ class _Build:
         sheets = tx.append("bronze/sheets", scan_sheets(good, skip=self.skip).select("*", gen), tx.id)
         kinds = tx.append("bronze/kinds", classify.file_kinds(sheets).select("*", gen), tx.id)
         of_kind = lambda kind: kinds.where(F.col("kind") == kind).select("file")
-        rows = _with_key(canonical_rows(good.join(of_kind("master_candidate"), "file", "left_semi"), self.alias, self.skip))
-        # Sorted by file, so that a file's rows are found without reading the others.
-        rows = rows.select(*MASTER_COLUMNS, "key", gen, _bucket(self.buckets)).repartition("bucket").sortWithinPartitions("bucket", "data_source")
-        tx.append("bronze/master_rows", rows, tx.id, buckets=True)
+        # A kind that no parsed sheet or file has gives no rows, so nothing is run for it; there are as many kinds as rules.
+        there = {r.kind for r in sheets.select("kind").union(kinds.select("kind")).distinct().collect()}
+        if "master_candidate" in there:
+            rows = _with_key(canonical_rows(good.join(of_kind("master_candidate"), "file", "left_semi"), self.alias, self.skip))
+            # Sorted by file, so that a file's rows are found without reading the others.
+            rows = rows.select(*MASTER_COLUMNS, "key", gen, _bucket(self.buckets)).repartition("bucket").sortWithinPartitions("bucket", "data_source")
+            tx.append("bronze/master_rows", rows, tx.id, buckets=True)
 
         def of(kind: str, file_kind: str) -> DataFrame:
             wanted = sheets.where(F.col("kind") == kind).select(*SHEET).unionByName(sheets.join(of_kind(file_kind), "file", "left_semi").select(*SHEET))
             return good.join(wanted, SHEET, "left_semi")
 
-        parts = {
-            "roster": lists.roster(of("reference_roster", "aux_reference_roster"), "file"), "skill": lists.skills(of("aux_skill", "aux_skill"), "file"),
-            "recruit": lists.recruits(of("aux_recruit", "aux_recruit"), "file"), "career": lists.career_rows(good.where(file_name("file").contains(CAREERS)), "file"),
-        }
-        for name, df in parts.items():
-            tx.append(f"bronze/{name}_rows", df.select("*", gen), tx.id)
+        parts = {"roster": ("reference_roster", "aux_reference_roster", lists.roster), "skill": ("aux_skill", "aux_skill", lists.skills), "recruit": ("aux_recruit", "aux_recruit", lists.recruits)}
+        for name, (kind, file_kind, read) in parts.items():
+            if there & {kind, file_kind}:
+                tx.append(f"bronze/{name}_rows", read(of(kind, file_kind), "file").select("*", gen), tx.id)
+        if any(CAREERS in file_of(p) for p in self.parsed):
+            tx.append("bronze/career_rows", lists.career_rows(good.where(file_name("file").contains(CAREERS)), "file").select("*", gen), tx.id)
         return dict(seen.get)
 
     def live(self, name: str, empty: str | None = None, **which) -> DataFrame:
@@ -224,12 +227,13 @@ class _Build:
         return {name: self.tx.write(f"gold/{name}", df) for name, df in out.items()}
 
     def addons(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        plain = lambda name, schema: self.live(f"bronze/{name}_rows", f"{schema}, file string, generation string").drop("file")
-        tables = {"reference_roster": plain("roster", ROSTER).distinct(), "aux_skill": plain("skill", SKILL), "aux_recruit": plain("recruit", RECRUIT)}
-        if "bronze/career_rows" in self.tx.now:
-            tables["career_rank"] = lists.latest_careers(self.live("bronze/career_rows").drop("file"))
-        for name, df in tables.items():
-            self.tx.write_unless_empty(f"addons/{name}", df)
+        as_is = lambda df: df
+        tables = {"reference_roster": ("roster", lambda df: df.distinct()), "aux_skill": ("skill", as_is), "aux_recruit": ("recruit", as_is), "career_rank": ("career", lists.latest_careers)}
+        for name, (part, made) in tables.items():
+            if f"bronze/{part}_rows" in self.tx.now:
+                self.tx.write_unless_empty(f"addons/{name}", made(self.live(f"bronze/{part}_rows").drop("file")))
+            else:
+                self.tx.drop(f"addons/{name}")
         read = lambda name, schema: self.tx.now.read(f"addons/{name}", schema)
         return read("reference_roster", ROSTER), read("aux_skill", SKILL), read("aux_recruit", RECRUIT)
 

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.scalars import normalise
-from ..operators.classify import _holding
 
 SHEET = ["file", "sheet", "sheet_idx"]
 
@@ -91,4 +90,5 @@ def by_position(cells: DataFrame, positions: dict[int, str]) -> DataFrame:
 def position_of(columns: Column, keys: list[str]) -> Column:
     """Place of the header that equals or holds a key, the first key first; null if none. For sheets of many layouts in one plan."""
     plain = F.transform(columns, lambda c: F.lower(F.regexp_replace(c, r"(?U)\s", "")))
-    return F.coalesce(*[F.nullif(F.array_position(F.transform(plain, _holding(k.lower())), True), F.lit(0)).cast("int") - 1 for k in keys])
+    places = F.transform(F.lit([k.lower() for k in keys]), lambda k: F.array_position(F.transform(plain, lambda c: c.contains(k)), True))
+    return F.try_element_at(F.filter(places, lambda p: p > 0), F.lit(1)).cast("int") - 1
