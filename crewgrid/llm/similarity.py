@@ -60,6 +60,8 @@ IN_BATCH, SHARED_BITS = 2, 27
 HELD, BLOCK, GROUP = 64, 500, 16
 #: Bits of a set's hash that are its id (other bits tell ids of more than one set apart), tokens that a set counts for at least in a block.
 SET_BITS, WEIGHT = 64, 4000
+#: Up to so many large neighbourhoods are broadcast (16 bytes each).
+NEARS = 200_000
 _PART = 32768
 _A = np.uint64(0x9E3779B97F4A7C15)
 
@@ -423,7 +425,8 @@ def _meetings(starred: DataFrame) -> DataFrame:
     size and has a first token of theirs, by which one of the two is found."""
     sizes = starred.groupBy("near", "joint").agg(F.count("*").alias("k"))
     main = sizes.groupBy("near").agg(F.max_by("joint", F.struct("k", "joint")).alias("main"), F.count("*").alias("stars")).where("stars > 1").drop("stars")
-    split = starred.join(main, "near")
+    # One row a large neighbourhood: sent to all tasks if their count says so, else the sets of the largest are one task's.
+    split = starred.join(F.broadcast(main) if main.limit(NEARS + 1).count() <= NEARS else main, "near")
     found = F.col("place") < F.col("n") - F.ceil(F.col("n") * 2 * SAME / F.lit(OF + SAME)) + 1
     each = split.select("near", "block", "set", "n", "joint", "main", F.posexplode("tokens").alias("place", "token")).withColumn("found", found)
     asked = each.where("joint <> main").select("near", "token", "set", "n", F.col("block").alias("own"), F.col("found").alias("mine"))

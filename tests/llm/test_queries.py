@@ -125,6 +125,22 @@ def test_lists_too_long_to_hold_are_tied_whole(spark, monkeypatch, sets, batch):
     assert reached == {set_id(similarity.shingles(t)) for t in near}
 
 
+def test_sets_of_one_large_neighbourhood_stay_spread(spark):
+    """The largest star's name is brought to the sets, not all sets of a neighbourhood to one task."""
+    sets = [(1, b, b, j, 10, [100, b]) for b in range(6) for j in (min(b, 2),)]
+    starred = spark.createDataFrame(sets, "near long, block long, set long, joint long, n long, tokens array<long>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = similarity._meetings(starred)
+        plan = met._jdf.queryExecution().sparkPlan().toString()
+        got = {(r.set, r.block) for r in met.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin [near#" in plan
+    assert got == {(s, b) for s in (0, 1) for b in range(6) if s != b}
+
+
 @pytest.mark.parametrize("one_task", [0, 4_000_000])
 def test_components_by_stars_and_by_one_task(spark, monkeypatch, one_task):
     """Chains, stars and repeated links; contracted locally a few at a time and by stars, or by one task."""
