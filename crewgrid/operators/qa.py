@@ -60,7 +60,11 @@ def report(master: DataFrame, roster: DataFrame) -> DataFrame:
     # A name that is null stays null, so such rows of the roster only count.
     listed = roster.select(F.inline(F.array(row("name", F.col("year"), person_name("name"), zero, one, False))))
     total = lambda c, when=None: F.coalesce(F.sum(c if when is None else F.when(when, c)), F.lit(0))
-    keys = masters.unionByName(listed).groupBy("kind", "year", "key").agg(*[F.sum(c).alias(c) for c in ("m", "r", *flags)])
+    # Keys are almost as many as rows, so nothing is gained by counting them where the tables are joined, which would hold them all beside the join's
+    # rows: they are dealt first, in parts that grow with the input by their size only. Rows without a key are not compared and stay spread.
+    dealt = masters.unionByName(listed).withColumn("part", F.when(F.col("key").isNull(), F.spark_partition_id()).otherwise(0))
+    dealt = dealt.repartition(int(master.sparkSession.conf.get("spark.sql.shuffle.partitions")), "kind", "year", "key", "part")
+    keys = dealt.groupBy("kind", "year", "key", "part").agg(*[F.sum(c).alias(c) for c in ("m", "r", *flags)])
     named = F.col("year").isNotNull() & F.col("key").isNotNull()
     years = keys.groupBy("kind", "year").agg(
         *[F.sum(c).alias(c) for c in ("m", "r", *flags)],

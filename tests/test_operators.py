@@ -159,3 +159,15 @@ def test_one_pass_counters(spark):
         assert views.kpis_of(master, y).first() == views.kpis(active, gold.turnover_yearly(master), gold.early_exits(master), y).first()
     scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD")
     assert scans(qa.report(master, roster)) == 2 and scans(views.kpis_of(master, 2020)) == 1
+
+
+def test_report_counts_keys_apart_from_the_join(spark):
+    """Keys are dealt before they are counted, so no task holds them beside the join's rows; rows without a name count too."""
+    m = spark.createDataFrame([(f"e{i % 7}", None if i % 2 else f"n{i}", "o", "d", None, None, 2020) for i in range(40)], "emp_id string, name string, org string, dept string, join_date date, exit_date date, snapshot_year int").repartition(4)
+    r = spark.createDataFrame([(2020, "n0"), (2020, "x"), (2020, None)], "year int, name string")
+    out = qa.report(m, r)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "keys=[kind" not in plan[plan.index("REPARTITION_BY_NUM") :]
+    got = out.first()
+    assert (got.master_rows, got.duplicate_emp_id_rows, got.reference_roster_rows) == (40, 40, 3)
+    assert (got.mismatch_ref_only_rows, got.mismatch_master_only_rows) == (1, 39)
